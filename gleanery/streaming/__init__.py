@@ -1,0 +1,6 @@
+"""The workload is batch only, so there are no streaming jobs here.
+
+The row-local operators (tokenising, standardising with given statistics,
+nearest centre with given centres) accept a streaming DataFrame unchanged;
+``tests/test_streaming.py`` runs them on one.
+"""
