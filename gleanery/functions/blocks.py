@@ -73,16 +73,12 @@ def project_rows(df: DataFrame, matrix: np.ndarray, keep: list[str], out: str) -
     return df.select(*keep, "ids", "weights").mapInArrow(run, schema)
 
 
-def _best(table: pa.Table, n: int, id_col: str) -> pa.Table:
-    """At most ``n`` rows per direction by (score, id) descending."""
-    order = pc.sort_indices(
-        table,
-        sort_keys=[("direction", "ascending"), ("score", "descending"), (id_col, "descending")],
-    )
-    table = table.take(order)
-    direction = table.column("direction").to_numpy()
-    new = np.flatnonzero(np.r_[True, direction[1:] != direction[:-1]])
-    place = np.arange(len(direction)) - np.repeat(new, np.diff(np.r_[new, len(direction)]))
+def best_rows(table: pa.Table, n: int, group: str, order: list[tuple[str, str]]) -> pa.Table:
+    """At most ``n`` rows per integer ``group`` in the given order."""
+    table = table.take(pc.sort_indices(table, sort_keys=[(group, "ascending"), *order]))
+    keys = table.column(group).to_numpy()
+    new = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+    place = np.arange(len(keys)) - np.repeat(new, np.diff(np.r_[new, len(keys)]))
     return table.filter(pa.array(place < n))
 
 
@@ -127,6 +123,7 @@ def top_rows(
         ]
     )
     limit = 8 * n * matrix.shape[1] + 1024
+    order = [("score", "descending"), (id_col, "descending")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
@@ -148,10 +145,10 @@ def top_rows(
             )
             best = found if best is None else pa.concat_tables([best, found])
             if best.num_rows > limit:
-                best = _best(best, n, id_col)
+                best = best_rows(best, n, "direction", order)
         if best is not None:
-            yield from _best(best, n, id_col).combine_chunks().to_batches()
+            yield from best_rows(best, n, "direction", order).combine_chunks().to_batches()
 
     found = df.select(*dict.fromkeys([id_col, *keep, *inputs])).mapInArrow(run, schema)
-    order = Window.partitionBy("direction").orderBy(F.desc("score"), F.desc(id_col))
-    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= n)
+    place = Window.partitionBy("direction").orderBy(F.desc("score"), F.desc(id_col))
+    return found.withColumn("rank", F.row_number().over(place)).filter(F.col("rank") <= n)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.mllib.linalg.distributed import RowMatrix
 from pyspark.mllib.util import MLUtils
@@ -85,22 +85,26 @@ def factor_tables(
     """Factor tables over sparse rows; ``us = row x V`` keeps the document's own columns."""
     spark: SparkSession = rows.sparkSession
     carried = [c for c in rows.columns if c not in ("ids", "weights")]
-    terms = pd.DataFrame(
+    offsets = np.arange(len(vocab.terms) + 1, dtype=np.int32) * v.shape[1]
+    terms = pa.table(
         {
-            "term_id": np.arange(len(vocab.terms), dtype=np.int32),
-            "term": vocab.terms,
-            "df": np.array(vocab.dfs, dtype=np.int64),
-            "idf": np.array(vocab.idfs),
-            "v": list(v),
+            "term_id": pa.array(np.arange(len(vocab.terms), dtype=np.int32)),
+            "term": pa.array(vocab.terms, pa.string()),
+            "df": pa.array(vocab.dfs, pa.int64()),
+            "idf": pa.array(vocab.idfs, pa.float64()),
+            "v": pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.ravel(v))),
+        }
+    )
+    values = pa.table(
+        {
+            "concept": pa.array(np.arange(len(sigma), dtype=np.int32)),
+            "sigma": pa.array(sigma, pa.float64()),
         }
     )
-    values = pd.DataFrame({"concept": np.arange(len(sigma), dtype=np.int32), "sigma": sigma})
     return LsaModel(
         doc_factors=project_rows(rows, v, carried, "us"),
-        term_factors=spark.createDataFrame(
-            terms, "term_id int, term string, df bigint, idf double, v array<double>"
-        ),
-        singular_values=spark.createDataFrame(values, "concept int, sigma double"),
+        term_factors=spark.createDataFrame(terms),
+        singular_values=spark.createDataFrame(values),
         num_docs=vocab.num_docs,
         num_terms=len(vocab.terms),
         k=len(sigma),

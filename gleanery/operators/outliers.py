@@ -11,6 +11,8 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gleanery.functions.distances import assigned_rows, farthest_rows, profile_rows
+
 Centers = Sequence[Sequence[float]]
 TOP_OUTLIERS = 25
 
@@ -124,31 +126,17 @@ def center_report(df: DataFrame, centers_by_k: dict[int, Centers], names: Sequen
 
 
 def assign_sweep(
-    df: DataFrame, features: Sequence[str], centers_by_k: dict[int, Centers], keep: Sequence[str] = ()
+    df: DataFrame, features: Sequence[str], centers_by_k: dict[int, Centers], keep: Sequence[str]
 ) -> DataFrame:
-    """(k, *keep, cluster, distance): every point under every k, from one scan."""
-    entries = [
-        F.struct(F.lit(k).alias("k"), nearest(features, centers).alias("n"))
-        for k, centers in centers_by_k.items()
-    ]
-    exploded = df.select(*keep, F.explode(F.array(*entries)).alias("e"))
-    return exploded.select(
-        F.col("e.k").alias("k"),
-        *keep,
-        F.col("e.n.cluster").alias("cluster"),
-        F.col("e.n.distance").alias("distance"),
-    )
+    """(k, *keep, cluster, distance): every point under every k, from one read."""
+    return assigned_rows(df, features, centers_by_k, keep)
 
 
 def cluster_profile(
     df: DataFrame, features: Sequence[str], centers_by_k: dict[int, Centers]
 ) -> DataFrame:
-    """(k, cluster, size, total_distance), aggregated before the shuffle."""
-    return (
-        assign_sweep(df, features, centers_by_k)
-        .groupBy("k", "cluster")
-        .agg(F.count("*").alias("size"), F.sum("distance").alias("total_distance"))
-    )
+    """(k, cluster, size, total_distance) for every k, from one read."""
+    return profile_rows(df, features, centers_by_k)
 
 
 def cluster_sizes(profile: DataFrame) -> DataFrame:
@@ -169,14 +157,9 @@ def top_outliers(
     keep: Sequence[str],
     n: int = TOP_OUTLIERS,
 ) -> DataFrame:
-    """(k, *keep, cluster, distance): the ``n`` farthest points for every k.
+    """(k, *keep, cluster, distance): the ``n`` farthest points for every k, from one read.
 
-    Each k keeps a bounded heap per task, so nothing is sorted or shuffled whole.
-    Points at one distance are ordered by their own columns.
+    Every task sends on at most ``n`` points per k. Points at one distance are ordered by
+    their own columns.
     """
-    found = []
-    for k, centers in centers_by_k.items():
-        marked = assign(df.select(*dict.fromkeys([*keep, *features])), features, centers)
-        best = marked.orderBy(F.desc("distance"), *keep).limit(n)
-        found.append(best.select(F.lit(k).alias("k"), *keep, "cluster", "distance"))
-    return reduce(DataFrame.unionByName, found)
+    return farthest_rows(df, features, centers_by_k, keep, n)

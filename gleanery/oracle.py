@@ -72,7 +72,7 @@ all_scores AS (
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id DESC) AS rank
   FROM all_scores)
-SELECT query_id, CAST(rank AS INTEGER) AS rank, doc_id, title, genre, round(score, 8) AS score
+SELECT query_id, CAST(rank AS INTEGER) AS rank, doc_id, title, genre, score
 FROM ranked WHERE rank <= 10"""
 
 
@@ -235,12 +235,12 @@ SELECT doc_id, array_to_string(
   list_transform(string_split(text, ',')[1:5], lambda s: trim(s, ' ')), '|') AS genres
 FROM documents""",
     "column_stats": """
-SELECT round(avg(l_quantity), 6) AS mean_l_quantity,
-       round(avg(l_extendedprice), 6) AS mean_l_extendedprice,
-       round(avg(l_discount), 6) AS mean_l_discount,
-       round(stddev_samp(l_quantity), 6) AS std_l_quantity,
-       round(stddev_samp(l_extendedprice), 6) AS std_l_extendedprice,
-       round(stddev_samp(l_discount), 6) AS std_l_discount FROM lineitem""",
+SELECT round(avg(l_quantity), 4) AS mean_l_quantity,
+       round(avg(l_extendedprice), 4) AS mean_l_extendedprice,
+       round(avg(l_discount), 4) AS mean_l_discount,
+       round(stddev_samp(l_quantity), 4) AS std_l_quantity,
+       round(stddev_samp(l_extendedprice), 4) AS std_l_extendedprice,
+       round(stddev_samp(l_discount), 4) AS std_l_discount FROM lineitem""",
     "zscore": f"""
 WITH {POINTS}
 SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, round(z1, 6) AS z_l_quantity,

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
+from gleanery.functions.sampling import sample_by_key
 from gleanery.operators.outliers import (
     assign_sweep,
     center_report,
@@ -55,9 +56,8 @@ def run_sensors(
     profile = cluster_profile(points, features, centers).persist()
     keep = ["runId", *SENSORS]
     if out is not None:
-        export_samples(
-            assign_sweep(points, features, centers, keep), out, keep, SENSORS, EXPORT_FRACTION, seed
-        )
+        sample = sample_by_key(points, keep, EXPORT_FRACTION, seed)
+        export_samples(assign_sweep(sample, features, centers, SENSORS), out, SENSORS)
     return SensorReport(
         readings=readings,
         dropped=total - readings,

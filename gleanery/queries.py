@@ -280,13 +280,11 @@ def keyword_search_exact(spark: SparkSession, sf: str) -> DataFrame:
     docs = pattern_docs(spark, sf)
     vocab = terms.collect_vocabulary(docs, VOCABULARY)
     rows = terms.sparse_rows(terms.tfidf_vectors(docs, vocab))
-    hits = search.exact_search(rows, vocab, benchmark_queries(spark, sf))
-    return rounded(hits, 8, "score")
+    return search.exact_search(rows, vocab, benchmark_queries(spark, sf))
 
 
 def keyword_search_lsa(spark: SparkSession, sf: str) -> DataFrame:
-    hits = search.search(full_rank_model(spark, sf), benchmark_queries(spark, sf))
-    return rounded(hits, 8, "score")
+    return search.search(full_rank_model(spark, sf), benchmark_queries(spark, sf))
 
 
 def keyword_search_reduced(spark: SparkSession, sf: str) -> DataFrame:
@@ -297,8 +295,7 @@ def model_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     model = full_rank_model(spark, sf)
     path = model_path(scratch(spark, "model"), PATTERN, FULL_RANK, FULL_RANK)
     save_model(model, path)
-    hits = search.search(load_model(spark, path), benchmark_queries(spark, sf))
-    return rounded(hits, 8, "score")
+    return search.search(load_model(spark, path), benchmark_queries(spark, sf))
 
 
 def query_terms(spark: SparkSession, sf: str) -> DataFrame:
@@ -333,7 +330,7 @@ def genre_top5(spark: SparkSession, sf: str) -> DataFrame:
 
 def column_stats(spark: SparkSession, sf: str) -> DataFrame:
     stats = outliers.column_stats(readings(spark, sf), SENSOR_COLUMNS)
-    return rounded(stats, 6, *stats.columns)
+    return rounded(stats, 4, *stats.columns)
 
 
 def zscore(spark: SparkSession, sf: str) -> DataFrame:
@@ -391,13 +388,10 @@ def kmeans_partition(spark: SparkSession, sf: str) -> DataFrame:
 
 def _exported(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch(spark, "samples")
-    renamed = dict(zip(SENSOR_COLUMNS, ["sensor1", "sensor2", "sensor3"]))
-    assigned = outliers.assign_sweep(
-        points(spark, sf), FEATURES, FIXED, [*ROW_KEYS, *SENSOR_COLUMNS]
-    ).withColumnsRenamed(renamed)
-    export_samples(
-        assigned, path, ROW_KEYS, list(renamed.values()), SAMPLE_FRACTION, SAMPLE_SEED
-    )
+    sample = sample_by_key(points(spark, sf), ROW_KEYS, SAMPLE_FRACTION, SAMPLE_SEED)
+    assigned = outliers.assign_sweep(sample, FEATURES, FIXED, SENSOR_COLUMNS)
+    names = ["sensor1", "sensor2", "sensor3"]
+    export_samples(assigned.withColumnsRenamed(dict(zip(SENSOR_COLUMNS, names))), path, names)
     return read_cluster_samples(spark, path)
 
 

@@ -7,22 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gleanery.functions.sampling import sample_by_key
-
-
-def export_samples(
-    assigned: DataFrame,
-    folder: str,
-    keys: Sequence[str],
-    columns: Sequence[str],
-    fraction: float = 0.01,
-    seed: int = 1,
-) -> None:
-    """Write a sample of assigned points (k, ...) below ``folder/k=<k>``."""
-    sample = sample_by_key(assigned, list(keys), fraction, seed)
-    sample.select("k", *columns, "cluster", "distance").write.partitionBy("k").option(
-        "header", True
-    ).csv(folder)
+
+def export_samples(assigned: DataFrame, folder: str, columns: Sequence[str]) -> None:
+    """Write assigned points (k, ...) as headed CSV below ``folder/k=<k>``."""
+    rows = assigned.select("k", *columns, "cluster", "distance")
+    rows.write.partitionBy("k").option("header", True).csv(folder)
 
 
 def sample_means(samples: DataFrame) -> DataFrame:
