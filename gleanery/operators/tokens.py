@@ -21,12 +21,17 @@ from gleanery.session import broadcast_if_small, fits
 MAX_INLINE_WORDS = 10_000
 
 
-def drop_stop_words(docs: DataFrame, words: DataFrame) -> DataFrame:
-    """Remove the words of ``words(word)`` from ``tokens``.
+StopWords = list[str] | DataFrame
+
+
+def drop_stop_words(docs: DataFrame, words: StopWords) -> DataFrame:
+    """Remove a list of words, or those of a table ``words(word)``, from ``tokens``.
 
     A small list is tested inside the row, without a join or shuffle. A larger one
     is anti-joined and the lists are put together again by ``doc_id``.
     """
+    if isinstance(words, list):
+        return docs.withColumn("tokens", without_words(F.col("tokens"), words))
     if fits(words, MAX_INLINE_WORDS):
         listed = [r["word"] for r in words.collect()]
         return docs.withColumn("tokens", without_words(F.col("tokens"), listed))
@@ -46,7 +51,7 @@ def _regroup(docs: DataFrame, terms: DataFrame) -> DataFrame:
     )
 
 
-def tokenize_pattern(docs: DataFrame, stop_words: DataFrame, text: str = "text") -> DataFrame:
+def tokenize_pattern(docs: DataFrame, stop_words: StopWords, text: str = "text") -> DataFrame:
     """Words of 6-24 letters and numbers between blanks, stop words removed."""
     return drop_stop_words(
         docs.withColumn("tokens", pattern_tokens(F.col(text))).drop(text), stop_words
@@ -54,7 +59,7 @@ def tokenize_pattern(docs: DataFrame, stop_words: DataFrame, text: str = "text")
 
 
 def tokenize_lemma(
-    docs: DataFrame, stop_words: DataFrame, lemmas: DataFrame, text: str = "text"
+    docs: DataFrame, stop_words: StopWords, lemmas: DataFrame, text: str = "text"
 ) -> DataFrame:
     """Letters-only tokens replaced by their lemma, then length and stop-word filters."""
     surface = docs.withColumn("tokens", surface_tokens(F.col(text))).drop(text)
@@ -79,7 +84,7 @@ Annotator = Callable[[str], list[str]]
 
 
 def tokenize_annotator(
-    docs: DataFrame, stop_words: DataFrame, factory: Callable[[], Annotator], text: str = "text"
+    docs: DataFrame, stop_words: StopWords, factory: Callable[[], Annotator], text: str = "text"
 ) -> DataFrame:
     """Lemmas from an outside annotator, built once per task by ``factory``."""
 

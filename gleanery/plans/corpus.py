@@ -32,7 +32,7 @@ class CorpusReport:
 
 
 def tokenize(
-    docs: DataFrame, variant: str, stop_words: DataFrame, lemmas: DataFrame | None = None
+    docs: DataFrame, variant: str, stop_words: list[str] | DataFrame, lemmas: DataFrame | None = None
 ) -> DataFrame:
     """Tokenised documents. Without a lemma table one is derived from the documents."""
     if variant == PATTERN:

@@ -29,7 +29,7 @@ CONCEPTS = (25, 100, 250)
 
 def sweep_lsa(
     docs: DataFrame,
-    stop_words: DataFrame,
+    stop_words: list[str] | DataFrame,
     lemmas: DataFrame | None = None,
     variants: Sequence[str] = (LEMMA, PATTERN),
     num_terms: Sequence[int] = NUM_TERMS,

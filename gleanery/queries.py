@@ -133,7 +133,7 @@ def stop_word_list(spark: SparkSession, sf: str) -> DataFrame:
     held = documents(spark, sf).select(
         "doc_id", F.explode(F.array_distinct(blank_split(F.col("text")))).alias("word")
     )
-    found = held.join(F.broadcast(read_stop_words(spark)), "word")
+    found = held.filter(F.col("word").isin(read_stop_words(spark)))
     return found.groupBy("word").agg(F.count("*").alias("docs"))
 
 
@@ -179,8 +179,7 @@ def corpus_stats(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stopword_filter(spark: SparkSession, sf: str) -> DataFrame:
-    words = [r["word"] for r in read_stop_words(spark).collect()]
-    kept = without_words(blank_split(F.col("text")), words)
+    kept = without_words(blank_split(F.col("text")), read_stop_words(spark))
     return documents(spark, sf).select("doc_id", F.array_join(kept, " ").alias("kept"))
 
 

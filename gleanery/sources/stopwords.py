@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from gleanery.functions.text import default_stop_words
 
 
-def read_stop_words(spark: SparkSession, path: str | None = None) -> DataFrame:
-    """Distinct lines as they stand, or the built-in list without a path."""
+def read_stop_words(spark: SparkSession, path: str | None = None) -> list[str] | DataFrame:
+    """Distinct lines of a file as a table (word), or the built-in list without a path."""
     if path is None:
-        return spark.createDataFrame([(w,) for w in default_stop_words()], "word string")
+        return default_stop_words()
     return spark.read.text(path).select(F.col("value").alias("word")).distinct()
