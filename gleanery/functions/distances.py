@@ -42,18 +42,25 @@ def _columns(batch: pa.RecordBatch, names: Sequence[str]) -> list[np.ndarray]:
     return [batch.column(n).to_numpy(zero_copy_only=False) for n in names]
 
 
-def profile_rows(df: DataFrame, features: Sequence[str], centers_by_k: CentersByK) -> DataFrame:
-    """(k, cluster, size, total_distance); each task sends one row per centre."""
+def profile_rows(
+    df: DataFrame, features: Sequence[str], centers_by_k: CentersByK, merge: bool = True
+) -> DataFrame:
+    """(k, cluster, size, total_distance, sum_<feature>...) of the points nearest to each
+    centre; every task sends on one row per centre, summed by Spark unless ``merge`` is off.
+    """
+    names = ["k", "cluster", "size", "total_distance", *[f"sum_{f}" for f in features]]
+    doubles = ", ".join(f"{name} double" for name in names[3:])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizes = {k: np.zeros(len(c), dtype=np.int64) for k, c in centers_by_k.items()}
-        totals = {k: np.zeros(len(c)) for k, c in centers_by_k.items()}
+        totals = {k: np.zeros((len(features) + 1, len(c))) for k, c in centers_by_k.items()}
         for batch in batches:
             columns = _columns(batch, features)
             for k, centers in centers_by_k.items():
                 distance, cluster = nearest_block(columns, centers)
                 sizes[k] += np.bincount(cluster, minlength=len(centers))
-                totals[k] += np.bincount(cluster, weights=distance, minlength=len(centers))
+                for total, values in zip(totals[k], [distance, *columns]):
+                    total += np.bincount(cluster, weights=values, minlength=len(centers))
         for k in centers_by_k:
             held = np.flatnonzero(sizes[k])
             yield pa.RecordBatch.from_arrays(
@@ -61,17 +68,15 @@ def profile_rows(df: DataFrame, features: Sequence[str], centers_by_k: CentersBy
                     pa.array(np.full(len(held), k, dtype=np.int32)),
                     pa.array(held.astype(np.int32)),
                     pa.array(sizes[k][held]),
-                    pa.array(totals[k][held]),
+                    *[pa.array(total[held]) for total in totals[k]],
                 ],
-                ["k", "cluster", "size", "total_distance"],
+                names,
             )
 
-    parts = df.select(*features).mapInArrow(
-        run, "k int, cluster int, size long, total_distance double"
-    )
-    return parts.groupBy("k", "cluster").agg(
-        F.sum("size").alias("size"), F.sum("total_distance").alias("total_distance")
-    )
+    parts = df.select(*features).mapInArrow(run, f"k int, cluster int, size long, {doubles}")
+    if not merge:
+        return parts
+    return parts.groupBy("k", "cluster").agg(*[F.sum(c).alias(c) for c in names[2:]])
 
 
 def _marked_schema(df: DataFrame, keep: Sequence[str]) -> T.StructType:

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+import numpy as np
+from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
@@ -15,6 +17,8 @@ from gleanery.functions.distances import assigned_rows, farthest_rows, profile_r
 
 Centers = Sequence[Sequence[float]]
 TOP_OUTLIERS = 25
+MIN_TASK_ROWS = 100_000
+MAX_PARTIAL_ROWS = 100_000
 
 
 def column_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -85,16 +89,13 @@ def fit_kmeans(
     tol: float = 1e-6,
 ) -> list[list[float]]:
     """Centres of MLlib K-means (k-means|| start, Euclidean)."""
-    return _fit(_assembled(df, features), k, seed, max_iter, tol)
+    points = VectorAssembler(inputCols=list(features), outputCol="features").transform(df)
+    return _fit(points.select("features"), k, seed, max_iter, tol)
 
 
-def _assembled(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    return VectorAssembler(inputCols=list(features), outputCol="features").transform(df)
-
-
-def _fit(df: DataFrame, k: int, seed: int, max_iter: int, tol: float) -> list[list[float]]:
+def _fit(points: DataFrame, k: int, seed: int, max_iter: int, tol: float) -> list[list[float]]:
     kmeans = KMeans(k=k, seed=seed, maxIter=max_iter, tol=tol, featuresCol="features")
-    return [list(map(float, c)) for c in kmeans.fit(df.select("features")).clusterCenters()]
+    return [list(map(float, c)) for c in kmeans.fit(points).clusterCenters()]
 
 
 def sweep_kmeans(
@@ -104,16 +105,58 @@ def sweep_kmeans(
     seed: int = 1,
     max_iter: int = 100,
     tol: float = 1e-6,
-    parallelism: int = 4,
+    parallelism: int = 8,
 ) -> dict[int, list[list[float]]]:
-    """Centres for every k over one shared input; a few fits run side by side."""
-    points = _assembled(df, features).select("features").persist()
+    """Centres for every k. ``df`` is read many times, so it should be cached.
+
+    MLlib chooses each k-means|| start. The iterations of all k then share one read of
+    the points: the passes are those of the slowest k, not the sum over k. A k stops
+    when no centre moves by more than ``tol``.
+    """
+    tasks = max(1, min(df.rdd.getNumPartitions(), -(-df.count() // MIN_TASK_ROWS)))
+    df = df.coalesce(tasks)
+    points = VectorAssembler(inputCols=list(features), outputCol="features").transform(df)
+    points = points.select("features").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         with ThreadPoolExecutor(parallelism) as pool:
-            fits = pool.map(lambda k: _fit(points, k, seed, max_iter, tol), ks)
-            return dict(zip(ks, fits))
+            starts = dict(zip(ks, pool.map(lambda k: _fit(points, k, seed, 0, tol), ks)))
     finally:
         points.unpersist()
+    return lloyd_sweep(df, features, starts, max_iter, tol)
+
+
+def lloyd_sweep(
+    df: DataFrame,
+    features: Sequence[str],
+    starts: dict[int, Centers],
+    max_iter: int = 100,
+    tol: float = 1e-6,
+) -> dict[int, list[list[float]]]:
+    """Lloyd iterations for all given starts together, one job per iteration.
+
+    Only the sums per centre reach the driver. A centre without points stays in place.
+    """
+    centers = {k: [list(map(float, c)) for c in start] for k, start in starts.items()}
+    moving = set(centers)
+    # Few tasks: the driver adds their sums up, at most MAX_PARTIAL_ROWS rows; else Spark does.
+    merge = df.rdd.getNumPartitions() * sum(map(len, centers.values())) > MAX_PARTIAL_ROWS
+    for _ in range(max_iter):
+        if not moving:
+            break
+        active = {k: centers[k] for k in sorted(moving)}
+        sizes = {k: np.zeros(len(c)) for k, c in active.items()}
+        sums = {k: np.zeros((len(c), len(features))) for k, c in active.items()}
+        for row in profile_rows(df, features, active, merge).collect():
+            sizes[row["k"]][row["cluster"]] += row["size"]
+            sums[row["k"]][row["cluster"]] += [row[f"sum_{f}"] for f in features]
+        for k, old in active.items():
+            held = sizes[k] > 0
+            new = np.array(old)
+            new[held] = sums[k][held] / sizes[k][held, None]
+            if np.linalg.norm(new - old, axis=1).max() <= tol:
+                moving.discard(k)
+            centers[k] = new.tolist()
+    return centers
 
 
 def center_report(df: DataFrame, centers_by_k: dict[int, Centers], names: Sequence[str]) -> DataFrame:
@@ -136,7 +179,7 @@ def cluster_profile(
     df: DataFrame, features: Sequence[str], centers_by_k: dict[int, Centers]
 ) -> DataFrame:
     """(k, cluster, size, total_distance) for every k, from one read."""
-    return profile_rows(df, features, centers_by_k)
+    return profile_rows(df, features, centers_by_k).select("k", "cluster", "size", "total_distance")
 
 
 def cluster_sizes(profile: DataFrame) -> DataFrame:
