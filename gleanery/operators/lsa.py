@@ -38,6 +38,12 @@ class LsaModel:
     num_docs: int
     num_terms: int
     k: int
+    cached: DataFrame | None = None
+
+    def release(self) -> None:
+        """Free the cached TF-IDF rows, once the factor tables have been written."""
+        if self.cached is not None:
+            self.cached.unpersist()
 
     def sigmas(self) -> np.ndarray:
         rows = self.singular_values.orderBy("concept").collect()
@@ -116,7 +122,9 @@ def fit_lsa(docs: DataFrame, num_terms: int, k: int) -> LsaModel:
     vocab = collect_vocabulary(docs, num_terms)
     vectors = tfidf_vectors(docs, vocab).persist(StorageLevel.MEMORY_AND_DISK)
     sigma, v = truncated_svd(vectors, len(vocab.terms), k)
-    return factor_tables(sparse_rows(vectors), vocab, sigma, v)
+    model = factor_tables(sparse_rows(vectors), vocab, sigma, v)
+    model.cached = vectors
+    return model
 
 
 def total_energy(rows: DataFrame) -> float:

@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gleanery.functions.text import (
     MIN_TOKEN_LENGTH,
@@ -16,9 +20,10 @@ from gleanery.functions.text import (
     surface_tokens,
     without_words,
 )
-from gleanery.session import broadcast_if_small, fits
+from gleanery.session import fits
 
 MAX_INLINE_WORDS = 10_000
+MAX_SHARED_LEMMAS = 1_000_000
 
 
 StopWords = list[str] | DataFrame
@@ -67,17 +72,50 @@ def tokenize_lemma(
 
 
 def apply_lemmas(docs: DataFrame, lemmas: DataFrame) -> DataFrame:
-    """Look up each token in ``lemmas(token, lemma)``; tokens not listed stay."""
-    found = docs.select("doc_id", F.explode("tokens").alias("token")).join(
-        broadcast_if_small(lemmas), "token", "left"
+    """Replace each token by its lemma in ``lemmas(token, lemma)``; tokens not listed stay.
+
+    A dictionary of proven size is sent to the tasks and looked up inside the row, so
+    the tokens are not shuffled. A larger one is joined on the token and the lists are
+    put together again by ``doc_id``.
+    """
+    if fits(lemmas, MAX_SHARED_LEMMAS):
+        return _keep_terms(_lookup(docs, lemmas))
+    found = docs.select("doc_id", F.explode("tokens").alias("token")).join(lemmas, "token", "left")
+    return _keep_terms(
+        _regroup(docs, found.select("doc_id", F.coalesce("lemma", "token").alias("term")))
     )
-    term = F.coalesce("lemma", "token")
-    return _regroup(
-        docs,
-        found.select("doc_id", term.alias("term")).filter(
-            (F.length("term") >= MIN_TOKEN_LENGTH) & letters_only(F.col("term"))
-        ),
+
+
+def _keep_terms(docs: DataFrame) -> DataFrame:
+    kept = F.filter("tokens", lambda t: (F.length(t) >= MIN_TOKEN_LENGTH) & letters_only(t))
+    return docs.withColumn("tokens", kept)
+
+
+def _lookup(docs: DataFrame, lemmas: DataFrame) -> DataFrame:
+    listed = lemmas.select("token", "lemma").toArrow()
+    shared = docs.sparkSession.sparkContext.broadcast(
+        (listed.column("token").to_pylist(), listed.column("lemma").to_pylist())
     )
+    carried = [c for c in docs.columns if c != "tokens"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens, replacements = (pa.array(values, pa.string()) for values in shared.value)
+        for batch in batches:
+            lists = batch.column("tokens")
+            flat = lists.flatten()
+            lemma = replacements.take(pc.index_in(flat, value_set=tokens))
+            ends = np.r_[0, np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))]
+            replaced = pa.ListArray.from_arrays(
+                pa.array(ends, pa.int32()), pc.coalesce(lemma, flat)
+            )
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in carried), replaced], [*carried, "tokens"]
+            )
+
+    schema = T.StructType(
+        [*(docs.schema[c] for c in carried), T.StructField("tokens", T.ArrayType(T.StringType()))]
+    )
+    return docs.select(*carried, "tokens").mapInArrow(run, schema)
 
 
 Annotator = Callable[[str], list[str]]
@@ -95,8 +133,7 @@ def tokenize_annotator(
             yield part.map(lambda t: [w.lower() for w in lemmas_of(t or "")])
 
     marked = docs.withColumn("tokens", annotate(F.col(text))).drop(text)
-    kept = F.filter("tokens", lambda t: (F.length(t) >= MIN_TOKEN_LENGTH) & letters_only(t))
-    return drop_stop_words(marked.withColumn("tokens", kept), stop_words)
+    return drop_stop_words(_keep_terms(marked), stop_words)
 
 
 def sentence_counts(docs: DataFrame, text: str = "text") -> DataFrame:

@@ -9,6 +9,7 @@ from gleanery.queries import (
     CLUSTER_COUNTS,
     FIXED,
     FULL_RANK,
+    LLOYD_PASSES,
     SAMPLE_FRACTION,
     SAMPLE_SEED,
     VOCABULARY,
@@ -131,6 +132,28 @@ near AS (
 assigned AS (SELECT * FROM near JOIN keyed USING (rid))"""
 
 
+def lloyd_passes(count: int) -> str:
+    """Centres c0 (the fixed starts) to c<count>; a centre without points stays."""
+    steps = "".join(
+        f""",
+near{i} AS (
+  SELECT rid, k, arg_min(cluster, (d, cluster)) AS cluster, any_value(z1) AS z1,
+         any_value(z2) AS z2, any_value(z3) AS z3
+  FROM (SELECT rid, k, cluster, z1, z2, z3,
+               (z1 - c1) * (z1 - c1) + (z2 - c2) * (z2 - c2) + (z3 - c3) * (z3 - c3) AS d
+        FROM keyed, c{i}) GROUP BY rid, k),
+mean{i} AS (SELECT k, cluster, avg(z1) AS m1, avg(z2) AS m2, avg(z3) AS m3
+            FROM near{i} GROUP BY k, cluster),
+c{i + 1} AS (
+  SELECT k, cluster, coalesce(m1, c1) AS c1, coalesce(m2, c2) AS c2, coalesce(m3, c3) AS c3
+  FROM c{i} LEFT JOIN mean{i} USING (k, cluster))"""
+        for i in range(count)
+    )
+    return f"""WITH {POINTS},
+keyed AS (SELECT row_number() OVER () AS rid, z1, z2, z3 FROM points),
+c0(k, cluster, c1, c2, c3) AS (VALUES {center_rows(CLUSTER_COUNTS)}){steps}"""
+
+
 SAMPLED = f"""sampled AS (
   SELECT * FROM assigned
   WHERE md5(concat_ws(':', '{SAMPLE_SEED}', l_orderkey, l_partkey, l_suppkey, l_linenumber))[1:8]
@@ -254,6 +277,10 @@ SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, CAST(cluster AS INTEGER)
 SELECT CAST(cluster AS INTEGER) AS cluster, count(*) AS size, round(avg(z1), 6) AS z_l_quantity,
        round(avg(z2), 6) AS z_l_extendedprice, round(avg(z3), 6) AS z_l_discount
 FROM assigned GROUP BY cluster""",
+    "lloyd_sweep": f"""
+{lloyd_passes(LLOYD_PASSES)}
+SELECT CAST(k AS INTEGER) AS k, CAST(cluster AS INTEGER) AS cluster, round(c1, 6) AS z_l_quantity,
+       round(c2, 6) AS z_l_extendedprice, round(c3, 6) AS z_l_discount FROM c{LLOYD_PASSES}""",
     "outliers_top25": f"""
 {assigned(CLUSTER_COUNTS)}, ranked AS (
   SELECT *, row_number() OVER (PARTITION BY k

@@ -60,7 +60,9 @@ def run_corpus(
     docs = read_articles(spark, articles, sample, seed)
     tokens = staged(tokenize(docs, variant, read_stop_words(spark, stop_words), lemmas))
     path = model_path(out, variant, num_terms, k)
-    save_model(fit_lsa(tokens, num_terms, k), path)
+    fitted = fit_lsa(tokens, num_terms, k)
+    save_model(fitted, path)
+    fitted.release()
     model = load_model(spark, path)
     report = concept_report(model)
     return CorpusReport(model, path, singular_value_report(model), report, concept_names(report))

@@ -44,7 +44,9 @@ def run_movies(
 ) -> MovieReport:
     docs = read_movies(spark, movies)
     tokens = staged(tokenize(docs, LEMMA, read_stop_words(spark, stop_words), lemmas))
-    save_model(fit_lsa(tokens, num_terms, k), out)
+    fitted = fit_lsa(tokens, num_terms, k)
+    save_model(fitted, out)
+    fitted.release()
     model = load_model(spark, out)
     return MovieReport(
         model,

@@ -10,9 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleanery.functions.sampling import sample_by_key
-from gleanery.functions.text import blank_split, header_attribute, without_words
+from gleanery.functions.text import (
+    blank_split,
+    header_attribute,
+    surface_tokens,
+    without_words,
+)
 from gleanery.operators import concepts, genres, lemmas, lsa, outliers, search, terms, tokens
-from gleanery.plans.corpus import LEMMA, PATTERN
+from gleanery.plans.corpus import LEMMA, PATTERN, tokenize
 from gleanery.plans.sweep import sweep_lsa
 from gleanery.session import checkpoint_dir
 from gleanery.sinks.exports import cluster_rows, export_samples, sample_means, sample_outliers
@@ -29,6 +34,7 @@ SENSOR_COLUMNS = ["l_quantity", "l_extendedprice", "l_discount"]
 FEATURES = [f"z_{c}" for c in SENSOR_COLUMNS]
 ROW_KEYS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
 CLUSTER_COUNTS = range(2, 13)
+LLOYD_PASSES = 3
 SAMPLE_FRACTION = 0.2
 SAMPLE_SEED = 1
 
@@ -60,8 +66,6 @@ def pattern_docs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def lemma_table(spark: SparkSession, sf: str) -> DataFrame:
-    from gleanery.functions.text import surface_tokens
-
     surface = documents(spark, sf).select(surface_tokens(F.col("text")).alias("tokens"))
     return lemmas.derive_lemmas(lemmas.distinct_tokens(surface))
 
@@ -188,8 +192,7 @@ def tokenize_regex(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def tokenize_lemma(spark: SparkSession, sf: str) -> DataFrame:
-    docs = documents(spark, sf)
-    found = tokens.tokenize_lemma(docs, read_stop_words(spark), lemma_table(spark, sf))
+    found = tokenize(documents(spark, sf), LEMMA, read_stop_words(spark))
     return found.select("doc_id", F.array_join(F.array_sort("tokens"), " ").alias("tokens"))
 
 
@@ -345,6 +348,13 @@ def lloyd_step(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(outliers.lloyd_step(points(spark, sf), FEATURES, FIXED[5]), 6, *FEATURES)
 
 
+def lloyd_sweep(spark: SparkSession, sf: str) -> DataFrame:
+    """Centres after the shared passes from fixed starts."""
+    standard = points(spark, sf).persist()
+    centers = outliers.lloyd_sweep(standard, FEATURES, FIXED, max_iter=LLOYD_PASSES)
+    return rounded(outliers.center_report(standard, centers, FEATURES), 6, *FEATURES)
+
+
 def outliers_top25(spark: SparkSession, sf: str) -> DataFrame:
     found = outliers.top_outliers(points(spark, sf), FEATURES, FIXED, SENSOR_COLUMNS)
     return rounded(found, 6, "distance")
@@ -416,7 +426,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         gram_matrix, svd_energy, document_energy, term_energy, singular_values, concept_terms,
         concept_docs, concept_report, lsa_sweep, keyword_search_exact, keyword_search_lsa,
         keyword_search_reduced, model_roundtrip, query_terms, title_lookup, genre_lookup,
-        genre_top5, column_stats, zscore, assign_distance, lloyd_step, outliers_top25,
+        genre_top5, column_stats, zscore, assign_distance, lloyd_step, lloyd_sweep, outliers_top25,
         cluster_sizes, elbow, kmeans_sweep, kmeans_outliers, kmeans_partition, cluster_sample,
         sample_outlier_rows, sample_cluster_rows,
     )

@@ -57,11 +57,6 @@ def fits(df: DataFrame, max_rows: int, max_bytes: int = 64 << 20) -> bool:
     return seen["n"] <= max_rows and seen["b"] <= max_bytes
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Broadcast hint behind a size check; beyond it AQE shuffles and splits skewed keys."""
-    return F.broadcast(df) if fits(df, max_rows) else df
-
-
 def spread(df: DataFrame) -> DataFrame:
     """Give every core work when a table has fewer files than the session has cores.
 

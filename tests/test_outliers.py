@@ -100,6 +100,23 @@ def test_kmeans_sweep(cloud):
     assert report.count() == 10 and report.columns == ["k", "cluster", *COLS]
 
 
+def test_shared_passes_match_single_fits(cloud):
+    one = cloud.coalesce(1).persist()
+    shared = outliers.sweep_kmeans(one, COLS, [2, 4], max_iter=50)
+    for k in (2, 4):
+        alone = outliers.fit_kmeans(one, COLS, k, max_iter=50)
+        assert np.array(shared[k]) == pytest.approx(np.array(alone), abs=1e-9)
+
+
+def test_merged_sums_and_empty_centres(cloud, monkeypatch):
+    starts = {2: [(0, 0, 0), (99, 99, 99)], 3: [(-1, 0, 0), (1, 0, 0), (0, 2, 0)]}
+    few = outliers.lloyd_sweep(cloud, COLS, starts, max_iter=4)
+    assert few[2][1] == [99, 99, 99]
+    monkeypatch.setattr(outliers, "MAX_PARTIAL_ROWS", 0)
+    many = outliers.lloyd_sweep(cloud, COLS, starts, max_iter=4)
+    assert all(np.array(few[k]) == pytest.approx(np.array(many[k]), abs=1e-9) for k in starts)
+
+
 def test_export_and_rescan(spark, cloud, tmp_path):
     names = ["sensor1", "sensor2", "sensor3"]
     sample = sample_by_key(cloud, ["id"], 0.1, seed=2)

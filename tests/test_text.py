@@ -53,6 +53,19 @@ def test_stop_word_table_beyond_the_inline_limit(spark, monkeypatch):
     assert inline == [["serious", "matter", "matter"], [], ["matter"]]
 
 
+def test_lemma_join_beyond_the_shared_limit(spark, monkeypatch):
+    docs = docs_of(spark, "dogs and cats", "", None, "cats cats").withColumn("genre", F.lit("g"))
+    table = spark.createDataFrame([("dogs", "dog"), ("cats", "cat")], "token string, lemma string")
+    shared = tokens.tokenize_lemma(docs, ["and"], table)
+    assert "Exchange" not in shared._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(tokens_module, "MAX_SHARED_LEMMAS", 1)
+    joined = tokens.tokenize_lemma(docs, ["and"], table)
+    want = [["cat", "dog"], [], [], ["cat", "cat"]]
+    assert [sorted(t) for t in token_lists(shared)] == want
+    assert [sorted(t) for t in token_lists(joined)] == want
+    assert {r.genre for r in shared.collect()} == {"g"}
+
+
 def test_annotator_runs_once_per_task(spark):
     def factory():
         return lambda text: [w.rstrip("s") for w in text.split()]
