@@ -49,9 +49,13 @@ def default_stop_words() -> list[str]:
 _BLANK = r" \t\n\r\f"
 # A whole blank-delimited token that is a word or a number; one scan over the text.
 _REGEX_TOKEN = rf"(?<![^{_BLANK}])(?:{WORD_PATTERN}|{NUMBER_PATTERN})(?![^{_BLANK}])"
-# Word-like runs: letters and digits, joined inside by one punctuation mark.
-_SURFACE_TOKEN = r"[\p{L}\p{N}]+(?:[-_.'’@][\p{L}\p{N}]+)*"
-_CLITIC = r"(n['’]t|['’](s|re|ve|ll|d|m))$"
+# Letters that stand alone: no digit or inner punctuation mark joins them to a longer run.
+_ALNUM = r"[\p{L}\p{N}]"
+_JOIN = "[-_.'’@]"
+_SURFACE_TOKEN = (
+    rf"(?<!{_ALNUM})(?<!{_ALNUM}{_JOIN})\p{{L}}++(?!{_ALNUM})(?!{_JOIN}{_ALNUM})"
+)
+_CLITIC = rf"(n['’]t|['’](s|re|ve|ll|d|m))(?!{_ALNUM})"
 
 
 def pattern_tokens(text: Column) -> Column:
@@ -67,10 +71,9 @@ def surface_tokens(text: Column) -> Column:
     Clitics are cut off (``don't`` gives ``do``); tokens with digits or inner
     punctuation (``l3``, ``x-ray``) do not survive the letters-only test.
     """
-    found = F.regexp_extract_all(F.lower(text), F.lit(_SURFACE_TOKEN), F.lit(0))
-    bare = F.transform(found, lambda t: F.regexp_replace(t, _CLITIC, ""))
-    kept = F.filter(bare, lambda t: letters_only(t) & (F.length(t) > 0))
-    return F.coalesce(kept, F.array().cast("array<string>"))
+    bare = F.regexp_replace(F.lower(text), _CLITIC, "")
+    found = F.regexp_extract_all(bare, F.lit(_SURFACE_TOKEN), F.lit(0))
+    return F.coalesce(found, F.array().cast("array<string>"))
 
 
 def without_words(tokens: Column, words: list[str]) -> Column:

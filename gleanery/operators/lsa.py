@@ -19,6 +19,7 @@ from gleanery.operators.terms import (
     sparse_rows,
     tfidf_vectors,
 )
+from gleanery.session import local_table
 
 MAX_GRAM_TERMS = 6_000
 RELATIVE_CUT = 1e-6
@@ -92,25 +93,23 @@ def factor_tables(
     spark: SparkSession = rows.sparkSession
     carried = [c for c in rows.columns if c not in ("ids", "weights")]
     offsets = np.arange(len(vocab.terms) + 1, dtype=np.int32) * v.shape[1]
-    terms = pa.table(
-        {
-            "term_id": pa.array(np.arange(len(vocab.terms), dtype=np.int32)),
-            "term": pa.array(vocab.terms, pa.string()),
-            "df": pa.array(vocab.dfs, pa.int64()),
-            "idf": pa.array(vocab.idfs, pa.float64()),
-            "v": pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.ravel(v))),
-        }
+    terms = local_table(
+        spark,
+        term_id=pa.array(range(len(vocab.terms)), pa.int32()),
+        term=pa.array(vocab.terms, pa.string()),
+        df=pa.array(vocab.dfs, pa.int64()),
+        idf=pa.array(vocab.idfs, pa.float64()),
+        v=pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.ravel(v))),
     )
-    values = pa.table(
-        {
-            "concept": pa.array(np.arange(len(sigma), dtype=np.int32)),
-            "sigma": pa.array(sigma, pa.float64()),
-        }
+    values = local_table(
+        spark,
+        concept=pa.array(range(len(sigma)), pa.int32()),
+        sigma=pa.array(sigma, pa.float64()),
     )
     return LsaModel(
         doc_factors=project_rows(rows, v, carried, "us"),
-        term_factors=spark.createDataFrame(terms),
-        singular_values=spark.createDataFrame(values),
+        term_factors=terms,
+        singular_values=values,
         num_docs=vocab.num_docs,
         num_terms=len(vocab.terms),
         k=len(sigma),

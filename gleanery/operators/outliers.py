@@ -7,6 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
@@ -14,10 +15,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanery.functions.distances import assigned_rows, farthest_rows, profile_rows
+from gleanery.session import local_table
 
 Centers = Sequence[Sequence[float]]
 TOP_OUTLIERS = 25
-MIN_TASK_ROWS = 100_000
+MIN_TASK_ROWS = 50_000
 MAX_PARTIAL_ROWS = 100_000
 
 
@@ -161,11 +163,13 @@ def lloyd_sweep(
 
 def center_report(df: DataFrame, centers_by_k: dict[int, Centers], names: Sequence[str]) -> DataFrame:
     """(k, cluster, <names>) of all centres."""
-    rows = [
-        (k, i, *map(float, c)) for k, centers in centers_by_k.items() for i, c in enumerate(centers)
-    ]
-    columns = ", ".join(f"{n} double" for n in names)
-    return df.sparkSession.createDataFrame(rows, f"k int, cluster int, {columns}")
+    rows = [(k, i, c) for k, centers in centers_by_k.items() for i, c in enumerate(centers)]
+    return local_table(
+        df.sparkSession,
+        k=pa.array([k for k, _, _ in rows], pa.int32()),
+        cluster=pa.array([i for _, i, _ in rows], pa.int32()),
+        **{n: pa.array([float(c[j]) for _, _, c in rows]) for j, n in enumerate(names)},
+    )
 
 
 def assign_sweep(

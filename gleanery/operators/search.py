@@ -6,6 +6,7 @@ from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +14,7 @@ from gleanery.functions.blocks import top_rows
 from gleanery.functions.text import blank_split
 from gleanery.operators.lsa import LsaModel
 from gleanery.operators.terms import Vocabulary
+from gleanery.session import local_table
 
 MAX_QUERY_BLOCK_BYTES = 64 << 20
 
@@ -20,8 +22,10 @@ MAX_QUERY_BLOCK_BYTES = 64 << 20
 def parse_queries(spark: SparkSession, text: str) -> DataFrame:
     """``"q1, q2"`` as queries(query_id, query); blank entries are dropped."""
     queries = [q.strip() for q in text.split(",")]
-    rows = [(i, q) for i, q in enumerate(q for q in queries if q)]
-    return spark.createDataFrame(rows, "query_id long, query string")
+    kept = [q for q in queries if q]
+    return local_table(
+        spark, query_id=pa.array(range(len(kept)), pa.int64()), query=pa.array(kept, pa.string())
+    )
 
 
 def query_terms(queries: DataFrame) -> DataFrame:
@@ -80,13 +84,15 @@ def _blocks(entries: DataFrame, height: int) -> Iterator[tuple[list, np.ndarray]
 
 
 def _hits(
-    rows: DataFrame, entries: DataFrame, id_type: str, height: int, n: int, vector: str | None
+    rows: DataFrame, entries: DataFrame, height: int, n: int, vector: str | None
 ) -> DataFrame:
     carried = [c for c in rows.columns if c not in ("us", "ids", "weights")]
     spark = rows.sparkSession
     found = []
     for ids, matrix in _blocks(entries, height):
-        names = spark.createDataFrame(list(enumerate(ids)), f"direction int, query_id {id_type}")
+        names = local_table(
+            spark, direction=pa.array(range(len(ids)), pa.int32()), query_id=pa.array(ids)
+        )
         best = top_rows(rows, matrix, n, "doc_id", carried, vector=vector)
         found.append(best.join(F.broadcast(names), "direction").drop("direction"))
     if not found:
@@ -103,7 +109,6 @@ def search(model: LsaModel, queries: DataFrame, n: int = 10) -> DataFrame:
     return _hits(
         model.doc_factors,
         query_factors(queries, model.term_factors),
-        queries.schema["query_id"].dataType.simpleString(),
         model.k,
         n,
         vector="us",
@@ -112,14 +117,15 @@ def search(model: LsaModel, queries: DataFrame, n: int = 10) -> DataFrame:
 
 def exact_search(rows: DataFrame, vocab: Vocabulary, queries: DataFrame, n: int = 10) -> DataFrame:
     """The same hits at full rank, straight from sparse rows: ``sum idf * weight``."""
-    terms = rows.sparkSession.createDataFrame(
-        list(zip(range(len(vocab.terms)), vocab.terms, vocab.idfs)),
-        "term_id int, term string, idf double",
+    terms = local_table(
+        rows.sparkSession,
+        term_id=pa.array(range(len(vocab.terms)), pa.int32()),
+        term=pa.array(vocab.terms, pa.string()),
+        idf=pa.array(vocab.idfs, pa.float64()),
     )
     return _hits(
         rows,
         _exact_entries(queries, terms),
-        queries.schema["query_id"].dataType.simpleString(),
         len(vocab.terms),
         n,
         vector=None,

@@ -16,21 +16,29 @@ from pyspark.ml.feature import (
     VectorSizeHint,
 )
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MAX_SHARED_TERMS = 200_000
 
 
+def each_token(docs: DataFrame, *columns: Column | str) -> DataFrame:
+    """One row (*columns, term) per token.
+
+    ``explode`` of a column would add a ``size > 0`` filter that runs the tokeniser a
+    second time below the first; the outer form does not.
+    """
+    rows = docs.select(*columns, F.explode_outer("tokens").alias("term"))
+    return rows.filter(F.col("term").isNotNull())
+
+
 def document_lengths(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.size("tokens").cast("long").alias("doc_len"))
 
 
 def term_frequencies(docs: DataFrame) -> DataFrame:
     """(doc_id, doc_len, term, tf); ``doc_len`` counts every kept token."""
-    terms = docs.select(
-        "doc_id", F.size("tokens").cast("long").alias("doc_len"), F.explode("tokens").alias("term")
-    )
+    terms = each_token(docs, "doc_id", F.size("tokens").cast("long").alias("doc_len"))
     return terms.groupBy("doc_id", "doc_len", "term").agg(F.count("*").alias("tf"))
 
 

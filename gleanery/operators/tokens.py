@@ -20,6 +20,7 @@ from gleanery.functions.text import (
     surface_tokens,
     without_words,
 )
+from gleanery.operators.terms import each_token
 from gleanery.session import fits
 
 MAX_INLINE_WORDS = 10_000
@@ -40,7 +41,7 @@ def drop_stop_words(docs: DataFrame, words: StopWords) -> DataFrame:
     if fits(words, MAX_INLINE_WORDS):
         listed = [r["word"] for r in words.collect()]
         return docs.withColumn("tokens", without_words(F.col("tokens"), listed))
-    kept = docs.select("doc_id", F.explode("tokens").alias("term")).join(
+    kept = each_token(docs, "doc_id").join(
         words.withColumnRenamed("word", "term"), "term", "left_anti"
     )
     return _regroup(docs, kept)
@@ -80,9 +81,10 @@ def apply_lemmas(docs: DataFrame, lemmas: DataFrame) -> DataFrame:
     """
     if fits(lemmas, MAX_SHARED_LEMMAS):
         return _keep_terms(_lookup(docs, lemmas))
-    found = docs.select("doc_id", F.explode("tokens").alias("token")).join(lemmas, "token", "left")
+    named = lemmas.select(F.col("token").alias("term"), "lemma")
+    found = each_token(docs, "doc_id").join(named, "term", "left")
     return _keep_terms(
-        _regroup(docs, found.select("doc_id", F.coalesce("lemma", "token").alias("term")))
+        _regroup(docs, found.select("doc_id", F.coalesce("lemma", "term").alias("term")))
     )
 
 

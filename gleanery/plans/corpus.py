@@ -41,7 +41,7 @@ def tokenize(
         raise ValueError(f"unknown tokenizer {variant!r}")
     if lemmas is None:
         surface = docs.select(surface_tokens(docs["text"]).alias("tokens"))
-        lemmas = staged(derive_lemmas(distinct_tokens(surface)))
+        lemmas = staged(derive_lemmas(staged(distinct_tokens(surface))))
     return tokenize_lemma(docs, stop_words, lemmas)
 
 

@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Callable
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,7 +20,7 @@ from gleanery.functions.text import (
 from gleanery.operators import concepts, genres, lemmas, lsa, outliers, search, terms, tokens
 from gleanery.plans.corpus import LEMMA, PATTERN, tokenize
 from gleanery.plans.sweep import sweep_lsa
-from gleanery.session import checkpoint_dir
+from gleanery.session import checkpoint_dir, local_table, spread, staged
 from gleanery.sinks.exports import cluster_rows, export_samples, sample_means, sample_outliers
 from gleanery.sinks.model_store import load_model, model_path, save_model
 from gleanery.sources.articles import extract_articles
@@ -55,7 +56,7 @@ def scratch(spark: SparkSession, name: str) -> str:
 def documents(spark: SparkSession, sf: str) -> DataFrame:
     """Corpus (doc_id, title, genre, text): the source stands for the title, the language
     for the genre."""
-    table = read_table(spark, sf, "documents")
+    table = read_table(spark, sf, "documents", spread_by="doc_id")
     return table.select(
         "doc_id", F.col("source").alias("title"), F.col("lang").alias("genre"), "text"
     )
@@ -67,7 +68,7 @@ def pattern_docs(spark: SparkSession, sf: str) -> DataFrame:
 
 def lemma_table(spark: SparkSession, sf: str) -> DataFrame:
     surface = documents(spark, sf).select(surface_tokens(F.col("text")).alias("tokens"))
-    return lemmas.derive_lemmas(lemmas.distinct_tokens(surface))
+    return lemmas.derive_lemmas(staged(lemmas.distinct_tokens(surface)))
 
 
 def benchmark_queries(spark: SparkSession, sf: str) -> DataFrame:
@@ -91,6 +92,11 @@ def points(spark: SparkSession, sf: str) -> DataFrame:
     return outliers.standardize(readings(spark, sf), SENSOR_COLUMNS)
 
 
+def cached_points(spark: SparkSession, sf: str) -> DataFrame:
+    """Standardised readings for the iterative queries: spread once, then kept."""
+    return spread(points(spark, sf), "l_orderkey").select(*SENSOR_COLUMNS, *FEATURES).persist()
+
+
 def rounded(df: DataFrame, digits: int, *cols: str) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) for c in cols})
 
@@ -233,10 +239,9 @@ def gram_matrix(spark: SparkSession, sf: str) -> DataFrame:
     docs = pattern_docs(spark, sf)
     vocab = terms.collect_vocabulary(docs, FULL_RANK)
     gram = lsa.gram_matrix(terms.tfidf_vectors(docs, vocab))
-    entries = [
-        (int(i), int(j), float(gram[i, j])) for i, j in zip(*np.nonzero(np.abs(gram) > 0))
-    ]
-    return rounded(spark.createDataFrame(entries, "i int, j int, value double"), 8, "value")
+    i, j = (x.astype(np.int32) for x in np.nonzero(gram))
+    entries = local_table(spark, i=pa.array(i), j=pa.array(j), value=pa.array(gram[i, j]))
+    return rounded(entries, 8, "value")
 
 
 def svd_energy(spark: SparkSession, sf: str) -> DataFrame:
@@ -350,7 +355,7 @@ def lloyd_step(spark: SparkSession, sf: str) -> DataFrame:
 
 def lloyd_sweep(spark: SparkSession, sf: str) -> DataFrame:
     """Centres after the shared passes from fixed starts."""
-    standard = points(spark, sf).persist()
+    standard = cached_points(spark, sf)
     centers = outliers.lloyd_sweep(standard, FEATURES, FIXED, max_iter=LLOYD_PASSES)
     return rounded(outliers.center_report(standard, centers, FEATURES), 6, *FEATURES)
 
@@ -370,7 +375,7 @@ def elbow(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _fitted(spark: SparkSession, sf: str) -> tuple[DataFrame, dict]:
-    standard = points(spark, sf).persist()
+    standard = cached_points(spark, sf)
     return standard, outliers.sweep_kmeans(standard, FEATURES, CLUSTER_COUNTS)
 
 

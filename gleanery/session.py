@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,11 +58,16 @@ def fits(df: DataFrame, max_rows: int, max_bytes: int = 64 << 20) -> bool:
     return seen["n"] <= max_rows and seen["b"] <= max_bytes
 
 
-def spread(df: DataFrame) -> DataFrame:
+def local_table(spark: SparkSession, **columns: pa.Array) -> DataFrame:
+    """A small driver-side table; Arrow columns become a local relation without a job."""
+    return spark.createDataFrame(pa.table(columns))
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
     """Give every core work when a table has fewer files than the session has cores.
 
-    A single-row-group file is read by one task however many cores there are.
-    Tables with many files pass through untouched.
+    A file of one row group is read by one task however many cores there are. Hashing
+    on ``key`` also serves a later grouping by it. Tables with many files pass through.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    return df.repartition(cores, key) if len(df.inputFiles()) < cores else df
