@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gleanery.plans import corpus, movies, sensors, sweep
@@ -47,6 +48,11 @@ def parser() -> argparse.ArgumentParser:
     return top
 
 
+def show_hits(hits: DataFrame) -> None:
+    ranked = hits.orderBy("query_id", "rank")
+    ranked.withColumn("score", F.format_number("score", 4)).show(1000, False)
+
+
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     spark = build_session(f"gleanery {args.job}", args.master)
@@ -58,16 +64,16 @@ def main(argv: list[str] | None = None) -> None:
         report.singular_values.orderBy("concept").show(args.k, False)
         report.names.orderBy("concept", F.desc("kind")).show(2 * args.k, False)
     elif args.job == "search":
-        corpus.run_search(spark, args.model, args.queries).orderBy("query_id", "rank").show(1000, False)
+        show_hits(corpus.run_search(spark, args.model, args.queries))
     elif args.job == "movies":
         found = movies.run_movies(spark, args.movies, args.out, args.stop_words)
         found.concept_terms.orderBy("concept", "rank").show(1000, False)
         found.concept_docs.orderBy("concept", "rank").show(1000, False)
-        found.hits.orderBy("query_id", "rank").show(1000, False)
+        show_hits(found.hits)
     elif args.job == "sensors":
         found = sensors.run_sensors(spark, args.runs, args.out)
         print(f"{found.readings} readings, {found.dropped} dropped for a missing sensor")
-        for table in (found.centers, found.outliers, found.sizes, found.elbow.orderBy("k")):
+        for table in (found.sample, found.centers, found.outliers, found.sizes, found.elbow.orderBy("k")):
             table.show(1000, False)
     else:
         docs = read_articles(spark, args.articles, args.sample)

@@ -16,6 +16,7 @@ from gleanery.operators.lsa import LsaModel
 from gleanery.operators.terms import Vocabulary
 from gleanery.session import local_table
 
+MAX_QUERY_BLOCK = 1024
 MAX_QUERY_BLOCK_BYTES = 64 << 20
 
 
@@ -67,7 +68,7 @@ def _exact_entries(queries: DataFrame, vocab: DataFrame) -> DataFrame:
 
 def _blocks(entries: DataFrame, height: int) -> Iterator[tuple[list, np.ndarray]]:
     """Query vectors as columns, in blocks of bounded size."""
-    size = max(1, MAX_QUERY_BLOCK_BYTES // (8 * max(1, height)))
+    size = max(1, min(MAX_QUERY_BLOCK, MAX_QUERY_BLOCK_BYTES // (8 * max(1, height))))
     ids: list = []
     columns: list[np.ndarray] = []
     for row in entries.toLocalIterator():

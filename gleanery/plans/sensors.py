@@ -22,15 +22,17 @@ from gleanery.operators.outliers import (
 from gleanery.sinks.exports import export_samples
 from gleanery.sources.sensors import SENSORS, complete_readings, read_runs
 
-# Cluster counts and the share of exported points.
+# Cluster counts, share of exported points, readings shown.
 CLUSTER_COUNTS = range(2, 13)
 EXPORT_FRACTION = 0.01
+SHOWN_ROWS = 5
 
 
 @dataclass
 class SensorReport:
     readings: int
     dropped: int
+    sample: DataFrame
     centers: DataFrame
     outliers: DataFrame
     elbow: DataFrame
@@ -61,6 +63,7 @@ def run_sensors(
     return SensorReport(
         readings=readings,
         dropped=total - readings,
+        sample=raw.limit(SHOWN_ROWS),
         centers=center_report(points, centers, features),
         outliers=top_outliers(points, features, centers, keep),
         elbow=elbow(profile),

@@ -64,10 +64,12 @@ def local_table(spark: SparkSession, **columns: pa.Array) -> DataFrame:
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Give every core work when a table has fewer files than the session has cores.
+    """Hash a table with too few scan tasks over the cores; larger tables pass through.
 
-    A file of one row group is read by one task however many cores there are. Hashing
-    on ``key`` also serves a later grouping by it. Tables with many files pass through.
+    A single file may also hold one row group only, which one task reads whatever the
+    number of splits. Hashing on ``key`` serves a later grouping by it.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if len(df.inputFiles()) < cores else df
+    splits = df.rdd.getNumPartitions()
+    few = splits < cores or (splits < 8 * cores and len(df.inputFiles()) == 1)
+    return df.repartition(cores, key) if few else df

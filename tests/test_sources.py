@@ -117,3 +117,31 @@ def test_missing_checkpoint_folder_is_an_error_on_a_cluster():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         checkpoint_dir(Session())
+
+
+def test_checkpoints_go_to_the_configured_folder(spark):
+    from gleanery.session import checkpoint_dir, staged
+
+    folder = spark.conf.get("spark.checkpoint.dir")
+    assert checkpoint_dir(spark) == folder
+    assert staged(spark.range(3)).count() == 3
+    assert spark.sparkContext.getCheckpointDir().removeprefix("file:").startswith(folder)
+
+
+def test_size_check(spark):
+    from gleanery.session import fits
+
+    words = spark.range(100).selectExpr("cast(id as string) AS word")
+    assert fits(words, 100) and not fits(words, 99) and not fits(words, 100, max_bytes=50)
+
+
+def test_small_tables_are_spread_and_larger_ones_left_alone(spark, tmp_path):
+    from gleanery.session import spread
+
+    spark.range(100).coalesce(1).write.parquet(str(tmp_path / "one"))
+    spark.range(100).repartition(9).write.parquet(str(tmp_path / "many"))
+    one = spark.read.parquet(str(tmp_path / "one"))
+    assert spread(one, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    with_splits = spark.read.parquet(str(tmp_path / "many"))
+    if with_splits.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism:
+        assert spread(with_splits, "id") is with_splits
