@@ -8,7 +8,6 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
@@ -21,6 +20,8 @@ Centers = Sequence[Sequence[float]]
 TOP_OUTLIERS = 25
 MIN_TASK_ROWS = 50_000
 MAX_PARTIAL_ROWS = 100_000
+START_FACTOR = 4
+START_ITERATIONS = 20
 
 
 def column_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -45,7 +46,7 @@ def standardize(df: DataFrame, cols: Sequence[str], stats: dict | None = None) -
 
 
 def nearest(features: Sequence[str], centers: Centers) -> Column:
-    """struct(distance, cluster) of the nearest centre; the lower cluster wins ties.
+    """struct(square, cluster) of the nearest centre; the lower cluster wins ties.
 
     The centres are literals, so the search is plain arithmetic inside the scan.
     """
@@ -57,19 +58,20 @@ def nearest(features: Sequence[str], centers: Centers) -> Column:
         ]
         return reduce(lambda a, b: a + b, parts)
 
-    found = F.array_min(
-        F.array(
-            *[F.struct(square(c).alias("d"), F.lit(i).alias("c")) for i, c in enumerate(centers)]
-        )
-    )
-    return F.struct(F.sqrt(found["d"]).alias("distance"), found["c"].alias("cluster"))
+    pairs = [
+        F.struct(square(c).alias("square"), F.lit(i).alias("cluster"))
+        for i, c in enumerate(centers)
+    ]
+    return F.array_min(F.array(*pairs))
 
 
 def assign(df: DataFrame, features: Sequence[str], centers: Centers) -> DataFrame:
     """Adds ``cluster`` and ``distance`` to the nearest centre."""
     marked = df.withColumn("_n", nearest(features, centers))
     return marked.select(
-        *df.columns, F.col("_n.cluster").alias("cluster"), F.col("_n.distance").alias("distance")
+        *df.columns,
+        F.col("_n.cluster").alias("cluster"),
+        F.sqrt("_n.square").alias("distance"),
     )
 
 
@@ -91,12 +93,22 @@ def fit_kmeans(
     tol: float = 1e-6,
 ) -> list[list[float]]:
     """Centres of MLlib K-means (k-means|| start, Euclidean)."""
-    points = VectorAssembler(inputCols=list(features), outputCol="features").transform(df)
-    return _fit(points.select("features"), k, seed, max_iter, tol)
+    return _fit(df, features, k, seed, max_iter, tol)
 
 
-def _fit(points: DataFrame, k: int, seed: int, max_iter: int, tol: float) -> list[list[float]]:
+def _fit(
+    df: DataFrame,
+    features: Sequence[str],
+    k: int,
+    seed: int,
+    max_iter: int,
+    tol: float,
+    weight: str | None = None,
+) -> list[list[float]]:
     kmeans = KMeans(k=k, seed=seed, maxIter=max_iter, tol=tol, featuresCol="features")
+    if weight:
+        kmeans.setWeightCol(weight)
+    points = VectorAssembler(inputCols=list(features), outputCol="features").transform(df)
     return [list(map(float, c)) for c in kmeans.fit(points).clusterCenters()]
 
 
@@ -107,24 +119,41 @@ def sweep_kmeans(
     seed: int = 1,
     max_iter: int = 100,
     tol: float = 1e-6,
-    parallelism: int = 8,
 ) -> dict[int, list[list[float]]]:
     """Centres for every k. ``df`` is read many times, so it should be cached.
 
-    MLlib chooses each k-means|| start. The iterations of all k then share one read of
-    the points: the passes are those of the slowest k, not the sum over k. A k stops
-    when no centre moves by more than ``tol``.
+    The iterations of all k share one read of the points: the passes are those of the
+    slowest k, not the sum over k. A k stops when no centre moves by more than ``tol``.
     """
     tasks = max(1, min(df.rdd.getNumPartitions(), -(-df.count() // MIN_TASK_ROWS)))
     df = df.coalesce(tasks)
-    points = VectorAssembler(inputCols=list(features), outputCol="features").transform(df)
-    points = points.select("features").persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        with ThreadPoolExecutor(parallelism) as pool:
-            starts = dict(zip(ks, pool.map(lambda k: _fit(points, k, seed, 0, tol), ks)))
-    finally:
-        points.unpersist()
-    return lloyd_sweep(df, features, starts, max_iter, tol)
+    return lloyd_sweep(df, features, sweep_starts(df, features, ks, seed), max_iter, tol)
+
+
+def sweep_starts(
+    df: DataFrame, features: Sequence[str], ks: Sequence[int], seed: int = 1, parallelism: int = 8
+) -> dict[int, list[list[float]]]:
+    """Start centres for every k from one k-means|| over all points.
+
+    MLlib chooses a few representatives per centre of the largest k; weighted by the points
+    nearest to them they are clustered again for each k, as k-means|| does with its own
+    candidates.
+    """
+    found = _fit(df, features, START_FACTOR * max(ks), seed, 0, 1e-6)
+    sizes = {
+        row["cluster"]: row["size"]
+        for row in cluster_profile(df, features, {len(found): found}).collect()
+    }
+    columns = {
+        f: pa.array([found[i][j] for i in sizes], pa.float64()) for j, f in enumerate(features)
+    }
+    weights = pa.array(sizes.values(), pa.float64())
+    chosen = local_table(df.sparkSession, **columns, weight=weights).coalesce(1)
+    with ThreadPoolExecutor(parallelism) as pool:
+        starts = pool.map(
+            lambda k: _fit(chosen, features, k, seed, START_ITERATIONS, 1e-6, "weight"), ks
+        )
+        return dict(zip(ks, starts))
 
 
 def lloyd_sweep(

@@ -99,7 +99,9 @@ def tfidf_vectors(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
     weigh = ElementwiseProduct(
         scalingVec=Vectors.dense(vocab.idfs), inputCol="_counts", outputCol="_weighed"
     )
-    hint = VectorSizeHint(inputCol="_weighed", size=len(vocab.terms))
+    hint = VectorSizeHint(
+        inputCol="_weighed", size=len(vocab.terms), handleInvalid="optimistic"
+    )
     attributes = VectorAssembler(inputCols=["_weighed"], outputCol="_assembled")
     by_length = Interaction(inputCols=["_scale", "_assembled"], outputCol="features")
     for stage in (counts, weigh, hint, attributes, by_length):

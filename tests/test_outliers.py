@@ -102,12 +102,25 @@ def test_kmeans_sweep(cloud):
 
 def test_shared_passes_match_single_fits(cloud):
     one = cloud.coalesce(1).persist()
-    shared = outliers.sweep_kmeans(one, COLS, [2, 4], max_iter=50)
-    for k in (2, 4):
+    starts = {k: outliers.fit_kmeans(one, COLS, k, max_iter=0) for k in (2, 4)}
+    shared = outliers.lloyd_sweep(one, COLS, starts, max_iter=50)
+    for k in starts:
         alone = outliers.fit_kmeans(one, COLS, k, max_iter=50)
         assert np.array(shared[k]) == pytest.approx(np.array(alone), abs=1e-9)
 
 
+def test_sweep_is_no_worse_than_single_fits(cloud):
+    sweep = outliers.sweep_kmeans(cloud, COLS, [2, 3, 4, 6])
+    single = {k: outliers.fit_kmeans(cloud, COLS, k) for k in sweep}
+
+    def means(centers):
+        profile = outliers.cluster_profile(cloud, COLS, centers)
+        return {r.k: r.mean_distance for r in outliers.elbow(profile).collect()}
+
+    ours, theirs = means(sweep), means(single)
+    assert all(ours[k] < 1.03 * theirs[k] for k in sweep)
+
+
 def test_merged_sums_and_empty_centres(cloud, monkeypatch):
     starts = {2: [(0, 0, 0), (99, 99, 99)], 3: [(-1, 0, 0), (1, 0, 0), (0, 2, 0)]}
     few = outliers.lloyd_sweep(cloud, COLS, starts, max_iter=4)
