@@ -24,13 +24,14 @@ from gleanery.llm.prefix import ranked, row_key, unique_rows
 from gleanery.session import fits
 
 REPEATS = 3
-WORD = r"[^\x20\x09-\x0D]+"
+GAP = r"[\x20\x09-\x0D]+"
 #: Sources up to which the source table is broadcast; beyond, the joins shuffle.
 BROADCAST_SOURCES = 100_000
 
 
 def word_count(text: Column) -> Column:
-    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+    """Words between white space; splitting at the gaps costs half of extracting the words."""
+    return F.size(F.array_remove(F.split(F.coalesce(text, F.lit("")), GAP), "")).cast("long")
 
 
 def sizes(docs: DataFrame, *extra: Column) -> DataFrame:

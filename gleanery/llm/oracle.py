@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from gleanery.llm.licenses import TEMPLATES, THRESHOLD, words_of
+
 #: Words of whole texts, as they are, and of texts with A-Z lower-cased.
 _SPACED = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -44,4 +46,29 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)
 """
 
-ORACLE = {"op1_mixing": OP1, "op5_decontaminate": OP5}
+_TEMPLATES = ", ".join(
+    f"({i}, '{label}', [{', '.join(repr(w) for w in sorted(set(words_of(text))))}])"
+    for i, (label, text) in enumerate(TEMPLATES)
+)
+OP10 = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_ALNUM} AS w, {_LOWER} AS low FROM documents),
+t(template, label, words) AS (VALUES {_TEMPLATES}),
+lines AS (SELECT r, unnest(string_split(low, chr(10))) AS line FROM d),
+sets AS (SELECT r, list_distinct(regexp_extract_all(line, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) AS s FROM lines),
+c AS (SELECT r, label, len(list_intersect(s, words)) / len(words) AS containment, ceil({THRESHOLD} * len(words) - 1e-9) AS need,
+             len(list_intersect(s, words)) AS o FROM sets, t),
+m AS (SELECT r, list(DISTINCT label) AS alike, max(containment) AS containment FROM c WHERE o >= need GROUP BY r),
+i AS (SELECT r, w, unnest(range(1, len(w) + 1)) AS i FROM d),
+p AS (SELECT r, i - 1 AS i, CASE WHEN w[i] = 'mit' AND w[i + 1] = 'license' THEN 'mit'
+             WHEN w[i] = 'apache' AND w[i + 1] = 'license' THEN 'apache'
+             WHEN w[i] = 'general' AND w[i + 1] = 'public' AND w[i + 2] = 'license' THEN 'gpl' END AS label FROM i),
+b AS (SELECT r, count(*) AS n, min(i) AS f, max(i) AS l, list(DISTINCT label) AS labels
+      FROM p WHERE label IS NOT NULL GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_base, f::BIGINT AS first_word, l::BIGINT AS last_word,
+       array_to_string(list_sort(coalesce(labels, []::VARCHAR[])), ',') AS base_labels,
+       array_to_string(list_sort(list_distinct(list_concat(coalesce(labels, []::VARCHAR[]), coalesce(alike, []::VARCHAR[])))), ',') AS labels,
+       CASE WHEN n > 0 THEN 1.0 ELSE coalesce(containment, 0.0) END::DOUBLE AS score
+FROM d LEFT JOIN b USING (r) LEFT JOIN m USING (r)
+"""
+
+ORACLE = {"op1_mixing": OP1, "op5_decontaminate": OP5, "op10_licenses": OP10}

@@ -50,7 +50,7 @@ def ranked(rows: DataFrame, order: list[Column | str], value: str | None = None)
 
 def row_key(rows: DataFrame) -> Column:
     """A 128-bit digest of the whole row as ``_key``: equal for repeated rows only."""
-    cells = [F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in rows.columns]
+    cells = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\x00")) for c in rows.columns]
     return F.md5(F.concat_ws("\x01", *cells).cast("binary")).alias("_key")
 
 

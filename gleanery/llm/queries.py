@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm import decontaminate, divergence, hilbert, mixing, quality
+from gleanery.llm import decontaminate, divergence, hilbert, licenses, mixing, quality
 from gleanery.llm.oracle import ORACLE
 from gleanery.sources.tables import read_table
 
@@ -61,7 +61,11 @@ def op8_hilbert(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op10_licenses(spark: SparkSession, sf: str) -> DataFrame:
+    return licenses.scan(read_table(spark, sf, "documents"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_mixing, op3_divergence, op4_quality_trees, op5_decontaminate, op8_hilbert)
+    for f in (op1_mixing, op3_divergence, op4_quality_trees, op5_decontaminate, op8_hilbert, op10_licenses)
 }
