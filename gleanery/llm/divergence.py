@@ -24,7 +24,8 @@ from pyspark.sql import types as T
 
 from gleanery.llm import textstats
 from gleanery.llm.scan import SPACE, Words, mix, pieces, text_column
-from gleanery.session import fits, staged
+from gleanery.llm.stage import written
+from gleanery.session import fits
 
 #: Very common words of each language (from public frequency lists).
 COMMON = {
@@ -138,7 +139,7 @@ def js_distance(counts: Column, reference: Column) -> Column:
 
 def judge(docs: DataFrame) -> DataFrame:
     """doc_id, the base counts, base_failed, char_distance, word_distance and kept."""
-    stats = staged(statistics(docs))
+    stats = written(statistics(docs))
     refs = references(stats)
     if fits(refs, BROADCAST_LANGUAGES):
         refs = F.broadcast(refs)

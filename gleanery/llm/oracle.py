@@ -71,4 +71,14 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_base, f::B
 FROM d LEFT JOIN b USING (r) LEFT JOIN m USING (r)
 """
 
-ORACLE = {"op1_mixing": OP1, "op5_decontaminate": OP5, "op10_licenses": OP10}
+OP7 = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
+           FROM pages),
+h AS (SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS head
+      FROM p)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN head = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN head <> page_id THEN head END AS refers_to
+FROM h
+"""
+
+ORACLE = {"op1_mixing": OP1, "op5_decontaminate": OP5, "op7_warc": OP7, "op10_licenses": OP10}

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gleanery.session import staged
+from gleanery.llm.stage import written
 
 
 def ranked(rows: DataFrame, order: list[Column | str], value: str | None = None) -> DataFrame:
@@ -20,7 +20,7 @@ def ranked(rows: DataFrame, order: list[Column | str], value: str | None = None)
     """
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     part = F.spark_partition_id()
-    dealt = staged(
+    dealt = written(
         rows.repartitionByRange(parts, *order)
         .sortWithinPartitions(*order)
         .withColumns({"_part": part, "_place": F.monotonically_increasing_id()})

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm import decontaminate, divergence, hilbert, licenses, mixing, quality
+from gleanery.llm import decontaminate, divergence, hilbert, licenses, mixing, quality, toxicity, warc
 from gleanery.llm.oracle import ORACLE
 from gleanery.sources.tables import read_table
 
@@ -48,6 +48,11 @@ def op5_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op7_warc(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages written as WARC archives, normalised into members and read back by the index."""
+    return warc.archive_pages(read_table(spark, sf, "pages"), with_payload=False).drop("url", "payload")
+
+
 def op8_hilbert(spark: SparkSession, sf: str) -> DataFrame:
     sharded = hilbert.shard_documents(read_table(spark, sf, "documents"))
     return sharded.select(
@@ -61,11 +66,32 @@ def op8_hilbert(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op9_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = read_table(spark, sf, "documents").select("doc_id", "text")
+    rated = toxicity.rate_documents(docs, read_table(spark, sf, "labels"))
+    return rated.select(
+        "doc_id",
+        quality.held_out(F.col("doc_id")).alias("held_out"),
+        *[name for name, _ in toxicity.CATEGORIES],
+        F.col("toxic").alias("score"),
+        (F.col("toxic") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op10_licenses(spark: SparkSession, sf: str) -> DataFrame:
     return licenses.scan(read_table(spark, sf, "documents"))
 
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_mixing, op3_divergence, op4_quality_trees, op5_decontaminate, op8_hilbert, op10_licenses)
+    for f in (
+        op1_mixing,
+        op3_divergence,
+        op4_quality_trees,
+        op5_decontaminate,
+        op7_warc,
+        op8_hilbert,
+        op9_toxicity,
+        op10_licenses,
+    )
 }
