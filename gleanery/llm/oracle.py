@@ -28,6 +28,18 @@ SELECT doc_id, size, source_size, target,
 FROM p JOIN t ON p.source IS NOT DISTINCT FROM t.source
 """
 
+OP2 = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_SPACED} AS w FROM documents),
+v AS (SELECT r, doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM d WHERE len(w) >= 20),
+k AS (SELECT r, doc_id, i, md5(array_to_string(w[i:i + 19], ' ')) AS k FROM v),
+n AS (SELECT r, i, row_number() OVER (PARTITION BY k ORDER BY doc_id NULLS LAST, r, i) AS n FROM k),
+gone AS (SELECT r, j FROM (SELECT r, unnest(range(i, i + 20)) AS j FROM n WHERE n > 1) GROUP BY r, j),
+every AS (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS j FROM d),
+kept AS (SELECT r, string_agg(word, ' ' ORDER BY j) AS t, count(*) AS n FROM every ANTI JOIN gone USING (r, j) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)
+"""
+
 OP5 = f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_ALNUM} AS w FROM documents),
 b AS (SELECT item_id::VARCHAR AS item_id, {_ALNUM} AS w FROM benchmark),
@@ -81,4 +93,4 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN head = page_id THEN 're
 FROM h
 """
 
-ORACLE = {"op1_mixing": OP1, "op5_decontaminate": OP5, "op7_warc": OP7, "op10_licenses": OP10}
+ORACLE = {"op1_mixing": OP1, "op2_substrings": OP2, "op5_decontaminate": OP5, "op7_warc": OP7, "op10_licenses": OP10}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm import decontaminate, divergence, hilbert, licenses, mixing, quality, toxicity, warc
+from gleanery.llm import decontaminate, divergence, hilbert, licenses, mixing, quality, substrings, toxicity, warc
 from gleanery.llm.oracle import ORACLE
 from gleanery.sources.tables import read_table
 
@@ -19,6 +19,11 @@ def op1_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.training_order(planned).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op2_substrings(spark: SparkSession, sf: str) -> DataFrame:
+    thinned = substrings.dedup_substrings(read_table(spark, sf, "documents"))
+    return thinned.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op3_divergence(spark: SparkSession, sf: str) -> DataFrame:
     judged = divergence.judge(read_table(spark, sf, "documents"))
     return judged.drop("char_distance", "word_distance")
@@ -86,6 +91,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_mixing,
+        op2_substrings,
         op3_divergence,
         op4_quality_trees,
         op5_decontaminate,
