@@ -6,12 +6,10 @@ the shared folder and read again. The last stage adds shard and slot.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
-from gleanery.llm import decontaminate, hilbert, mixing, quality
-from gleanery.session import checkpoint_dir
+from gleanery.llm import bottomk, decontaminate, hilbert, mixing, quality
+from gleanery.llm.stage import written
 from gleanery.sources.tables import read_table
 
 
@@ -21,6 +19,11 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return scored.where(scored["score"] >= quality.THRESHOLD).select(*docs.columns)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document with the smallest id of each group of near copies (five-word shingles)."""
+    return bottomk.drop_near_duplicates(docs, words=5, similarity=0.8)
+
+
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Leaves out the documents that have a window of a benchmark item."""
     return decontaminate.decontaminate(docs, read_table(spark, sf_dir, "benchmark"))
@@ -38,6 +41,7 @@ def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality classifier", quality_classifier),
+    ("MinHash near-dedup", near_dedup),
     ("benchmark decontamination", benchmark_decontamination),
     ("mixing sources to target weights", source_mixing),
     ("sharding", sharding),
@@ -49,9 +53,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    folder = f"{checkpoint_dir(spark)}/pipeline-{uuid.uuid4().hex}"
-    for k, (_, stage) in enumerate(STAGES):
-        path = f"{folder}/{k}"
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+    for _, stage in STAGES:
+        docs = written(stage(spark, docs, sf_dir), "pipeline")
     return docs

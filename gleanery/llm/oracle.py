@@ -83,6 +83,28 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_base, f::B
 FROM d LEFT JOIN b USING (r) LEFT JOIN m USING (r)
 """
 
+OP6 = f"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+x AS (SELECT doc_id, CASE WHEN len(w) = 1 THEN w
+      ELSE list_distinct([w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))]) END AS s FROM d),
+n AS (SELECT doc_id, len(s) AS n, md5(array_to_string(list_sort(s), chr(10))) AS k, s FROM x),
+first AS (SELECT k, min(doc_id) AS rep, any_value(n) AS n, any_value(s) AS s FROM n WHERE n > 0 GROUP BY k),
+t AS (SELECT rep, n, unnest(s) AS token FROM first),
+o AS (SELECT rep, n, token, row_number() OVER (PARTITION BY rep ORDER BY f, token) AS i
+      FROM (SELECT *, count(*) OVER (PARTITION BY token) AS f FROM t)),
+p AS (SELECT * FROM o WHERE i <= n - ceil(0.8 * n - 1e-9) + 1),
+c AS (SELECT DISTINCT a.rep AS a, b.rep AS b FROM p a JOIN p b USING (token)
+      WHERE a.rep < b.rep AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)),
+l AS (SELECT a, b FROM c JOIN first x ON x.rep = a JOIN first y ON y.rep = b
+      WHERE 180 * len(list_intersect(x.s, y.s)) >= 80 * (x.n + y.n)),
+e AS (SELECT a AS u, b AS v FROM l UNION SELECT b, a FROM l),
+r(u, root) AS (SELECT rep, rep FROM first UNION SELECT e.v, r.root FROM r JOIN e ON e.u = r.u WHERE r.root < e.v),
+g AS (SELECT u, min(root) AS component FROM r GROUP BY u)
+SELECT n.doc_id, n.n::BIGINT AS n_shingles, coalesce(g.component, n.doc_id)::BIGINT AS component_id,
+       n.doc_id = coalesce(g.component, n.doc_id) AS kept
+FROM n LEFT JOIN first ON n.k = first.k AND n.n > 0 LEFT JOIN g ON g.u = first.rep
+"""
+
 OP7 = """
 WITH p AS (SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
            FROM pages),
@@ -93,4 +115,4 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN head = page_id THEN 're
 FROM h
 """
 
-ORACLE = {"op1_mixing": OP1, "op2_substrings": OP2, "op5_decontaminate": OP5, "op7_warc": OP7, "op10_licenses": OP10}
+ORACLE = {"op1_mixing": OP1, "op2_substrings": OP2, "op5_decontaminate": OP5, "op6_near_dedup": OP6, "op7_warc": OP7, "op10_licenses": OP10}

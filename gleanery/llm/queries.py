@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm import decontaminate, divergence, hilbert, licenses, mixing, quality, substrings, toxicity, warc
+from gleanery.llm import bottomk, decontaminate, divergence, hilbert, licenses, mixing, quality, substrings, toxicity, warc
 from gleanery.llm.oracle import ORACLE
 from gleanery.sources.tables import read_table
 
@@ -53,6 +53,10 @@ def op5_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op6_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return bottomk.near_duplicates(read_table(spark, sf, "documents")).drop("class_id")
+
+
 def op7_warc(spark: SparkSession, sf: str) -> DataFrame:
     """Pages written as WARC archives, normalised into members and read back by the index."""
     return warc.archive_pages(read_table(spark, sf, "pages"), with_payload=False).drop("url", "payload")
@@ -95,6 +99,7 @@ QUERIES = {
         op3_divergence,
         op4_quality_trees,
         op5_decontaminate,
+        op6_near_dedup,
         op7_warc,
         op8_hilbert,
         op9_toxicity,
