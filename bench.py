@@ -31,7 +31,7 @@ def main() -> None:
         **{
             "spark.sql.shuffle.partitions": cpus,
             "spark.driver.memory": os.environ.get("BENCH_MEMORY", "16g"),
-            "spark.ui.enabled": "false",
+            "spark.ui.enabled": "false", "spark.gleanery.spread": "true",
             "spark.ui.showConsoleProgress": "false",
         },
     )

@@ -48,9 +48,14 @@ def parser() -> argparse.ArgumentParser:
     return top
 
 
+def show_all(table: DataFrame) -> None:
+    """Print every row; the reports are bounded by the parameters of the job."""
+    table.show(max(1, table.count()), False)
+
+
 def show_hits(hits: DataFrame) -> None:
     ranked = hits.orderBy("query_id", "rank")
-    ranked.withColumn("score", F.format_number("score", 4)).show(1000, False)
+    show_all(ranked.withColumn("score", F.format_number("score", 4)))
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -61,23 +66,28 @@ def main(argv: list[str] | None = None) -> None:
             spark, args.articles, args.out, args.stop_words, args.sample, args.num_terms,
             args.k, args.variant,
         )
-        report.singular_values.orderBy("concept").show(args.k, False)
-        report.names.orderBy("concept", F.desc("kind")).show(2 * args.k, False)
+        show_all(report.counts)
+        report.preview.show()
+        show_all(report.singular_values.orderBy("concept"))
+        show_all(report.names.orderBy("concept", F.desc("kind")))
+        show_hits(report.trial)
     elif args.job == "search":
         show_hits(corpus.run_search(spark, args.model, args.queries))
     elif args.job == "movies":
         found = movies.run_movies(spark, args.movies, args.out, args.stop_words)
-        found.concept_terms.orderBy("concept", "rank").show(1000, False)
-        found.concept_docs.orderBy("concept", "rank").show(1000, False)
+        show_all(found.counts)
+        found.preview.show()
+        show_all(found.concept_terms.orderBy("concept", "rank"))
+        show_all(found.concept_docs.orderBy("concept", "rank"))
         show_hits(found.hits)
     elif args.job == "sensors":
         found = sensors.run_sensors(spark, args.runs, args.out)
         print(f"{found.readings} readings, {found.dropped} dropped for a missing sensor")
         for table in (found.sample, found.centers, found.outliers, found.sizes, found.elbow.orderBy("k")):
-            table.show(1000, False)
+            show_all(table)
     else:
         docs = read_articles(spark, args.articles, args.sample)
-        sweep.sweep_lsa(docs, read_stop_words(spark, args.stop_words), out=args.out).show(100, False)
+        show_all(sweep.sweep_lsa(docs, read_stop_words(spark, args.stop_words), out=args.out))
 
 
 if __name__ == "__main__":

@@ -15,18 +15,33 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_MATRIX_BYTES = 512 << 20
+#: Bytes of a matrix that are sent to the tasks at once; a larger one goes in blocks of columns.
+BLOCK_BYTES = 64 << 20
 _MAX_WORK_CELLS = 1 << 22
-SCORE_DIGITS = 10
+#: Scores that agree in this many leading digits tie: sums differ in the last ones by their order.
+SCORE_DIGITS = 12
 
 
 def share_matrix(df: DataFrame, matrix: np.ndarray):
-    """Broadcast a matrix whose size has been checked."""
-    if matrix.nbytes > MAX_MATRIX_BYTES:
-        raise ValueError(f"matrix of {matrix.nbytes} bytes is too large to send to every executor")
     return df.sparkSession.sparkContext.broadcast(np.ascontiguousarray(matrix))
 
 
+def column_blocks(matrix: np.ndarray, block_bytes: int | None = None) -> Iterator[tuple[int, np.ndarray]]:
+    """(first column, columns) of blocks of bounded size."""
+    size = block_bytes or BLOCK_BYTES
+    step = max(1, size // max(1, 8 * matrix.shape[0]))
+    for first in range(0, max(1, matrix.shape[1]), step):
+        yield first, matrix[:, first : first + step]
+
+
+def leading_digits(scores: np.ndarray, digits: int = SCORE_DIGITS) -> np.ndarray:
+    """Scores rounded to their leading digits, whatever their size (but for the ends of the doubles)."""
+    held = (np.abs(scores) > 1e-290) & (np.abs(scores) < 1e290)
+    plain = np.where(held, scores, 1.0)
+    unit = 10.0 ** (digits - 1 - np.floor(np.log10(np.abs(plain))))
+    return np.where(held, np.round(plain * unit) / unit, scores) + 0.0
+
+
 def sparse_product(ids: pa.Array, weights: pa.Array, matrix: np.ndarray) -> np.ndarray:
     """Rows given as (term ids, weights) lists times ``matrix``."""
     lengths = pc.list_value_length(ids).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -54,23 +69,34 @@ def dense_rows(column: pa.Array, width: int) -> np.ndarray:
 
 
 def project_rows(df: DataFrame, matrix: np.ndarray, keep: list[str], out: str) -> DataFrame:
-    """Replace sparse ``ids``/``weights`` by the dense product with ``matrix``."""
-    shared = share_matrix(df, matrix)
-    schema = T.StructType(
-        [df.schema[c] for c in keep] + [T.StructField(out, T.ArrayType(T.DoubleType()))]
-    )
+    """Replace sparse ``ids``/``weights`` by the dense product with ``matrix``.
+
+    Rows flow through one ``mapInArrow`` per block of columns within a stage.
+    """
+    vector = T.ArrayType(T.DoubleType())
+    carried = [*keep, "ids", "weights"]
+    rows = df.select(*carried, F.array().cast(vector).alias(out))
+    schema = T.StructType([*(rows.schema[c] for c in carried), T.StructField(out, vector)])
+    for _, block in column_blocks(matrix):
+        rows = rows.mapInArrow(_extend(share_matrix(df, block), out), schema)
+    return rows.select(*keep, out)
+
+
+def _extend(shared, out: str):
+    """Append the product with a block of columns to the rows of ``out``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for batch in batches:
+            n = batch.num_rows
             product = sparse_product(batch.column("ids"), batch.column("weights"), m)
-            offsets = np.arange(0, product.size + 1, m.shape[1], dtype=np.int32)
-            rows = pa.ListArray.from_arrays(pa.array(offsets), pa.array(product.ravel()))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in keep] + [rows], [*keep, out]
-            )
+            before = batch.column(out).flatten().to_numpy(zero_copy_only=False)
+            both = np.hstack([before.reshape(n, -1) if n else product, product])
+            offsets = np.arange(n + 1, dtype=np.int32) * both.shape[1]
+            rows = pa.ListArray.from_arrays(pa.array(offsets), pa.array(both.ravel()))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], rows], batch.schema.names)
 
-    return df.select(*keep, "ids", "weights").mapInArrow(run, schema)
+    return run
 
 
 def best_rows(table: pa.Table, n: int, group: str, order: list[tuple[str, str]]) -> pa.Table:
@@ -110,10 +136,37 @@ def top_rows(
 
     Rows are the dense ``vector`` column, or sparse ``ids``/``weights`` when it is None.
     Every task sends on at most ``n`` rows per direction, so the shuffle that merges
-    them does not grow with the rows. Scores are compared at ``SCORE_DIGITS`` decimals
-    so that equal rows tie wherever they are stored; the larger id wins a tie.
+    them does not grow with the rows. Scores tie if their ``SCORE_DIGITS`` leading digits agree,
+    so equal rows tie wherever they are stored; the larger id wins a tie. A matrix above
+    ``BLOCK_BYTES`` is used in blocks of columns, each with a read of the rows.
     """
-    shared = share_matrix(df, matrix)
+    found = None
+    for first, block in column_blocks(matrix):
+        best = _top_rows(df, block, n, id_col, keep, vector)
+        best = best.withColumn("direction", (F.col("direction") + first).cast("int"))
+        found = best if found is None else found.unionByName(best)
+    return found
+
+
+def top_columns(
+    df: DataFrame, width: int, n: int, id_col: str, keep: list[str], vector: str
+) -> DataFrame:
+    """The same for the columns of the ``vector`` rows themselves, without a product."""
+    return _top_rows(df, width, n, id_col, keep, vector)
+
+
+def _top_rows(
+    df: DataFrame,
+    matrix: np.ndarray | int,
+    n: int,
+    id_col: str,
+    keep: list[str],
+    vector: str | None,
+) -> DataFrame:
+    """``matrix`` is a number of columns if the rows are the scores."""
+    plain = isinstance(matrix, int)
+    width = matrix if plain else matrix.shape[1]
+    shared = None if plain else share_matrix(df, matrix)
     inputs = [vector] if vector else ["ids", "weights"]
     schema = T.StructType(
         [
@@ -122,21 +175,23 @@ def top_rows(
             *[df.schema[c] for c in keep],
         ]
     )
-    limit = 8 * n * matrix.shape[1] + 1024
+    limit = 8 * n * width + 1024
     order = [("score", "descending"), (id_col, "descending")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
+        m = None if plain else shared.value
         best: pa.Table | None = None
         for batch in batches:
             if batch.num_rows == 0:
                 continue
             batch = batch.take(pc.sort_indices(batch.column(id_col), sort_keys=[("", "descending")]))
-            if vector:
+            if plain:
+                scores = dense_rows(batch.column(vector), width)
+            elif vector:
                 scores = dense_rows(batch.column(vector), m.shape[0]) @ m
             else:
                 scores = sparse_product(batch.column("ids"), batch.column("weights"), m)
-            scores = np.round(scores, SCORE_DIGITS) + 0.0
+            scores = leading_digits(scores)
             rows, directions = _batch_best(scores, n)
             picked = batch.select(keep).take(pa.array(rows))
             found = pa.Table.from_arrays(

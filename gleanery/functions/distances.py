@@ -43,10 +43,10 @@ def _columns(batch: pa.RecordBatch, names: Sequence[str]) -> list[np.ndarray]:
 
 
 def profile_rows(
-    df: DataFrame, features: Sequence[str], centers_by_k: CentersByK, merge: bool = True
+    df: DataFrame, features: Sequence[str], centers_by_k: CentersByK
 ) -> DataFrame:
     """(k, cluster, size, total_distance, sum_<feature>...) of the points nearest to each
-    centre; every task sends on one row per centre, summed by Spark unless ``merge`` is off.
+    centre; every task sends on one row per centre.
     """
     names = ["k", "cluster", "size", "total_distance", *[f"sum_{f}" for f in features]]
     doubles = ", ".join(f"{name} double" for name in names[3:])
@@ -74,8 +74,6 @@ def profile_rows(
             )
 
     parts = df.select(*features).mapInArrow(run, f"k int, cluster int, size long, {doubles}")
-    if not merge:
-        return parts
     return parts.groupBy("k", "cluster").agg(*[F.sum(c).alias(c) for c in names[2:]])
 
 

@@ -11,39 +11,29 @@ NUMBER_PATTERN = r"-?[0-9]+(?:[.,][0-9]+)?"
 MIN_TOKEN_LENGTH = 3
 
 # Default English stop words ("ours " carries its trailing blank).
-_STOP_WORDS = [
-    "a", "about", "above", "after", "again", "against", "all", "am", "an", "and",
-    "any", "are", "aren't", "as", "at", "be", "because", "been", "before", "being",
-    "below", "between", "both", "but", "by", "can", "can't", "cannot", "could",
-    "couldn't", "did", "didn't", "do", "does", "doesn't", "doing", "don't", "down",
-    "during", "each", "few", "for", "from", "further", "had", "hadn't", "has",
-    "hasn't", "have", "haven't", "having", "he", "he'd", "he'll", "he's", "her",
-    "here", "here's", "hers", "herself", "him", "himself", "his", "how", "how's",
-    "i", "i'd", "i'll", "i'm", "i've", "if", "in", "into", "is", "isn't", "it",
-    "it's", "its", "itself", "let's", "me", "more", "most", "mustn't", "my",
-    "myself", "no", "nor", "not", "of", "off", "on", "once", "only", "or", "other",
-    "ought", "our", "ours ", "ourselves", "out", "over", "own", "same", "shan't",
-    "she", "she'd", "she'll", "she's", "should", "shouldn't", "so", "some", "such",
-    "than", "that", "that's", "the", "their", "theirs", "them", "themselves",
-    "then", "there", "there's", "these", "they", "they'd", "they'll", "they're",
-    "they've", "this", "those", "through", "to", "too", "under", "until", "up",
-    "very", "was", "wasn't", "we", "we'd", "we'll", "we're", "we've", "were",
-    "weren't", "what", "what's", "when", "when's", "where", "where's", "which",
-    "while", "who", "who's", "whom", "why", "why's", "with", "won't", "would",
-    "wouldn't", "you", "you'd", "you'll", "you're", "you've", "your", "yours",
-    "yourself", "yourselves", "###", "return",
+STOP_WORDS = [
+    "###", "a", "about", "above", "after", "again", "against", "all", "am", "an", "and", "any",
+    "are", "aren't", "arent", "as", "at", "be", "because", "been", "before", "being", "below",
+    "between", "both", "but", "by", "can", "can't", "cannot", "cant", "could", "couldn't",
+    "couldnt", "did", "didn't", "didnt", "do", "does", "doesn't", "doesnt", "doing", "don't",
+    "dont", "down", "during", "each", "few", "for", "from", "further", "had", "hadn't", "hadnt",
+    "has", "hasn't", "hasnt", "have", "haven't", "havent", "having", "he", "he'd", "he'll",
+    "he's", "her", "here", "here's", "heres", "hers", "herself", "hes", "him", "himself", "his",
+    "how", "how's", "hows", "i", "i'd", "i'll", "i'm", "i've", "if", "im", "in", "into", "is",
+    "isn't", "isnt", "it", "it's", "its", "itself", "let's", "lets", "me", "more", "most",
+    "mustn't", "mustnt", "my", "myself", "no", "nor", "not", "of", "off", "on", "once", "only",
+    "or", "other", "ought", "our", "ours ", "ourselves", "out", "over", "own", "return", "same",
+    "shan't", "shant", "she", "she'd", "she'll", "she's", "shes", "should", "shouldn't",
+    "shouldnt", "so", "some", "such", "than", "that", "that's", "thats", "the", "their",
+    "theirs", "them", "themselves", "then", "there", "there's", "theres", "these", "they",
+    "they'd", "they'll", "they're", "they've", "theyll", "theyre", "theyve", "this", "those",
+    "through", "to", "too", "under", "until", "up", "very", "was", "wasn't", "wasnt", "we",
+    "we'd", "we'll", "we're", "we've", "were", "weren't", "werent", "what", "what's", "whats",
+    "when", "when's", "whens", "where", "where's", "wheres", "which", "while", "who", "who's",
+    "whom", "whos", "why", "why's", "whys", "with", "won't", "wont", "would", "wouldn't",
+    "wouldnt", "you", "you'd", "you'll", "you're", "you've", "youd", "youll", "your", "youre",
+    "yours", "yourself", "yourselves", "youve",
 ]
-# Contractions whose form without the apostrophe is not a stop word.
-_KEEP_UNJOINED = [
-    "he'd", "he'll", "i'd", "i'll", "i've", "she'd", "she'll", "they'd", "we'd",
-    "we'll", "we've",
-]
-
-
-def default_stop_words() -> list[str]:
-    """The listed words plus contractions written without their apostrophe (``arent``)."""
-    joined = [w.replace("'", "") for w in _STOP_WORDS if "'" in w and w not in _KEEP_UNJOINED]
-    return sorted(set(_STOP_WORDS) | set(joined))
 
 
 _BLANK = r" \t\n\r\f"

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gleanery.functions.blocks import top_rows
+from gleanery.functions.blocks import top_columns
 from gleanery.operators.lsa import LsaModel
 
 
@@ -24,22 +23,29 @@ def concept_terms(model: LsaModel, n: int = 25, by: str = "signed") -> DataFrame
 def concept_docs(model: LsaModel, n: int = 25) -> DataFrame:
     """(concept, rank, doc_id, title[, genre], score) by the document's weight in U."""
     carried = [c for c in model.doc_factors.columns if c != "us"]
-    by_sigma = np.diag(1.0 / model.sigmas())
-    best = top_rows(model.doc_factors, by_sigma, n, "doc_id", carried, vector="us")
+    # Columns of US in the order of U's: each is scaled by its own sigma after the search.
+    sigma = F.array(*[F.lit(float(s)) for s in model.sigmas()])
+    best = top_columns(model.doc_factors, model.k, n, "doc_id", carried, "us")
+    best = best.withColumn("score", F.col("score") / F.element_at(sigma, F.col("direction") + 1))
     return best.withColumnRenamed("direction", "concept").select(
         "concept", "rank", *carried, "score"
     )
 
 
-def concept_report(model: LsaModel, n: int = 25) -> DataFrame:
-    """(concept, kind, rank, name, score) of the top terms and documents."""
+#: Fixed value: concepts that a report shows.
+SHOWN_CONCEPTS = 25
+
+
+def concept_report(model: LsaModel, n: int = 25, shown: int = SHOWN_CONCEPTS) -> DataFrame:
+    """(concept, kind, rank, name, score) of the top terms and documents of the first ``shown``
+    concepts."""
     terms = concept_terms(model, n).select(
         "concept", F.lit("term").alias("kind"), "rank", F.col("term").alias("name"), "score"
     )
     docs = concept_docs(model, n).select(
         "concept", F.lit("doc").alias("kind"), "rank", F.col("title").alias("name"), "score"
     )
-    return terms.unionByName(docs)
+    return terms.unionByName(docs).filter(F.col("concept") < shown)
 
 
 def concept_names(report: DataFrame) -> DataFrame:

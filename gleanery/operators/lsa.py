@@ -19,9 +19,8 @@ from gleanery.operators.terms import (
     sparse_rows,
     tfidf_vectors,
 )
-from gleanery.session import local_table
+from gleanery.session import local_table, staged
 
-MAX_GRAM_TERMS = 6_000
 RELATIVE_CUT = 1e-6
 
 
@@ -39,12 +38,6 @@ class LsaModel:
     num_docs: int
     num_terms: int
     k: int
-    cached: DataFrame | None = None
-
-    def release(self) -> None:
-        """Free the cached TF-IDF rows, once the factor tables have been written."""
-        if self.cached is not None:
-            self.cached.unpersist()
 
     def sigmas(self) -> np.ndarray:
         rows = self.singular_values.orderBy("concept").collect()
@@ -60,22 +53,18 @@ def gram_matrix(vectors: DataFrame) -> np.ndarray:
     return row_matrix(vectors).computeGramianMatrix().toArray()
 
 
-def factors_from_gram(gram: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    values, v = np.linalg.eigh(gram)
-    order = np.argsort(-values, kind="stable")[:k]
-    return _cleaned(np.sqrt(np.maximum(values[order], 0.0)), v[:, order])
-
-
 def truncated_svd(vectors: DataFrame, num_terms: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """(sigma, V) of the TF-IDF rows.
+    """(sigma, V) of the TF-IDF rows by MLlib's distributed SVD.
 
-    Up to ``MAX_GRAM_TERMS`` terms the rows are read once for the Gram matrix; a larger
-    vocabulary uses MLlib's distributed ARPACK, which reads them once per iteration.
+    It reads the rows once per iteration, so they are kept on the executors meanwhile; only a vector
+    of ``num_terms`` numbers crosses the network in a pass.
     """
-    if num_terms <= MAX_GRAM_TERMS:
-        return factors_from_gram(gram_matrix(vectors), k)
-    svd = row_matrix(vectors).computeSVD(min(k, num_terms), computeU=False)
-    return _cleaned(svd.s.toArray(), svd.V.toArray())
+    rows = vectors.select("features").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        svd = row_matrix(rows).computeSVD(min(k, num_terms), computeU=False)
+        return _cleaned(svd.s.toArray(), svd.V.toArray())
+    finally:
+        rows.unpersist()
 
 
 def _cleaned(sigma: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -116,14 +105,17 @@ def factor_tables(
     )
 
 
+def tfidf_rows(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
+    """The TF-IDF rows of a fit without their tokens, staged: the SVD and the factors read them."""
+    return staged(tfidf_vectors(docs, vocab).drop("tokens"))
+
+
 def fit_lsa(docs: DataFrame, num_terms: int, k: int) -> LsaModel:
-    """LSA model of tokenised documents. The TF-IDF rows stay cached on the executors."""
+    """LSA model of tokenised documents."""
     vocab = collect_vocabulary(docs, num_terms)
-    vectors = tfidf_vectors(docs, vocab).persist(StorageLevel.MEMORY_AND_DISK)
+    vectors = tfidf_rows(docs, vocab)
     sigma, v = truncated_svd(vectors, len(vocab.terms), k)
-    model = factor_tables(sparse_rows(vectors), vocab, sigma, v)
-    model.cached = vectors
-    return model
+    return factor_tables(sparse_rows(vectors), vocab, sigma, v)
 
 
 def total_energy(rows: DataFrame) -> float:

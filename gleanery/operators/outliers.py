@@ -18,10 +18,6 @@ from gleanery.session import local_table
 
 Centers = Sequence[Sequence[float]]
 TOP_OUTLIERS = 25
-MIN_TASK_ROWS = 50_000
-MAX_PARTIAL_ROWS = 100_000
-START_FACTOR = 4
-START_ITERATIONS = 20
 
 
 def column_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -93,67 +89,27 @@ def fit_kmeans(
     tol: float = 1e-6,
 ) -> list[list[float]]:
     """Centres of MLlib K-means (k-means|| start, Euclidean)."""
-    return _fit(df, features, k, seed, max_iter, tol)
-
-
-def _fit(
-    df: DataFrame,
-    features: Sequence[str],
-    k: int,
-    seed: int,
-    max_iter: int,
-    tol: float,
-    weight: str | None = None,
-) -> list[list[float]]:
     kmeans = KMeans(k=k, seed=seed, maxIter=max_iter, tol=tol, featuresCol="features")
-    if weight:
-        kmeans.setWeightCol(weight)
     points = VectorAssembler(inputCols=list(features), outputCol="features").transform(df)
-    return [list(map(float, c)) for c in kmeans.fit(points).clusterCenters()]
+    return [list(map(float, c)) for c in kmeans.fit(points.select("features")).clusterCenters()]
 
 
-def sweep_kmeans(
+def fit_sweep(
     df: DataFrame,
     features: Sequence[str],
     ks: Sequence[int] = range(2, 13),
     seed: int = 1,
     max_iter: int = 100,
     tol: float = 1e-6,
+    parallelism: int = 4,
 ) -> dict[int, list[list[float]]]:
-    """Centres for every k. ``df`` is read many times, so it should be cached.
-
-    The iterations of all k share one read of the points: the passes are those of the
-    slowest k, not the sum over k. A k stops when no centre moves by more than ``tol``.
-    """
-    tasks = max(1, min(df.rdd.getNumPartitions(), -(-df.count() // MIN_TASK_ROWS)))
-    df = df.coalesce(tasks)
-    return lloyd_sweep(df, features, sweep_starts(df, features, ks, seed), max_iter, tol)
-
-
-def sweep_starts(
-    df: DataFrame, features: Sequence[str], ks: Sequence[int], seed: int = 1, parallelism: int = 8
-) -> dict[int, list[list[float]]]:
-    """Start centres for every k from one k-means|| over all points.
+    """Centres of one MLlib fit for every k, ``parallelism`` of them at a time.
 
-    MLlib chooses a few representatives per centre of the largest k; weighted by the points
-    nearest to them they are clustered again for each k, as k-means|| does with its own
-    candidates.
+    ``df`` is read many times, so it should be cached.
     """
-    found = _fit(df, features, START_FACTOR * max(ks), seed, 0, 1e-6)
-    sizes = {
-        row["cluster"]: row["size"]
-        for row in cluster_profile(df, features, {len(found): found}).collect()
-    }
-    columns = {
-        f: pa.array([found[i][j] for i in sizes], pa.float64()) for j, f in enumerate(features)
-    }
-    weights = pa.array(sizes.values(), pa.float64())
-    chosen = local_table(df.sparkSession, **columns, weight=weights).coalesce(1)
     with ThreadPoolExecutor(parallelism) as pool:
-        starts = pool.map(
-            lambda k: _fit(chosen, features, k, seed, START_ITERATIONS, 1e-6, "weight"), ks
-        )
-        return dict(zip(ks, starts))
+        fits = pool.map(lambda k: fit_kmeans(df, features, k, seed, max_iter, tol), ks)
+        return dict(zip(ks, fits))
 
 
 def lloyd_sweep(
@@ -169,15 +125,13 @@ def lloyd_sweep(
     """
     centers = {k: [list(map(float, c)) for c in start] for k, start in starts.items()}
     moving = set(centers)
-    # Few tasks: the driver adds their sums up, at most MAX_PARTIAL_ROWS rows; else Spark does.
-    merge = df.rdd.getNumPartitions() * sum(map(len, centers.values())) > MAX_PARTIAL_ROWS
     for _ in range(max_iter):
         if not moving:
             break
         active = {k: centers[k] for k in sorted(moving)}
         sizes = {k: np.zeros(len(c)) for k, c in active.items()}
         sums = {k: np.zeros((len(c), len(features))) for k, c in active.items()}
-        for row in profile_rows(df, features, active, merge).collect():
+        for row in profile_rows(df, features, active).collect():
             sizes[row["k"]][row["cluster"]] += row["size"]
             sums[row["k"]][row["cluster"]] += [row[f"sum_{f}"] for f in features]
         for k, old in active.items():
@@ -215,6 +169,22 @@ def cluster_profile(
     return profile_rows(df, features, centers_by_k).select("k", "cluster", "size", "total_distance")
 
 
+def center_checks(
+    df: DataFrame, features: Sequence[str], centers_by_k: dict[int, Centers]
+) -> DataFrame:
+    """(k, points, clusters, largest_gap): points covered, centres that have any, and the largest
+    distance of a centre from the mean of the points nearest to it, for every k from one read."""
+    profile = profile_rows(df, features, centers_by_k)
+    centers = center_report(df, centers_by_k, [f"c_{f}" for f in features])
+    off = [F.pow(F.col(f"sum_{f}") / F.col("size") - F.col(f"c_{f}"), F.lit(2.0)) for f in features]
+    gaps = profile.join(centers, ["k", "cluster"]).withColumn("gap", F.sqrt(reduce(lambda a, b: a + b, off)))
+    return gaps.groupBy("k").agg(
+        F.sum("size").cast("long").alias("points"),
+        F.count("*").alias("clusters"),
+        F.max("gap").alias("largest_gap"),
+    )
+
+
 def cluster_sizes(profile: DataFrame) -> DataFrame:
     return profile.select("k", "cluster", "size").orderBy("k", "cluster")
 

@@ -16,6 +16,8 @@ from gleanery.operators.lsa import LsaModel
 from gleanery.operators.terms import Vocabulary
 from gleanery.session import local_table
 
+#: Queries, and bytes of their vectors, that are scored in one pass over the documents. All hits are the
+#: same for any block size.
 MAX_QUERY_BLOCK = 1024
 MAX_QUERY_BLOCK_BYTES = 64 << 20
 
@@ -35,10 +37,11 @@ def query_terms(queries: DataFrame) -> DataFrame:
     return terms.groupBy("query_id", "term").agg(F.count("*").alias("times"))
 
 
-def known_terms(queries: DataFrame, vocab: DataFrame) -> DataFrame:
-    """Query terms found in the vocabulary: (query_id, term_id, value = idf * times)."""
+def known_terms(queries: DataFrame, vocab: DataFrame, *carried: str) -> DataFrame:
+    """Query terms found in the vocabulary: (query_id, term_id, value = idf * times, *carried)."""
     found = query_terms(queries).join(vocab, "term")
-    return found.select("query_id", "term_id", (F.col("idf") * F.col("times")).alias("value"))
+    value = (F.col("idf") * F.col("times")).alias("value")
+    return found.select("query_id", "term_id", value, *carried)
 
 
 def query_factors(queries: DataFrame, term_factors: DataFrame) -> DataFrame:
@@ -46,9 +49,7 @@ def query_factors(queries: DataFrame, term_factors: DataFrame) -> DataFrame:
 
     Queries without a known term have a NULL list.
     """
-    found = known_terms(queries, term_factors).join(
-        term_factors.select("term_id", "v"), "term_id"
-    )
+    found = known_terms(queries, term_factors, "v")
     parts = found.select("query_id", "value", F.posexplode("v").alias("concept", "weight"))
     summed = parts.groupBy("query_id", "concept").agg(
         F.sum(F.col("value") * F.col("weight")).alias("value")

@@ -19,8 +19,6 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_SHARED_TERMS = 200_000
-
 
 def each_token(docs: DataFrame, *columns: Column | str) -> DataFrame:
     """One row (*columns, term) per token.
@@ -37,9 +35,28 @@ def document_lengths(docs: DataFrame) -> DataFrame:
 
 
 def term_frequencies(docs: DataFrame) -> DataFrame:
-    """(doc_id, doc_len, term, tf); ``doc_len`` counts every kept token."""
-    terms = each_token(docs, "doc_id", F.size("tokens").cast("long").alias("doc_len"))
-    return terms.groupBy("doc_id", "doc_len", "term").agg(F.count("*").alias("tf"))
+    """(doc_id, doc_len, term, tf); ``doc_len`` counts every kept token.
+
+    The tokens of a document are sorted and counted inside its row: no shuffle, and rows that
+    share a doc_id stay apart.
+    """
+    ordered = F.array_sort("tokens")
+    count = F.size("_t")
+    starts = F.filter(
+        F.sequence(F.lit(1), F.greatest(count, F.lit(1))),
+        lambda i: (i <= count) & ((i == 1) | (F.get("_t", i - 2) != F.get("_t", i - 1))),
+    )
+    ends = F.concat(F.slice("_s", 2, F.size("_s")), F.array(count + 1))
+    pairs = F.arrays_zip(
+        F.transform("_s", lambda i: F.get("_t", i - 1)).alias("term"),
+        F.zip_with("_s", ends, lambda s, e: (e - s).cast("long")).alias("tf"),
+    )
+    rows = docs.select("doc_id", ordered.alias("_t")).withColumn("_s", starts)
+    # The outer form, for the reason given at ``each_token``.
+    found = rows.select(
+        "doc_id", count.cast("long").alias("doc_len"), F.inline_outer(pairs).alias("term", "tf")
+    )
+    return found.filter(F.col("term").isNotNull())
 
 
 def document_frequencies(docs: DataFrame) -> DataFrame:
@@ -78,8 +95,6 @@ class Vocabulary:
 
 
 def collect_vocabulary(docs: DataFrame, num_terms: int) -> Vocabulary:
-    if num_terms > MAX_SHARED_TERMS:
-        raise ValueError(f"at most {MAX_SHARED_TERMS} terms can be shared with every task")
     top = document_frequencies(docs).orderBy(F.desc("df"), "term").limit(num_terms).collect()
     return Vocabulary([r["term"] for r in top], [r["df"] for r in top], docs.count())
 
@@ -131,15 +146,13 @@ def long_weights(rows: DataFrame) -> DataFrame:
 
 
 def tfidf_weights(docs: DataFrame, num_terms: int) -> DataFrame:
-    """(doc_id, term_id, weight) for the ``num_terms`` most frequent terms."""
-    if num_terms <= MAX_SHARED_TERMS:
-        vocab = collect_vocabulary(docs, num_terms)
-        return long_weights(sparse_rows(tfidf_vectors(docs, vocab)))
-    return join_weights(term_frequencies(docs), vocabulary(docs, num_terms))
+    """(doc_id, term_id, weight) for the ``num_terms`` most frequent terms, which every task gets."""
+    vocab = collect_vocabulary(docs, num_terms)
+    return long_weights(sparse_rows(tfidf_vectors(docs, vocab)))
 
 
 def join_weights(frequencies: DataFrame, vocab: DataFrame) -> DataFrame:
-    """Weights by a join on the term, for a vocabulary too large to share."""
+    """The same weights by a join on the term, for a vocabulary that should not be sent to every task."""
     return frequencies.join(vocab, "term").select(
         "doc_id", "term_id", (F.col("idf") * F.col("tf") / F.col("doc_len")).alias("weight")
     ).filter(F.col("weight") != 0)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -20,41 +21,22 @@ from gleanery.functions.text import (
     surface_tokens,
     without_words,
 )
-from gleanery.operators.terms import each_token
-from gleanery.session import fits
-
-MAX_INLINE_WORDS = 10_000
-MAX_SHARED_LEMMAS = 1_000_000
+from gleanery.session import staged
 
+#: Bytes of a dictionary that are sent to the tasks at once.
+BLOCK_BYTES = 32 << 20
+#: Blocks that one stage looks up, each in a Python worker of its own; then the lists are staged.
+STAGED_BLOCKS = 4
 
 StopWords = list[str] | DataFrame
 
 
 def drop_stop_words(docs: DataFrame, words: StopWords) -> DataFrame:
-    """Remove a list of words, or those of a table ``words(word)``, from ``tokens``.
-
-    A small list is tested inside the row, without a join or shuffle. A larger one
-    is anti-joined and the lists are put together again by ``doc_id``.
-    """
+    """Remove a list of words, or those of a table ``words(word)``, from ``tokens``."""
     if isinstance(words, list):
         return docs.withColumn("tokens", without_words(F.col("tokens"), words))
-    if fits(words, MAX_INLINE_WORDS):
-        listed = [r["word"] for r in words.collect()]
-        return docs.withColumn("tokens", without_words(F.col("tokens"), listed))
-    kept = each_token(docs, "doc_id").join(
-        words.withColumnRenamed("word", "term"), "term", "left_anti"
-    )
-    return _regroup(docs, kept)
-
-
-def _regroup(docs: DataFrame, terms: DataFrame) -> DataFrame:
-    lists = terms.groupBy("doc_id").agg(F.collect_list("term").alias("tokens"))
-    empty = F.array().cast("array<string>")
-    return (
-        docs.drop("tokens")
-        .join(lists, "doc_id", "left")
-        .withColumn("tokens", F.coalesce("tokens", empty))
-    )
+    gone = words.select(F.col("word").alias("token"), F.lit(None).cast("string").alias("lemma"))
+    return look_up(docs, gone)
 
 
 def tokenize_pattern(docs: DataFrame, stop_words: StopWords, text: str = "text") -> DataFrame:
@@ -73,19 +55,8 @@ def tokenize_lemma(
 
 
 def apply_lemmas(docs: DataFrame, lemmas: DataFrame) -> DataFrame:
-    """Replace each token by its lemma in ``lemmas(token, lemma)``; tokens not listed stay.
-
-    A dictionary of proven size is sent to the tasks and looked up inside the row, so
-    the tokens are not shuffled. A larger one is joined on the token and the lists are
-    put together again by ``doc_id``.
-    """
-    if fits(lemmas, MAX_SHARED_LEMMAS):
-        return _keep_terms(_lookup(docs, lemmas))
-    named = lemmas.select(F.col("token").alias("term"), "lemma")
-    found = each_token(docs, "doc_id").join(named, "term", "left")
-    return _keep_terms(
-        _regroup(docs, found.select("doc_id", F.coalesce("lemma", "term").alias("term")))
-    )
+    """Replace each token by its lemma in ``lemmas(token, lemma)``; tokens not listed stay."""
+    return _keep_terms(look_up(docs, lemmas.where(F.col("lemma").isNotNull())))
 
 
 def _keep_terms(docs: DataFrame) -> DataFrame:
@@ -93,31 +64,54 @@ def _keep_terms(docs: DataFrame) -> DataFrame:
     return docs.withColumn("tokens", kept)
 
 
-def _lookup(docs: DataFrame, lemmas: DataFrame) -> DataFrame:
-    listed = lemmas.select("token", "lemma").toArrow()
-    shared = docs.sparkSession.sparkContext.broadcast(
-        (listed.column("token").to_pylist(), listed.column("lemma").to_pylist())
-    )
-    carried = [c for c in docs.columns if c != "tokens"]
+def look_up(docs: DataFrame, lemmas: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """Replace tokens by ``lemma``, or remove them where it is null, inside the row.
 
+    The dictionary is cut into blocks of at most ``block_bytes`` or so, each of them broadcast, and the
+    documents flow through one ``mapInArrow`` per block, ``STAGED_BLOCKS`` of them in a stage. So tokens are never shuffled, keep their
+    order, and the plan is the same for a dictionary of any size; its size sets the number of blocks.
+    A token of the input is looked up once: what one block replaced, the next leaves alone.
+    """
+    listed = lemmas.select("token", "lemma").where(F.col("token").isNotNull())
+    width = F.octet_length("token") + F.coalesce(F.octet_length("lemma"), F.lit(0)) + 8
+    total = listed.agg(F.sum(width)).first()[0] or 0
+    blocks = math.ceil(2 * total / block_bytes)  # half full on average: an uneven share fits
+    part = F.pmod(F.xxhash64("token"), F.lit(max(1, blocks)))
+    context = docs.sparkSession.sparkContext
+    carried = [c for c in docs.columns if c != "tokens"]
+    kept = [docs.schema[c] for c in carried]
+    words = T.ArrayType(T.StringType())
+    schema = T.StructType([*kept, T.StructField("tokens", words), T.StructField("_done", words)])
+    out = docs.select(*carried, "tokens", F.lit(None).cast(words).alias("_done"))
+    for k in range(blocks):
+        block = listed.where(part == k).toArrow()
+        shared = context.broadcast(
+            (block.column("token").to_pylist(), block.column("lemma").to_pylist())
+        )
+        out = out.mapInArrow(_block_lookup(shared, carried), schema)
+        if k % STAGED_BLOCKS == STAGED_BLOCKS - 1 and k + 1 < blocks:
+            out = staged(out)
+    # ``_done`` has the replaced tokens where they differ, null for tokens to remove.
+    found = F.filter(F.coalesce("_done", "tokens"), lambda t: t.isNotNull())
+    return out.withColumn("tokens", found).select(*docs.columns)
+
+
+def _block_lookup(shared, carried: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, replacements = (pa.array(values, pa.string()) for values in shared.value)
         for batch in batches:
-            lists = batch.column("tokens")
+            lists, done = batch.column("tokens"), batch.column("_done")
             flat = lists.flatten()
-            lemma = replacements.take(pc.index_in(flat, value_set=tokens))
+            before = done.flatten() if not done.null_count else flat
+            at = pc.index_in(flat, value_set=tokens)
+            after = pc.if_else(at.is_valid(), replacements.take(at), before)
             ends = np.r_[0, np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))]
-            replaced = pa.ListArray.from_arrays(
-                pa.array(ends, pa.int32()), pc.coalesce(lemma, flat)
-            )
+            replaced = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), after)
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in carried), replaced], [*carried, "tokens"]
+                [*(batch.column(c) for c in carried), lists, replaced], [*carried, "tokens", "_done"]
             )
 
-    schema = T.StructType(
-        [*(docs.schema[c] for c in carried), T.StructField("tokens", T.ArrayType(T.StringType()))]
-    )
-    return docs.select(*carried, "tokens").mapInArrow(run, schema)
+    return run
 
 
 Annotator = Callable[[str], list[str]]

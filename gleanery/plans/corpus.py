@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gleanery.operators.concepts import concept_names, concept_report
 from gleanery.operators.lemmas import derive_lemmas, distinct_tokens
@@ -12,13 +14,15 @@ from gleanery.operators.lsa import LsaModel, fit_lsa, singular_value_report
 from gleanery.operators.search import parse_queries, search
 from gleanery.operators.tokens import tokenize_lemma, tokenize_pattern
 from gleanery.session import staged
-from gleanery.sinks.model_store import load_model, model_path, save_model
-from gleanery.sources.articles import read_articles
+from gleanery.sinks.model_store import check_free, load_model, model_path, save_model
+from gleanery.sources.articles import as_documents, extract_articles, read_files
 from gleanery.sources.stopwords import read_stop_words
 from gleanery.functions.text import surface_tokens
 
-# Defaults of the job.
+# Defaults of the job and the query it tries out.
 SAMPLE, NUM_TERMS, CONCEPTS = 0.01, 5000, 25
+TRIAL_QUERY = "serious incident"
+SHOWN_ROWS = 5
 LEMMA, PATTERN = "lemma", "pattern"
 
 
@@ -29,6 +33,9 @@ class CorpusReport:
     singular_values: DataFrame
     concepts: DataFrame
     names: DataFrame
+    counts: DataFrame
+    preview: DataFrame
+    trial: DataFrame
 
 
 def tokenize(
@@ -57,15 +64,42 @@ def run_corpus(
     lemmas: DataFrame | None = None,
     seed: int = 1,
 ) -> CorpusReport:
-    docs = read_articles(spark, articles, sample, seed)
-    tokens = staged(tokenize(docs, variant, read_stop_words(spark, stop_words), lemmas))
     path = model_path(out, variant, num_terms, k)
-    fitted = fit_lsa(tokens, num_terms, k)
-    save_model(fitted, path)
-    fitted.release()
+    check_free(spark, path)
+    files = read_files(spark, articles, sample, seed)
+    docs = as_documents(extract_articles(files))
+    tokens = staged(tokenize(docs, variant, read_stop_words(spark, stop_words), lemmas))
+    save_model(fit_lsa(tokens, num_terms, k), path)
     model = load_model(spark, path)
     report = concept_report(model)
-    return CorpusReport(model, path, singular_value_report(model), report, concept_names(report))
+    return CorpusReport(
+        model,
+        path,
+        singular_value_report(model),
+        report,
+        concept_names(report),
+        corpus_counts(files, tokens, model),
+        docs.limit(SHOWN_ROWS),
+        search(model, parse_queries(spark, TRIAL_QUERY)),
+    )
+
+
+def corpus_counts(files: DataFrame | None, tokens: DataFrame, model: LsaModel) -> DataFrame:
+    """(what, n): files, documents, documents with tokens, tokens, and vectors of the model."""
+    size = F.size("tokens")
+    documents = tokens.agg(
+        F.count("*").alias("documents"),
+        F.count(F.when(size > 0, 1)).alias("documents_with_tokens"),
+        F.coalesce(F.sum(size), F.lit(0)).cast("long").alias("tokens"),
+    )
+    parts = [documents, model.doc_factors.agg(F.count("*").alias("vectors"))]
+    if files is not None:
+        parts.append(files.agg(F.count("*").alias("files")))
+    rows = [
+        part.select(F.explode(F.create_map(*[x for c in part.columns for x in (F.lit(c), F.col(c))])).alias("what", "n"))
+        for part in parts
+    ]
+    return reduce(DataFrame.unionByName, rows)
 
 
 def run_search(spark: SparkSession, path: str, queries: str, n: int = 10) -> DataFrame:

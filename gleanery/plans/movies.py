@@ -10,9 +10,9 @@ from gleanery.operators.concepts import concept_docs, concept_terms
 from gleanery.operators.genres import first_genres
 from gleanery.operators.lsa import LsaModel, fit_lsa
 from gleanery.operators.search import parse_queries, search
-from gleanery.plans.corpus import LEMMA, tokenize
+from gleanery.plans.corpus import LEMMA, SHOWN_ROWS, corpus_counts, tokenize
 from gleanery.session import staged
-from gleanery.sinks.model_store import load_model, save_model
+from gleanery.sinks.model_store import check_free, load_model, save_model
 from gleanery.sources.movies import read_movies
 from gleanery.sources.stopwords import read_stop_words
 
@@ -30,6 +30,8 @@ class MovieReport:
     concept_terms: DataFrame
     concept_docs: DataFrame
     hits: DataFrame
+    counts: DataFrame
+    preview: DataFrame
 
 
 def run_movies(
@@ -42,15 +44,16 @@ def run_movies(
     k: int = CONCEPTS,
     queries: str = QUERIES,
 ) -> MovieReport:
-    docs = read_movies(spark, movies)
+    check_free(spark, out)
+    docs = staged(read_movies(spark, movies))
     tokens = staged(tokenize(docs, LEMMA, read_stop_words(spark, stop_words), lemmas))
-    fitted = fit_lsa(tokens, num_terms, k)
-    save_model(fitted, out)
-    fitted.release()
+    save_model(fit_lsa(tokens, num_terms, k), out)
     model = load_model(spark, out)
     return MovieReport(
         model,
         concept_terms(model),
         first_genres(concept_docs(model)),
         search(model, parse_queries(spark, queries)),
+        corpus_counts(None, tokens, model),
+        docs.limit(SHOWN_ROWS),
     )

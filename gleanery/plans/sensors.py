@@ -8,15 +8,14 @@ from dataclasses import dataclass
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
-from gleanery.functions.sampling import sample_by_key
 from gleanery.operators.outliers import (
     assign_sweep,
     center_report,
     cluster_profile,
     cluster_sizes,
     elbow,
+    fit_sweep,
     standardize,
-    sweep_kmeans,
     top_outliers,
 )
 from gleanery.sinks.exports import export_samples
@@ -54,11 +53,12 @@ def run_sensors(
         StorageLevel.MEMORY_AND_DISK
     )
     readings = points.count()
-    centers = sweep_kmeans(points, features, ks, seed=seed)
+    centers = fit_sweep(points, features, ks, seed=seed)
     profile = cluster_profile(points, features, centers).persist()
     keep = ["runId", *SENSORS]
     if out is not None:
-        sample = sample_by_key(points, keep, EXPORT_FRACTION, seed)
+        # By row: readings repeat values, so a draw by value would take or leave them together.
+        sample = points.sample(False, EXPORT_FRACTION, seed)
         export_samples(assign_sweep(sample, features, centers, SENSORS), out, SENSORS)
     return SensorReport(
         readings=readings,

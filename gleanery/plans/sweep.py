@@ -6,18 +6,10 @@ import time
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
-from gleanery.operators.lsa import (
-    MAX_GRAM_TERMS,
-    factor_tables,
-    factors_from_gram,
-    gram_matrix,
-    total_energy,
-    truncated_svd,
-)
-from gleanery.operators.terms import collect_vocabulary, sparse_rows, tfidf_vectors
+from gleanery.operators.lsa import factor_tables, tfidf_rows, total_energy, truncated_svd
+from gleanery.operators.terms import collect_vocabulary, sparse_rows
 from gleanery.plans.corpus import LEMMA, PATTERN, tokenize
 from gleanery.session import staged
 from gleanery.sinks.model_store import model_path, save_model
@@ -36,44 +28,39 @@ def sweep_lsa(
     concepts: Sequence[int] = CONCEPTS,
     out: str | None = None,
 ) -> DataFrame:
-    """(variant, num_terms, k, rank, energy, share, seconds), one row per model.
+    """(variant, num_terms, k, rank, energy, share, seconds, token_seconds), a row per model.
 
-    Documents are tokenised once per variant. A smaller vocabulary is the head of a
-    larger one, so one Gram matrix serves all sizes it covers, and one decomposition
-    of the largest k serves every smaller k.
+    Documents are tokenised once per variant, a smaller vocabulary is the head of a larger one, and one
+    decomposition of the largest k serves every smaller k. ``seconds`` of a row are those of its
+    vocabulary's weights and decomposition plus those of storing its own model; what the
+    variant's tokens took is in the rows' ``token_seconds``.
     """
     results = []
     for variant in variants:
+        started = time.monotonic()
         tokens = staged(tokenize(docs, variant, stop_words, lemmas))
+        token_seconds = time.monotonic() - started
         full = collect_vocabulary(tokens, max(num_terms))
-        covered = [min(n, len(full.terms)) for n in num_terms if n <= MAX_GRAM_TERMS]
-        gram = None
-        if covered:
-            vocab = full.first(max(covered))
-            gram = gram_matrix(tfidf_vectors(tokens, vocab))
         for asked in num_terms:
             started = time.monotonic()
             vocab = full.first(asked)
-            size = len(vocab.terms)
-            vectors = tfidf_vectors(tokens, vocab).persist(StorageLevel.MEMORY_AND_DISK)
-            if gram is not None and size <= len(gram):
-                sigma, v = factors_from_gram(gram[:size, :size], max(concepts))
-                total = float(np.trace(gram[:size, :size]))
-            else:
-                sigma, v = truncated_svd(vectors, size, max(concepts))
-                total = total_energy(sparse_rows(vectors))
+            vectors = tfidf_rows(tokens, vocab)
+            sigma, v = truncated_svd(vectors, len(vocab.terms), max(concepts))
+            total = total_energy(sparse_rows(vectors))
+            shared = time.monotonic() - started
             for k in concepts:
+                started = time.monotonic()
                 if out is not None:
                     model = factor_tables(sparse_rows(vectors), vocab, sigma[:k], v[:, :k])
                     save_model(model, model_path(out, variant, asked, k))
                 energy = float(np.sum(sigma[:k] ** 2))
+                own = time.monotonic() - started
                 results.append(
-                    (variant, asked, k, min(k, len(sigma)), energy,
-                     energy / total, time.monotonic() - started)
+                    (variant, asked, k, min(k, len(sigma)), energy, energy / total,
+                     shared + own, token_seconds)
                 )
-            vectors.unpersist()
     return docs.sparkSession.createDataFrame(
         results,
         "variant string, num_terms int, k int, rank int, energy double, share double, "
-        "seconds double",
+        "seconds double, token_seconds double",
     )

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 import numpy as np
@@ -20,7 +19,7 @@ from gleanery.functions.text import (
 from gleanery.operators import concepts, genres, lemmas, lsa, outliers, search, terms, tokens
 from gleanery.plans.corpus import LEMMA, PATTERN, tokenize
 from gleanery.plans.sweep import sweep_lsa
-from gleanery.session import checkpoint_dir, local_table, spread, staged
+from gleanery.session import local_table, scratch_folder, spread, staged
 from gleanery.sinks.exports import cluster_rows, export_samples, sample_means, sample_outliers
 from gleanery.sinks.model_store import load_model, model_path, save_model
 from gleanery.sources.articles import extract_articles
@@ -38,6 +37,8 @@ CLUSTER_COUNTS = range(2, 13)
 LLOYD_PASSES = 3
 SAMPLE_FRACTION = 0.2
 SAMPLE_SEED = 1
+#: Centres move less than this after the last iteration of a fit (z-scores).
+KMEANS_GAP = 0.05
 
 
 def fixed_centers(k: int) -> list[tuple[float, float, float]]:
@@ -49,10 +50,6 @@ def fixed_centers(k: int) -> list[tuple[float, float, float]]:
 FIXED = {k: fixed_centers(k) for k in CLUSTER_COUNTS}
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    return f"{checkpoint_dir(spark)}/gleanery/{name}-{uuid.uuid4().hex}"
-
-
 def documents(spark: SparkSession, sf: str) -> DataFrame:
     """Corpus (doc_id, title, genre, text): the source stands for the title, the language
     for the genre."""
@@ -66,7 +63,7 @@ def pattern_docs(spark: SparkSession, sf: str) -> DataFrame:
     return tokens.tokenize_pattern(documents(spark, sf), read_stop_words(spark))
 
 
-def lemma_table(spark: SparkSession, sf: str) -> DataFrame:
+def lemma_dictionary(spark: SparkSession, sf: str) -> DataFrame:
     surface = documents(spark, sf).select(surface_tokens(F.col("text")).alias("tokens"))
     return lemmas.derive_lemmas(staged(lemmas.distinct_tokens(surface)))
 
@@ -148,8 +145,13 @@ def stop_word_list(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def movie_scan(spark: SparkSession, sf: str) -> DataFrame:
-    path = scratch(spark, "movies")
-    docs = documents(spark, sf)
+    movies = read_movies(spark, movie_file(spark, documents(spark, sf)))
+    return movies.select("title", "genre", F.md5("text").alias("plot_md5"))
+
+
+def movie_file(spark: SparkSession, docs: DataFrame) -> str:
+    """Documents written as a movie file."""
+    path = scratch_folder(spark, "movies")
     named = {"Title": "title", "Genre": "genre", "Plot": "text", "Wiki Page": "doc_id"}
     rows = docs.select(
         *[
@@ -161,11 +163,31 @@ def movie_scan(spark: SparkSession, sf: str) -> DataFrame:
         header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False,
         ignoreTrailingWhiteSpace=False,
     ).csv(path)
-    return read_movies(spark, path).select("title", "genre", F.md5("text").alias("plot_md5"))
+    return path
+
+
+def movie_duplicates(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document twice in a movie file: ids, token and term counts of the equal rows."""
+    docs = documents(spark, sf)
+    movies = staged(read_movies(spark, movie_file(spark, docs.unionAll(docs))))
+    found = tokens.tokenize_pattern(movies.withColumn("md5", F.md5("text")), read_stop_words(spark))
+    counted = terms.term_frequencies(found).groupBy("doc_id").agg(
+        F.max("doc_len").alias("doc_len"), F.sum("tf").alias("tf")
+    )
+    return (
+        found.join(counted, "doc_id", "left")
+        .groupBy("title", "genre", "md5")
+        .agg(
+            F.count("*").alias("rows"),
+            F.countDistinct("doc_id").alias("ids"),
+            F.coalesce(F.max("doc_len"), F.lit(0)).alias("doc_len"),
+            F.coalesce(F.sum("tf"), F.lit(0)).alias("terms"),
+        )
+    )
 
 
 def sensor_scan(spark: SparkSession, sf: str) -> DataFrame:
-    path = scratch(spark, "runs")
+    path = scratch_folder(spark, "runs")
     rows = read_table(spark, sf, "lineitem").select("l_linenumber", *SENSOR_COLUMNS)
     rows.write.partitionBy("l_linenumber").csv(path)
     return read_runs(spark, f"{path}/*", r"l_linenumber=(\d+)/")
@@ -257,6 +279,27 @@ def term_energy(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(lsa.term_energy(full_rank_model(spark, sf)), 6, "energy")
 
 
+def svd_invariants(spark: SparkSession, sf: str) -> DataFrame:
+    """At full rank: the sum of sigma**4, which is that of the squared Gram entries, and the largest
+    deviations of V'V from the identity and of each concept's length |Av| from its sigma."""
+    model = full_rank_model(spark, sf)
+    sigma = F.col("sigma")
+    powers = model.singular_values.agg(F.round(F.sum(sigma * sigma * sigma * sigma), 5).alias("sigma4"))
+    entries = model.term_factors.select("term_id", F.posexplode("v").alias("i", "x"))
+    other = entries.toDF("term_id", "j", "y")
+    products = entries.join(other, "term_id").groupBy("i", "j").agg(F.sum(F.col("x") * F.col("y")).alias("p"))
+    unit = F.when(F.col("i") == F.col("j"), 1.0).otherwise(0.0)
+    orthogonal = products.agg((F.max(F.abs(F.col("p") - unit)) < 1e-8).alias("orthogonal"))
+    lengths = (
+        model.doc_factors.select(F.posexplode("us").alias("concept", "u"))
+        .groupBy("concept")
+        .agg(F.sqrt(F.sum(F.col("u") * F.col("u"))).alias("length"))
+        .join(model.singular_values, "concept")
+        .agg((F.max(F.abs(F.col("length") - sigma)) < 1e-8).alias("scaled"))
+    )
+    return powers.crossJoin(orthogonal).crossJoin(lengths)  # one row each
+
+
 def singular_values(spark: SparkSession, sf: str) -> DataFrame:
     return lsa.singular_value_report(reduced_model(spark, sf))
 
@@ -277,7 +320,16 @@ def lsa_sweep(spark: SparkSession, sf: str) -> DataFrame:
     return sweep_lsa(
         documents(spark, sf), read_stop_words(spark), variants=(LEMMA, PATTERN),
         num_terms=(100, 200), concepts=(5, 10, 25),
-    ).drop("seconds")
+    ).drop("seconds", "token_seconds")
+
+
+def lsa_sweep_full(spark: SparkSession, sf: str) -> DataFrame:
+    """At full rank the energy of a model is that of its weights."""
+    found = sweep_lsa(
+        documents(spark, sf), read_stop_words(spark), variants=(PATTERN,), num_terms=(30, FULL_RANK),
+        concepts=(FULL_RANK,),
+    )
+    return rounded(found.select("variant", "num_terms", "energy", "share"), 6, "energy", "share")
 
 
 # --- search --------------------------------------------------------------------
@@ -300,7 +352,7 @@ def keyword_search_reduced(spark: SparkSession, sf: str) -> DataFrame:
 
 def model_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     model = full_rank_model(spark, sf)
-    path = model_path(scratch(spark, "model"), PATTERN, FULL_RANK, FULL_RANK)
+    path = model_path(scratch_folder(spark, "model"), PATTERN, FULL_RANK, FULL_RANK)
     save_model(model, path)
     return search.search(load_model(spark, path), benchmark_queries(spark, sf))
 
@@ -314,16 +366,20 @@ def query_terms(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def title_lookup(spark: SparkSession, sf: str) -> DataFrame:
-    hits = read_table(spark, sf, "labels").select("doc_id", "quality")
-    good = documents(spark, sf).filter(F.col("genre") != "en")
-    return genres.with_titles(hits, good)
+    """Titles of all documents named by the events; events name other ids, too."""
+    hits = read_table(spark, sf, "events").select("event_id", F.col("user_id").alias("doc_id"))
+    return genres.with_titles(hits, documents(spark, sf))
 
 
 def genre_lookup(spark: SparkSession, sf: str) -> DataFrame:
-    docs = documents(spark, sf)
-    by_title = genres.genre_by_title(docs.filter(F.col("genre") != "en"))
-    turns = read_table(spark, sf, "labels").join(docs.select("doc_id", "title"), "doc_id")
-    return genres.with_genres(turns.select("doc_id", "title"), by_title)
+    """Genres by title of pages: each takes the title of the source of its number, of which some
+    are no document's."""
+    by_title = genres.genre_by_title(documents(spark, sf))
+    number = F.pmod("page_id", F.lit(25)).cast("string")
+    pages = read_table(spark, sf, "pages").select(
+        F.col("page_id").alias("doc_id"), F.concat(F.lit("src"), number).alias("title")
+    )
+    return genres.with_genres(pages, by_title)
 
 
 def genre_top5(spark: SparkSession, sf: str) -> DataFrame:
@@ -376,7 +432,7 @@ def elbow(spark: SparkSession, sf: str) -> DataFrame:
 
 def _fitted(spark: SparkSession, sf: str) -> tuple[DataFrame, dict]:
     standard = cached_points(spark, sf)
-    return standard, outliers.sweep_kmeans(standard, FEATURES, CLUSTER_COUNTS)
+    return standard, outliers.fit_sweep(standard, FEATURES, CLUSTER_COUNTS)
 
 
 def kmeans_sweep(spark: SparkSession, sf: str) -> DataFrame:
@@ -392,16 +448,18 @@ def kmeans_outliers(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def kmeans_partition(spark: SparkSession, sf: str) -> DataFrame:
-    """Every fit covers all readings and its centres are the means of their points."""
+    """Per k: readings covered, centres with points, and whether every centre is the mean of the
+    points nearest to it (so that no point has a nearer other centre's mean to go to)."""
     standard, centers = _fitted(spark, sf)
-    profile = outliers.cluster_profile(standard, FEATURES, centers)
-    return profile.groupBy("k").agg(
-        F.sum("size").cast("long").alias("readings"), F.count("*").alias("clusters")
+    checks = outliers.center_checks(standard, FEATURES, centers)
+    return checks.select(
+        "k", F.col("points").alias("readings"), "clusters",
+        (F.col("largest_gap") < KMEANS_GAP).alias("settled"),
     )
 
 
 def _exported(spark: SparkSession, sf: str) -> DataFrame:
-    path = scratch(spark, "samples")
+    path = scratch_folder(spark, "samples")
     sample = sample_by_key(points(spark, sf), ROW_KEYS, SAMPLE_FRACTION, SAMPLE_SEED)
     assigned = outliers.assign_sweep(sample, FEATURES, FIXED, SENSOR_COLUMNS)
     names = ["sensor1", "sensor2", "sensor3"]
@@ -425,15 +483,15 @@ def sample_cluster_rows(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        article_extract, page_header, run_id_extract, stop_word_list, movie_scan, sensor_scan,
+        article_extract, page_header, run_id_extract, stop_word_list, movie_scan, movie_duplicates,
+        lemma_dictionary, sensor_scan,
         sample_key, corpus_stats, stopword_filter, tokenize_regex, tokenize_lemma,
         sentence_counts, term_freq, doc_length, doc_freq, vocab_top, tfidf_weights, tfidf_join,
-        gram_matrix, svd_energy, document_energy, term_energy, singular_values, concept_terms,
-        concept_docs, concept_report, lsa_sweep, keyword_search_exact, keyword_search_lsa,
+        gram_matrix, svd_energy, svd_invariants, document_energy, term_energy, singular_values, concept_terms,
+        concept_docs, concept_report, lsa_sweep, lsa_sweep_full, keyword_search_exact, keyword_search_lsa,
         keyword_search_reduced, model_roundtrip, query_terms, title_lookup, genre_lookup,
         genre_top5, column_stats, zscore, assign_distance, lloyd_step, lloyd_sweep, outliers_top25,
         cluster_sizes, elbow, kmeans_sweep, kmeans_outliers, kmeans_partition, cluster_sample,
         sample_outlier_rows, sample_cluster_rows,
     )
 }
-QUERIES["lemma_dictionary"] = lemma_table

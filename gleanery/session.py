@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
+import uuid
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -32,16 +34,35 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(configured)
         return configured
-    if not sc.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", sc.master):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="gleanery-"))
     return sc.getCheckpointDir()
 
 
+def scratch_folder(spark: SparkSession, kind: str) -> str:
+    """A new folder name in the shared folder, below one for each application."""
+    return f"{_scratch_root(spark)}/{kind}-{uuid.uuid4().hex}"
+
+
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/gleanery-{spark.sparkContext.applicationId}"
+
+
 def staged(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared folder so that a lost executor costs a re-read only."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` once to the shared folder so that a lost executor costs a re-read only.
+
+    An eager ``checkpoint`` would run the plan twice, once to count and once to save.
+    """
+    path = scratch_folder(df.sparkSession, "stage")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete what this application has staged. Tables read from it are gone, too."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(root, True)
 
 
 def fits(df: DataFrame, max_rows: int, max_bytes: int = 64 << 20) -> bool:
@@ -63,13 +84,15 @@ def local_table(spark: SparkSession, **columns: pa.Array) -> DataFrame:
     return spark.createDataFrame(pa.table(columns))
 
 
+SPREAD = "spark.gleanery.spread"
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash a table with too few scan tasks over the cores; larger tables pass through.
+    """Hash a table over the cores if the session sets ``spark.gleanery.spread`` to ``true``.
 
-    A single file may also hold one row group only, which one task reads whatever the
-    number of splits. Hashing on ``key`` serves a later grouping by it.
+    For tables of a single file, which one task would read whatever the number of cores; a table of
+    many files has its tasks already and should not be shuffled.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    splits = df.rdd.getNumPartitions()
-    few = splits < cores or (splits < 8 * cores and len(df.inputFiles()) == 1)
-    return df.repartition(cores, key) if few else df
+    if df.sparkSession.conf.get(SPREAD, "false") != "true":
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)

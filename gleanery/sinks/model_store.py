@@ -16,6 +16,7 @@ def model_path(root: str, variant: str, num_terms: int, k: int) -> str:
 def save_model(model: LsaModel, path: str, mode: str = "error") -> None:
     """Every document keeps its id and title beside its factors."""
     spark = model.doc_factors.sparkSession
+    check_free(spark, path, mode)
     model.doc_factors.write.mode(mode).parquet(f"{path}/doc_factors")
     model.term_factors.write.mode(mode).parquet(f"{path}/term_factors")
     model.singular_values.write.mode(mode).parquet(f"{path}/singular_values")
@@ -25,6 +26,14 @@ def save_model(model: LsaModel, path: str, mode: str = "error") -> None:
     )
 
 
+def check_free(spark: SparkSession, path: str, mode: str = "error") -> None:
+    """Refuse a taken path before any work is done for it."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if mode in ("error", "errorifexists") and files.exists(target):
+        raise FileExistsError(f"there is a model at {path}")
+
+
 def load_model(spark: SparkSession, path: str) -> LsaModel:
     """Load a saved model; a missing table or a mismatch of its sizes is an error."""
     frames = {}
@@ -36,10 +45,11 @@ def load_model(spark: SparkSession, path: str) -> LsaModel:
     meta = frames["meta"].first()
     concepts = frames["singular_values"].count()
     terms = frames["term_factors"].count()
-    if (concepts, terms) != (meta["k"], meta["num_terms"]):
+    documents = frames["doc_factors"].count()
+    if (concepts, terms, documents) != (meta["k"], meta["num_terms"], meta["num_docs"]):
         raise ValueError(
-            f"model at {path} has {terms} terms and {concepts} concepts, "
-            f"its meta table says {meta['num_terms']} and {meta['k']}"
+            f"model at {path} has {documents} documents, {terms} terms and {concepts} concepts, "
+            f"its meta table says {meta['num_docs']}, {meta['num_terms']} and {meta['k']}"
         )
     return LsaModel(
         doc_factors=frames["doc_factors"],

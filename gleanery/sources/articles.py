@@ -56,8 +56,12 @@ def extract_articles(files: DataFrame) -> DataFrame:
 def read_articles(
     spark: SparkSession, glob: str, fraction: float = 1.0, seed: int = 1
 ) -> DataFrame:
-    """Documents (doc_id, title, text); the id is a hash of file path and position."""
-    articles = extract_articles(read_files(spark, glob, fraction, seed))
+    """Documents (doc_id, title, text) of article files."""
+    return as_documents(extract_articles(read_files(spark, glob, fraction, seed)))
+
+
+def as_documents(articles: DataFrame) -> DataFrame:
+    """(doc_id, title, text); the id is a hash of file path and position."""
     return articles.select(
         F.xxhash64("path", "position").alias("doc_id"), "title", F.col("content").alias("text")
     )

@@ -22,11 +22,15 @@ MOVIE_SCHEMA = T.StructType(
 
 
 def read_movies(spark: SparkSession, path: str) -> DataFrame:
-    """Documents (doc_id, title, genre, text); rows without a plot are dropped."""
+    """Documents (doc_id, title, genre, text); rows without a plot are dropped.
+
+    The id is the place of the row (file split and row), so equal rows are documents of their own. It
+    holds for one read of the same files; jobs stage what they derive from it.
+    """
     rows = spark.read.options(header=True, quote='"', escape='"', multiLine=True)
     movies = rows.schema(MOVIE_SCHEMA).csv(path)
     return movies.filter(F.col("Plot").isNotNull()).select(
-        F.xxhash64("Release Year", "Title", "Wiki Page", "Plot").alias("doc_id"),
+        F.monotonically_increasing_id().alias("doc_id"),
         F.col("Title").alias("title"),
         F.coalesce("Genre", F.lit("Unknown")).alias("genre"),
         F.col("Plot").alias("text"),

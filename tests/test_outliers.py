@@ -86,13 +86,15 @@ def test_all_points_equal(spark):
 
 
 def test_kmeans_sweep(cloud):
-    centers = outliers.sweep_kmeans(cloud, COLS, [2, 3, 5], max_iter=30)
+    centers = outliers.fit_sweep(cloud, COLS, [2, 3, 5])
     assert [len(centers[k]) for k in (2, 3, 5)] == [2, 3, 5]
     profile = outliers.cluster_profile(cloud, COLS, centers).collect()
     for k in centers:
         assert sum(r["size"] for r in profile if r.k == k) == 3000
     means = {r.k: r.mean_distance for r in outliers.elbow(outliers.cluster_profile(cloud, COLS, centers)).collect()}
     assert means[2] > means[3] > means[5]
+    for r in outliers.center_checks(cloud, COLS, centers).collect():
+        assert (r.points, r.clusters) == (3000, r.k) and r.largest_gap < 1e-2
     settled = outliers.fit_kmeans(cloud, COLS, 3, max_iter=100)
     moved = {r.cluster: [r[c] for c in COLS] for r in outliers.lloyd_step(cloud, COLS, settled).collect()}
     assert [moved[i] for i in range(3)] == [pytest.approx(c, abs=1e-2) for c in settled]
@@ -109,25 +111,19 @@ def test_shared_passes_match_single_fits(cloud):
         assert np.array(shared[k]) == pytest.approx(np.array(alone), abs=1e-9)
 
 
-def test_sweep_is_no_worse_than_single_fits(cloud):
-    sweep = outliers.sweep_kmeans(cloud, COLS, [2, 3, 4, 6])
-    single = {k: outliers.fit_kmeans(cloud, COLS, k) for k in sweep}
+def test_sweep_is_one_fit_for_every_k(cloud):
+    sweep = outliers.fit_sweep(cloud, COLS, [2, 4])
+    for k, centers in sweep.items():
+        alone = outliers.fit_kmeans(cloud, COLS, k)
+        assert np.array(centers) == pytest.approx(np.array(alone), abs=1e-9)
 
-    def means(centers):
-        profile = outliers.cluster_profile(cloud, COLS, centers)
-        return {r.k: r.mean_distance for r in outliers.elbow(profile).collect()}
 
-    ours, theirs = means(sweep), means(single)
-    assert all(ours[k] < 1.03 * theirs[k] for k in sweep)
-
-
-def test_merged_sums_and_empty_centres(cloud, monkeypatch):
+def test_empty_centres_stay(cloud):
     starts = {2: [(0, 0, 0), (99, 99, 99)], 3: [(-1, 0, 0), (1, 0, 0), (0, 2, 0)]}
-    few = outliers.lloyd_sweep(cloud, COLS, starts, max_iter=4)
-    assert few[2][1] == [99, 99, 99]
-    monkeypatch.setattr(outliers, "MAX_PARTIAL_ROWS", 0)
-    many = outliers.lloyd_sweep(cloud, COLS, starts, max_iter=4)
-    assert all(np.array(few[k]) == pytest.approx(np.array(many[k]), abs=1e-9) for k in starts)
+    one = outliers.lloyd_sweep(cloud, COLS, starts, max_iter=4)
+    assert one[2][1] == [99, 99, 99]
+    many = outliers.lloyd_sweep(cloud.repartition(9), COLS, starts, max_iter=4)
+    assert all(np.array(one[k]) == pytest.approx(np.array(many[k]), abs=1e-9) for k in starts)
 
 
 def test_export_and_rescan(spark, cloud, tmp_path):

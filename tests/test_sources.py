@@ -1,6 +1,6 @@
 import pytest
 
-from gleanery.functions.text import default_stop_words
+from gleanery.functions.text import STOP_WORDS
 from gleanery.sources.articles import extract_articles, read_articles, read_files
 from gleanery.sources.movies import read_movies
 from gleanery.sources.sensors import SENSORS, complete_readings, read_runs
@@ -61,7 +61,7 @@ def test_stop_words(spark, tmp_path):
     words = {r.word for r in read_stop_words(spark, str(path)).collect()}
     assert words == {"the", "its", "ours "}
     built_in = read_stop_words(spark)
-    assert built_in == default_stop_words() and len(built_in) == len(set(built_in)) == 214
+    assert built_in == STOP_WORDS and len(built_in) == len(set(built_in)) == 214
     assert {"aren't", "arent", "were", "wouldnt", "###"} <= set(built_in)
     assert not {"hell", "well", "ours"} & set(built_in)
 
@@ -135,13 +135,43 @@ def test_size_check(spark):
     assert fits(words, 100) and not fits(words, 99) and not fits(words, 100, max_bytes=50)
 
 
-def test_small_tables_are_spread_and_larger_ones_left_alone(spark, tmp_path):
-    from gleanery.session import spread
+def test_tables_are_spread_only_on_request(spark):
+    from gleanery.session import SPREAD, spread
 
-    spark.range(100).coalesce(1).write.parquet(str(tmp_path / "one"))
-    spark.range(100).repartition(9).write.parquet(str(tmp_path / "many"))
-    one = spark.read.parquet(str(tmp_path / "one"))
-    assert spread(one, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    with_splits = spark.read.parquet(str(tmp_path / "many"))
-    if with_splits.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism:
-        assert spread(with_splits, "id") is with_splits
+    one = spark.range(100).coalesce(1)
+    assert spread(one, "id") is one
+    spark.conf.set(SPREAD, "true")
+    try:
+        assert spread(one, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    finally:
+        spark.conf.unset(SPREAD)
+
+
+def test_staged_tables_run_once(spark):
+    from gleanery.session import staged
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    kept = staged(spark.range(50).mapInArrow(count, "id long"))
+    assert kept.count() == kept.count() == 50 and seen.value == 50
+
+
+def test_equal_movie_rows_are_documents_of_their_own(spark, tmp_path):
+    from gleanery.operators.terms import term_frequencies
+    from gleanery.operators.tokens import tokenize_pattern
+    from gleanery.sources.movies import read_movies
+
+    line = '1999,Same,X,D,C,"g",w,"dragon dragon castle dragons"'
+    head = "Release Year,Title,Origin/Ethnicity,Director,Cast,Genre,Wiki Page,Plot"
+    (tmp_path / "m.csv").write_text("\n".join([head, line, line]) + "\n")
+    docs = read_movies(spark, str(tmp_path / "m.csv"))
+    found = term_frequencies(tokenize_pattern(docs, [])).collect()
+    assert len({r.doc_id for r in found}) == 2
+    assert sorted((r.term, r.tf, r.doc_len) for r in found) == sorted(
+        [("dragon", 2, 4), ("castle", 1, 4), ("dragons", 1, 4)] * 2
+    )

@@ -4,7 +4,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from gleanery.operators import lemmas, terms, tokens
-from gleanery.operators import tokens as tokens_module
 
 SCHEMA = "doc_id long, title string, text string"
 
@@ -43,27 +42,31 @@ def test_letters_only_lemmas(spark):
     assert found[1:] == [[], []]
 
 
-def test_stop_word_table_beyond_the_inline_limit(spark, monkeypatch):
+def test_stop_words_as_a_table(spark):
     docs = docs_of(spark, "serious matter against matter", "against", "matter 123")
     words = spark.createDataFrame([("against",), ("123",)], "word string")
-    inline = token_lists(tokens.tokenize_pattern(docs, words))
-    monkeypatch.setattr(tokens_module, "MAX_INLINE_WORDS", 1)
-    joined = token_lists(tokens.tokenize_pattern(docs, words))
-    assert [sorted(t) for t in joined] == [sorted(t) for t in inline]
-    assert inline == [["serious", "matter", "matter"], [], ["matter"]]
-
-
-def test_lemma_join_beyond_the_shared_limit(spark, monkeypatch):
-    docs = docs_of(spark, "dogs and cats", "", None, "cats cats").withColumn("genre", F.lit("g"))
-    table = spark.createDataFrame([("dogs", "dog"), ("cats", "cat")], "token string, lemma string")
-    shared = tokens.tokenize_lemma(docs, ["and"], table)
-    assert "Exchange" not in shared._jdf.queryExecution().executedPlan().toString()
-    monkeypatch.setattr(tokens_module, "MAX_SHARED_LEMMAS", 1)
-    joined = tokens.tokenize_lemma(docs, ["and"], table)
-    want = [["cat", "dog"], [], [], ["cat", "cat"]]
-    assert [sorted(t) for t in token_lists(shared)] == want
-    assert [sorted(t) for t in token_lists(joined)] == want
-    assert {r.genre for r in shared.collect()} == {"g"}
+    listed = token_lists(tokens.tokenize_pattern(docs, ["against", "123"]))
+    assert token_lists(tokens.tokenize_pattern(docs, words)) == listed
+    assert listed == [["serious", "matter", "matter"], [], ["matter"]]
+
+
+def test_dictionary_of_any_size_keeps_order_and_rows(spark):
+    """One block or many: the same lists in the order of the text, without a shuffle."""
+    docs = docs_of(spark, "zetas and dogs cats zetas", "", None, "cats cats").withColumn("genre", F.lit("g"))
+    docs = docs.unionAll(docs.where("doc_id = 0"))
+    pairs = [("dogs", "cats"), ("cats", "cat"), ("zetas", "zeta"), ("unused", "x"), ("and", None)]
+    table = spark.createDataFrame(pairs, "token string, lemma string")
+    surface = docs.select("doc_id", "genre", tokens.surface_tokens(F.col("text")).alias("tokens"))
+    want = ["zeta cats cat zeta", "zeta cats cat zeta", "", "", "cat cat"]
+    for block_bytes in (1 << 20, 100, 20):
+        found = tokens.look_up(surface, table, block_bytes)
+        assert found.columns == ["doc_id", "genre", "tokens"]
+        assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+        assert [" ".join(r.tokens) for r in found.orderBy("doc_id").collect()] == want
+    lemmas = tokens.tokenize_lemma(docs, ["and"], table)
+    assert [" ".join(r.tokens) for r in lemmas.orderBy("doc_id").collect()] == want
+    unchanged = tokens.look_up(surface, table.limit(0)).orderBy("doc_id").collect()
+    assert unchanged[4].tokens == ["cats", "cats"]
 
 
 def test_annotator_runs_once_per_task(spark):
