@@ -43,7 +43,7 @@ def fit_trees(x: np.ndarray, y: np.ndarray, trees: int = TREES, depth: int = DEP
     rows, width = x.shape
     share = float(y.mean()) if rows else 0.5
     model = {"feature": [], "threshold": [], "leaf": [], "depth": depth}
-    if not 0 < share < 1:
+    if not rows or not 0 < share < 1:
         return model | {"start": None, "share": share}
     cuts = bin_edges(x)
     binned = np.stack([np.searchsorted(c, x[:, f], "left") for f, c in enumerate(cuts)], axis=1)
