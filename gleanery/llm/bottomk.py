@@ -10,14 +10,22 @@ A document's set are its word shingles. Documents are linked if their Jaccard si
    missing among 48 with a probability of about 1e-7 at J = 0.8. Sets up to k are listed whole, where a run is certain
    (of 2 for sets of up to 5, which are listed by 2, too). Single values would give lists as long as common
    shingles are frequent.
-3. Each list links its members to its first class (a star, not all pairs). Candidates are
-   checked for size, by the similarity estimated from the sketch of the union, which only rejects
-   what is ``MARGIN`` standard deviations below, and then exactly on the full sets.
-4. Lists whose members are in one component then are done. The members of the others are compared among each other by
-   an exact prefix filter: with shingles ordered by frequency among them, rarest first, two similar
-   sets share one of the first n - ceil(s n) + 1; pairs of one component are left out.
+3. Each list compares its members with its first class, its centre (a star, not all pairs). Pairs are
+   checked by the similarity estimated from the sketch of their union, which only rejects
+   what is many standard deviations below, and then exactly on the full sets.
+4. Lists whose members are in one component then are done. In the others, members of different components
+   are compared among each other by two exact prefix filters, with shingles ordered by frequency, rarest first:
 
-So no list, however long, is cut, and no group emits all its pairs unless they are candidates of different components.
+   * far from the centre (``prefix_pairs``): two similar sets share one of the first n - ceil(s n) + 1 shingles.
+   * near the centre (``delta_pairs``), where all members share nearly all shingles: sets are written as differences from the
+     centre c, D = c minus x (a of them) and x minus c (b). With f = (a + s b) / (1 + s) and t = |c| (1 - s) / (1 + s), x is
+     linked with c if f(x) <= t, and x with y if D(x) and D(y) have f(x) + f(y) - t in common or more. If y is not linked with c, that is more
+     than f(x), so one of the first |D(x)| - floor(f(x)) differences, mostly x's own words, is in D(y).
+
+   By the triangle inequality of the Jaccard distance, a linked pair of which one is within 2 (1 - s) of the centre has the
+   other one within 3 (1 - s), so each linked pair is in one of the two.
+
+No list, however long, is cut, and no group emits all its pairs.
 
 Defined results: null or empty text has the empty set and is linked with nothing; a text of fewer words
 than a shingle is one shingle as a whole; a row without doc_id is linked with nothing, its component_id is null
@@ -44,6 +52,9 @@ RUN = 3
 #: Sets this small are listed by runs of 2 as well: of 5 values in a union the middle one may differ.
 SMALL = 5
 MARGIN = 6.0
+#: Estimated share from which a pair with a centre is measured; below, the member counts as far from it. Members
+#: that must count as near have twice the similarity at least (see above), over four standard deviations more.
+STAR_SHARE = 0.1
 #: Document ids up to which the sets to be compared are picked by a broadcast.
 BROADCAST_IDS = 1_000_000
 
@@ -129,9 +140,9 @@ def _alike_sizes(similarity: float):
     return F.least("na", "nb") >= F.greatest("na", "nb") * F.lit(similarity - 1e-9)
 
 
-def estimated(pairs: DataFrame, classes: DataFrame, similarity: float, k: int = SKETCH) -> DataFrame:
-    """The pairs (a, b) whose similarity may be reached by the sketch of their union."""
-    low = similarity - MARGIN * math.sqrt(similarity * (1 - similarity) / k)
+def estimated(pairs: DataFrame, classes: DataFrame, low: float, exact: float, k: int = SKETCH) -> DataFrame:
+    """The pairs (a, b) whose share in the sketch of their union is ``low`` or more; ``exact`` where
+    the union has fewer than k values and the sketch is all of it."""
 
     def check(batches):
         for batch in batches:
@@ -141,8 +152,7 @@ def estimated(pairs: DataFrame, classes: DataFrame, similarity: float, k: int =
                 union = np.union1d(a, b)[:k]
                 both = np.intersect1d(a, b, assume_unique=True)
                 shared = int(np.searchsorted(both, union[-1], "right"))
-                # Below k values the union is whole and the share exact.
-                good.append(shared >= (low if len(union) == k else similarity - 1e-9) * len(union))
+                good.append(shared >= (low if len(union) == k else exact - 1e-9) * len(union))
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     own = classes.select("doc", "sketch")
@@ -165,51 +175,113 @@ def full_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     return given.mapInArrow(build, "doc long, set binary").dropDuplicates(["doc"])
 
 
-def verified(pairs: DataFrame, docs: DataFrame, words: int, similarity: float) -> DataFrame:
-    """The pairs (a, b) whose sets reach the similarity."""
+def measured(pairs: DataFrame, docs: DataFrame, words: int) -> DataFrame:
+    """a, b, na, nb and ``both``, the size of the intersection of the full sets."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
     sets = full_sets(docs, wanted, words)
-    percent = round(similarity * 100)
 
-    def check(batches):
+    def count(batches):
         for batch in batches:
-            good = []
+            sizes = []
             for x, y in zip(batch.column(2), batch.column(3)):
                 a, b = (np.frombuffer(s.as_buffer(), _U) for s in (x, y))
-                both = len(np.intersect1d(a, b, assume_unique=True))
-                good.append(100 * both >= percent * (len(a) + len(b) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+                sizes.append((len(a), len(b), len(np.intersect1d(a, b, assume_unique=True))))
+            found = np.array(sizes, np.int64).reshape(-1, 3)
+            columns = [pa.array(found[:, i]) for i in range(3)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *columns], ["a", "b", "na", "nb", "both"])
 
     sides = pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
-    return sides.select("a", "b", "sa", "sb").mapInArrow(check, "a long, b long")
+    return sides.select("a", "b", "sa", "sb").mapInArrow(count, "a long, b long, na long, nb long, both long")
 
 
-def star_pairs(lists: DataFrame, similarity: float) -> DataFrame:
-    """a, b: the first class of each list with every other one of like size."""
-    first = lists.groupBy("key").agg(F.min(F.struct("doc", "n")).alias("f"), F.count(F.lit(1)).alias("m")).where("m > 1")
-    pairs = lists.join(first, "key").select(
-        F.col("f.doc").alias("a"), F.col("f.n").alias("na"), F.col("doc").alias("b"), F.col("n").alias("nb")
-    )
-    return pairs.where((F.col("a") != F.col("b")) & _alike_sizes(similarity)).select("a", "b").distinct()
+def _reaches(percent: int):
+    return 100 * F.col("both") >= percent * (F.col("na") + F.col("nb") - F.col("both"))
 
 
-def unfinished(lists: DataFrame, labels: DataFrame) -> DataFrame:
-    """Distinct ``doc``, n and component of the members of lists that are in several components.
+def star_pairs(lists: DataFrame) -> DataFrame:
+    """a, b: the centre of each list (its first class) with every other member."""
+    first = lists.groupBy("key").agg(F.min("doc").alias("a"), F.count(F.lit(1)).alias("m")).where("m > 1")
+    pairs = lists.join(first, "key").select("a", F.col("doc").alias("b"))
+    return pairs.where("a <> b").distinct()
 
-    In a list of two classes the star has compared them."""
-    several = lists.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 2").select("key")
+
+def unfinished(lists: DataFrame, labels: DataFrame) -> DataFrame:
+    """Distinct (a, b, n, c): centre, member, its size and component, of the lists that are in several
+    components. In a list of two classes the star has compared them."""
+    several = lists.groupBy("key").agg(F.min("doc").alias("a"), F.count(F.lit(1)).alias("m")).where("m > 2")
     placed = (
         lists.join(several, "key")
         .join(labels, lists["doc"] == labels["node"], "left")
-        .select("key", "doc", "n", F.coalesce("component", "doc").alias("c"))
+        .select("key", "a", F.col("doc").alias("b"), "n", F.coalesce("component", "doc").alias("c"))
     )
     mixed = placed.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("key")
-    return placed.join(mixed, "key", "left_semi").select("doc", "n", "c").distinct()
+    return placed.join(mixed, "key", "left_semi").where("a <> b").select("a", "b", "n", "c").distinct()
 
 
-def prefix_pairs(rest: DataFrame, docs: DataFrame, words: int, similarity: float) -> DataFrame:
-    """a, b: pairs of ``rest`` in different components that share a shingle of their prefixes."""
-    sets = full_sets(docs, rest.select("doc"), words)
+def delta_pairs(near: DataFrame, docs: DataFrame, words: int, percent: int, inner: int) -> DataFrame:
+    """a, b: pairs of ``near`` (a, b, c, na, nb, both) around one centre and in different components whose
+    differences from it may have enough in common; one of the two is ``inner`` percent like the centre."""
+    sets = full_sets(docs, near.select(F.explode(F.array("a", "b")).alias("doc")).distinct(), words)
+
+    def differences(batches):
+        for batch in batches:
+            parts = [
+                np.setxor1d(*(np.frombuffer(s.as_buffer(), np.int64) for s in pair), assume_unique=True)
+                for pair in zip(batch.column(2), batch.column(3))
+            ]
+            at = pa.array(np.repeat(np.arange(len(parts)), [len(p) for p in parts]))
+            values = np.concatenate(parts) if parts else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(at), batch.column(1).take(at), pa.array(values)], ["a", "b", "token"]
+            )
+
+    sides = near.select("a", "b").join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
+    tokens = written(sides.select("a", "b", "sa", "sb").mapInArrow(differences, "a long, b long, token long"))
+    frequency = tokens.groupBy("a", "token").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
+    # Differences of one member only come first in the order but join with nothing: they just use up places.
+    ranked = tokens.join(frequency, ["a", "token"]).groupBy("a", "b").agg(
+        F.array_sort(F.collect_list(F.struct("f", "token"))).alias("t")
+    )
+    # f and t of the module's text, times 100 + percent.
+    lost, new = F.col("na") - F.col("both"), F.col("nb") - F.col("both")
+    own = near.join(ranked, ["a", "b"]).withColumns(
+        {
+            "d": lost + new,
+            "f": 100 * lost + percent * new,
+            "limit": (100 - percent) * F.col("na"),
+            "inner": _reaches(inner),
+        }
+    )
+    unit = 100 + percent
+    alone = F.col("d") - F.size("t")
+
+    def prefix(rows: DataFrame, places, side: str) -> DataFrame:
+        kept = rows.withColumn("places", (places - alone).cast("int")).where("places > 0")
+        token = F.posexplode(F.slice("t", F.lit(1), F.col("places"))["token"]).alias("i", "token")
+        names = {"b": side, "nb": f"n{side}", "c": f"c{side}", "inner": f"inner{side}", "f": f"f{side}"}
+        named = [F.col(k).alias(f"_{v}") for k, v in names.items()]
+        rest = (F.size("t") - F.col("i")).alias(f"_left{side}")  # differences from this one on
+        return kept.select("a", "limit", "t", *named, token).select("a", "limit", "token", rest, *[f"_{v}" for v in names.values()])
+
+    every = prefix(own, F.col("d") - F.floor(F.col("f") / unit), "x")
+    apart = own.where(F.col("f") > F.col("limit"))
+    unlinked = prefix(apart, F.col("d") - F.ceil((F.col("f") - F.col("limit")) / unit) + 1, "y")
+    # At the first common difference, so many are left at most on either side.
+    enough = F.least("_leftx", "_lefty") * unit >= F.col("_fx") + F.col("_fy") - F.col("limit")
+    joined = every.join(unlinked.drop("limit"), ["a", "token"]).where(
+        (F.col("_cx") != F.col("_cy")) & (F.col("_innerx") | F.col("_innery")) & enough
+    )
+    pairs = joined.select(
+        F.least("_x", "_y").alias("a"), F.greatest("_x", "_y").alias("b"), F.col("_nx").alias("na"), F.col("_ny").alias("nb")
+    )
+    return pairs.where(_alike_sizes(percent / 100)).select("a", "b").distinct()
+
+
+def prefix_pairs(far: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """a, b: pairs of ``far`` (a, b, n, c) around one centre and in different components that share a
+    shingle of their prefixes."""
+    members = far.select(F.col("b").alias("doc"), "n", "c").distinct()
+    sets = full_sets(docs, members.select("doc"), words)
 
     def explode(batches):
         for batch in batches:
@@ -221,17 +293,27 @@ def prefix_pairs(rest: DataFrame, docs: DataFrame, words: int, similarity: float
     tokens = written(sets.mapInArrow(explode, "doc long, token long"))
     frequency = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
     # Shingles of one document only come first in the order but join with nothing: they just use up places.
-    common = tokens.join(frequency, "token")
-    ranked = common.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("f", "token"))).alias("t"))
-    own = ranked.join(rest, "doc")
-    places = F.col("n") - F.ceil(F.col("n") * F.lit(similarity - 1e-9)) + 1 - (F.col("n") - F.size("t"))
+    ranked = tokens.join(frequency, "token").groupBy("doc").agg(
+        F.array_sort(F.collect_list(F.struct("f", "token"))).alias("t")
+    )
+    own = ranked.join(members, "doc")
+    places = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - (F.col("n") - F.size("t"))
     prefix = own.where(places > 0).select(
-        "doc", "n", "c", F.explode(F.slice("t", F.lit(1), places.cast("int"))["token"]).alias("token")
+        "doc", "n", "c", "t", F.posexplode(F.slice("t", F.lit(1), places.cast("int"))["token"]).alias("i", "token")
+    )
+    rows = prefix.select("doc", "n", "c", "token", (F.size("t") - F.col("i")).alias("left")).join(
+        far.select("a", F.col("b").alias("doc")).distinct(), "doc"
     )
-    left = prefix.select("token", F.col("doc").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca"))
-    right = prefix.select("token", F.col("doc").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"))
-    joined = left.join(right, "token").where((F.col("ca") < F.col("cb")) & _alike_sizes(similarity))
-    return joined.select("a", "b").distinct()
+    x = rows.select("a", "token", *[F.col(c).alias(f"_{c}x") for c in ("doc", "n", "c", "left")])
+    y = rows.select("a", "token", *[F.col(c).alias(f"_{c}y") for c in ("doc", "n", "c", "left")])
+    # At the first common shingle, so many are left at most on either side.
+    enough = F.least("_leftx", "_lefty") * (100 + percent) >= percent * (F.col("_nx") + F.col("_ny"))
+    joined = x.join(y, ["a", "token"]).where((F.col("_cx") < F.col("_cy")) & enough)
+    pairs = joined.select(
+        F.least("_docx", "_docy").alias("a"), F.greatest("_docx", "_docy").alias("b"),
+        F.col("_nx").alias("na"), F.col("_ny").alias("nb"),
+    )
+    return pairs.where(_alike_sizes(percent / 100)).select("a", "b").distinct()
 
 
 def near_duplicates(
@@ -239,6 +321,11 @@ def near_duplicates(
 ) -> DataFrame:
     """doc_id, n_shingles, class_id (smallest doc_id with the same set), component_id (smallest doc_id
     reachable) and kept (doc_id = component_id) of each document."""
+    percent = round(similarity * 100)
+    if not 75 <= percent <= 100:
+        raise ValueError("the search is built for similarities from 0.75 to 1")
+    inner, outer = max(0, 100 - 2 * (100 - percent)), max(0, 100 - 3 * (100 - percent))
+    low = similarity - MARGIN * math.sqrt(similarity * (1 - similarity) / k)
     sketched = written(sketches(docs, words, k))
     named = sketched.where(F.col("doc_id").isNotNull() & (F.col("n") > 0))
     first = named.groupBy("digest", "n").agg(F.min("doc_id").alias("doc"))
@@ -249,13 +336,18 @@ def near_duplicates(
     )
     classes = members.where(F.col("sketch").isNotNull()).dropDuplicates(["doc"])
     lists = inverted_lists(classes)
-    found = estimated(star_pairs(lists, similarity), classes, similarity, k)
-    links = written(verified(written(found), docs, words, similarity))
+    stars = written(measured(written(estimated(star_pairs(lists), classes, STAR_SHARE, STAR_SHARE, k)), docs, words))
+    links = stars.where(_reaches(percent)).select("a", "b")
     labels = components(links)
-    rest = written(unfinished(lists, labels))
+    rest = written(unfinished(lists, labels).join(stars.select("a", "b", "na", "both"), ["a", "b"], "left"))
     if not rest.isEmpty():
-        more = estimated(prefix_pairs(rest, docs, words, similarity), classes, similarity, k)
-        links = links.union(written(verified(written(more), docs, words, similarity)))
+        around = rest.withColumnRenamed("n", "nb").where("both IS NOT NULL")
+        near = around.where(_reaches(outer))
+        far = rest.withColumnRenamed("n", "nb").where(~F.coalesce(_reaches(inner), F.lit(False)))
+        far = far.select("a", "b", F.col("nb").alias("n"), "c")
+        more = delta_pairs(near, docs, words, percent, inner).union(prefix_pairs(far, docs, words, percent)).distinct()
+        likely = written(estimated(written(more), classes, low, similarity, k))
+        links = links.union(written(measured(likely, docs, words)).where(_reaches(percent)).select("a", "b"))
         labels = components(links)
     grouped = members.join(labels, members["doc"] == labels["node"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.col("doc").alias("class_id"),
