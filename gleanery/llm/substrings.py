@@ -4,7 +4,7 @@ A word goes if a window covers it whose word sequence also starts earlier (small
 document and earlier start). Documents are dealt once to pieces of about ``PIECE`` text bytes by a hash;
 that one exchange serves the three passes over the texts:
 
-1. count: each piece sends its distinct window hashes, cut to 40 bits, to the bucket of the hash. A bucket
+1. count: each piece sends its distinct window hashes, cut to 32 bits, to the bucket of the hash. A bucket
    answers each piece with the hashes that another piece has, too. Within a piece the hashes are
    distinct, so a passage that a third of all documents share is one value per piece, not one per document.
 2. place: windows whose short hash repeats (in the piece or elsewhere) are few. A piece sends the
@@ -36,8 +36,9 @@ WIDTH = 20
 #: Text bytes of a piece, and hash bytes of a bucket.
 PIECE = 8 << 20
 BUCKET = 8 << 20
-#: Bytes of a window hash in the first pass, besides the bucket.
-SHORT = 5
+#: Bytes of a window hash in the first pass, besides the bucket. A bucket holds some 2 million hashes at any size
+#: of the corpus, so one window in 2000 is sent to the second pass in vain.
+SHORT = 4
 
 _LAST = np.iinfo(np.int64).max
 _U = np.uint64
@@ -48,13 +49,11 @@ RESULT = "doc_id long, n_words long, n_removed long, spans array<array<int>>, ke
 
 
 def _short(values: np.ndarray) -> bytes:
-    return values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :SHORT].tobytes()
+    return values.astype("<u4").tobytes()
 
 
-def _long(data: bytes) -> np.ndarray:
-    out = np.zeros((len(data) // SHORT, 8), np.uint8)
-    out[:, :SHORT] = np.frombuffer(data, np.uint8).reshape(-1, SHORT)
-    return out.view("<u8").ravel()
+def _long(data: pa.Buffer) -> np.ndarray:
+    return np.frombuffer(data, "<u4")
 
 
 class _Piece:
@@ -101,15 +100,16 @@ def _buffers(messages: pa.Table) -> list[pa.Buffer]:
 def _counter(width: int, buckets: int):
     def count(table: pa.Table) -> pa.Table:
         piece = _Piece(table, width)
-        keys = np.unique(piece.a)
-        return _by_bucket(piece.number, _bucket(keys, buckets), lambda g: _short(keys[g]))
+        tags = np.unique(_tag(piece.a & _MASK, _bucket(piece.a, buckets)))
+        bucket = (tags >> _U(8 * SHORT)).astype(np.int64)
+        return _by_bucket(piece.number, bucket, lambda g: _short(tags[g] & _MASK))
 
     return count
 
 
 def _answer(table: pa.Table) -> pa.Table:
     """To each piece of a bucket, those of its hashes that another piece sent, too."""
-    sent = [np.unique(_long(x)) for x in _buffers(table)]
+    sent = [_long(x) for x in _buffers(table)]  # each distinct
     every = np.concatenate(sent)
     several = np.unique(every[repeated(every)])
     bucket = table["bucket"][0].as_py()
@@ -120,7 +120,7 @@ def _answer(table: pa.Table) -> pa.Table:
 
 def _tag(short: np.ndarray, bucket: np.ndarray) -> np.ndarray:
     """Short hash and bucket as one value."""
-    return short | (bucket.astype(np.uint64) << _U(8 * SHORT))
+    return short.astype(np.uint64) | (bucket.astype(np.uint64) << _U(8 * SHORT))
 
 
 def _placer(width: int, buckets: int):
