@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Text bytes that are held as numpy arrays at once (about 60 bytes of arrays for each).
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 19
 
 _CODES = np.arange(256)
 #: `[^\x20\x09-\x0D]+`
