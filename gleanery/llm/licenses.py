@@ -1,7 +1,10 @@
 """License scan: exact set-similarity join of text blocks with license templates.
 
-A block is a line of a document (split at \\n), as the set of its words; a template is the word set of
-a known notice. A block matches if it contains at least ``threshold`` of the template's words. With o
+A template is the word set of a known notice. By default a block is a line of a document (split at
+\\n), as the set of its words. With ``lines=False``, as in the query, line ends do not matter: a template of m
+words (with repeats) is sought in every run of ``span`` = m / threshold (rounded up) words of the document. Blocks then are runs of
+twice the longest span, one from each multiple of it, so that each run is whole in one of them; what the
+filters leave of them is decided in the runs themselves. A block matches if it contains at least ``threshold`` of the template's words. With o
 the least overlap a template of m words allows, all words are ordered by the number of blocks that
 have them, rarest first, and
 
@@ -100,13 +103,18 @@ def phrase_places(text: Column, phrases: dict[str, str] = PHRASES) -> Column:
 
 
 def template_table(spark: SparkSession, templates: list[tuple[str, str]], threshold: float) -> DataFrame:
-    """template, label, words (distinct) and the least overlap ``need`` of each template."""
+    """template, label, words (distinct), the least overlap ``need`` and the ``span`` of each template."""
     rows = []
     for i, (label, text) in enumerate(templates):
         words = sorted(set(words_of(text)))
         if words:
-            rows.append((i, label, words, max(1, math.ceil(threshold * len(words) - 1e-9))))
-    return spark.createDataFrame(rows, "template int, label string, words array<string>, need int")
+            rows.append((i, label, words, max(1, math.ceil(threshold * len(words) - 1e-9)), span_of(text, threshold)))
+    return spark.createDataFrame(rows, "template int, label string, words array<string>, need int, span int")
+
+
+def span_of(text: str, threshold: float) -> int:
+    """The length of the runs in which a template is sought."""
+    return math.ceil(len(words_of(text)) / threshold - 1e-9)
 
 
 def blocks(docs: DataFrame, vocabulary: list[str], least: int) -> DataFrame:
@@ -116,15 +124,45 @@ def blocks(docs: DataFrame, vocabulary: list[str], least: int) -> DataFrame:
     return lines.select("_key", tokens.alias("tokens")).where(F.size("tokens") >= least)
 
 
-def similar_blocks(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
-    """_key, label, containment of every (line, template) at or above the threshold."""
+def runs(docs: DataFrame, vocabulary: list[str], least: int, width: int) -> DataFrame:
+    """_key, ``tokens`` as in ``blocks`` and all words (``run``) of the blocks of 2 ``width`` words."""
+    words = docs.select(row_key(docs), split_words(F.translate("text", _UPPER, _LOWER)).alias("words"))
+    last = F.greatest(F.size("words") - width, F.lit(0))
+    # Outer: else Spark adds a filter that splits the text twice.
+    placed = words.select("_key", "words", F.explode_outer(F.sequence(F.lit(0), last, F.lit(width))).alias("at"))
+    run = F.slice("words", F.col("at") + 1, 2 * width)
+    tokens = F.array_intersect(run, F.array(*map(F.lit, vocabulary)))
+    return placed.select("_key", tokens.alias("tokens"), run.alias("run")).where(F.size("tokens") >= least)
+
+
+def best_overlap() -> Column:
+    """Most words of the template in one run of its span."""
+    starts = F.sequence(F.lit(1), F.greatest(F.size("run") - F.col("span") + 1, F.lit(1)))
+    return F.array_max(F.transform(starts, lambda p: F.size(F.array_intersect(F.slice("run", p, F.col("span")), F.col("words")))))
+
+
+def document_tokens(docs: DataFrame, vocabulary: list[str]) -> DataFrame:
+    tokens = F.array_intersect(split_words(F.translate("text", _UPPER, _LOWER)), F.array(*map(F.lit, vocabulary)))
+    return docs.select(F.explode_outer(tokens).alias("token")).where("token IS NOT NULL")
+
+
+def similar_blocks(
+    docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD, lines: bool = True
+) -> DataFrame:
+    """_key, label, containment of every (block, template) at or above the threshold."""
     spark = docs.sparkSession
     table = template_table(spark, templates, threshold)
     token_sets = [set(words_of(t)) for _, t in templates if words_of(t)]
     vocabulary = sorted(set().union(*token_sets)) or [""]
     least = min((math.ceil(threshold * len(t) - 1e-9) for t in token_sets), default=1)
-
-    counted = blocks(docs, vocabulary, 1).select(F.explode("tokens").alias("token")).groupBy("token").count()
+    width = max((span_of(t, threshold) for _, t in templates), default=1) or 1
+
+    # The order decides nothing but the speed: lines count or, in runs, documents.
+    if lines:
+        tokens = blocks(docs, vocabulary, 1).select(F.explode("tokens").alias("token"))
+    else:
+        tokens = document_tokens(docs, vocabulary)
+    counted = tokens.groupBy("token").count()
     known = spark.createDataFrame([(w,) for w in vocabulary], "token string")
     # One row per word of the templates.
     order = (
@@ -136,32 +174,44 @@ def similar_blocks(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES
     ordered = F.array(*[F.lit(row["token"]) for row in order])
     in_order = lambda words: F.array_intersect(ordered, words)  # noqa: E731  rarest first
 
-    index = table.select("template", "label", in_order(F.col("words")).alias("words"), "need").select(
-        "*", F.posexplode("words").alias("i", "token")
-    )
+    index = table.withColumn("words", in_order(F.col("words"))).select("*", F.posexplode("words").alias("i", "token"))
     index = index.where(F.col("i") <= F.size("words") - F.col("need"))
     if fits(index, BROADCAST_WORDS):
         index = F.broadcast(index)
-    probes = (
-        blocks(docs, vocabulary, least)
-        .select("_key", in_order(F.col("tokens")).alias("tokens"))
-        .select("*", F.posexplode("tokens").alias("j", "token"))
-    )
+    if lines:
+        found = blocks(docs, vocabulary, least)
+    else:
+        place = {row["token"]: i for i, row in enumerate(order)}
+        rarest = set()
+        for t in token_sets:
+            need = max(1, math.ceil(threshold * len(t) - 1e-9))
+            rarest.update(sorted(t, key=place.get)[: len(t) - need + 1])
+        found = runs(docs, vocabulary, least, width)
+        # Before blocks are exploded with their words: those without a word of any prefix join with nothing.
+        found = found.where(F.arrays_overlap("tokens", F.array(*map(F.lit, sorted(rarest) or [""]))))
+    probes = found.withColumn("tokens", in_order(F.col("tokens"))).select("*", F.posexplode("tokens").alias("j", "token"))
     bound = F.least(F.size("words") - F.col("i"), F.size("tokens") - F.col("j"))
     overlap = F.size(F.array_intersect("tokens", "words"))
-    return (
+    similar = (
         probes.join(index, "token")
         .where((F.size("tokens") >= F.col("need")) & (bound + F.col("i") >= F.col("need")))
         .where(overlap >= F.col("need"))
-        .select("_key", "label", (overlap / F.size("words")).alias("containment"))
     )
+    if lines:
+        return similar.select("_key", "label", (overlap / F.size("words")).alias("containment"))
+    # A pair meets once for each common word of the prefix.
+    pairs = similar.select("_key", "label", "words", "need", "span", "run").distinct()
+    best = pairs.select("_key", "label", "words", "need", best_overlap().alias("most")).where("most >= need")
+    return best.select("_key", "label", (F.col("most") / F.size("words")).alias("containment"))
 
 
-def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
+def scan(
+    docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD, lines: bool = True
+) -> DataFrame:
     """doc_id, n_words, the places of the phrases, base_labels, labels and score: 1 with a phrase,
     else the best containment of a matching block, else 0."""
     plain = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    found = similar_blocks(plain, templates, threshold)
+    found = similar_blocks(plain, templates, threshold, lines)
     by_doc = found.groupBy("_key").agg(
         F.collect_set("label").alias("similar"), F.max("containment").alias("containment")
     )

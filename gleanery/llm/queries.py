@@ -88,7 +88,7 @@ def op9_toxicity(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op10_licenses(spark: SparkSession, sf: str) -> DataFrame:
-    return licenses.scan(read_table(spark, sf, "documents"))
+    return licenses.scan(read_table(spark, sf, "documents"), lines=False)
 
 
 QUERIES = {
