@@ -4,7 +4,8 @@ A template is the word set of a known notice. By default a block is a line of a
 \\n), as the set of its words. With ``lines=False``, as in the query, line ends do not matter: a template of m
 words (with repeats) is sought in every run of ``span`` = m / threshold (rounded up) words of the document. Blocks then are runs of
 twice the longest span, one from each multiple of it, so that each run is whole in one of them; what the
-filters leave of them is decided in the runs themselves. A block matches if it contains at least ``threshold`` of the template's words. With o
+filters leave of them is decided in the runs themselves, where a template also needs the words that tell it from
+templates of other labels (``distinguished``). A block matches if it contains at least ``threshold`` of the template's words. With o
 the least overlap a template of m words allows, all words are ordered by the number of blocks that
 have them, rarest first, and
 
@@ -103,13 +104,29 @@ def phrase_places(text: Column, phrases: dict[str, str] = PHRASES) -> Column:
 
 
 def template_table(spark: SparkSession, templates: list[tuple[str, str]], threshold: float) -> DataFrame:
-    """template, label, words (distinct), the least overlap ``need`` and the ``span`` of each template."""
+    """template, label, words (distinct), the least overlap ``need``, the ``span`` and what ``distinguished``
+    says of each template."""
     rows = []
     for i, (label, text) in enumerate(templates):
         words = sorted(set(words_of(text)))
         if words:
-            rows.append((i, label, words, max(1, math.ceil(threshold * len(words) - 1e-9)), span_of(text, threshold)))
-    return spark.createDataFrame(rows, "template int, label string, words array<string>, need int, span int")
+            need = max(1, math.ceil(threshold * len(words) - 1e-9))
+            rows.append((i, label, words, need, span_of(text, threshold), *distinguished(label, words, need, templates)))
+    schema = "template int, label string, words array<string>, need int, span int, own array<string>, wider array<array<string>>"
+    return spark.createDataFrame(rows, schema)
+
+
+def distinguished(label: str, words: list[str], need: int, templates: list[tuple[str, str]]) -> tuple[list[str], list[list[str]]]:
+    """Among templates of other labels whose whole text would match: the words that they lack, all of which a
+    match must have, and for those that have all words, what they have besides, which no match may have as a whole."""
+    own, wider = set(), set()
+    for other, text in templates:
+        theirs = set(words_of(text))
+        if other != label and len(theirs & set(words)) >= need:
+            own |= set(words) - theirs
+            if theirs > set(words):
+                wider.add(tuple(sorted(theirs - set(words))))
+    return sorted(own), sorted(map(list, wider))
 
 
 def span_of(text: str, threshold: float) -> int:
@@ -136,9 +153,15 @@ def runs(docs: DataFrame, vocabulary: list[str], least: int, width: int) -> Data
 
 
 def best_overlap() -> Column:
-    """Most words of the template in one run of its span."""
+    """Most words of the template in one run of its span that is not better told as another template."""
     starts = F.sequence(F.lit(1), F.greatest(F.size("run") - F.col("span") + 1, F.lit(1)))
-    return F.array_max(F.transform(starts, lambda p: F.size(F.array_intersect(F.slice("run", p, F.col("span")), F.col("words")))))
+
+    def overlap(start):
+        words = F.slice("run", start, F.col("span"))
+        told = (F.size(F.array_except("own", words)) == 0) & ~F.exists("wider", lambda more: F.size(F.array_except(more, words)) == 0)
+        return F.when(told, F.size(F.array_intersect(words, F.col("words")))).otherwise(0)
+
+    return F.array_max(F.transform(starts, overlap))
 
 
 def document_tokens(docs: DataFrame, vocabulary: list[str]) -> DataFrame:
@@ -200,7 +223,7 @@ def similar_blocks(
     if lines:
         return similar.select("_key", "label", (overlap / F.size("words")).alias("containment"))
     # A pair meets once for each common word of the prefix.
-    pairs = similar.select("_key", "label", "words", "need", "span", "run").distinct()
+    pairs = similar.select("_key", "label", "words", "need", "span", "own", "wider", "run").distinct()
     best = pairs.select("_key", "label", "words", "need", best_overlap().alias("most")).where("most >= need")
     return best.select("_key", "label", (F.col("most") / F.size("words")).alias("containment"))
 

@@ -17,8 +17,14 @@ def brute_runs(text, templates, threshold):
     words, found = words_of(text), []
     for label, body in templates:
         want, span = set(words_of(body)), math.ceil(len(words_of(body)) / threshold - 1e-9)
+        need = max(1, math.ceil(threshold * len(want) - 1e-9))
+        rivals = [set(words_of(t)) for other, t in templates if other != label]
+        rivals = [r for r in rivals if len(r & want) >= need]
         for i in range(max(1, len(words) - span + 1)):
-            both = len(set(words[i : i + span]) & want)
+            run = set(words[i : i + span])
+            both = len(run & want)
+            if any(not want - r <= run or (want < r and r - want <= run) for r in rivals):
+                continue
             if want and both >= threshold * len(want) - 1e-9:
                 found.append((label, both / len(want)))
     return sorted({label for label, _ in found}), max((x for _, x in found), default=0.0)
@@ -38,6 +44,17 @@ def test_wrapped_notices_are_found(make):
     assert got[3] == ("", 0.0)
 
 
+def test_licences_that_differ_by_a_word_are_told_apart(make):
+    rows = ["Licensed under CC BY-NC 4.0.", "Licensed under CC BY-SA 4.0.", "x\nLicensed under CC BY 4.0.\ny"]
+    got = by_id(make(rows))
+    assert [got[0], got[1]] == [("cc-by-nc", 1.0), ("cc-by-sa", 1.0)]
+    assert not {"cc-by-nc", "cc-by-sa"} & set(got[2][0].split(","))
+    nested = [("gpl", "GNU General Public License as published"), ("lgpl", "GNU Lesser General Public License as published")]
+    got = by_id(make(["the gnu general public license\nas published", "the GNU lesser general public license as published"]), templates=nested)
+    assert "lgpl" not in got[0][0] and got[1][0] == "gpl,lgpl"  # the phrase says gpl
+    assert {r.label for r in licenses.similar_blocks(make([nested[1][1]]), nested, lines=False).collect()} == {"lgpl"}
+
+
 def test_runs_equal_brute_force(make, odd_texts):
     rng = random.Random(8)
     rows = list(odd_texts)
