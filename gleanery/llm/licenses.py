@@ -88,8 +88,9 @@ def phrase_places(text: Column, phrases: dict[str, str] = PHRASES) -> Column:
     for phrase, label in phrases.items():
         body = rf"(?<![^{_GAP}])" + rf"[{_GAP}]+".join(re.escape(w) for w in words_of(phrase)) + rf"(?![^{_GAP}])"
         pattern = F.lit(f"(?i){body}")
-        # Words before the first place, and before the last one (the greedy head stops there).
-        head = F.substring(text, F.lit(1), F.regexp_instr(text, pattern) - 1)
+        # Words before the first place, and before the last one (the greedy head stops there). No places of
+        # characters: regexp_instr counts UTF-16 units, substring code points.
+        head = F.regexp_extract(text, f"(?is)^(.*?){body}", 1)
         long_head = F.regexp_extract(text, f"(?is)^(.*){body}", 1)
         has = text.rlike(f"(?i){body}")
         found.append(

@@ -80,3 +80,9 @@ def test_runs_equal_brute_force(make, odd_texts):
 def test_runs_need_no_python(make):
     plan = licenses.scan(make(["mit license"]), lines=False)._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow", "CartesianProduct"))
+
+
+def test_places_of_phrases_after_emoji(make):
+    rows = ["\U0001f600\U0001f600\U0001f600 x MIT license y mit license", "\U0001f600" * 40 + "\nApache License"]
+    got = {r.doc_id: (r.n_words, r.first_word, r.last_word) for r in licenses.scan(make(rows)).collect()}
+    assert got == {0: (7, 2, 5), 1: (3, 1, 1)}
