@@ -41,23 +41,59 @@ BROADCAST_WORDS = 100_000
 #: Phrases (their words must stand consecutively) and labels.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 
-#: Label and text of short public license notices.
+#: Label and text of the licences' own notices: the grant or the header that each licence (MIT, BSD, ISC, MPL, Unlicense,
+#: CC0), its appendix (Apache, GNU) or its publisher (Creative Commons: full and short names) gives for use in files. Versions
+#: are left out where the wording is the same. A short CC BY name is missing: it is part of all the others, which the
+#: SQL twin, that takes any match, could not tell.
 TEMPLATES = [
-    ("mit", "Released under the MIT license."),
     (
         "mit",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
-        "associated documentation files, to deal in the software without restriction",
+        'associated documentation files (the "Software"), to deal in the Software without restriction',
     ),
-    ("apache", "Licensed under the Apache License, Version 2.0."),
-    ("gpl", "This work is licensed under the GNU General Public License, version 3."),
-    ("cc-by-nc", "Licensed under CC BY-NC 4.0."),
-    ("cc-by-sa", "Licensed under CC BY-SA 4.0."),
     (
         "bsd",
         "Redistribution and use in source and binary forms, with or without modification, are permitted "
         "provided that the following conditions are met",
     ),
+    (
+        "isc",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies",
+    ),
+    (
+        "apache",
+        "you may not use this file except in compliance with the License. You may obtain a copy of the License at",
+    ),
+    (
+        "gpl",
+        "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by "
+        "the Free Software Foundation",
+    ),
+    (
+        "lgpl",
+        "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by "
+        "the Free Software Foundation",
+    ),
+    (
+        "agpl",
+        "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by "
+        "the Free Software Foundation",
+    ),
+    ("mpl", "This Source Code Form is subject to the terms of the Mozilla Public License"),
+    ("unlicense", "This is free and unencumbered software released into the public domain"),
+    ("cc0", "CC0 1.0 Universal"),
+    ("cc-by", "Creative Commons Attribution 4.0 International"),
+    ("cc-by-sa", "Creative Commons Attribution-ShareAlike 4.0 International"),
+    ("cc-by-nc", "Creative Commons Attribution-NonCommercial 4.0 International"),
+    ("cc-by-nd", "Creative Commons Attribution-NoDerivatives 4.0 International"),
+    ("cc-by-nc-sa", "Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International"),
+    ("cc-by-nc-nd", "Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International"),
+    ("cc-by-sa", "CC BY-SA 4.0"),
+    ("cc-by-nc", "CC BY-NC 4.0"),
+    ("cc-by-nd", "CC BY-ND 4.0"),
+    ("cc-by-nc-sa", "CC BY-NC-SA 4.0"),
+    ("cc-by-nc-nd", "CC BY-NC-ND 4.0"),
 ]
 
 _GAP = r"\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F"

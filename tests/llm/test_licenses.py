@@ -86,3 +86,26 @@ def test_places_of_phrases_after_emoji(make):
     rows = ["\U0001f600\U0001f600\U0001f600 x MIT license y mit license", "\U0001f600" * 40 + "\nApache License"]
     got = {r.doc_id: (r.n_words, r.first_word, r.last_word) for r in licenses.scan(make(rows)).collect()}
     assert got == {0: (7, 2, 5), 1: (3, 1, 1)}
+
+
+def test_usual_notices_have_templates(make):
+    gnu = "{} is free software: you can redistribute it and/or modify\nit under the terms of the GNU {} as published by\nthe Free Software Foundation, either version 3 of the License, or\n(at your option) any later version."
+    want = {
+        "Licensed under the Apache License, Version 2.0 (the \"License\");\nyou may not use this file except in compliance with the License.\nYou may obtain a copy of the License at": "apache",
+        gnu.format("This program", "General Public License"): "gpl",
+        gnu.format("This library", "Lesser General Public License"): "gpl,lgpl",
+        gnu.format("This program", "Affero General Public License"): "agpl,gpl",
+        "This Source Code Form is subject to the terms of the Mozilla Public\n * License, v. 2.0.": "mpl",
+        "Permission to use, copy, modify, and distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\ncopyright notice and this permission notice appear in all copies.": "isc",
+        "This work is licensed under a Creative Commons Attribution 4.0\nInternational License.": "cc-by",
+        "a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License": "cc-by-nc-sa",
+        "a Creative Commons Attribution-NonCommercial 4.0 International License": "cc-by-nc",
+        "CC BY-NC-SA 4.0": "cc-by-nc-sa",
+        "CC BY 4.0": "",
+        "CC0 1.0 Universal": "cc0",
+        "This is free and unencumbered software released into\nthe public domain.": "unlicense",
+        MIT: "mit",
+        BSD: "bsd",
+    }
+    got = by_id(make(list(want)))
+    assert {text: got[i][0] for i, text in enumerate(want)} == want
