@@ -4,7 +4,8 @@ A document's set are its word shingles. Documents are linked if their Jaccard si
 ``similarity``; the groups are the connected components. The steps:
 
 1. One hash gives every shingle a value. A document keeps the ``k`` smallest (its sketch), the size of its set
-   and a 128-bit digest of it. Equal sets become one class, so copies cost one row each from here on.
+   and a 128-bit digest of it. Equal sets become one class, so copies cost one row each from here on. Classes are
+   numbered (``doc``) in the order of their smallest doc_id, which need not be theirs alone.
 2. Inverted lists: a list holds the classes that retain the same ``RUN`` neighbouring values. Of the
    k smallest values of a union each is in both sets with probability J; a run of 3 shared ones is
    missing among 48 with a probability of about 1e-7 at J = 0.8. Sets up to k are listed whole, where a run is certain
@@ -86,24 +87,29 @@ def _binary(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
     return pa.BinaryArray.from_buffers(pa.binary(), len(bounds) - 1, [None, offsets, pa.py_buffer(values.tobytes())])
 
 
+def digests(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """A 128-bit digest of each set."""
+    sums = [np.concatenate([_U([0]), np.cumsum(mix(values ^ _U(salt)), dtype=_U)]) for salt in (1, 2)]
+    digest = np.stack([s[bounds[1:]] - s[bounds[:-1]] for s in sums], axis=1)
+    return _binary(digest.ravel(), np.arange(len(bounds)) * 2)
+
+
 def sketches(docs: DataFrame, words: int = WORDS, k: int = SKETCH) -> DataFrame:
-    """doc_id, n (size of the set), digest of the set, and sketch (the k smallest values)."""
-    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    """doc_id, n (size of the set), digest of the set, sketch (the k smallest values), and a hash of the text."""
+    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
 
     def sketch(batches):
         for piece in pieces(batches):
             values, bounds = shingle_sets(text_column(piece), words)
             n = np.diff(bounds)
-            sums = [np.concatenate([_U([0]), np.cumsum(mix(values ^ _U(salt)), dtype=_U)]) for salt in (1, 2)]
-            digest = np.stack([s[bounds[1:]] - s[bounds[:-1]] for s in sums], axis=1)
             rank = np.arange(len(values)) - np.repeat(bounds[:-1], n)
             few = np.concatenate([[0], np.cumsum(np.minimum(n, k))])
             yield pa.RecordBatch.from_arrays(
-                [piece.column(0), pa.array(n, pa.int64()), _binary(digest.ravel(), np.arange(len(n) + 1) * 2), _binary(values[rank < k], few)],
-                ["doc_id", "n", "digest", "sketch"],
+                [piece.column(0), pa.array(n, pa.int64()), digests(values, bounds), _binary(values[rank < k], few), piece.column(2)],
+                ["doc_id", "n", "digest", "sketch", "text_hash"],
             )
 
-    return given.mapInArrow(sketch, "doc_id long, n long, digest binary, sketch binary")
+    return given.mapInArrow(sketch, "doc_id long, n long, digest binary, sketch binary, text_hash long")
 
 
 def inverted_lists(classes: DataFrame) -> DataFrame:
@@ -160,25 +166,30 @@ def estimated(pairs: DataFrame, classes: DataFrame, low: float, exact: float, k:
     return sides.select("a", "b", "sa", "sb").mapInArrow(check, "a long, b long")
 
 
-def full_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """doc and set (all shingle hashes) of the classes in ``wanted`` (distinct ``doc``)."""
-    given = docs.select(F.col("doc_id").cast("long").alias("doc"), "text")
+def full_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """doc and set (all shingle hashes) of the classes in ``wanted`` (distinct ``doc``). Texts are picked by
+    doc_id, then sets by size and digest, as one doc_id may have several texts."""
+    wanted = classes.select("doc", "first_id", "n", "digest").join(wanted, "doc", "left_semi")
     if fits(wanted, BROADCAST_IDS):
         wanted = F.broadcast(wanted)
-    given = given.join(wanted, "doc", "left_semi")
+    given = docs.select(F.col("doc_id").cast("long").alias("first_id"), "text").join(wanted, "first_id", "left_semi")
 
     def build(batches):
         for piece in pieces(batches):
             values, bounds = shingle_sets(text_column(piece), words)
-            yield pa.RecordBatch.from_arrays([piece.column(0), _binary(values, bounds)], ["doc", "set"])
+            yield pa.RecordBatch.from_arrays(
+                [piece.column(0), pa.array(np.diff(bounds), pa.int64()), digests(values, bounds), _binary(values, bounds)],
+                ["first_id", "n", "digest", "set"],
+            )
 
-    return given.mapInArrow(build, "doc long, set binary").dropDuplicates(["doc"])
+    built = given.mapInArrow(build, "first_id long, n long, digest binary, set binary")
+    return built.join(wanted, ["first_id", "n", "digest"]).select("doc", "set").dropDuplicates(["doc"])
 
 
-def measured(pairs: DataFrame, docs: DataFrame, words: int) -> DataFrame:
+def measured(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int) -> DataFrame:
     """a, b, na, nb and ``both``, the size of the intersection of the full sets."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
-    sets = full_sets(docs, wanted, words)
+    sets = full_sets(docs, classes, wanted, words)
 
     def count(batches):
         for batch in batches:
@@ -218,10 +229,10 @@ def unfinished(lists: DataFrame, labels: DataFrame) -> DataFrame:
     return placed.join(mixed, "key", "left_semi").where("a <> b").select("a", "b", "n", "c").distinct()
 
 
-def delta_pairs(near: DataFrame, docs: DataFrame, words: int, percent: int, inner: int) -> DataFrame:
+def delta_pairs(near: DataFrame, docs: DataFrame, classes: DataFrame, words: int, percent: int, inner: int) -> DataFrame:
     """a, b: pairs of ``near`` (a, b, c, na, nb, both) around one centre and in different components whose
     differences from it may have enough in common; one of the two is ``inner`` percent like the centre."""
-    sets = full_sets(docs, near.select(F.explode(F.array("a", "b")).alias("doc")).distinct(), words)
+    sets = full_sets(docs, classes, near.select(F.explode(F.array("a", "b")).alias("doc")).distinct(), words)
 
     def differences(batches):
         for batch in batches:
@@ -277,11 +288,11 @@ def delta_pairs(near: DataFrame, docs: DataFrame, words: int, percent: int, inne
     return pairs.where(_alike_sizes(percent / 100)).select("a", "b").distinct()
 
 
-def prefix_pairs(far: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+def prefix_pairs(far: DataFrame, docs: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
     """a, b: pairs of ``far`` (a, b, n, c) around one centre and in different components that share a
     shingle of their prefixes."""
     members = far.select(F.col("b").alias("doc"), "n", "c").distinct()
-    sets = full_sets(docs, members.select("doc"), words)
+    sets = full_sets(docs, classes, members.select("doc"), words)
 
     def explode(batches):
         for batch in batches:
@@ -316,11 +327,9 @@ def prefix_pairs(far: DataFrame, docs: DataFrame, words: int, percent: int) -> D
     return pairs.where(_alike_sizes(percent / 100)).select("a", "b").distinct()
 
 
-def near_duplicates(
-    docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY, k: int = SKETCH
-) -> DataFrame:
-    """doc_id, n_shingles, class_id (smallest doc_id with the same set), component_id (smallest doc_id
-    reachable) and kept (doc_id = component_id) of each document."""
+def grouped(docs: DataFrame, words: int, similarity: float, k: int) -> DataFrame:
+    """doc_id, n_shingles, text_hash, class_id, component_id of each document, and ``head``: whether it has the
+    smallest doc_id of the class that names its group. Documents that are linked with nothing have no head."""
     percent = round(similarity * 100)
     if not 75 <= percent <= 100:
         raise ValueError("the search is built for similarities from 0.75 to 1")
@@ -328,15 +337,22 @@ def near_duplicates(
     low = similarity - MARGIN * math.sqrt(similarity * (1 - similarity) / k)
     sketched = written(sketches(docs, words, k))
     named = sketched.where(F.col("doc_id").isNotNull() & (F.col("n") > 0))
-    first = named.groupBy("digest", "n").agg(F.min("doc_id").alias("doc"))
+    order = ["first_id", "n", "digest"]
+    first = named.groupBy("digest", "n").agg(F.min("doc_id").alias("first_id"))
+    # Ascending over the ranges, so the smallest number of a group belongs to its smallest doc_id.
+    first = written(
+        first.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("doc", F.monotonically_increasing_id())
+    )
     members = written(
         named.join(first, ["digest", "n"]).select(
-            "doc_id", "n", "doc", F.when(F.col("doc_id") == F.col("doc"), F.col("sketch")).alias("sketch")
+            "doc_id", "n", "doc", "first_id", "text_hash", F.when(F.col("doc_id") == F.col("first_id"), F.col("sketch")).alias("sketch")
         )
     )
     classes = members.where(F.col("sketch").isNotNull()).dropDuplicates(["doc"])
     lists = inverted_lists(classes)
-    stars = written(measured(written(estimated(star_pairs(lists), classes, STAR_SHARE, STAR_SHARE, k)), docs, words))
+    stars = written(
+        measured(written(estimated(star_pairs(lists), classes, STAR_SHARE, STAR_SHARE, k)), docs, first, words)
+    )
     links = stars.where(_reaches(percent)).select("a", "b")
     labels = components(links)
     rest = written(unfinished(lists, labels).join(stars.select("a", "b", "na", "both"), ["a", "b"], "left"))
@@ -345,22 +361,43 @@ def near_duplicates(
         near = around.where(_reaches(outer))
         far = rest.withColumnRenamed("n", "nb").where(~F.coalesce(_reaches(inner), F.lit(False)))
         far = far.select("a", "b", F.col("nb").alias("n"), "c")
-        more = delta_pairs(near, docs, words, percent, inner).union(prefix_pairs(far, docs, words, percent)).distinct()
+        more = delta_pairs(near, docs, first, words, percent, inner).union(prefix_pairs(far, docs, first, words, percent)).distinct()
         likely = written(estimated(written(more), classes, low, similarity, k))
-        links = links.union(written(measured(likely, docs, words)).where(_reaches(percent)).select("a", "b"))
+        links = links.union(written(measured(likely, docs, first, words)).where(_reaches(percent)).select("a", "b"))
         labels = components(links)
-    grouped = members.join(labels, members["doc"] == labels["node"], "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.col("doc").alias("class_id"),
-        F.coalesce("component", "doc").alias("component_id"),
+    heads = first.select(F.col("doc").alias("component"), F.col("first_id").alias("component_id"))
+    labels = labels.join(heads, "component")
+    linked = members.join(labels, members["doc"] == labels["node"], "left").select(
+        "doc_id", F.col("n").alias("n_shingles"), "text_hash", F.col("first_id").alias("class_id"),
+        F.coalesce("component_id", "first_id").alias("component_id"),
+        ((F.col("doc") == F.coalesce("component", "doc")) & (F.col("doc_id") == F.col("first_id"))).alias("head"),
+        "doc",
     )
     alone = sketched.where(F.col("doc_id").isNull() | (F.col("n") == 0)).select(
-        "doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("class_id"), F.col("doc_id").alias("component_id")
+        "doc_id", F.col("n").alias("n_shingles"), "text_hash", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("component_id"),
+        F.lit(None).cast("boolean").alias("head"), F.lit(None).cast("long").alias("doc"),
     )
-    return grouped.union(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return linked.union(alone)
+
+
+def near_duplicates(
+    docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY, k: int = SKETCH
+) -> DataFrame:
+    """doc_id, n_shingles, class_id (smallest doc_id with the same set), component_id (smallest doc_id
+    reachable) and kept (doc_id = component_id) of each document."""
+    found = grouped(docs, words, similarity, k).drop("text_hash", "head", "doc")
+    return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def drop_near_duplicates(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
-    """One document of each group, the one with the smallest doc_id; rows without doc_id all stay."""
-    kept = near_duplicates(docs, words, similarity).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    """One document of each group, one with the smallest doc_id; rows without doc_id and different
+    texts without words all stay, equal rows of one doc_id count once."""
+    found = grouped(docs, words, similarity, SKETCH).where("doc_id IS NOT NULL")
+    # Of a group's rows of one doc_id and one set any text will do: the one of the smallest hash.
+    heads = found.where("head").groupBy("doc", "doc_id").agg(F.min("text_hash").alias("text_hash"))
+    empty = found.where("head IS NULL").select("doc_id", "text_hash")
+    kept = heads.select("doc_id", "text_hash").union(empty).distinct()
+    keyed = docs.withColumns({"_id": F.col("doc_id").cast("long"), "_text": F.xxhash64("text")})
+    kept = kept.toDF("_id", "_text")
+    named = keyed.join(kept, ["_id", "_text"], "left_semi").dropDuplicates(["_id", "_text"])
     return named.select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
