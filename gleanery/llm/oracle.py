@@ -115,4 +115,34 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN head = page_id THEN 're
 FROM h
 """
 
-ORACLE = {"op1_mixing": OP1, "op2_substrings": OP2, "op5_decontaminate": OP5, "op6_near_dedup": OP6, "op7_warc": OP7, "op10_licenses": OP10}
+_BITS = " ".join(f"WHEN '{f}' THEN {1 << i}" for i, f in enumerate("ABCDE"))
+OP11 = f"""
+WITH t AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text, {_SPACED} AS w FROM documents),
+m AS (SELECT text, min(doc_id) AS least FROM t GROUP BY text),
+l AS (SELECT doc_id, max((quality IS NOT DISTINCT FROM 1)::INT) AS good, max((toxic IS NOT DISTINCT FROM 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+f AS (SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+             (len(w) < 100)::INT + 2 * (100 * len(list_distinct(w)) < 80 * len(w))::INT
+             + 4 * (100 * len(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text))::INT
+             + 8 * regexp_matches(text, '[#$%&*|]')::INT + 16 * coalesce(t.doc_id > least, false)::INT AS failed
+      FROM t JOIN m USING (text) LEFT JOIN l USING (doc_id)),
+c AS (SELECT part, failed, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY ALL),
+x(a) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+o AS (SELECT p.a || q.a || r.a || s.a || u.a AS filter_order FROM x p, x q, x r, x s, x u
+      WHERE len(list_distinct([p.a, q.a, r.a, s.a, u.a])) = 5),
+e AS (SELECT filter_order, unnest(range(1, 6)) AS step FROM o),
+b AS (SELECT filter_order, step, CASE substr(filter_order, step, 1) {_BITS} END AS bit,
+             list_sum([CASE substr(filter_order, i, 1) {_BITS} END FOR i IN range(1, step)])::INT AS earlier FROM e),
+k AS (SELECT part, filter_order, step, bit,
+             sum(CASE WHEN failed & (bit | coalesce(earlier, 0)) = 0 THEN n ELSE 0 END)::BIGINT AS kept,
+             sum(CASE WHEN failed & bit <> 0 AND failed & coalesce(earlier, 0) = 0 THEN n ELSE 0 END)::BIGINT AS removed,
+             sum(CASE WHEN failed & bit <> 0 AND failed & coalesce(earlier, 0) <> 0 THEN n ELSE 0 END)::BIGINT AS redundant,
+             sum(CASE WHEN failed = bit THEN n ELSE 0 END)::BIGINT AS unique_fails,
+             sum(CASE WHEN failed & bit <> 0 AND failed & coalesce(earlier, 0) = 0 THEN good ELSE 0 END)::BIGINT AS good_lost,
+             sum(CASE WHEN failed & bit <> 0 AND failed & coalesce(earlier, 0) = 0 THEN toxic ELSE 0 END)::BIGINT AS toxic_lost
+      FROM c, b GROUP BY ALL)
+SELECT part, filter_order, step::INT AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley
+FROM k
+"""
+
+ORACLE = {"op1_mixing": OP1, "op2_substrings": OP2, "op5_decontaminate": OP5, "op6_near_dedup": OP6, "op7_warc": OP7, "op10_licenses": OP10, "op11_filter_audit": OP11}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm import bottomk, decontaminate, divergence, hilbert, licenses, mixing, quality, substrings, toxicity, warc
+from gleanery.llm import bottomk, decontaminate, divergence, filter_audit, hilbert, licenses, mixing, quality, substrings, toxicity, warc
 from gleanery.llm.oracle import ORACLE
 from gleanery.sources.tables import read_table
 
@@ -91,6 +91,10 @@ def op10_licenses(spark: SparkSession, sf: str) -> DataFrame:
     return licenses.scan(read_table(spark, sf, "documents"), lines=False)
 
 
+def op11_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
+    return filter_audit.audit(read_table(spark, sf, "documents"), read_table(spark, sf, "labels"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -104,5 +108,6 @@ QUERIES = {
         op8_hilbert,
         op9_toxicity,
         op10_licenses,
+        op11_filter_audit,
     )
 }
