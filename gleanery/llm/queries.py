@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm import bottomk, decontaminate, divergence, filter_audit, hilbert, licenses, mixing, quality, substrings, toxicity, warc
+from gleanery.llm import alignment, bottomk, decontaminate, divergence, embeddings, filter_audit, hilbert, licenses, mixing, quality, substrings, toxicity, warc
 from gleanery.llm.oracle import ORACLE
 from gleanery.sources.tables import read_table
 
@@ -95,6 +95,14 @@ def op11_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
     return filter_audit.audit(read_table(spark, sf, "documents"), read_table(spark, sf, "labels"))
 
 
+def op12_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    return alignment.align(read_table(spark, sf, "documents"))
+
+
+def op13_embeddings(spark: SparkSession, sf: str) -> DataFrame:
+    return embeddings.near_duplicates(read_table(spark, sf, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -109,5 +117,7 @@ QUERIES = {
         op9_toxicity,
         op10_licenses,
         op11_filter_audit,
+        op12_alignment,
+        op13_embeddings,
     )
 }
