@@ -1,14 +1,14 @@
 """How five document filters interact, from a sparse document-term matrix.
 
-Documents are packed into shards of about ``SHARD_BYTES`` of text. A shard holds a CSR matrix over a dictionary of
-its own words; the words of all shards are numbered once for the whole corpus (``dictionary``) and the
-shards' columns renumbered by it, so every shard is a block of rows of one document-term matrix. Its row
-sums are the words of a document and its nonzero counts the distinct ones, which decide filters A and B; the other flags are
+Documents are packed into shards of about ``SHARD_BYTES`` of text. A shard holds its cells (document, word, count) over a
+dictionary of its own words; the words of all shards are numbered once for the whole corpus (``numbered``), and
+with these columns every shard is a block of rows of one document-term matrix in CSR form (``matrix``). Its row sums are the
+words of a document and its nonzero counts the distinct ones, which decide filters A and B; the other flags are
 attached to the rows, equal documents are folded, and what remains is one count per part and set
 of failed filters, from which every order of the filters follows.
 
-What moves: one row per distinct word of a shard (twice), never one per word; the matrix blocks themselves are
-written once. A frequent word has one row per shard, a text with many copies one row per task and label.
+What moves: the different words of each shard once, never a row per word of the texts; then their numbers and the cells, as
+compressed blobs. A frequent word has one row per shard, a text with many copies one row per task and label.
 
 Filters: A under 100 words, B ``100 * distinct < 80 * words``, C ``100 * [A-Z] > 10 * code points``, D any of
 ``#$%&*|``, E identical to the text of a smaller doc_id.
@@ -27,9 +27,11 @@ from itertools import permutations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gleanery.llm.alignment import pack, unpack
 from gleanery.llm.scan import SPACE, Words, pieces, text_column
 from gleanery.llm.stage import written
 from gleanery.llm.textstats import first_marks
@@ -41,10 +43,12 @@ MIN_WORDS, MIN_DISTINCT, MAX_UPPER = 100, 80, 10
 _UPPER = (np.arange(256) >= 65) & (np.arange(256) <= 90)
 _MARKS = np.isin(np.arange(256), list(b"#$%&*|"))
 
-SHARD = (
-    "shard string, doc_id array<long>, part array<string>, digest array<binary>, failed array<int>, "
-    "starts array<long>, columns array<int>, counts array<int>, words array<string>"
-)
+#: Words that a task numbers before it sends them on.
+NUMBERED = 1 << 20
+#: Shards of one partition, and words of one, that a number has room for.
+SHARD_BITS, WORD_BITS = 24, 38
+
+SHARD = "shard long, doc_id array<long>, part array<string>, digest array<binary>, failed array<int>, width long, cells binary, words array<string>"
 
 
 def _words(w: Words) -> pa.Array:
@@ -54,12 +58,6 @@ def _words(w: Words) -> pa.Array:
     return pa.LargeStringArray.from_buffers(len(w), pa.py_buffer(ends.tobytes()), pa.py_buffer(inside.tobytes()))
 
 
-def row_cells(doc: np.ndarray, column: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, column, count) of the cells of a sparse matrix, by row and column, given one pair per word."""
-    cell, count = np.unique(doc * np.int64(max(1, width)) + column, return_counts=True)
-    return cell // max(1, width), cell % max(1, width), count
-
-
 class _Shard:
     """Documents that are packed together."""
 
@@ -80,96 +78,126 @@ class _Shard:
         self.docs.append(w.doc + base)
         self.size += len(data)
 
-    def batch(self, name: str) -> pa.RecordBatch:
+    def batch(self, number: int) -> pa.RecordBatch:
         ids, parts, digests, failed = zip(*self.rows)
         coded = pa.chunked_array(self.words, pa.large_string()).combine_chunks().dictionary_encode()
-        n = sum(map(len, ids))
-        row, column, count = row_cells(np.concatenate(self.docs), coded.indices.to_numpy(), len(coded.dictionary))
-        starts = np.searchsorted(row, np.arange(n + 1))
+        width = max(1, len(coded.dictionary))
+        cells = np.concatenate(self.docs) * np.int64(width) + coded.indices.to_numpy()
+        cells, counts = np.unique(cells, return_counts=True)
         whole = [
             pa.concat_arrays(ids), pa.concat_arrays([p.cast(pa.string()) for p in parts]),
             pa.array([d for ds in digests for d in ds], pa.binary()), pa.array(np.concatenate(failed).astype(np.int32)),
-            pa.array(starts, pa.int64()), pa.array(column.astype(np.int32)), pa.array(count.astype(np.int32)),
             coded.dictionary.cast(pa.string()),
         ]
-        lists = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in whole]
-        names = ["doc_id", "part", "digest", "failed", "starts", "columns", "counts", "words"]
-        return pa.RecordBatch.from_arrays([pa.array([name]), *lists], ["shard", *names])
+        ids, parts, digests, failed, words = (pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in whole)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([number]), ids, parts, digests, failed, pa.array([width]), pa.array([pack(cells, counts)]), words],
+            ["shard", "doc_id", "part", "digest", "failed", "width", "cells", "words"],
+        )
 
 
 def packed(docs: DataFrame, part: Column, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """One row per shard: its documents with the flags of C (4) and D (8), CSR arrays over its own words, and these."""
+    """One row per shard: its documents with the flags of C (4) and D (8), its cells (document * width + word of the shard,
+    with their counts, as ``pack`` writes them) and its words."""
     given = docs.select(
-        F.concat_ws("-", F.spark_partition_id(), F.lit("")).alias("place"), F.col("doc_id").cast("long").alias("doc_id"),
-        F.coalesce(part.cast("string"), F.lit("")).alias("part"), F.coalesce(F.col("text"), F.lit("")).alias("text"),
+        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(part.cast("string"), F.lit("")).alias("part"),
+        F.coalesce(F.col("text"), F.lit("")).alias("text"),
     )
 
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, done = _Shard(), 0
+    def pack_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard, number = _Shard(), TaskContext.get().partitionId() << SHARD_BITS
         for piece in pieces(batches):
-            place = piece.column("place")[0].as_py()
             shard.add(piece)
             if shard.size >= shard_bytes:
-                yield shard.batch(f"{place}{done}")
-                shard, done = _Shard(), done + 1
+                yield shard.batch(number)
+                shard, number = _Shard(), number + 1
         if shard.rows:
-            yield shard.batch(f"{place}{done}")
+            yield shard.batch(number)
 
-    return given.mapInArrow(pack, SHARD)
+    return given.mapInArrow(pack_shards, SHARD)
 
 
-def dictionary(shards: DataFrame) -> DataFrame:
-    """word and its column in the whole matrix, numbered from 0 without gaps."""
-    words = shards.select(F.explode("words").alias("word")).distinct()
-    placed = written(words.select("word", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("place")))
-    sizes = placed.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("first"))
-    before = F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
-    # One row per partition of the exchange above: bounded by the setting.
-    offsets = F.broadcast(sizes.select("part", "first", F.coalesce(before, F.lit(0)).alias("offset")))
-    numbered = placed.join(offsets, "part")
-    return numbered.select("word", (F.col("offset") + F.col("place") - F.col("first")).alias("column"))
+def numbered(shards: DataFrame) -> DataFrame:
+    """The global dictionary by shard: rows (shard, at, column) with ``at`` words of the shard and their columns in the whole matrix, as arrays of
+    bytes. Equal words of all shards meet in order and take one number."""
+    words = shards.select("shard", F.posexplode("words").alias("at", "word"))
+    ordered = words.repartition("word").sortWithinPartitions("word")
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, column = None, (TaskContext.get().partitionId() << WORD_BITS) - 1
+        held, size = [], 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            word = batch.column("word")
+            new = np.ones(len(word), bool)
+            new[1:] = pc.not_equal(word.slice(1), word.slice(0, len(word) - 1)).to_numpy(zero_copy_only=False)
+            new[0] = word[0].as_py() != last
+            columns = column + np.cumsum(new)
+            last, column = word[len(word) - 1].as_py(), int(columns[-1])
+            held.append((batch.column("shard").to_numpy(), batch.column("at").to_numpy(), columns))
+            size += len(word)
+            if size >= NUMBERED:
+                yield by_shard(*map(np.concatenate, zip(*held)))
+                held, size = [], 0
+        if held:
+            yield by_shard(*map(np.concatenate, zip(*held)))
+
+    return ordered.mapInArrow(number, "shard long, at binary, column binary")
+
+
+def by_shard(shard: np.ndarray, at: np.ndarray, column: np.ndarray) -> pa.RecordBatch:
+    """One row per shard of the words of a task."""
+    order = np.argsort(shard, kind="stable")
+    shard, at, column = shard[order], at[order].astype("<i4"), column[order].astype("<i8")
+    names, first = np.unique(shard, return_index=True)
+    bounds = np.r_[first, len(shard)]
+    parts = [[x[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])] for x in (at, column)]
+    return pa.RecordBatch.from_arrays([pa.array(names), *[pa.array(p, pa.binary()) for p in parts]], ["shard", "at", "column"])
+
+
+def csr(shard: pa.Table, words: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, columns of the whole matrix, counts) of the rows of one shard."""
+    width = shard.column("width")[0].as_py()
+    known = np.full(width, -1, np.int64)
+    for at, column in zip(words.column("at").to_pylist(), words.column("column").to_pylist()):
+        known[np.frombuffer(at, "<i4")] = np.frombuffer(column, "<i8")
+    cells, counts = unpack(shard.column("cells")[0].as_py())
+    rows = len(shard.column("doc_id")[0])
+    return np.searchsorted(cells, np.arange(rows + 1) * width), known[cells % width], counts
 
 
 def matrix(shards: DataFrame, words: DataFrame) -> DataFrame:
-    """The shards with the columns of the whole matrix: ``columns`` array<long>, no words."""
-    local = shards.select("shard", F.posexplode("words").alias("at", "word"))
-    # A shard's dictionary comes back together: bounded by the text of a shard.
-    renumbered = local.join(words, "word").groupBy("shard").agg(F.sort_array(F.collect_list(F.struct("at", "column"))).alias("known"))
-    known = renumbered.select("shard", F.col("known.column").alias("known"))
-    rows = shards.drop("words").join(known, "shard", "left")
-    given = [f for f in rows.schema.fields if f.name != "known"]
-    names = [f.name for f in given]
-    kinds = ", ".join(f"{f.name} {'array<long>' if f.name == 'columns' else f.dataType.simpleString()}" for f in given)
-
-    def renumber(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                row = batch.slice(i, 1)
-                to = row.column("known").flatten()
-                columns = to.take(row.column("columns").flatten()) if len(to) else pa.array([], pa.int64())
-                lists = pa.ListArray.from_arrays(pa.array([0, len(columns)], pa.int32()), columns)
-                yield pa.RecordBatch.from_arrays([lists if n == "columns" else row.column(n) for n in names], names)
+    """shard, doc_id, starts, columns and counts: the document-term matrix, a block of rows in each row."""
+
+    def block(shard: pa.Table, known: pa.Table) -> pa.Table:
+        arrays = [pa.array([x], pa.list_(pa.int64())) for x in csr(shard, known)]
+        return pa.table([shard.column("shard"), shard.column("doc_id"), *arrays], ["shard", "doc_id", "starts", "columns", "counts"])
+
+    both = shards.drop("words").groupBy("shard").cogroup(words.groupBy("shard"))
+    return both.applyInArrow(block, "shard long, doc_id array<long>, starts array<long>, columns array<long>, counts array<long>")
 
-    return rows.mapInArrow(renumber, kinds)
 
+FLAGS = "doc_id long, part string, digest binary, n_words long, n_distinct long, failed int"
 
-def document_flags(blocks: DataFrame) -> DataFrame:
+
+def document_flags(shards: DataFrame, words: DataFrame) -> DataFrame:
     """doc_id, part, digest, n_words, n_distinct and failed (bits A 1, B 2, C 4, D 8) of each row of the matrix."""
 
-    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                of = {n: batch.column(n).slice(i, 1).flatten() for n in batch.schema.names if n != "shard"}
-                starts = of["starts"].to_numpy()
-                sums = np.r_[0, np.cumsum(of["counts"].to_numpy(), dtype=np.int64)]
-                total, distinct = np.diff(sums[starts]), np.diff(starts)
-                failed = of["failed"].to_numpy() + (total < MIN_WORDS) + 2 * (100 * distinct < MIN_DISTINCT * total)
-                yield pa.RecordBatch.from_arrays(
-                    [of["doc_id"], of["part"], of["digest"], pa.array(total), pa.array(distinct), pa.array(failed.astype(np.int32))],
-                    ["doc_id", "part", "digest", "n_words", "n_distinct", "failed"],
-                )
+    def judge(shard: pa.Table, known: pa.Table) -> pa.Table:
+        starts, columns, counts = csr(shard, known)
+        row = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
+        sums = np.r_[0, np.cumsum(counts)]
+        total, distinct = np.diff(sums[starts]), np.bincount(row[columns >= 0], minlength=len(starts) - 1)
+        of = {n: shard.column(n).combine_chunks().flatten() for n in ("doc_id", "part", "digest", "failed")}
+        failed = of["failed"].to_numpy() + (total < MIN_WORDS) + 2 * (100 * distinct < MIN_DISTINCT * total)
+        return pa.table(
+            [of["doc_id"], of["part"], of["digest"], pa.array(total), pa.array(distinct), pa.array(failed.astype(np.int32))],
+            ["doc_id", "part", "digest", "n_words", "n_distinct", "failed"],
+        )
 
-    return blocks.mapInArrow(judge, "doc_id long, part string, digest binary, n_words long, n_distinct long, failed int")
+    both = shards.drop("words").groupBy("shard").cogroup(words.groupBy("shard"))
+    return both.applyInArrow(judge, FLAGS)
 
 
 def with_copies(flags: DataFrame, labels: DataFrame) -> DataFrame:
@@ -242,5 +270,4 @@ def interactions(counts: DataFrame) -> DataFrame:
 def audit(docs: DataFrame, labels: DataFrame, part: str = "lang", shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """One row per part, order of the five filters and step; see the module."""
     shards = written(packed(docs, F.col(f"`{part}`"), shard_bytes), "csr")
-    blocks = matrix(shards, dictionary(shards))
-    return interactions(with_copies(document_flags(blocks), labels))
+    return interactions(written(with_copies(document_flags(shards, numbered(shards)), labels), "audit"))
