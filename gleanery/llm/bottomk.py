@@ -43,6 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gleanery.llm.components import components
+from gleanery.llm.names import column, free_names
 from gleanery.llm.scan import SPACE, Words, mix, pieces, text_column
 from gleanery.llm.stage import written
 from gleanery.session import fits
@@ -391,13 +392,14 @@ def near_duplicates(
 
 def drop_near_duplicates(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
     """One document of each group, one with the smallest doc_id; rows without doc_id and different
-    texts without words all stay, equal rows of one doc_id count once."""
+    texts without words all stay, equal rows of one doc_id count once. Other columns stay as they are, whatever their names."""
     found = grouped(docs, words, similarity, SKETCH).where("doc_id IS NOT NULL")
     # Of a group's rows of one doc_id and one set any text will do: the one of the smallest hash.
     heads = found.where("head").groupBy("doc", "doc_id").agg(F.min("text_hash").alias("text_hash"))
     empty = found.where("head IS NULL").select("doc_id", "text_hash")
     kept = heads.select("doc_id", "text_hash").union(empty).distinct()
-    keyed = docs.withColumns({"_id": F.col("doc_id").cast("long"), "_text": F.xxhash64("text")})
-    kept = kept.toDF("_id", "_text")
-    named = keyed.join(kept, ["_id", "_text"], "left_semi").dropDuplicates(["_id", "_text"])
-    return named.select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
+    names = free_names(docs, "id_key", "text_key")
+    keyed = docs.select("*", F.col("doc_id").cast("long").alias(names[0]), F.xxhash64("text").alias(names[1]))
+    kept = kept.toDF(*names)
+    named = keyed.join(kept, names, "left_semi").dropDuplicates(names)
+    return named.select(*[column(c) for c in docs.columns]).unionByName(docs.where("doc_id IS NULL"))

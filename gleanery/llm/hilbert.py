@@ -17,6 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gleanery.llm.names import free_names
 from gleanery.llm.prefix import ranked, row_key, unique_rows
 
 BITS = 10
@@ -124,10 +125,11 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
 
 
 def place(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """``docs`` plus shard and slot; columns of these names are replaced."""
+    """``docs`` plus shard and slot; columns of these names are replaced, all others stay, whatever their names."""
     plain = docs.drop("shard", "slot")
-    placed = assign(slim(plain, row_key(plain)), shards, [*ORDER, "_key"]).select("_key", "shard", "slot")
-    return unique_rows(plain).join(placed, "_key").drop("_key")
+    (key,) = free_names(plain, "place_key")
+    placed = assign(slim(plain, row_key(plain, key)), shards, [*ORDER, key]).select(key, "shard", "slot")
+    return unique_rows(plain, key).join(placed, key).drop(key)
 
 
 def ranges(sharded: DataFrame, columns: list[str]) -> DataFrame:

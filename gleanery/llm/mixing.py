@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gleanery.llm.names import column, free_names
 from gleanery.llm.prefix import ranked, row_key, unique_rows
 from gleanery.session import fits
 
@@ -156,14 +157,16 @@ def training_order(planned: DataFrame) -> DataFrame:
 def mix(docs: DataFrame, schedule: DataFrame, repeats: int = REPEATS) -> DataFrame:
     """The mixed training set: a row of ``docs`` for each time it is taken, in training order.
 
-    Documents stay whole: the one that a source's target cuts is there if over half of it is taken.
+    Documents stay whole: the one that a source's target cuts is there if over half of it is taken. Other
+    columns of ``docs`` stay as they are, whatever their names.
     """
-    taken = plan(docs, schedule, repeats, (row_key(docs),)).select(
-        "_key", F.explode(F.filter("copies", lambda c: 2 * c["words"] > F.col("size"))["position"]).alias("_position")
+    key, position = free_names(docs, "mix_key", "mix_position")
+    taken = plan(docs, schedule, repeats, (row_key(docs, key),)).select(
+        key, F.explode(F.filter("copies", lambda c: 2 * c["words"] > F.col("size"))["position"]).alias(position)
     )
-    mixed = unique_rows(docs).join(taken, "_key")
-    ordered = mixed.repartitionByRange("_position", "_key").sortWithinPartitions("_position", "_key")
-    return ordered.select(*docs.columns)
+    mixed = unique_rows(docs, key).join(taken, key)
+    ordered = mixed.repartitionByRange(position, key).sortWithinPartitions(position, key)
+    return ordered.select(*[column(c) for c in docs.columns])
 
 
 def cycle_schedule(docs: DataFrame, weights: tuple = (5.0, 2.0, 1.0), drift: tuple = (0.2, 0.0, -0.2)) -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gleanery.llm.names import column
 from gleanery.llm.stage import written
 
 
@@ -48,12 +49,19 @@ def ranked(rows: DataFrame, order: list[Column | str], value: str | None = None)
     return placed.drop("_part", "_place", "_first", "_rows_before", "_value_before")
 
 
-def row_key(rows: DataFrame) -> Column:
-    """A 128-bit digest of the whole row as ``_key``: equal for repeated rows only."""
-    cells = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\x00")) for c in rows.columns]
-    return F.md5(F.concat_ws("\x01", *cells).cast("binary")).alias("_key")
+def row_key(rows: DataFrame, name: str = "_key") -> Column:
+    """A 128-bit digest of the whole row as ``name``: equal for repeated rows only.
+
+    Each cell is written with its length before it, so no string can pass for a null or for two cells.
+    """
+    texts = [column(c).cast("string") for c in rows.columns]
+    cells = [F.coalesce(F.concat(F.octet_length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts]
+    return F.md5(F.concat(*cells).cast("binary")).alias(name)
 
 
-def unique_rows(rows: DataFrame) -> DataFrame:
-    """Each different row once, with its ``_key``; the digest decides, so texts are not compared."""
-    return rows.withColumn("_key", row_key(rows)).dropDuplicates(["_key"])
+def unique_rows(rows: DataFrame, name: str = "_key") -> DataFrame:
+    """Each different row once, with its key as ``name``; the digest decides, so texts are not compared.
+
+    ``name`` should be free: a column of that name is replaced.
+    """
+    return rows.select("*", row_key(rows, name)).dropDuplicates([name])

@@ -133,9 +133,10 @@ def measured(docs: DataFrame, extra: list[str]) -> DataFrame:
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> dict:
+    """The trees, from doc_id and text of ``docs`` and doc_id and quality of ``labels``; no other column is read."""
     # Ids and labels of the sample: at most a few bytes a row of a bounded number of rows.
     sample = F.broadcast(drawn(labelled(labels), sample_rows).withColumnRenamed("doc_id", "_id"))
-    chosen = docs.join(sample, F.col("doc_id") == F.col("_id"))
+    chosen = docs.select("doc_id", "text").join(sample, F.col("doc_id") == F.col("_id"))
     table = measured(chosen, ["doc_id", "label"]).orderBy("doc_id", "x").toArrow()
     x = np.array(table["x"].to_pylist(), np.float64).reshape(-1, len(FEATURES))
     return fit_trees(x, table["label"].to_numpy())

@@ -129,13 +129,14 @@ def apply_chain(models: list[dict], doc: np.ndarray, bin_: np.ndarray, n: int) -
 
 
 def fit(docs: DataFrame, labels: DataFrame, categories=CATEGORIES, sample_rows: int = SAMPLE_ROWS) -> list[dict]:
-    """The chain, learned from labelled documents that are not held out."""
+    """The chain, learned from labelled documents that are not held out: doc_id and text of ``docs`` and
+    what the categories name in ``labels``; no other column is read."""
     names = [f"_y{k}" for k in range(len(categories))]
     known = labels.select("doc_id", *[F.expr(rule).cast("double").alias(n) for n, (_, rule) in zip(names, categories)])
     rows = known.dropna().groupBy("doc_id").agg(*[(F.avg(n) >= 0.5).cast("double").alias(n) for n in names])
     sample = drawn(rows.where(~held_out(F.col("doc_id"))), sample_rows).withColumnRenamed("doc_id", "_id")
     # Ids and labels of a bounded number of rows.
-    chosen = docs.join(F.broadcast(sample), F.col("doc_id") == F.col("_id"))
+    chosen = docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("_id"))
     fold = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(FOLDS)).cast("double")
     given = chosen.select("doc_id", F.array(*names, fold).alias("y"), "text")
 
