@@ -1,14 +1,14 @@
 """Near duplicates among embeddings by HNSW graphs, one per shard.
 
-Equal vectors make one class, which counts as often as it has rows. Classes are dealt by hash into shards of
-about ``shard_rows``; a task builds each shard's graph and writes it to the shared folder. A task for each
+Equal vectors make one class, which counts as often as it has rows. Classes are dealt by hash into one shard a core, or more
+where these would have over ``shard_rows``; a task builds each shard's graph and writes it to the shared folder. A task for each
 pair of shards reads both, walks the classes of either through the graph of the other, widens the beam
 until an audit against a scan passes, verifies the cosine of what it found in double precision, and sends on, for
 each class with links, their number and one edge of a spanning forest: pairs of copies are counted, never sent. Forests are
 united by alternating stars.
 
-Every shard is asked for every class, so the visits grow with ``rows ** 2 / shard_rows``; a shard should be as
-large as a task can hold (about 450 bytes a vector of 64 numbers, plus a byte per pair of classes of two shards). A pair of
+Every shard is asked for every class. With a shard a core the visits grow in proportion to the rows; beyond ``shard_rows`` classes a
+core, which a task could not hold (450 bytes a vector of 64 numbers, and a byte per pair of classes of two shards), with their square. A pair of
 classes is missed only if both walks miss it; the audits of ``AUDIT`` members and strangers a graph ask for ``RECALL``.
 
 Defined results: vectors that are null, empty or zero, or hold a null or non-finite component, and rows without id link with nothing (0 links,
@@ -32,7 +32,7 @@ from gleanery.llm.stage import shared_folder, written
 from gleanery.llm.warc import open_folder
 
 SIMILARITY = 0.9
-SHARD_ROWS = 8192
+SHARD_ROWS = 16_384
 BEAM, RECALL, AUDIT = 32, 0.995, 128
 #: Rows of a shard that are verified at once.
 VERIFIED = 512
@@ -166,7 +166,7 @@ def near_duplicates(
     spark = table.sparkSession
     rows = members(table, id_col, column)
     nodes = classes(rows)
-    shards = max(1, -(-nodes.count() // shard_rows))
+    shards = max(spark.sparkContext.defaultParallelism, -(-nodes.count() // shard_rows))
     folder = shared_folder(spark, "hnsw")
     found = pair_links(graphs(nodes, shards, folder, similarity, recall, beam), shards, folder, similarity, recall)
     labels = components(found.where("b IS NOT NULL").select("a", "b"))

@@ -59,7 +59,7 @@ def rows():
     return named + [(5, vector()), (5, named[9][1]), (7, named[7][1]), (None, named[0][1])]
 
 
-@pytest.mark.parametrize("shard_rows", [10_000, 25, 1])
+@pytest.mark.parametrize("shard_rows", [10_000, 12, 1])
 def test_equals_all_pairs(spark, rows, shard_rows):
     """One shard, several, and one or two vectors each; other columns have the names of internal ones."""
     some = rows if shard_rows > 1 else rows[:12]
