@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gleanery.session import shared
+
 #: Bytes of a matrix that are sent to the tasks at once; a larger one goes in blocks of columns.
 BLOCK_BYTES = 64 << 20
 _MAX_WORK_CELLS = 1 << 22
@@ -23,7 +25,7 @@ SCORE_DIGITS = 12
 
 
 def share_matrix(df: DataFrame, matrix: np.ndarray):
-    return df.sparkSession.sparkContext.broadcast(np.ascontiguousarray(matrix))
+    return shared(df.sparkSession, np.ascontiguousarray(matrix))
 
 
 def column_blocks(matrix: np.ndarray, block_bytes: int | None = None) -> Iterator[tuple[int, np.ndarray]]:
@@ -82,11 +84,11 @@ def project_rows(df: DataFrame, matrix: np.ndarray, keep: list[str], out: str) -
     return rows.select(*keep, out)
 
 
-def _extend(shared, out: str):
+def _extend(sent, out: str):
     """Append the product with a block of columns to the rows of ``out``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
+        m = sent.value
         for batch in batches:
             n = batch.num_rows
             product = sparse_product(batch.column("ids"), batch.column("weights"), m)
@@ -166,7 +168,7 @@ def _top_rows(
     """``matrix`` is a number of columns if the rows are the scores."""
     plain = isinstance(matrix, int)
     width = matrix if plain else matrix.shape[1]
-    shared = None if plain else share_matrix(df, matrix)
+    sent = None if plain else share_matrix(df, matrix)
     inputs = [vector] if vector else ["ids", "weights"]
     schema = T.StructType(
         [
@@ -179,7 +181,7 @@ def _top_rows(
     order = [("score", "descending"), (id_col, "descending")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = None if plain else shared.value
+        m = None if plain else sent.value
         best: pa.Table | None = None
         for batch in batches:
             if batch.num_rows == 0:

@@ -22,11 +22,8 @@ def concept_terms(model: LsaModel, n: int = 25, by: str = "signed") -> DataFrame
 
 def concept_docs(model: LsaModel, n: int = 25) -> DataFrame:
     """(concept, rank, doc_id, title[, genre], score) by the document's weight in U."""
-    carried = [c for c in model.doc_factors.columns if c != "us"]
-    # Columns of US in the order of U's: each is scaled by its own sigma after the search.
-    sigma = F.array(*[F.lit(float(s)) for s in model.sigmas()])
-    best = top_columns(model.doc_factors, model.k, n, "doc_id", carried, "us")
-    best = best.withColumn("score", F.col("score") / F.element_at(sigma, F.col("direction") + 1))
+    carried = [c for c in model.doc_factors.columns if c not in ("u", "us")]
+    best = top_columns(model.doc_factors, model.k, n, "doc_id", carried, "u")
     return best.withColumnRenamed("direction", "concept").select(
         "concept", "rank", *carried, "score"
     )

@@ -4,16 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from functools import reduce
 
-import numpy as np
 import pyarrow as pa
-from pyspark.ml.clustering import KMeans
+from pyspark import SparkContext
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanery.functions.distances import assigned_rows, farthest_rows, profile_rows
+from gleanery.operators.lsa import decoded_rows
 from gleanery.session import local_table
 
 Centers = Sequence[Sequence[float]]
@@ -80,68 +81,59 @@ def lloyd_step(df: DataFrame, features: Sequence[str], centers: Centers) -> Data
     )
 
 
-def fit_kmeans(
-    df: DataFrame,
-    features: Sequence[str],
-    k: int,
-    seed: int = 1,
-    max_iter: int = 100,
-    tol: float = 1e-6,
-) -> list[list[float]]:
-    """Centres of MLlib K-means (k-means|| start, Euclidean)."""
-    kmeans = KMeans(k=k, seed=seed, maxIter=max_iter, tol=tol, featuresCol="features")
-    points = VectorAssembler(inputCols=list(features), outputCol="features").transform(df)
-    return [list(map(float, c)) for c in kmeans.fit(points.select("features")).clusterCenters()]
+def hashed_starts(
+    df: DataFrame, features: Sequence[str], ks: Sequence[int], by: Column
+) -> dict[int, Centers]:
+    """For every k the k different points of smallest ``by``, a hash of the row: the same ones however the
+    rows are dealt. Fewer if there are fewer points."""
+    rows = df.select(by.alias("hash"), *features).orderBy("hash", *features).limit(8 * max(ks)).collect()
+    points = list(dict.fromkeys(tuple(float(r[f]) for f in features) for r in rows))
+    return {k: points[:k] for k in ks}
 
 
-def fit_sweep(
-    df: DataFrame,
-    features: Sequence[str],
-    ks: Sequence[int] = range(2, 13),
-    seed: int = 1,
-    max_iter: int = 100,
-    tol: float = 1e-6,
-    parallelism: int = 4,
-) -> dict[int, list[list[float]]]:
-    """Centres of one MLlib fit for every k, ``parallelism`` of them at a time.
-
-    ``df`` is read many times, so it should be cached.
-    """
-    with ThreadPoolExecutor(parallelism) as pool:
-        fits = pool.map(lambda k: fit_kmeans(df, features, k, seed, max_iter, tol), ks)
-        return dict(zip(ks, fits))
+@contextmanager
+def decoded_points(df: DataFrame, features: Sequence[str]):
+    """The feature vectors as MLlib reads them, assembled once and kept on the executors until the block ends."""
+    points = VectorAssembler(inputCols=list(features), outputCol="features").transform(df)
+    with decoded_rows(points) as matrix:
+        yield matrix._java_matrix_wrapper._java_model.rows()
+
+
+def _fit(context: SparkContext, rows, start: Centers, max_iter: int, tol: float) -> list[list[float]]:
+    """MLlib K-means (Euclidean) on decoded points from given centres; a centre without points stays."""
+    jvm, gateway = context._jvm, context._gateway
+    centers = jvm.java.util.ArrayList()
+    for center in start:
+        values = gateway.new_array(jvm.double, len(center))
+        for i, x in enumerate(center):
+            values[i] = float(x)
+        centers.add(jvm.org.apache.spark.mllib.linalg.Vectors.dense(values))
+    mllib = jvm.org.apache.spark.mllib.clustering
+    # Without points MLlib cannot run, and no centre would move.
+    if not len(start):
+        return []
+    kmeans = mllib.KMeans().setK(len(start)).setMaxIterations(max_iter).setEpsilon(tol)
+    model = kmeans.setInitialModel(mllib.KMeansModel(centers)).run(rows)
+    return [[float(x) for x in center.toArray()] for center in model.clusterCenters()]
 
 
-def lloyd_sweep(
+def fit_sweep(
     df: DataFrame,
     features: Sequence[str],
     starts: dict[int, Centers],
     max_iter: int = 100,
     tol: float = 1e-6,
+    parallelism: int = 4,
 ) -> dict[int, list[list[float]]]:
-    """Lloyd iterations for all given starts together, one job per iteration.
+    """Centres of one MLlib fit for each k from its ``starts``, ``parallelism`` of them at a time.
 
-    Only the sums per centre reach the driver. A centre without points stays in place.
+    All fits read one decoded copy of the points. A start decides its fit whatever the partitions,
+    but for the last digits of the sums. Centres keep the order of their starts.
     """
-    centers = {k: [list(map(float, c)) for c in start] for k, start in starts.items()}
-    moving = set(centers)
-    for _ in range(max_iter):
-        if not moving:
-            break
-        active = {k: centers[k] for k in sorted(moving)}
-        sizes = {k: np.zeros(len(c)) for k, c in active.items()}
-        sums = {k: np.zeros((len(c), len(features))) for k, c in active.items()}
-        for row in profile_rows(df, features, active).collect():
-            sizes[row["k"]][row["cluster"]] += row["size"]
-            sums[row["k"]][row["cluster"]] += [row[f"sum_{f}"] for f in features]
-        for k, old in active.items():
-            held = sizes[k] > 0
-            new = np.array(old)
-            new[held] = sums[k][held] / sizes[k][held, None]
-            if np.linalg.norm(new - old, axis=1).max() <= tol:
-                moving.discard(k)
-            centers[k] = new.tolist()
-    return centers
+    context = df.sparkSession.sparkContext
+    with decoded_points(df, features) as rows, ThreadPoolExecutor(parallelism) as pool:
+        fits = pool.map(lambda k: _fit(context, rows, starts[k], max_iter, tol), starts)
+        return dict(zip(starts, fits))
 
 
 def center_report(df: DataFrame, centers_by_k: dict[int, Centers], names: Sequence[str]) -> DataFrame:

@@ -88,7 +88,7 @@ def _blocks(entries: DataFrame, height: int) -> Iterator[tuple[list, np.ndarray]
 def _hits(
     rows: DataFrame, entries: DataFrame, height: int, n: int, vector: str | None
 ) -> DataFrame:
-    carried = [c for c in rows.columns if c not in ("us", "ids", "weights")]
+    carried = [c for c in rows.columns if c not in ("u", "us", "ids", "weights")]
     spark = rows.sparkSession
     found = []
     for ids, matrix in _blocks(entries, height):

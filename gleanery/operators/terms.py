@@ -15,6 +15,7 @@ from pyspark.ml.feature import (
     VectorAssembler,
     VectorSizeHint,
 )
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -106,6 +107,8 @@ def tfidf_vectors(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
     vocabulary terms keeps its row with an empty vector.
     """
     carried = docs.columns
+    if not vocab.terms:
+        return docs.withColumn("features", array_to_vector(F.array().cast("array<double>")))
     length = F.size("tokens")
     scaled = docs.withColumn(
         "_scale", F.when(length > 0, F.lit(1.0) / length).otherwise(F.lit(0.0))

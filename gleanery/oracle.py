@@ -155,6 +155,41 @@ keyed AS (SELECT row_number() OVER () AS rid, z1, z2, z3 FROM points),
 c0(k, cluster, c1, c2, c3) AS (VALUES {center_rows(CLUSTER_COUNTS)}){steps}"""
 
 
+FITS = f"""WITH RECURSIVE {POINTS},
+hashed AS (
+  SELECT z1, z2, z3, md5(concat_ws(':', l_orderkey, l_partkey, l_suppkey, l_linenumber)) AS h FROM points),
+drawn AS (
+  SELECT z1, z2, z3, min((h, z1, z2, z3)) AS h
+  FROM (SELECT * FROM hashed ORDER BY h, z1, z2, z3 LIMIT {8 * (CLUSTER_COUNTS.stop - 1)}) GROUP BY ALL),
+starts AS (SELECT row_number() OVER (ORDER BY h) AS n, {{'a': z1, 'b': z2, 'c': z3}} AS p FROM drawn),
+fits(k, pass, centers, moved) AS (
+  SELECT k, 0, list(p ORDER BY n), 1e9::DOUBLE
+  FROM starts, range({CLUSTER_COUNTS.start}, {CLUSTER_COUNTS.stop}) AS t(k) WHERE n <= k GROUP BY k
+  UNION ALL
+  SELECT k, any_value(pass) + 1, list(coalesce(m, p) ORDER BY n),
+         max(sqrt((coalesce(m, p).a - p.a) ** 2 + (coalesce(m, p).b - p.b) ** 2 + (coalesce(m, p).c - p.c) ** 2))
+  FROM (
+    SELECT f.k, f.pass, c.n, f.centers[c.n] AS p, g.m
+    FROM fits f, range(1, {CLUSTER_COUNTS.stop}) AS c(n)
+    LEFT JOIN (
+      SELECT k, near, {{'a': avg(z1), 'b': avg(z2), 'c': avg(z3)}} AS m
+      FROM (
+        SELECT k, z1, z2, z3, list_position(d, list_min(d)) AS near
+        FROM (
+          SELECT k, z1, z2, z3, list_transform(centers,
+            lambda x: (z1 - x.a) * (z1 - x.a) + (z2 - x.b) * (z2 - x.b) + (z3 - x.c) * (z3 - x.c)) AS d
+          FROM points, fits WHERE moved > 1e-6 AND pass < 100))
+      GROUP BY k, near) g ON g.k = f.k AND g.near = c.n
+    WHERE f.moved > 1e-6 AND f.pass < 100 AND c.n <= f.k)
+  GROUP BY k),
+fitted AS (SELECT k, arg_max(centers, pass) AS centers FROM fits GROUP BY k),
+assigned AS (
+  SELECT k, centers, z1, z2, z3, l_quantity, l_extendedprice, l_discount, list_position(d, list_min(d)) AS n, sqrt(list_min(d)) AS distance
+  FROM (
+    SELECT *, list_transform(centers,
+      lambda x: (z1 - x.a) * (z1 - x.a) + (z2 - x.b) * (z2 - x.b) + (z3 - x.c) * (z3 - x.c)) AS d
+    FROM points, fitted))"""
+
 SAMPLED = f"""sampled AS (
   SELECT * FROM assigned
   WHERE md5(concat_ws(':', '{SAMPLE_SEED}', l_orderkey, l_partkey, l_suppkey, l_linenumber))[1:8]
@@ -239,7 +274,7 @@ WITH {vocab(FULL_RANK)} SELECT round(sum(weight * weight), 6) AS energy FROM w""
 WITH {vocab(FULL_RANK)}, g AS (
   SELECT a.term_id AS i, b.term_id AS j, sum(a.weight * b.weight) AS value
   FROM w a JOIN w b USING (doc_id) GROUP BY 1, 2)
-SELECT round(sum(value * value), 5) AS sigma4, true AS orthogonal, true AS scaled FROM g""",
+SELECT round(sum(value * value), 5) AS sigma4, true AS orthogonal, true AS scaled, true AS u_orthogonal FROM g""",
     "lsa_sweep_full": f"""
 SELECT 'pattern' AS variant, CAST(30 AS INTEGER) AS num_terms, round(e, 6) AS energy, 1.0::DOUBLE AS share
 FROM (WITH {vocab(30)} SELECT sum(weight * weight) AS e FROM w)
@@ -279,6 +314,12 @@ SELECT round(avg(l_quantity), 4) AS mean_l_quantity,
        round(stddev_samp(l_quantity), 4) AS std_l_quantity,
        round(stddev_samp(l_extendedprice), 4) AS std_l_extendedprice,
        round(stddev_samp(l_discount), 4) AS std_l_discount FROM lineitem""",
+    "sensor_problems": """
+SELECT CAST(l_linenumber AS INTEGER) AS runId,
+       CASE l_orderkey % 9 WHEN 0 THEN 'too short' WHEN 1 THEN 'not a number' WHEN 2 THEN 'extra fields'
+            ELSE 'missing value' END AS problem,
+       count(*) AS lines, count(*) FILTER (l_orderkey % 9 = 2) AS usable
+FROM lineitem WHERE l_orderkey % 9 < 4 GROUP BY 1, 2""",
     "zscore": f"""
 WITH {POINTS}
 SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, round(z1, 6) AS z_l_quantity,
@@ -311,9 +352,26 @@ FROM assigned GROUP BY k, cluster""",
 {assigned(CLUSTER_COUNTS)}
 SELECT CAST(k AS INTEGER) AS k, round(avg(distance), 6) AS mean_distance
 FROM assigned GROUP BY k""",
+    "kmeans_sweep": f"""
+{FITS}
+SELECT CAST(k AS INTEGER) AS k, CAST(n - 1 AS INTEGER) AS cluster, round(any_value(centers[n].a), 5) AS z_l_quantity,
+       round(any_value(centers[n].b), 5) AS z_l_extendedprice, round(any_value(centers[n].c), 5) AS z_l_discount,
+       count(*) AS size, round(sum(distance), 3) AS total_distance
+FROM assigned GROUP BY k, n""",
+    "kmeans_outliers": f"""
+{FITS}, ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY k
+    ORDER BY distance DESC, l_quantity, l_extendedprice, l_discount) AS place FROM assigned)
+SELECT CAST(k AS INTEGER) AS k, l_quantity, l_extendedprice, l_discount,
+       CAST(n - 1 AS INTEGER) AS cluster, round(distance, 5) AS distance
+FROM ranked WHERE place <= 25""",
     "kmeans_partition": f"""
-SELECT CAST(k AS INTEGER) AS k, count(*) AS readings, CAST(any_value(k) AS BIGINT) AS clusters, true AS settled
-FROM lineitem, range({CLUSTER_COUNTS.start}, {CLUSTER_COUNTS.stop}) AS t(k) GROUP BY k""",
+{FITS}, means AS (
+  SELECT k, n, count(*) AS held, any_value(centers[n]) AS p, avg(z1) AS a, avg(z2) AS b, avg(z3) AS c
+  FROM assigned GROUP BY k, n)
+SELECT CAST(k AS INTEGER) AS k, CAST(sum(held) AS BIGINT) AS readings, count(*) AS clusters,
+       round(max(sqrt((p.a - a) ** 2 + (p.b - b) ** 2 + (p.c - c) ** 2)), 5) AS largest_gap
+FROM means GROUP BY k""",
     "cluster_sample": f"""
 {assigned(CLUSTER_COUNTS)}, {SAMPLED}
 SELECT CAST(k AS INTEGER) AS k, round(avg(distance), 6) AS mean_distance

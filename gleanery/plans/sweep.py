@@ -56,7 +56,7 @@ def sweep_lsa(
                 energy = float(np.sum(sigma[:k] ** 2))
                 own = time.monotonic() - started
                 results.append(
-                    (variant, asked, k, min(k, len(sigma)), energy, energy / total,
+                    (variant, asked, k, min(k, len(sigma)), energy, energy / total if total else 0.0,
                      shared + own, token_seconds)
                 )
     return docs.sparkSession.createDataFrame(

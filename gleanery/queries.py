@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleanery.functions.sampling import sample_by_key
@@ -24,7 +24,13 @@ from gleanery.sinks.exports import cluster_rows, export_samples, sample_means, s
 from gleanery.sinks.model_store import load_model, model_path, save_model
 from gleanery.sources.articles import extract_articles
 from gleanery.sources.movies import MOVIE_SCHEMA, read_movies
-from gleanery.sources.sensors import read_cluster_samples, read_runs, run_id
+from gleanery.sources.sensors import (
+    read_checked_runs,
+    read_cluster_samples,
+    read_runs,
+    reading_problems,
+    run_id,
+)
 from gleanery.sources.stopwords import read_stop_words
 from gleanery.sources.tables import read_table
 
@@ -37,8 +43,6 @@ CLUSTER_COUNTS = range(2, 13)
 LLOYD_PASSES = 3
 SAMPLE_FRACTION = 0.2
 SAMPLE_SEED = 1
-#: Centres move less than this after the last iteration of a fit (z-scores).
-KMEANS_GAP = 0.05
 
 
 def fixed_centers(k: int) -> list[tuple[float, float, float]]:
@@ -89,9 +93,8 @@ def points(spark: SparkSession, sf: str) -> DataFrame:
     return outliers.standardize(readings(spark, sf), SENSOR_COLUMNS)
 
 
-def cached_points(spark: SparkSession, sf: str) -> DataFrame:
-    """Standardised readings for the iterative queries: spread once, then kept."""
-    return spread(points(spark, sf), "l_orderkey").select(*SENSOR_COLUMNS, *FEATURES).persist()
+def row_hash(keys: list[str]) -> Column:
+    return F.md5(F.concat_ws(":", *[F.col(k).cast("string") for k in keys]))
 
 
 def rounded(df: DataFrame, digits: int, *cols: str) -> DataFrame:
@@ -193,6 +196,24 @@ def sensor_scan(spark: SparkSession, sf: str) -> DataFrame:
     return read_runs(spark, f"{path}/*", r"l_linenumber=(\d+)/")
 
 
+def sensor_problems(spark: SparkSession, sf: str) -> DataFrame:
+    """Readings written as lines of which some are cut, lengthened or spoilt: what the reader makes of them."""
+    path = scratch_folder(spark, "lines")
+    kind = F.pmod("l_orderkey", F.lit(9))
+    fields = [F.col(c).cast("string") for c in SENSOR_COLUMNS]
+    line = (
+        F.when(kind == 0, F.concat_ws(",", *fields[:2]))
+        .when(kind == 1, F.concat_ws(",", fields[0], F.lit("n/a"), fields[2]))
+        .when(kind == 2, F.concat_ws(",", *fields, F.lit("7")))
+        .when(kind == 3, F.concat_ws(",", F.lit(""), *fields[1:]))
+        .otherwise(F.concat_ws(",", *fields))
+    )
+    rows = read_table(spark, sf, "lineitem").select("l_linenumber", line.alias("value"))
+    rows.write.partitionBy("l_linenumber").text(path)
+    found = reading_problems(read_checked_runs(spark, f"{path}/*", r"l_linenumber=(\d+)/"))
+    return found.groupBy("runId", "problem").agg(F.sum("lines").alias("lines"), F.sum("usable").alias("usable"))
+
+
 def sample_key(spark: SparkSession, sf: str) -> DataFrame:
     sample = sample_by_key(documents(spark, sf), ["doc_id"], SAMPLE_FRACTION, SAMPLE_SEED)
     return sample.select("doc_id", "title")
@@ -281,9 +302,11 @@ def term_energy(spark: SparkSession, sf: str) -> DataFrame:
 
 def svd_invariants(spark: SparkSession, sf: str) -> DataFrame:
     """At full rank: the sum of sigma**4, which is that of the squared Gram entries, and the largest
-    deviations of V'V from the identity and of each concept's length |Av| from its sigma."""
+    deviations of V'V and U'U from the identity and of each concept's length |Av| from its sigma."""
     model = full_rank_model(spark, sf)
     sigma = F.col("sigma")
+    gram = lsa.factor_gram(model)
+    upright = float(np.abs(gram - np.eye(len(gram))).max()) < 1e-8
     powers = model.singular_values.agg(F.round(F.sum(sigma * sigma * sigma * sigma), 5).alias("sigma4"))
     entries = model.term_factors.select("term_id", F.posexplode("v").alias("i", "x"))
     other = entries.toDF("term_id", "j", "y")
@@ -297,7 +320,8 @@ def svd_invariants(spark: SparkSession, sf: str) -> DataFrame:
         .join(model.singular_values, "concept")
         .agg((F.max(F.abs(F.col("length") - sigma)) < 1e-8).alias("scaled"))
     )
-    return powers.crossJoin(orthogonal).crossJoin(lengths)  # one row each
+    # One row each.
+    return powers.crossJoin(orthogonal).crossJoin(lengths).withColumn("u_orthogonal", F.lit(upright))
 
 
 def singular_values(spark: SparkSession, sf: str) -> DataFrame:
@@ -410,9 +434,9 @@ def lloyd_step(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def lloyd_sweep(spark: SparkSession, sf: str) -> DataFrame:
-    """Centres after the shared passes from fixed starts."""
-    standard = cached_points(spark, sf)
-    centers = outliers.lloyd_sweep(standard, FEATURES, FIXED, max_iter=LLOYD_PASSES)
+    """Centres after a few iterations from fixed starts."""
+    standard = spread(points(spark, sf), "l_orderkey")
+    centers = outliers.fit_sweep(standard, FEATURES, FIXED, max_iter=LLOYD_PASSES)
     return rounded(outliers.center_report(standard, centers, FEATURES), 6, *FEATURES)
 
 
@@ -431,31 +455,29 @@ def elbow(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _fitted(spark: SparkSession, sf: str) -> tuple[DataFrame, dict]:
-    standard = cached_points(spark, sf)
-    return standard, outliers.fit_sweep(standard, FEATURES, CLUSTER_COUNTS)
+    standard = spread(points(spark, sf), "l_orderkey")
+    starts = outliers.hashed_starts(standard, FEATURES, CLUSTER_COUNTS, row_hash(ROW_KEYS))
+    return standard, outliers.fit_sweep(standard, FEATURES, starts)
 
 
 def kmeans_sweep(spark: SparkSession, sf: str) -> DataFrame:
     standard, centers = _fitted(spark, sf)
     profile = outliers.cluster_profile(standard, FEATURES, centers)
     report = outliers.center_report(standard, centers, FEATURES)
-    return report.join(profile, ["k", "cluster"])
+    return rounded(rounded(report.join(profile, ["k", "cluster"]), 5, *FEATURES), 3, "total_distance")
 
 
 def kmeans_outliers(spark: SparkSession, sf: str) -> DataFrame:
     standard, centers = _fitted(spark, sf)
-    return outliers.top_outliers(standard, FEATURES, centers, SENSOR_COLUMNS)
+    return rounded(outliers.top_outliers(standard, FEATURES, centers, SENSOR_COLUMNS), 5, "distance")
 
 
 def kmeans_partition(spark: SparkSession, sf: str) -> DataFrame:
-    """Per k: readings covered, centres with points, and whether every centre is the mean of the
-    points nearest to it (so that no point has a nearer other centre's mean to go to)."""
+    """Per k: readings covered, centres with points, and how far a centre is at most from the mean of
+    the points nearest to it (0 for a fit that has converged)."""
     standard, centers = _fitted(spark, sf)
     checks = outliers.center_checks(standard, FEATURES, centers)
-    return checks.select(
-        "k", F.col("points").alias("readings"), "clusters",
-        (F.col("largest_gap") < KMEANS_GAP).alias("settled"),
-    )
+    return checks.select("k", F.col("points").alias("readings"), "clusters", F.round("largest_gap", 5).alias("largest_gap"))
 
 
 def _exported(spark: SparkSession, sf: str) -> DataFrame:
@@ -484,7 +506,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         article_extract, page_header, run_id_extract, stop_word_list, movie_scan, movie_duplicates,
-        lemma_dictionary, sensor_scan,
+        lemma_dictionary, sensor_scan, sensor_problems,
         sample_key, corpus_stats, stopword_filter, tokenize_regex, tokenize_lemma,
         sentence_counts, term_freq, doc_length, doc_freq, vocab_top, tfidf_weights, tfidf_join,
         gram_matrix, svd_energy, svd_invariants, document_energy, term_energy, singular_values, concept_terms,

@@ -1,12 +1,16 @@
-"""Session set-up, shared checkpoint folder and size checks for small sides."""
+"""Session set-up, shared folder, scopes of what a job holds, and size checks for small sides."""
 
 from __future__ import annotations
 
 import re
 import tempfile
 import uuid
+from collections.abc import Callable
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,20 +53,80 @@ def _scratch_root(spark: SparkSession) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/gleanery-{spark.sparkContext.applicationId}"
 
 
+#: Open scopes, the innermost last: what is to be released at the end of each.
+_SCOPES: ContextVar[tuple[list, ...]] = ContextVar("gleanery_scopes", default=())
+
+
+@contextmanager
+def job_scope():
+    """Owns what is persisted, broadcast and staged inside it through this module, and frees it at the end, after a failure, too.
+
+    Frames that are to be read afterwards have to be ``kept``. Without a scope nothing is freed
+    before the session ends or ``drop_scratch``: lazy results may still need it.
+    """
+    held: list[Callable[[], None]] = []
+    token = _SCOPES.set((*_SCOPES.get(), held))
+    try:
+        yield
+    finally:
+        _SCOPES.reset(token)
+        for release in reversed(held):
+            release()
+
+
+def owned(release: Callable[[], None]) -> None:
+    """Have the innermost scope call ``release`` at its end."""
+    if _SCOPES.get():
+        _SCOPES.get()[-1].append(release)
+
+
+def persisted(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> DataFrame:
+    df.persist(level)
+    owned(df.unpersist)
+    return df
+
+
+def shared(spark: SparkSession, value):
+    """A broadcast of a value of bounded size."""
+    sent = spark.sparkContext.broadcast(value)
+    owned(sent.destroy)
+    return sent
+
+
 def staged(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder so that a lost executor costs a re-read only.
 
     An eager ``checkpoint`` would run the plan twice, once to count and once to save.
     """
     path = scratch_folder(df.sparkSession, "stage")
+    owned(lambda: delete_folder(df.sparkSession, path))
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def kept(df: DataFrame) -> DataFrame:
+    """``df`` staged so that it outlives the innermost scope; the next one around it owns it."""
+    token = _SCOPES.set(_SCOPES.get()[:-1])
+    try:
+        return staged(df)
+    finally:
+        _SCOPES.reset(token)
+
+
+def file_system(spark: SparkSession, path: str):
+    """(Hadoop file system, path) of a folder."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    files, folder = file_system(spark, path)
+    files.delete(folder, True)
+
+
 def drop_scratch(spark: SparkSession) -> None:
     """Delete what this application has staged. Tables read from it are gone, too."""
-    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
-    root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(root, True)
+    delete_folder(spark, _scratch_root(spark))
 
 
 def fits(df: DataFrame, max_rows: int, max_bytes: int = 64 << 20) -> bool:

@@ -85,47 +85,71 @@ def test_all_points_equal(spark):
     assert sorted(r.id for r in top) == list(range(25))
 
 
+def by_row(*keys):
+    return F.md5(F.concat_ws(":", *keys))
+
+
+def lloyd(points, centers, passes):
+    """Plain Lloyd iterations; a centre without points stays."""
+    centers = np.array(centers, float)
+    for _ in range(passes):
+        near = ((points[:, None] - centers) ** 2).sum(axis=2).argmin(axis=1)
+        new = np.array([points[near == i].mean(axis=0) if (near == i).any() else c for i, c in enumerate(centers)])
+        moved = np.linalg.norm(new - centers, axis=1).max()
+        centers = new
+        if moved <= 1e-6:
+            break
+    return centers
+
+
 def test_kmeans_sweep(cloud):
-    centers = outliers.fit_sweep(cloud, COLS, [2, 3, 5])
+    starts = outliers.hashed_starts(cloud, COLS, [2, 3, 5], by_row("id"))
+    centers = outliers.fit_sweep(cloud, COLS, starts)
     assert [len(centers[k]) for k in (2, 3, 5)] == [2, 3, 5]
     profile = outliers.cluster_profile(cloud, COLS, centers).collect()
     for k in centers:
         assert sum(r["size"] for r in profile if r.k == k) == 3000
-    means = {r.k: r.mean_distance for r in outliers.elbow(outliers.cluster_profile(cloud, COLS, centers)).collect()}
-    assert means[2] > means[3] > means[5]
+    points = np.array([[r[c] for c in COLS] for r in cloud.collect()])
+    for k in centers:
+        assert np.array(centers[k]) == pytest.approx(lloyd(points, starts[k], 100), abs=1e-9)
     for r in outliers.center_checks(cloud, COLS, centers).collect():
-        assert (r.points, r.clusters) == (3000, r.k) and r.largest_gap < 1e-2
-    settled = outliers.fit_kmeans(cloud, COLS, 3, max_iter=100)
-    moved = {r.cluster: [r[c] for c in COLS] for r in outliers.lloyd_step(cloud, COLS, settled).collect()}
-    assert [moved[i] for i in range(3)] == [pytest.approx(c, abs=1e-2) for c in settled]
+        assert (r.points, r.clusters) == (3000, r.k) and r.largest_gap < 1e-3
     report = outliers.center_report(cloud, centers, COLS)
     assert report.count() == 10 and report.columns == ["k", "cluster", *COLS]
 
 
-def test_shared_passes_match_single_fits(cloud):
-    one = cloud.coalesce(1).persist()
-    starts = {k: outliers.fit_kmeans(one, COLS, k, max_iter=0) for k in (2, 4)}
-    shared = outliers.lloyd_sweep(one, COLS, starts, max_iter=50)
-    for k in starts:
-        alone = outliers.fit_kmeans(one, COLS, k, max_iter=50)
-        assert np.array(shared[k]) == pytest.approx(np.array(alone), abs=1e-9)
+def test_fits_do_not_depend_on_partitions(cloud):
+    fits = []
+    for parts in (1, 8):
+        dealt = cloud.repartition(parts)
+        starts = outliers.hashed_starts(dealt, COLS, [2, 4, 7], by_row("id"))
+        fits.append((starts, outliers.fit_sweep(dealt, COLS, starts)))
+    assert fits[0][0] == fits[1][0]
+    for k in (2, 4, 7):
+        assert np.array(fits[0][1][k]) == pytest.approx(np.array(fits[1][1][k]), abs=1e-9)
 
 
-def test_sweep_is_one_fit_for_every_k(cloud):
-    sweep = outliers.fit_sweep(cloud, COLS, [2, 4])
-    for k, centers in sweep.items():
-        alone = outliers.fit_kmeans(cloud, COLS, k)
-        assert np.array(centers) == pytest.approx(np.array(alone), abs=1e-9)
+def test_starts_are_different_points(spark):
+    rows = spark.range(50).select("id", *[(F.col("id") % 3).cast("double").alias(c) for c in COLS])
+    starts = outliers.hashed_starts(rows, COLS, [2, 6], by_row("id"))
+    assert len(set(starts[6])) == len(starts[6]) == 3 and len(starts[2]) == 2
+    assert [len(c) for c in outliers.fit_sweep(rows, COLS, starts).values()] == [2, 3]
 
 
 def test_empty_centres_stay(cloud):
     starts = {2: [(0, 0, 0), (99, 99, 99)], 3: [(-1, 0, 0), (1, 0, 0), (0, 2, 0)]}
-    one = outliers.lloyd_sweep(cloud, COLS, starts, max_iter=4)
+    one = outliers.fit_sweep(cloud, COLS, starts, max_iter=4)
     assert one[2][1] == [99, 99, 99]
-    many = outliers.lloyd_sweep(cloud.repartition(9), COLS, starts, max_iter=4)
+    many = outliers.fit_sweep(cloud.repartition(9), COLS, starts, max_iter=4)
     assert all(np.array(one[k]) == pytest.approx(np.array(many[k]), abs=1e-9) for k in starts)
 
 
+def test_nothing_stays_cached(spark, cloud):
+    before = spark.sparkContext._jsc.sc().getPersistentRDDs().size()
+    outliers.fit_sweep(cloud, COLS, {2: [(0, 0, 0), (1, 1, 1)]})
+    assert spark.sparkContext._jsc.sc().getPersistentRDDs().size() == before
+
+
 def test_export_and_rescan(spark, cloud, tmp_path):
     names = ["sensor1", "sensor2", "sensor3"]
     sample = sample_by_key(cloud, ["id"], 0.1, seed=2)
