@@ -2,17 +2,13 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Iterator
 
-import numpy as np
 import pandas as pd
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from gleanery.functions.dictionary import code_tokens, decode_tokens
 from gleanery.functions.text import (
     MIN_TOKEN_LENGTH,
     letters_only,
@@ -21,13 +17,9 @@ from gleanery.functions.text import (
     surface_tokens,
     without_words,
 )
+from gleanery.operators.lemmas import derive_lemmas
 from gleanery.session import staged
 
-#: Bytes of a dictionary that are sent to the tasks at once.
-BLOCK_BYTES = 32 << 20
-#: Blocks that one stage looks up, each in a Python worker of its own; then the lists are staged.
-STAGED_BLOCKS = 4
-
 StopWords = list[str] | DataFrame
 
 
@@ -47,71 +39,52 @@ def tokenize_pattern(docs: DataFrame, stop_words: StopWords, text: str = "text")
 
 
 def tokenize_lemma(
-    docs: DataFrame, stop_words: StopWords, lemmas: DataFrame, text: str = "text"
+    docs: DataFrame, stop_words: StopWords, lemmas: DataFrame | None, text: str = "text"
 ) -> DataFrame:
-    """Letters-only tokens replaced by their lemma, then length and stop-word filters."""
-    surface = docs.withColumn("tokens", surface_tokens(F.col(text))).drop(text)
-    return drop_stop_words(apply_lemmas(surface, lemmas), stop_words)
+    """Letters-only tokens replaced by their lemma in ``lemmas(token, lemma)``, then length and stop-word filters.
+
+    Without a table one is derived from the documents. The text is scanned once: lemmas, filters and stop words
+    work on the dictionaries of the shards of documents.
+    """
+    coded = code_tokens(docs.withColumn("tokens", surface_tokens(F.col(text))).drop(text))
+    if lemmas is None:
+        lemmas = staged(derive_lemmas(staged(coded.words.select("token").distinct())))
+    words = _kept_words(_replaced(coded.words, lemmas.where(F.col("lemma").isNotNull())))
+    if isinstance(stop_words, list):
+        words = words.where(~F.col("token").isin(stop_words))
+    else:
+        words = words.join(stop_words.select(F.col("word").alias("token")), "token", "left_anti")
+    return decode_tokens(coded, words)
 
 
 def apply_lemmas(docs: DataFrame, lemmas: DataFrame) -> DataFrame:
     """Replace each token by its lemma in ``lemmas(token, lemma)``; tokens not listed stay."""
-    return _keep_terms(look_up(docs, lemmas.where(F.col("lemma").isNotNull())))
+    coded = code_tokens(docs)
+    words = _replaced(coded.words, lemmas.where(F.col("lemma").isNotNull()))
+    return decode_tokens(coded, _kept_words(words)).select(*docs.columns)
 
 
-def _keep_terms(docs: DataFrame) -> DataFrame:
-    kept = F.filter("tokens", lambda t: (F.length(t) >= MIN_TOKEN_LENGTH) & letters_only(t))
-    return docs.withColumn("tokens", kept)
+def look_up(docs: DataFrame, lemmas: DataFrame) -> DataFrame:
+    """Replace tokens by ``lemma``, or remove them where it is null; a token of the input is looked up once."""
+    coded = code_tokens(docs)
+    return decode_tokens(coded, _replaced(coded.words, lemmas)).select(*docs.columns)
 
 
-def look_up(docs: DataFrame, lemmas: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Replace tokens by ``lemma``, or remove them where it is null, inside the row.
+def _replaced(words: DataFrame, lemmas: DataFrame) -> DataFrame:
+    """(_of, _at, token) with the tokens that ``lemmas`` lists replaced, or gone where its lemma is null."""
+    listed = lemmas.where(F.col("token").isNotNull()).select("token", "lemma", F.lit(True).alias("_listed"))
+    token = F.when(F.col("_listed"), F.col("lemma")).otherwise(F.col("token"))
+    found = words.join(listed, "token", "left").select("_of", "_at", token.alias("token"))
+    return found.where(F.col("token").isNotNull())
 
-    The dictionary is cut into blocks of at most ``block_bytes`` or so, each of them broadcast, and the
-    documents flow through one ``mapInArrow`` per block, ``STAGED_BLOCKS`` of them in a stage. So tokens are never shuffled, keep their
-    order, and the plan is the same for a dictionary of any size; its size sets the number of blocks.
-    A token of the input is looked up once: what one block replaced, the next leaves alone.
-    """
-    listed = lemmas.select("token", "lemma").where(F.col("token").isNotNull())
-    width = F.octet_length("token") + F.coalesce(F.octet_length("lemma"), F.lit(0)) + 8
-    total = listed.agg(F.sum(width)).first()[0] or 0
-    blocks = math.ceil(2 * total / block_bytes)  # half full on average: an uneven share fits
-    part = F.pmod(F.xxhash64("token"), F.lit(max(1, blocks)))
-    context = docs.sparkSession.sparkContext
-    carried = [c for c in docs.columns if c != "tokens"]
-    kept = [docs.schema[c] for c in carried]
-    words = T.ArrayType(T.StringType())
-    schema = T.StructType([*kept, T.StructField("tokens", words), T.StructField("_done", words)])
-    out = docs.select(*carried, "tokens", F.lit(None).cast(words).alias("_done"))
-    for k in range(blocks):
-        block = listed.where(part == k).toArrow()
-        shared = context.broadcast(
-            (block.column("token").to_pylist(), block.column("lemma").to_pylist())
-        )
-        out = out.mapInArrow(_block_lookup(shared, carried), schema)
-        if k % STAGED_BLOCKS == STAGED_BLOCKS - 1 and k + 1 < blocks:
-            out = staged(out)
-    # ``_done`` has the replaced tokens where they differ, null for tokens to remove.
-    found = F.filter(F.coalesce("_done", "tokens"), lambda t: t.isNotNull())
-    return out.withColumn("tokens", found).select(*docs.columns)
-
-
-def _block_lookup(shared, carried: list[str]):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, replacements = (pa.array(values, pa.string()) for values in shared.value)
-        for batch in batches:
-            lists, done = batch.column("tokens"), batch.column("_done")
-            flat = lists.flatten()
-            before = done.flatten() if not done.null_count else flat
-            at = pc.index_in(flat, value_set=tokens)
-            after = pc.if_else(at.is_valid(), replacements.take(at), before)
-            ends = np.r_[0, np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))]
-            replaced = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), after)
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in carried), lists, replaced], [*carried, "tokens", "_done"]
-            )
-
-    return run
+
+def _kept_words(words: DataFrame) -> DataFrame:
+    return words.where((F.length("token") >= MIN_TOKEN_LENGTH) & letters_only(F.col("token")))
+
+
+def _keep_terms(docs: DataFrame) -> DataFrame:
+    kept = F.filter("tokens", lambda t: (F.length(t) >= MIN_TOKEN_LENGTH) & letters_only(t))
+    return docs.withColumn("tokens", kept)
 
 
 Annotator = Callable[[str], list[str]]

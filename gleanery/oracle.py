@@ -78,16 +78,19 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, doc_id, title, genre, score
 FROM ranked WHERE rank <= 10"""
 
 
-SURFACE = rf"""
+IRREGULAR_ROWS = ", ".join(f"({quoted(t)}, {quoted(l)})" for t, l in IRREGULAR.items())
+RULES = ", ".join(f"({i}, {quoted(s)}, {quoted(r)})" for i, (s, r) in enumerate(SUFFIX_RULES))
+SURFACE_WORDS = rf"""
 raw AS (
   SELECT doc_id, unnest(regexp_extract_all(lower(text),
     '[\p{{L}}\p{{N}}]+(?:[-_.''’@][\p{{L}}\p{{N}}]+)*')) AS piece FROM docs),
 surface AS (
   SELECT doc_id, regexp_replace(piece, '(n[''’]t|[''’](s|re|ve|ll|d|m))$', '') AS token FROM raw),
-words AS (SELECT doc_id, token FROM surface WHERE regexp_full_match(token, '\p{{L}}+')),
+words AS (SELECT doc_id, token FROM surface WHERE regexp_full_match(token, '\p{{L}}+'))"""
+SURFACE = f"""{SURFACE_WORDS},
 lexicon AS (SELECT DISTINCT token FROM words),
-irregular(token, lemma) AS (VALUES {", ".join(f"({quoted(t)}, {quoted(l)})" for t, l in IRREGULAR.items())}),
-rules(rule, suffix, replacement) AS (VALUES {", ".join(f"({i}, {quoted(s)}, {quoted(r)})" for i, (s, r) in enumerate(SUFFIX_RULES))}),
+irregular(token, lemma) AS (VALUES {IRREGULAR_ROWS}),
+rules(rule, suffix, replacement) AS (VALUES {RULES}),
 proposed AS (
   SELECT token, rule, left(token, length(token) - length(suffix)) || replacement AS lemma
   FROM lexicon JOIN rules ON ends_with(token, suffix)
@@ -249,7 +252,20 @@ lines AS (
   SELECT doc_id, string_agg(term, ' ' ORDER BY term) AS tokens FROM terms
   WHERE length(term) > 2 AND term NOT IN (SELECT word FROM stop) GROUP BY doc_id)
 SELECT doc_id, coalesce(lines.tokens, '') AS tokens FROM docs LEFT JOIN lines USING (doc_id)""",
-    "lemma_dictionary": f"WITH {DOCS}, {SURFACE} SELECT token, lemma FROM lemmas",
+    "lemma_dictionary": f"""
+WITH {DOCS}, {SURFACE_WORDS},
+lexicon AS MATERIALIZED (SELECT DISTINCT token FROM words),
+rules(rule, suffix, replacement) AS (VALUES {RULES}),
+irregular(token, lemma) AS (VALUES {IRREGULAR_ROWS}),
+sizes AS (SELECT DISTINCT length(suffix) AS cut FROM rules),
+ends AS MATERIALIZED (
+  SELECT token, left(token, length(token) - cut) AS stem, right(token, cut) AS suffix
+  FROM lexicon, sizes WHERE length(token) >= cut + {MIN_STEM}),
+proposed AS (SELECT token, rule, stem || replacement AS lemma FROM ends JOIN rules USING (suffix)),
+regular AS (
+  SELECT p.token, arg_min(lemma, rule) AS lemma FROM proposed p JOIN lexicon l ON l.token = p.lemma GROUP BY p.token)
+SELECT token, lemma FROM regular ANTI JOIN irregular USING (token)
+UNION ALL SELECT token, lemma FROM irregular SEMI JOIN lexicon USING (token)""",
     "sentence_counts": f"""
 SELECT doc_id, CAST(len(list_filter(
   regexp_split_to_array(text, '[.!?]+([ \\t\\n\\r\\f]+|$)'),

@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleanery.operators.concepts import concept_names, concept_report
-from gleanery.operators.lemmas import derive_lemmas, distinct_tokens
 from gleanery.operators.lsa import LsaModel, fit_lsa, singular_value_report
 from gleanery.operators.search import parse_queries, search
 from gleanery.operators.tokens import tokenize_lemma, tokenize_pattern
@@ -17,7 +16,6 @@ from gleanery.session import staged
 from gleanery.sinks.model_store import check_free, load_model, model_path, save_model
 from gleanery.sources.articles import as_documents, extract_articles, read_files
 from gleanery.sources.stopwords import read_stop_words
-from gleanery.functions.text import surface_tokens
 
 # Defaults of the job and the query it tries out.
 SAMPLE, NUM_TERMS, CONCEPTS = 0.01, 5000, 25
@@ -46,9 +44,6 @@ def tokenize(
         return tokenize_pattern(docs, stop_words)
     if variant != LEMMA:
         raise ValueError(f"unknown tokenizer {variant!r}")
-    if lemmas is None:
-        surface = docs.select(surface_tokens(docs["text"]).alias("tokens"))
-        lemmas = staged(derive_lemmas(staged(distinct_tokens(surface))))
     return tokenize_lemma(docs, stop_words, lemmas)
 
 
