@@ -6,16 +6,17 @@ record batch at a time, and only the small matrix is broadcast.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gleanery.session import shared
+from gleanery.session import shared, shared_path
 
 #: Bytes of a matrix that are sent to the tasks at once; a larger one goes in blocks of columns.
 BLOCK_BYTES = 64 << 20
@@ -144,7 +145,8 @@ def top_rows(
     """
     found = None
     for first, block in column_blocks(matrix):
-        best = _top_rows(df, block, n, id_col, keep, vector)
+        sent = share_matrix(df, block)
+        best = _top_rows(df, lambda sent=sent: (sent.value, None), 0, n, id_col, keep, vector)
         best = best.withColumn("direction", (F.col("direction") + first).cast("int"))
         found = best if found is None else found.unionByName(best)
     return found
@@ -154,40 +156,56 @@ def top_columns(
     df: DataFrame, width: int, n: int, id_col: str, keep: list[str], vector: str
 ) -> DataFrame:
     """The same for the columns of the ``vector`` rows themselves, without a product."""
-    return _top_rows(df, width, n, id_col, keep, vector)
+    return _top_rows(df, lambda: (None, None), width, n, id_col, keep, vector)
+
+
+def top_rows_of_file(
+    df: DataFrame, file: str, label: T.StructField, n: int, id_col: str, keep: list[str], vector: str
+) -> DataFrame:
+    """The same with directions from a Parquet file (``label``, vector) of the shared folder, which every task
+    reads; ``label`` names the direction in the result. A file without rows gives none."""
+
+    def load():
+        system, path = shared_path(file)
+        table = pq.read_table(path, filesystem=system, partitioning=None).combine_chunks()
+        rows = table.column("vector").combine_chunks()
+        return dense_rows(rows, len(rows[0]) if len(rows) else 0).T, table.column(label.name).combine_chunks()
+
+    return _top_rows(df, load, 0, n, id_col, keep, vector, label)
 
 
 def _top_rows(
     df: DataFrame,
-    matrix: np.ndarray | int,
+    load: Callable[[], tuple[np.ndarray | None, pa.Array | None]],
+    width: int,
     n: int,
     id_col: str,
     keep: list[str],
     vector: str | None,
+    label: T.StructField | None = None,
 ) -> DataFrame:
-    """``matrix`` is a number of columns if the rows are the scores."""
-    plain = isinstance(matrix, int)
-    width = matrix if plain else matrix.shape[1]
-    sent = None if plain else share_matrix(df, matrix)
+    """``load`` gives the directions, as columns of a matrix, and their labels; without a matrix the ``width`` columns of the
+    rows are the scores, without labels directions are numbered."""
     inputs = [vector] if vector else ["ids", "weights"]
+    name = label.name if label else "direction"
     schema = T.StructType(
         [
-            T.StructField("direction", T.IntegerType()),
+            T.StructField(name, label.dataType if label else T.IntegerType()),
             T.StructField("score", T.DoubleType()),
             *[df.schema[c] for c in keep],
         ]
     )
-    limit = 8 * n * width + 1024
     order = [("score", "descending"), (id_col, "descending")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = None if plain else sent.value
+        m, labels = load()
+        limit = 8 * n * (width if m is None else m.shape[1]) + 1024
         best: pa.Table | None = None
         for batch in batches:
-            if batch.num_rows == 0:
+            if batch.num_rows == 0 or (labels is not None and not len(labels)):
                 continue
             batch = batch.take(pc.sort_indices(batch.column(id_col), sort_keys=[("", "descending")]))
-            if plain:
+            if m is None:
                 scores = dense_rows(batch.column(vector), width)
             elif vector:
                 scores = dense_rows(batch.column(vector), m.shape[0]) @ m
@@ -204,8 +222,12 @@ def _top_rows(
             if best.num_rows > limit:
                 best = best_rows(best, n, "direction", order)
         if best is not None:
-            yield from best_rows(best, n, "direction", order).combine_chunks().to_batches()
+            table = best_rows(best, n, "direction", order).combine_chunks()
+            if labels is not None:
+                named = labels.take(table.column("direction").combine_chunks())
+                table = table.set_column(0, name, named)
+            yield from table.to_batches()
 
     found = df.select(*dict.fromkeys([id_col, *keep, *inputs])).mapInArrow(run, schema)
-    place = Window.partitionBy("direction").orderBy(F.desc("score"), F.desc(id_col))
+    place = Window.partitionBy(name).orderBy(F.desc("score"), F.desc(id_col))
     return found.withColumn("rank", F.row_number().over(place)).filter(F.col("rank") <= n)

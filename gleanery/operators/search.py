@@ -2,19 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from functools import reduce
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.functions.blocks import top_rows
+from gleanery.functions.blocks import top_rows_of_file
 from gleanery.functions.text import blank_split
 from gleanery.operators.lsa import LsaModel
-from gleanery.operators.terms import Vocabulary
-from gleanery.session import local_table
+from gleanery.session import delete_folder, file_system, local_table, owned, scratch_folder
 
 #: Queries, and bytes of their vectors, that are scored in one pass over the documents. All hits are the
 #: same for any block size.
@@ -60,75 +57,37 @@ def query_factors(queries: DataFrame, term_factors: DataFrame) -> DataFrame:
     return queries.select("query_id").join(lists, "query_id", "left")
 
 
-def _exact_entries(queries: DataFrame, vocab: DataFrame) -> DataFrame:
-    lists = known_terms(queries, vocab).groupBy("query_id").agg(
-        F.collect_list(F.struct(F.col("term_id").alias("concept"), "value")).alias("entries")
-    )
-    return queries.select("query_id").join(lists, "query_id", "left")
+def query_files(factors: DataFrame, width: int) -> list[str]:
+    """Write the vectors of the queries (query_id, vector) to the shared folder, in files of one block each."""
+    spark = factors.sparkSession
+    size = max(1, min(MAX_QUERY_BLOCK, MAX_QUERY_BLOCK_BYTES // (8 * max(1, width))))
+    dense = F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda c: F.coalesce(F.try_element_at("known", c), F.lit(0.0)))
+    known = factors.withColumn("known", F.map_from_entries(F.coalesce("entries", F.array().cast(_ENTRIES))))
+    vector = dense if width else F.array().cast("array<double>")
+    path = scratch_folder(spark, "queries")
+    owned(lambda: delete_folder(spark, path))
+    known.select("query_id", vector.alias("vector")).write.option("maxRecordsPerFile", size).parquet(path)
+    files, folder = file_system(spark, path)
+    names = [f.getPath().toString() for f in files.listStatus(folder)]
+    return sorted(n for n in names if n.endswith(".parquet"))
 
 
-def _blocks(entries: DataFrame, height: int) -> Iterator[tuple[list, np.ndarray]]:
-    """Query vectors as columns, in blocks of bounded size."""
-    size = max(1, min(MAX_QUERY_BLOCK, MAX_QUERY_BLOCK_BYTES // (8 * max(1, height))))
-    ids: list = []
-    columns: list[np.ndarray] = []
-    for row in entries.toLocalIterator():
-        column = np.zeros(height)
-        for concept, value in row["entries"] or []:
-            column[concept] = value
-        ids.append(row["query_id"])
-        columns.append(column)
-        if len(ids) == size:
-            yield ids, np.stack(columns, axis=1)
-            ids, columns = [], []
-    if ids:
-        yield ids, np.stack(columns, axis=1)
-
-
-def _hits(
-    rows: DataFrame, entries: DataFrame, height: int, n: int, vector: str | None
-) -> DataFrame:
-    carried = [c for c in rows.columns if c not in ("u", "us", "ids", "weights")]
-    spark = rows.sparkSession
-    found = []
-    for ids, matrix in _blocks(entries, height):
-        names = local_table(
-            spark, direction=pa.array(range(len(ids)), pa.int32()), query_id=pa.array(ids)
-        )
-        best = top_rows(rows, matrix, n, "doc_id", carried, vector=vector)
-        found.append(best.join(F.broadcast(names), "direction").drop("direction"))
-    if not found:
-        raise ValueError("no queries given")
-    return reduce(DataFrame.unionByName, found).select("query_id", "rank", *carried, "score")
+_ENTRIES = "array<struct<concept:int,value:double>>"
 
 
 def search(model: LsaModel, queries: DataFrame, n: int = 10) -> DataFrame:
     """(query_id, rank, doc_id, title[, genre], score): top ``n`` by ``US . V'q``.
 
-    All queries are scored in one pass over the documents (one per block of queries
-    when there are very many).
+    The queries' vectors are a table; tasks read it from the shared folder, a block of queries in each pass over
+    the documents.
     """
-    return _hits(
-        model.doc_factors,
-        query_factors(queries, model.term_factors),
-        model.k,
-        n,
-        vector="us",
-    )
-
-
-def exact_search(rows: DataFrame, vocab: Vocabulary, queries: DataFrame, n: int = 10) -> DataFrame:
-    """The same hits at full rank, straight from sparse rows: ``sum idf * weight``."""
-    terms = local_table(
-        rows.sparkSession,
-        term_id=pa.array(range(len(vocab.terms)), pa.int32()),
-        term=pa.array(vocab.terms, pa.string()),
-        idf=pa.array(vocab.idfs, pa.float64()),
-    )
-    return _hits(
-        rows,
-        _exact_entries(queries, terms),
-        len(vocab.terms),
-        n,
-        vector=None,
-    )
+    rows = model.doc_factors
+    carried = [c for c in rows.columns if c not in ("u", "us")]
+    kind = queries.schema["query_id"]
+    found = [
+        top_rows_of_file(rows, file, kind, n, "doc_id", carried, "us")
+        for file in query_files(query_factors(queries, model.term_factors), model.k)
+    ]
+    if not found:
+        raise ValueError("no queries given")
+    return reduce(DataFrame.unionByName, found).select("query_id", "rank", *carried, "score")

@@ -203,6 +203,10 @@ ORACLE: dict[str, str] = {
 SELECT doc_id AS wiki_id, 'http://x/' || doc_id AS url, source AS title,
        CAST(length(text) + 1 AS INTEGER) AS content_chars,
        md5(text || chr(10)) AS content_md5 FROM documents""",
+    "article_files": """
+SELECT doc_id AS wiki_id, 'http://x/' || doc_id AS url, source AS title,
+       CAST(length(text) + 1 AS INTEGER) AS content_chars,
+       md5(text || chr(10)) AS content_md5, (SELECT count(*) FROM documents) AS ids FROM documents""",
     "page_header": """
 SELECT page_id, regexp_extract(html, '(?:^|[ \\t])lang="([^"]*)"', 1) AS lang,
        regexp_extract(html, '(?:^|[ \\t])charset="([^"]*)"', 1) AS charset,

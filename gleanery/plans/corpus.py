@@ -14,7 +14,7 @@ from gleanery.operators.search import parse_queries, search
 from gleanery.operators.tokens import tokenize_lemma, tokenize_pattern
 from gleanery.session import staged
 from gleanery.sinks.model_store import check_free, load_model, model_path, save_model
-from gleanery.sources.articles import as_documents, extract_articles, read_files
+from gleanery.sources.articles import as_documents, file_names, parse_records, read_records
 from gleanery.sources.stopwords import read_stop_words
 
 # Defaults of the job and the query it tries out.
@@ -61,8 +61,8 @@ def run_corpus(
 ) -> CorpusReport:
     path = model_path(out, variant, num_terms, k)
     check_free(spark, path)
-    files = read_files(spark, articles, sample, seed)
-    docs = as_documents(extract_articles(files))
+    files = file_names(spark, articles, sample, seed)
+    docs = as_documents(parse_records(read_records(spark, articles, sample, seed)))
     tokens = staged(tokenize(docs, variant, read_stop_words(spark, stop_words), lemmas))
     save_model(fit_lsa(tokens, num_terms, k), path)
     model = load_model(spark, path)

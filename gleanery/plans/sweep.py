@@ -12,6 +12,7 @@ from gleanery.operators.lsa import factor_tables, tfidf_rows, total_energy, trun
 from gleanery.operators.terms import collect_vocabulary, sparse_rows
 from gleanery.plans.corpus import LEMMA, PATTERN, tokenize
 from gleanery.session import staged
+from gleanery.sinks.catalogue import add_model
 from gleanery.sinks.model_store import model_path, save_model
 
 # The grid.
@@ -27,13 +28,16 @@ def sweep_lsa(
     num_terms: Sequence[int] = NUM_TERMS,
     concepts: Sequence[int] = CONCEPTS,
     out: str | None = None,
+    catalogue: str | None = None,
+    solver: str = "arpack",
 ) -> DataFrame:
     """(variant, num_terms, k, rank, energy, share, seconds, token_seconds), a row per model.
 
     Documents are tokenised once per variant, a smaller vocabulary is the head of a larger one, and one
     decomposition of the largest k serves every smaller k. ``seconds`` of a row are those of its
     vocabulary's weights and decomposition plus those of storing its own model; what the
-    variant's tokens took is in the rows' ``token_seconds``.
+    variant's tokens took is in the rows' ``token_seconds``. ``out`` takes a folder per model, ``catalogue`` is the root of
+    tables that hold all models and these rows.
     """
     results = []
     for variant in variants:
@@ -45,20 +49,21 @@ def sweep_lsa(
             started = time.monotonic()
             vocab = full.first(asked)
             vectors = tfidf_rows(tokens, vocab)
-            sigma, v = truncated_svd(vectors, len(vocab.terms), max(concepts))
+            sigma, v = truncated_svd(vectors, len(vocab.terms), max(concepts), solver)
             total = total_energy(sparse_rows(vectors))
             shared = time.monotonic() - started
             for k in concepts:
                 started = time.monotonic()
-                if out is not None:
+                if out is not None or catalogue is not None:
                     model = factor_tables(sparse_rows(vectors), vocab, sigma[:k], v[:, :k])
+                if out is not None:
                     save_model(model, model_path(out, variant, asked, k))
                 energy = float(np.sum(sigma[:k] ** 2))
                 own = time.monotonic() - started
-                results.append(
-                    (variant, asked, k, min(k, len(sigma)), energy, energy / total if total else 0.0,
-                     shared + own, token_seconds)
-                )
+                run = (min(k, len(sigma)), energy, energy / total if total else 0.0, shared + own, token_seconds)
+                if catalogue is not None:
+                    add_model(model, catalogue, variant, asked, k, run)
+                results.append((variant, asked, k, *run))
     return docs.sparkSession.createDataFrame(
         results,
         "variant string, num_terms int, k int, rank int, energy double, share double, "

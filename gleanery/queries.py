@@ -16,13 +16,13 @@ from gleanery.functions.text import (
     surface_tokens,
     without_words,
 )
-from gleanery.operators import concepts, genres, lemmas, lsa, outliers, search, terms, tokens
+from gleanery.operators import concepts, genres, lemmas, lsa, outliers, postings, search, terms, tokens
 from gleanery.plans.corpus import LEMMA, PATTERN, tokenize
 from gleanery.plans.sweep import sweep_lsa
 from gleanery.session import local_table, scratch_folder, spread, staged
 from gleanery.sinks.exports import cluster_rows, export_samples, sample_means, sample_outliers
 from gleanery.sinks.model_store import load_model, model_path, save_model
-from gleanery.sources.articles import extract_articles
+from gleanery.sources.articles import as_documents, extract_articles, parse_records, read_records
 from gleanery.sources.movies import MOVIE_SCHEMA, read_movies
 from gleanery.sources.sensors import (
     read_checked_runs,
@@ -82,7 +82,8 @@ def full_rank_model(spark: SparkSession, sf: str) -> lsa.LsaModel:
 
 
 def reduced_model(spark: SparkSession, sf: str) -> lsa.LsaModel:
-    return lsa.fit_lsa(pattern_docs(spark, sf), VOCABULARY, 25)
+    # The vocabulary is small enough for its Gram matrix.
+    return lsa.fit_lsa(pattern_docs(spark, sf), VOCABULARY, 25, solver="gram")
 
 
 def readings(spark: SparkSession, sf: str) -> DataFrame:
@@ -124,6 +125,22 @@ def article_extract(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def article_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents written as article files and read back, record by record."""
+    path = scratch_folder(spark, "articles")
+    line = F.concat(
+        F.lit('<doc id="'), F.col("doc_id").cast("string"), F.lit('" url="http://x/'), F.col("doc_id").cast("string"),
+        F.lit('" title="'), F.col("title"), F.lit('">\n'), F.col("text"), F.lit("\n</doc>"),
+    )
+    documents(spark, sf).select(line.alias("value")).write.text(path)
+    articles = parse_records(read_records(spark, path))
+    ids = as_documents(articles).agg(F.countDistinct("doc_id")).first()[0]
+    return articles.select(
+        F.col("wiki_id").cast("long").alias("wiki_id"), "url", "title", F.length("content").alias("content_chars"),
+        F.md5("content").alias("content_md5"), F.lit(ids).alias("ids"),
+    )
+
+
 def page_header(spark: SparkSession, sf: str) -> DataFrame:
     return read_table(spark, sf, "pages").select(
         "page_id",
@@ -363,7 +380,7 @@ def keyword_search_exact(spark: SparkSession, sf: str) -> DataFrame:
     docs = pattern_docs(spark, sf)
     vocab = terms.collect_vocabulary(docs, VOCABULARY)
     rows = terms.sparse_rows(terms.tfidf_vectors(docs, vocab))
-    return search.exact_search(rows, vocab, benchmark_queries(spark, sf))
+    return postings.exact_search(rows, vocab, benchmark_queries(spark, sf))
 
 
 def keyword_search_lsa(spark: SparkSession, sf: str) -> DataFrame:
@@ -505,7 +522,7 @@ def sample_cluster_rows(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        article_extract, page_header, run_id_extract, stop_word_list, movie_scan, movie_duplicates,
+        article_extract, article_files, page_header, run_id_extract, stop_word_list, movie_scan, movie_duplicates,
         lemma_dictionary, sensor_scan, sensor_problems,
         sample_key, corpus_stats, stopword_filter, tokenize_regex, tokenize_lemma,
         sentence_counts, term_freq, doc_length, doc_freq, vocab_top, tfidf_weights, tfidf_join,

@@ -10,6 +10,7 @@ from contextlib import contextmanager
 from contextvars import ContextVar
 
 import pyarrow as pa
+from pyarrow import fs as pafs
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -119,6 +120,11 @@ def file_system(spark: SparkSession, path: str):
     return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
 
 
+def shared_path(uri: str) -> tuple[pafs.FileSystem, str]:
+    """(Arrow file system, path) by which a task opens a file of the shared folder."""
+    return pafs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", uri))
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     files, folder = file_system(spark, path)
     files.delete(folder, True)

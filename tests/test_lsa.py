@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gleanery.functions import blocks
-from gleanery.operators import concepts, genres, lsa, search, terms
+from gleanery.operators import concepts, genres, lsa, postings, search, terms
 from gleanery.operators import search as search_module
 from gleanery.sinks.model_store import load_model, model_path, save_model
 
@@ -97,7 +97,7 @@ def test_matrices_in_blocks_agree(spark, corpus, monkeypatch):
     v = np.array([r.v for r in model.term_factors.orderBy("term_id").collect()])
 
     def results():
-        exact = hits_of(search.exact_search(rows, vocab, queries))
+        exact = hits_of(postings.exact_search(rows, vocab, queries))
         us = blocks.project_rows(rows, v, ["doc_id"], "us").orderBy("doc_id").collect()
         return exact, [r.us for r in us]
 
@@ -160,7 +160,7 @@ def test_search_matches_brute_force_on_any_partitioning(spark, corpus):
     ]
     for parts in (1, 7):
         rows = terms.sparse_rows(terms.tfidf_vectors(corpus.repartition(parts), vocab))
-        hits = hits_of(search.exact_search(rows, vocab, queries))
+        hits = hits_of(postings.exact_search(rows, vocab, queries))
         assert [h[:3] for h in hits] == want
         full = hits_of(search.search(lsa.fit_lsa(corpus.repartition(parts), 20, 20), queries))
         assert [h[:3] for h in full] == want
@@ -262,3 +262,114 @@ def test_top_n_is_pruned_before_the_shuffle(spark, small):
     plan = hits._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "CartesianProduct" not in plan
     assert "BroadcastNestedLoopJoin" not in plan
+
+
+def test_u_is_orthonormal_and_solvers_agree(corpus):
+    one, other = lsa.fit_lsa(corpus, 20, 5), lsa.fit_lsa(corpus, 20, 5, solver="gram")
+    assert one.sigmas() == pytest.approx(other.sigmas(), abs=1e-9)
+    for model in (one, other):
+        assert np.abs(lsa.factor_gram(model) - np.eye(5)).max() < 1e-9
+        for r in model.doc_factors.collect():
+            assert np.array(r.us) == pytest.approx(np.array(r.u) * model.sigmas(), abs=1e-12)
+    with pytest.raises(ValueError):
+        lsa.fit_lsa(corpus, 20, 5, solver="other")
+
+
+def test_decoded_rows_are_released(spark, corpus):
+    held = spark.sparkContext._jsc.sc().getPersistentRDDs().size
+    before = held()
+    lsa.fit_lsa(corpus, 20, 3)
+    assert held() == before
+
+
+def test_corpus_without_terms(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "t", []), (2, "u", [])], "doc_id long, title string, tokens array<string>")
+    model = lsa.fit_lsa(docs, 5, 3)
+    assert (model.k, model.num_terms, model.num_docs) == (0, 0, 2)
+    assert [(r.u, r.us) for r in model.doc_factors.collect()] == [([], [])] * 2
+    assert concepts.concept_terms(model).count() == 0 and model.sigmas().tolist() == []
+    save_model(model, str(tmp_path / "none"))
+    assert load_model(spark, str(tmp_path / "none")).k == 0
+
+
+def test_lost_job_leaves_no_model(spark, small, tmp_path, monkeypatch):
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    model, path = lsa.fit_lsa(small, 3, 2), str(tmp_path / "models" / "m")
+    write, calls = DataFrameWriter.parquet, []
+
+    def third_fails(self, where, *args, **kwargs):
+        calls.append(where)
+        if len(calls) == 3:
+            raise RuntimeError("lost")
+        return write(self, where, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", third_fails)
+    with pytest.raises(RuntimeError):
+        save_model(model, path)
+    monkeypatch.undo()
+    assert list((tmp_path / "models").iterdir()) == []
+    with pytest.raises(FileNotFoundError):
+        load_model(spark, path)
+    # What an older version left half done does not block the place.
+    model.singular_values.write.parquet(f"{path}/singular_values")
+    with pytest.raises(FileNotFoundError):
+        load_model(spark, path)
+    save_model(model, path)
+    assert load_model(spark, path).k == 2
+    with pytest.raises(FileExistsError):
+        save_model(model, path)
+    save_model(lsa.fit_lsa(small, 3, 1), path, mode="overwrite")
+    assert load_model(spark, path).k == 1 and [p.name for p in (tmp_path / "models").iterdir()] == ["m"]
+
+
+def test_catalogue(spark, small, tmp_path):
+    from gleanery.sinks import catalogue
+
+    root = str(tmp_path / "catalogue")
+    docs = small.withColumn("title", F.lit("t"))
+    for variant, k in (("pattern", 1), ("pattern", 2), ("lemma", 2)):
+        catalogue.add_model(lsa.fit_lsa(docs, 3, k), root, variant, 3, k, (k, 1.0, 0.5, 2.0, 1.0))
+    catalogue.add_model(lsa.fit_lsa(docs, 2, 2), root, "pattern", 3, 2, (2, 1.0, 0.75, 2.0, 1.0))
+    runs = {(r.variant, r.num_terms, r.k): r.share for r in catalogue.runs(spark, root).collect()}
+    assert runs == {("pattern", 3, 1): 0.5, ("pattern", 3, 2): 0.75, ("lemma", 3, 2): 0.5}
+    factors = catalogue.read_models(spark, root, "doc_factors")
+    assert factors.groupBy("variant", "k").count().count() == 3
+    one = factors.where("variant = 'lemma' AND k = 2")
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "variant" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert one.count() == small.count() and "doc_factors" in factors.inputFiles()[0]
+    model = catalogue.load_from(spark, root, "pattern", 3, 2)
+    assert (model.num_terms, model.k) == (2, 2) and "u" in model.doc_factors.columns
+    with pytest.raises(FileNotFoundError):
+        catalogue.load_from(spark, root, "lemma", 3, 1)
+
+
+def test_postings_skip_blocks(spark):
+    """Blocks that cannot reach the top n are not read, and the hits are those of all documents."""
+    rng = np.random.default_rng(8)
+    weights = [(d, t, float(rng.pareto(1.2) + 0.01) * (0.01 if d % 7 else 1.0)) for d in range(400) for t in range(12) if rng.random() < 0.4]
+    rows = spark.createDataFrame(weights, "doc_id long, term_id int, weight double").repartition(5)
+    docs = spark.createDataFrame([(d, f"t{d % 5}") for d in range(403)], "doc_id long, title string")
+    vocab = spark.createDataFrame([(t, f"w{t:02d}", 0.5 + t / 10) for t in range(12)], "term_id int, term string, idf double")
+    asked = ["w03", "w01 w07", "w02 w02 w11 w05", "unknown", "w09 unknown w09", ""]
+    queries = spark.createDataFrame(list(enumerate(asked)), "query_id long, query string")
+    for block_docs in (4096, 30):
+        blocks_ = postings.build_postings(rows, 403, block_docs).cache()
+        values = search.known_terms(queries, vocab)
+        needed = postings.needed_blocks(blocks_, values, 5)
+        every = values.join(blocks_.select("term_id", "level").distinct(), "term_id")
+        assert needed.where("query_id = 0").count() < every.where("query_id = 0").count() / 3
+        assert needed.count() < every.count()
+        found = postings.search_postings(blocks_, docs, vocab, queries, 5).orderBy("query_id", "rank").collect()
+        for q, text in enumerate(asked):
+            scores = {d: 0.0 for d in range(403)}
+            for word in text.split():
+                for d, t, w in weights:
+                    if word == f"w{t:02d}":
+                        scores[d] += (0.5 + t / 10) * w
+            want = sorted(scores, key=lambda d: (round(scores[d], 9), d), reverse=True)[:5]
+            hits = [r for r in found if r.query_id == q]
+            assert [r.doc_id for r in hits] == want and [r.rank for r in hits] == [1, 2, 3, 4, 5]
+            assert [r.score for r in hits] == pytest.approx([scores[d] for d in want]) and hits[0].title == f"t{want[0] % 5}"
+        blocks_.unpersist()

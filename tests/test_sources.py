@@ -1,9 +1,26 @@
+import gzip
+import random
+
 import pytest
 
 from gleanery.functions.text import STOP_WORDS
-from gleanery.sources.articles import extract_articles, read_articles, read_files
+from gleanery.sources.articles import (
+    as_documents,
+    extract_articles,
+    file_names,
+    parse_records,
+    read_articles,
+    read_files,
+    read_records,
+)
 from gleanery.sources.movies import read_movies
-from gleanery.sources.sensors import SENSORS, complete_readings, read_runs
+from gleanery.sources.sensors import (
+    SENSORS,
+    complete_readings,
+    read_checked_runs,
+    read_runs,
+    reading_problems,
+)
 from gleanery.sources.stopwords import read_stop_words
 
 ARTICLES = """<doc id="1" url="http://x/1" title="Alpha">
@@ -175,3 +192,53 @@ def test_equal_movie_rows_are_documents_of_their_own(spark, tmp_path):
     assert sorted((r.term, r.tf, r.doc_len) for r in found) == sorted(
         [("dragon", 2, 4), ("castle", 1, 4), ("dragons", 1, 4)] * 2
     )
+
+
+def test_records_of_split_files(spark, tmp_path):
+    """A file that several tasks read gives the articles, positions and ids of the whole file."""
+    rng = random.Random(6)
+    words = "ü α 日本 word \u00a0 <doc </doc> \r".split(" ")
+    for f in range(5):
+        records = []
+        for i in range(rng.choice([0, 1, 40])):
+            body = "\n".join(" ".join(rng.choices(words, k=rng.choice([1, 30]))) for _ in range(rng.choice([1, 9])))
+            title = "" if i % 11 == 3 else f"T{f}-{i}"
+            records.append(f'<doc id="{i}" url="u" title="{title}">\n{body}\n</doc>')
+        tail = ["", "\n", '\n<doc id="9" url="u" title="Open">\nnever closed', "\n\n</doc>\n", "\nx"][f]
+        (tmp_path / f"wiki_{f}").write_bytes(("\n".join(records) + tail).encode())
+    (tmp_path / "empty").write_text("")
+    (tmp_path / "only_open").write_text('<doc id="1" url="u" title="O">\nno end')
+    (tmp_path / "blank_first").write_text('\n</doc>\n<doc id="1" url="u" title="B">\nbody\n\n</doc>')
+    key = "spark.sql.files.maxPartitionBytes"
+    before = {k: spark.conf.get(k) for k in (key, "spark.sql.files.openCostInBytes")}
+    whole = extract_articles(read_files(spark, str(tmp_path)))
+    want = sorted(map(tuple, whole.collect()))
+    ids = sorted(map(tuple, as_documents(whole).collect()))
+    assert {w[4] for w in want} >= {"B"} and "Open" not in {w[4] for w in want} and "O" not in {w[4] for w in want}
+    try:
+        for size in ("1g", "700", "64"):
+            spark.conf.set(key, size)
+            spark.conf.set("spark.sql.files.openCostInBytes", "0" if size != "1g" else "4m")
+            records = read_records(spark, str(tmp_path))
+            if size == "64":
+                assert spark.read.option("lineSep", "\n</doc>").text(str(tmp_path)).rdd.getNumPartitions() > 20
+            assert sorted(map(tuple, parse_records(records).collect())) == want
+            assert sorted(map(tuple, read_articles(spark, str(tmp_path)).collect())) == ids
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert file_names(spark, str(tmp_path)).count() == 7  # Spark lists no empty file
+
+
+def test_packed_files_keep_their_last_record(spark, tmp_path):
+    with gzip.open(tmp_path / "wiki.gz", "wt") as f:
+        f.write('<doc id="1" url="u" title="A">\nx\n</doc>\n<doc id="2" url="u" title="B">\ny\n</doc>')
+    assert sorted(r.title for r in read_articles(spark, str(tmp_path)).collect()) == ["A", "B"]
+
+
+def test_sensor_line_problems(spark, tmp_path):
+    (tmp_path / "Run_4.csv").write_text("1,2,3\n1,2\n1,x,3\n1,2,3,4\n,2,3\n5\n")
+    checked = read_checked_runs(spark, str(tmp_path))
+    found = {r.problem: (r.runId, r.lines, r.usable) for r in reading_problems(checked).collect()}
+    assert found == {"too short": (4, 2, 0), "not a number": (4, 1, 0), "extra fields": (4, 1, 1), "missing value": (4, 1, 0)}
+    assert complete_readings(read_runs(spark, str(tmp_path)), SENSORS).count() == 2
