@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.parquet as pq
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,6 +45,13 @@ def leading_digits(scores: np.ndarray, digits: int = SCORE_DIGITS) -> np.ndarray
     return np.where(held, np.round(plain * unit) / unit, scores) + 0.0
 
 
+def leading_digits_of(score: Column, digits: int = SCORE_DIGITS) -> Column:
+    """The same for a column."""
+    size = F.abs(score)
+    unit = F.pow(F.lit(10.0), digits - 1 - F.floor(F.log10(size)))
+    return F.when((size > 1e-290) & (size < 1e290), F.rint(score * unit) / unit).otherwise(score)
+
+
 def sparse_product(ids: pa.Array, weights: pa.Array, matrix: np.ndarray) -> np.ndarray:
     """Rows given as (term ids, weights) lists times ``matrix``."""
     lengths = pc.list_value_length(ids).to_numpy(zero_copy_only=False).astype(np.int64)

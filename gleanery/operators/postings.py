@@ -10,10 +10,10 @@ joined and summed; queries, postings and scores stay tables. Queries of one term
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gleanery.functions.blocks import SCORE_DIGITS
+from gleanery.functions.blocks import leading_digits_of
 from gleanery.operators.search import known_terms
 from gleanery.operators.terms import Vocabulary, long_weights
 from gleanery.session import delete_folder, local_table, owned, scratch_folder, staged
@@ -64,12 +64,6 @@ def needed_blocks(postings: DataFrame, values: DataFrame, n: int) -> DataFrame:
     return each.where(bound >= F.col("reached") * (1 - SLACK)).select("query_id", "term_id", "value", "level")
 
 
-def leading(score: Column) -> Column:
-    """A positive score rounded to its leading digits."""
-    unit = F.pow(F.lit(10.0), SCORE_DIGITS - 1 - F.floor(F.log10(score)))
-    return F.when(score > 0, F.rint(score * unit) / unit).otherwise(F.lit(0.0))
-
-
 def search_postings(postings: DataFrame, docs: DataFrame, vocab: DataFrame, queries: DataFrame, n: int = 10) -> DataFrame:
     """(query_id, rank, doc_id, ..., score): the top ``n`` documents of each query by ``sum idf * times * weight``.
 
@@ -83,7 +77,7 @@ def search_postings(postings: DataFrame, docs: DataFrame, vocab: DataFrame, quer
     )
     scores = pairs.groupBy("query_id", F.col("d.doc_id").alias("doc_id")).agg(F.sum(F.col("value") * F.col("d.weight")).alias("s"))
     place = Window.partitionBy("query_id").orderBy(F.desc("score"), F.desc("doc_id"))
-    best = _top(scores.select("query_id", "doc_id", leading(F.col("s")).alias("score")).where("score > 0"), place, n)
+    best = _top(scores.select("query_id", "doc_id", leading_digits_of(F.col("s")).alias("score")).where("score > 0"), place, n)
     # Of the 2n largest ids at least n are none of a query's at most n hits.
     last = [r["doc_id"] for r in docs.select("doc_id").orderBy(F.desc("doc_id")).limit(2 * n).collect()]
     fill = queries.select("query_id", F.explode(F.array(*[F.lit(i) for i in last]) if last else F.array().cast("array<long>")).alias("doc_id"))

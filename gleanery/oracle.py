@@ -9,6 +9,7 @@ from gleanery.queries import (
     CLUSTER_COUNTS,
     FIXED,
     FULL_RANK,
+    LEADING,
     LLOYD_PASSES,
     SAMPLE_FRACTION,
     SAMPLE_SEED,
@@ -103,6 +104,56 @@ lemmas AS (
   SELECT token, lemma FROM regular
   UNION ALL SELECT token, lemma FROM irregular WHERE token IN (SELECT token FROM lexicon))"""
 
+#: Steps of the power iterations, enough for neighbouring singular values that differ by some per cent.
+POWER_STEPS = 1500
+
+
+def leading_concepts(size: int, count: int) -> str:
+    """Rows concepts(concept, lambda, v) of the first eigenvectors of the Gram matrix, by power iteration on what
+    the ones before leave, the largest entry of each positive; and us(doc_id, concept, x), the documents along them."""
+    unit = "list_transform({0}, lambda x: x / sqrt(list_dot_product({0}, {0})))"
+    parts = []
+    for c in range(count):
+        before = "".join(f", e{b}" for b in range(c))
+        rest = "".join(
+            f" - e{b}.lam * e{b}.v[r.i] * list_dot_product(e{b}.v, p.v)" for b in range(c)
+        )
+        parts.append(f"""
+p{c}(n, v) AS (
+  SELECT 0, list_transform(range({size}), lambda x: cos(x * {c + 1} + 0.5)::DOUBLE)
+  UNION ALL
+  SELECT n + 1, {unit.format("w")}
+  FROM (SELECT p.n, list_transform(m, lambda r: list_dot_product(r.row, p.v){rest}) AS w
+        FROM p{c} p, gram{before} WHERE p.n < {POWER_STEPS})),
+t{c} AS (SELECT v FROM p{c} WHERE n = {POWER_STEPS}),
+e{c} AS (
+  SELECT CASE WHEN list_max(v) >= -list_min(v) THEN v ELSE list_transform(v, lambda x: -x) END AS v,
+         list_dot_product(v, list_transform(m, lambda r: list_dot_product(r.row, v))) AS lam
+  FROM t{c}, gram)""")
+    every = " UNION ALL ".join(f"SELECT {c} AS concept, lam, v FROM e{c}" for c in range(count))
+    return f"""WITH RECURSIVE {vocab(size)},
+cells AS (
+  SELECT a.term_id AS i, b.term_id AS j, sum(a.weight * b.weight) AS value
+  FROM w a JOIN w b USING (doc_id) GROUP BY 1, 2),
+gram AS MATERIALIZED (
+  SELECT list({{'i': i + 1, 'row': row}} ORDER BY i) AS m
+  FROM (SELECT x.i AS i, list(coalesce(value, 0.0)::DOUBLE ORDER BY y.j) AS row
+        FROM range({size}) x(i), range({size}) y(j) LEFT JOIN cells ON cells.i = x.i AND cells.j = y.j
+        GROUP BY x.i)),{",".join(parts)},
+concepts AS MATERIALIZED ({every}),
+us AS (
+  SELECT docs.doc_id, concept, lam, coalesce(sum(weight * v[term_id + 1]), 0.0) AS x
+  FROM docs CROSS JOIN concepts LEFT JOIN w USING (doc_id) GROUP BY ALL)"""
+
+
+DIGITS = "CASE WHEN {0} = 0 THEN 0.0 ELSE round({0}, CAST(11 - floor(log10(abs({0}))) AS INTEGER)) END"
+LEADING_TERMS = f"""top_terms AS (
+  SELECT concept, row_number() OVER (PARTITION BY concept ORDER BY score DESC, term_id) AS rank, term, score
+  FROM (SELECT concept, term_id, term, {DIGITS.format("v[term_id + 1]")} AS score FROM concepts, vocab))"""
+LEADING_DOCS = f"""top_docs AS (
+  SELECT concept, row_number() OVER (PARTITION BY concept ORDER BY score DESC, doc_id DESC) AS rank, doc_id, title, genre, score
+  FROM (SELECT concept, doc_id, {DIGITS.format("(x / sqrt(lam))")} AS score FROM us) JOIN docs USING (doc_id))"""
+
 POINTS = """
 stats AS (
   SELECT avg(l_quantity) m1, avg(l_extendedprice) m2, avg(l_discount) m3,
@@ -288,6 +339,38 @@ SELECT doc_id, term_id, round(weight, 8) AS weight FROM w WHERE weight <> 0""",
 WITH {vocab(FULL_RANK)}
 SELECT a.term_id AS i, b.term_id AS j, round(sum(a.weight * b.weight), 8) AS value
 FROM w a JOIN w b USING (doc_id) GROUP BY 1, 2""",
+    "leading_values": f"""
+{leading_concepts(FULL_RANK, LEADING)}
+SELECT CAST(concept AS INTEGER) AS concept, round(sqrt(lam), 6) AS sigma, round(lam, 6) AS energy FROM concepts""",
+    "leading_terms": f"""
+{leading_concepts(FULL_RANK, LEADING)}, {LEADING_TERMS}
+SELECT CAST(concept AS INTEGER) AS concept, CAST(rank AS INTEGER) AS rank, term, round(score, 6) AS score
+FROM top_terms WHERE rank <= 25""",
+    "leading_docs": f"""
+{leading_concepts(FULL_RANK, LEADING)}, {LEADING_DOCS}
+SELECT CAST(concept AS INTEGER) AS concept, CAST(rank AS INTEGER) AS rank, doc_id, title, genre, round(score, 6) AS score
+FROM top_docs WHERE rank <= 25""",
+    "leading_report": f"""
+{leading_concepts(FULL_RANK, LEADING)}, {LEADING_TERMS}, {LEADING_DOCS}
+SELECT CAST(concept AS INTEGER) AS concept, 'term' AS kind, string_agg(term, ', ' ORDER BY rank) AS names
+FROM top_terms WHERE rank <= 25 GROUP BY concept
+UNION ALL
+SELECT CAST(concept AS INTEGER) AS concept, 'doc' AS kind, string_agg(title, ', ' ORDER BY rank) AS names
+FROM top_docs WHERE rank <= 25 GROUP BY concept""",
+    "leading_search": f"""
+{leading_concepts(FULL_RANK, LEADING)},
+q AS (
+  SELECT item_id AS query_id, unnest(regexp_split_to_array(lower(text), '{BLANK}')) AS term FROM benchmark),
+qv AS (SELECT query_id, term_id, count(*) * any_value(idf) AS value FROM q JOIN vocab USING (term) GROUP BY query_id, term_id),
+qc AS (
+  SELECT b.item_id AS query_id, concept, coalesce(sum(value * v[term_id + 1]), 0.0) AS y
+  FROM benchmark b CROSS JOIN concepts LEFT JOIN qv ON qv.query_id = b.item_id GROUP BY 1, 2),
+scored AS (SELECT query_id, doc_id, sum(x * y) AS s FROM us JOIN qc USING (concept) GROUP BY query_id, doc_id),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id DESC) AS rank
+  FROM (SELECT query_id, doc_id, {DIGITS.format("s")} AS score FROM scored))
+SELECT query_id, CAST(rank AS INTEGER) AS rank, doc_id, title, genre, round(score, 6) AS score
+FROM ranked JOIN docs USING (doc_id) WHERE rank <= 10""",
     "svd_energy": f"""
 WITH {vocab(FULL_RANK)} SELECT round(sum(weight * weight), 6) AS energy FROM w""",
     "svd_invariants": f"""

@@ -36,6 +36,8 @@ from gleanery.sources.tables import read_table
 
 VOCABULARY = 500
 FULL_RANK = 60
+#: Concepts whose singular values lie far enough apart to be compared one by one.
+LEADING = 3
 SENSOR_COLUMNS = ["l_quantity", "l_extendedprice", "l_discount"]
 FEATURES = [f"z_{c}" for c in SENSOR_COLUMNS]
 ROW_KEYS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
@@ -137,7 +139,7 @@ def article_files(spark: SparkSession, sf: str) -> DataFrame:
     ids = as_documents(articles).agg(F.countDistinct("doc_id")).first()[0]
     return articles.select(
         F.col("wiki_id").cast("long").alias("wiki_id"), "url", "title", F.length("content").alias("content_chars"),
-        F.md5("content").alias("content_md5"), F.lit(ids).alias("ids"),
+        F.md5("content").alias("content_md5"), F.lit(ids).cast("long").alias("ids"),
     )
 
 
@@ -357,6 +359,31 @@ def concept_report(spark: SparkSession, sf: str) -> DataFrame:
     return concepts.concept_names(concepts.concept_report(reduced_model(spark, sf)))
 
 
+def leading_model(spark: SparkSession, sf: str) -> lsa.LsaModel:
+    return lsa.fit_lsa(pattern_docs(spark, sf), FULL_RANK, LEADING)
+
+
+def leading_values(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(lsa.singular_value_report(leading_model(spark, sf)), 6, "sigma", "energy")
+
+
+def leading_terms(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(concepts.concept_terms(leading_model(spark, sf)), 6, "score")
+
+
+def leading_docs(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(concepts.concept_docs(leading_model(spark, sf)), 6, "score")
+
+
+def leading_report(spark: SparkSession, sf: str) -> DataFrame:
+    return concepts.concept_names(concepts.concept_report(leading_model(spark, sf)))
+
+
+def leading_search(spark: SparkSession, sf: str) -> DataFrame:
+    """Hits of a model of a few concepts, which are not those of all weights."""
+    return rounded(search.search(leading_model(spark, sf), benchmark_queries(spark, sf)), 6, "score")
+
+
 def lsa_sweep(spark: SparkSession, sf: str) -> DataFrame:
     return sweep_lsa(
         documents(spark, sf), read_stop_words(spark), variants=(LEMMA, PATTERN),
@@ -527,7 +554,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         sample_key, corpus_stats, stopword_filter, tokenize_regex, tokenize_lemma,
         sentence_counts, term_freq, doc_length, doc_freq, vocab_top, tfidf_weights, tfidf_join,
         gram_matrix, svd_energy, svd_invariants, document_energy, term_energy, singular_values, concept_terms,
-        concept_docs, concept_report, lsa_sweep, lsa_sweep_full, keyword_search_exact, keyword_search_lsa,
+        concept_docs, concept_report, leading_values, leading_terms, leading_docs, leading_report, leading_search, lsa_sweep, lsa_sweep_full, keyword_search_exact, keyword_search_lsa,
         keyword_search_reduced, model_roundtrip, query_terms, title_lookup, genre_lookup,
         genre_top5, column_stats, zscore, assign_distance, lloyd_step, lloyd_sweep, outliers_top25,
         cluster_sizes, elbow, kmeans_sweep, kmeans_outliers, kmeans_partition, cluster_sample,
