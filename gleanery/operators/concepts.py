@@ -5,17 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gleanery.functions.blocks import leading_digits_of, top_columns
+from gleanery.functions.blocks import top_columns
 from gleanery.operators.lsa import LsaModel
 
 
+#: Decimals to which the weights of terms are sure.
+WEIGHT_DIGITS = 9
+
+
 def concept_terms(model: LsaModel, n: int = 25, by: str = "signed") -> DataFrame:
-    """(concept, rank, term, score) by weight, or by its size with ``by="abs"``; the smaller term id wins a tie of
-    the leading digits."""
+    """(concept, rank, term, score) by weight, or by its size with ``by="abs"``; the smaller term id wins
+    a tie, that is of weights (entries of unit vectors) that a solver does not tell apart."""
     weights = model.term_factors.select(
         "term_id", "term", F.posexplode("v").alias("concept", "score")
     )
-    key = leading_digits_of(F.abs("score") if by == "abs" else F.col("score"))
+    key = F.round(F.abs("score") if by == "abs" else F.col("score"), WEIGHT_DIGITS)
     order = Window.partitionBy("concept").orderBy(key.desc(), "term_id")
     ranked = weights.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= n)
     return ranked.select("concept", "rank", "term", "score")

@@ -147,9 +147,9 @@ us AS (
 
 
 DIGITS = "CASE WHEN {0} = 0 THEN 0.0 ELSE round({0}, CAST(11 - floor(log10(abs({0}))) AS INTEGER)) END"
-LEADING_TERMS = f"""top_terms AS (
+LEADING_TERMS = """top_terms AS (
   SELECT concept, row_number() OVER (PARTITION BY concept ORDER BY score DESC, term_id) AS rank, term, score
-  FROM (SELECT concept, term_id, term, {DIGITS.format("v[term_id + 1]")} AS score FROM concepts, vocab))"""
+  FROM (SELECT concept, term_id, term, round(v[term_id + 1], 9) AS score FROM concepts, vocab))"""
 LEADING_DOCS = f"""top_docs AS (
   SELECT concept, row_number() OVER (PARTITION BY concept ORDER BY score DESC, doc_id DESC) AS rank, doc_id, title, genre, score
   FROM (SELECT concept, doc_id, {DIGITS.format("(x / sqrt(lam))")} AS score FROM us) JOIN docs USING (doc_id))"""
