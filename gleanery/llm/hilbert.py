@@ -1,11 +1,12 @@
 """Sharding along a Hilbert curve over document metadata.
 
-Each dimension is quantised to ``2**bits`` cells, the cells become one curve index, documents are
+Each dimension is quantised to ``2**bits`` cells in its own order, as measured on the table: names (language, source) by their rank
+among the different names, sizes by their quantile. The cells become one curve index, documents are
 ordered by it and the order is cut into runs of equal row counts. Neighbours on the curve are close
 in every dimension, so each shard spans a narrow range of each and a reader can skip shards by the
 minimum and maximum of any of them (``ranges``).
 
-Defined results: null text has size 8, crc32 0 and length 0; a null dimension falls into cell 0; rows
+Defined results: null text has size 8, crc32 0 and length 0; a null or absent dimension falls into cell 0; rows
 equal in all of the order's columns are interchangeable; an empty table gives an empty result;
 shards beyond the number of rows stay empty.
 """
@@ -19,8 +20,11 @@ from pyspark.sql import functions as F
 
 from gleanery.llm.names import free_names
 from gleanery.llm.prefix import ranked, row_key, unique_rows
+from gleanery.llm.stage import written
 
 BITS = 10
+#: Bins of a size for each doubling.
+BINS = 32
 SHARDS = 24
 
 
@@ -65,40 +69,52 @@ def curve(cells: np.ndarray, bits: int) -> np.ndarray:
     return out
 
 
-def log_cell(value: Column, bits: int = BITS) -> Column:
-    """Cell of a size on a logarithmic scale: ``2**bits`` cells from 0 to ``2**40``."""
-    top = (1 << bits) - 1
-    cell = F.floor(F.log2(F.coalesce(value, F.lit(0)).cast("double") + 1) * F.lit(top / 40.0))
-    return F.least(F.lit(top), F.greatest(F.lit(0), cell))
+def size_bin(value: Column) -> Column:
+    """A fine logarithmic bin of a size, at most ``64 * BINS`` of them."""
+    return F.floor(F.log2(F.coalesce(value, F.lit(0)).cast("double") + 1) * BINS).cast("int")
 
 
-def key_cell(value: Column, bits: int = BITS) -> Column:
-    """Cell of a name: its first bytes, so that close names get close cells (null: 0)."""
-    head = F.substring(F.hex(F.encode(F.coalesce(value.cast("string"), F.lit("")), "UTF-8")), 1, 12)
-    number = F.conv(F.rpad(head, 12, "0"), 16, 10).cast("double")
-    return F.floor(number * F.lit(float(1 << bits) / float(1 << 48)))
+def quantile_cell(bins: DataFrame, bits: int = BITS) -> Column:
+    """Cell of the column ``bin`` of ``bins``: the share of rows in smaller bins, so that cells have about as many rows each.
+
+    The counts of the bins come to the driver: a bounded number, whatever the table.
+    """
+    counts = sorted((r["bin"], r["n"]) for r in bins.groupBy("bin").agg(F.count(F.lit(1)).alias("n")).collect())
+    total, before, cells = sum(n for _, n in counts), 0, {}
+    for value, n in counts:
+        cells[value] = (before << bits) // total
+        before += n
+    every = [cells.get(v, 0) for v in range(max(cells, default=0) + 1)]
+    return F.element_at(F.array(*[F.lit(c) for c in every]), F.col("bin") + 1)
 
 
-def hash_cell(value: Column, bits: int = BITS) -> Column:
-    """Cell of an unordered name: a hash, so that names with a common beginning spread (null: 0)."""
-    cell = F.pmod(F.xxhash64(value.cast("string")), F.lit(1 << bits))
-    return F.when(value.isNull(), F.lit(0).cast("long")).otherwise(cell)
+def name_cells(names: DataFrame, bits: int = BITS) -> DataFrame:
+    """(name, cell) of the different values of ``name``: cells ascend with the names and are dealt evenly among them, so that
+    few names lie far apart and their rows stay together. Null has no row (and cell 0)."""
+    known = ranked(names.where("name IS NOT NULL").distinct(), ["name"])
+    total = known.count()
+    return known.select("name", F.floor((F.col("rank") + 1) * (1 << bits) / (total + 1)).alias("cell"))
 
 
 def slim(docs: DataFrame, *extra: Column) -> DataFrame:
     """doc_id, size, text_crc32, ``extra`` and the curve index of each document."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    have = set(docs.columns)
-    lang = F.col("lang") if "lang" in have else F.lit(None).cast("string")
-    source = F.col("source") if "source" in have else F.lit(None).cast("string")
+    have = {c.lower() for c in docs.columns}
     size = F.octet_length(text).cast("long")
-    return docs.select(
-        "doc_id",
-        (size + 8).alias("size"),
-        F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"),
-        *extra,
-        F.struct(key_cell(lang).alias("a"), hash_cell(source).alias("b"), log_cell(size).alias("c")).alias("cells"),
-    ).select("*", hilbert_index([F.col("cells.a"), F.col("cells.b"), F.col("cells.c")]).alias("curve")).drop("cells")
+    names = [F.col(c).cast("string") if c in have else F.lit(None).cast("string") for c in ("lang", "source")]
+    rows = written(
+        docs.select(
+            "doc_id", (size + 8).alias("size"), F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"),
+            F.struct(*extra).alias("more") if extra else F.lit(None).alias("more"),
+            names[0].alias("lang"), names[1].alias("source"), size_bin(size).alias("bin"),
+        )
+    )
+    for c in ("lang", "source"):
+        cells = name_cells(rows.select(F.col(c).alias("name"))).select(F.col("name").alias(f"{c}_name"), F.col("cell").alias(f"{c}_cell"))
+        rows = rows.join(cells, F.col(c) == F.col(f"{c}_name"), "left")
+    index = hilbert_index([F.coalesce("lang_cell", F.lit(0)), F.coalesce("source_cell", F.lit(0)), quantile_cell(rows)])
+    more = ["more.*"] if extra else []
+    return rows.select("doc_id", "size", "text_crc32", *more, index.alias("curve"))
 
 
 ORDER = ["curve", "text_crc32", "doc_id"]

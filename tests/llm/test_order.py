@@ -149,3 +149,20 @@ def test_running_totals_with_one_hot_key(spark):
     assert [r["rank"] for r in got] == list(range(5000))
     assert [r.before for r in got] == [0, *np.cumsum([r.v for r in got])[:-1]]
     assert [(r.k, r.id) for r in got] == sorted((r.k, r.id) for r in got)
+
+
+def test_shards_can_be_skipped_by_every_dimension(make):
+    """Share of shards that a reader of one language, one source or a range of sizes cannot skip."""
+    rng = random.Random(12)
+    langs, sources = ["en"] * 6 + ["de", "es", "fr"], [f"src{i}" for i in range(20)] + ["src3"] * 10
+    rows = [(i, "x" * int(rng.lognormvariate(6, 1.3)), rng.choice(langs), rng.choice(sources)) for i in range(3000)]
+    placed = hilbert.place(make(rows))
+    sized = placed.withColumn("length", F.octet_length("text"))
+    spans = hilbert.ranges(sized, ["lang", "source", "length"]).collect()
+    read = lambda c, low, high: sum(r[f"min_{c}"] <= high and low <= r[f"max_{c}"] for r in spans) / len(spans)
+    by_lang = {x: read("lang", x, x) for x in ("de", "en", "es", "fr")}
+    by_source = [read("source", x, x) for x in sorted(set(sources))]
+    lengths = sorted(len(r[1]) for r in rows)
+    by_size = [read("length", lengths[i * 300], lengths[i * 300 + 299]) for i in range(10)]
+    assert max(by_lang[x] for x in ("de", "es", "fr")) <= 0.35 and by_lang["en"] <= 0.8
+    assert np.mean(by_source) <= 0.5 and np.mean(by_size) <= 0.5
