@@ -35,6 +35,8 @@ from gleanery.llm.prefix import row_key
 from gleanery.session import fits
 
 THRESHOLD = 0.85
+#: Templates of fewer words are names: their words must stand consecutively and in order.
+SHORT_WORDS = 10
 #: Template words up to which the index is broadcast.
 BROADCAST_WORDS = 100_000
 
@@ -43,8 +45,7 @@ PHRASES = {"mit license": "mit", "apache license": "apache", "general public lic
 
 #: Label and text of the licences' own notices: the grant or the header that each licence (MIT, BSD, ISC, MPL, Unlicense,
 #: CC0), its appendix (Apache, GNU) or its publisher (Creative Commons: full and short names) gives for use in files. Versions
-#: are left out where the wording is the same. A short CC BY name is missing: it is part of all the others, which the
-#: SQL twin, that takes any match, could not tell.
+#: are left out where the wording is the same.
 TEMPLATES = [
     (
         "mit",
@@ -89,6 +90,7 @@ TEMPLATES = [
     ("cc-by-nd", "Creative Commons Attribution-NoDerivatives 4.0 International"),
     ("cc-by-nc-sa", "Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International"),
     ("cc-by-nc-nd", "Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International"),
+    ("cc-by", "CC BY 4.0"),
     ("cc-by-sa", "CC BY-SA 4.0"),
     ("cc-by-nc", "CC BY-NC 4.0"),
     ("cc-by-nd", "CC BY-ND 4.0"),
@@ -140,46 +142,59 @@ def phrase_places(text: Column, phrases: dict[str, str] = PHRASES) -> Column:
     return F.when(text.rlike(f"(?i){rare}"), F.array(*found))
 
 
-def template_table(spark: SparkSession, templates: list[tuple[str, str]], threshold: float) -> DataFrame:
-    """template, label, words (distinct), the least overlap ``need``, the ``span`` and what ``distinguished``
-    says of each template."""
+def need_of(text: str, threshold: float) -> int:
+    """The distinct words of a template that a match must have: all of a short one."""
+    words = words_of(text)
+    return len(set(words)) if len(words) < SHORT_WORDS else max(1, math.ceil(threshold * len(set(words)) - 1e-9))
+
+
+def span_of(text: str, threshold: float) -> int:
+    """The length of the runs in which a template is sought: its own, for a short one."""
+    words = words_of(text)
+    return len(words) if len(words) < SHORT_WORDS else math.ceil(len(words) / threshold - 1e-9)
+
+
+def template_rows(templates: list[tuple[str, str]], threshold: float) -> list[tuple]:
+    """(template, label, words (distinct), need, span, exact (the word sequence of a short one), and what
+    ``distinguished`` says) of each template with words."""
     rows = []
     for i, (label, text) in enumerate(templates):
-        words = sorted(set(words_of(text)))
-        if words:
-            need = max(1, math.ceil(threshold * len(words) - 1e-9))
-            rows.append((i, label, words, need, span_of(text, threshold), *distinguished(label, words, need, templates)))
-    schema = "template int, label string, words array<string>, need int, span int, own array<string>, wider array<array<string>>"
-    return spark.createDataFrame(rows, schema)
-
-
-def distinguished(label: str, words: list[str], need: int, templates: list[tuple[str, str]]) -> tuple[list[str], list[list[str]]]:
-    """Among templates of other labels whose whole text would match: the words that they lack, all of which a
-    match must have, and for those that have all words, what they have besides, which no match may have as a whole."""
-    own, wider = set(), set()
-    for other, text in templates:
-        theirs = set(words_of(text))
-        if other != label and len(theirs & set(words)) >= need:
-            own |= set(words) - theirs
-            if theirs > set(words):
-                wider.add(tuple(sorted(theirs - set(words))))
-    return sorted(own), sorted(map(list, wider))
+        sequence = words_of(text)
+        if sequence:
+            words, need = sorted(set(sequence)), need_of(text, threshold)
+            short = len(sequence) < SHORT_WORDS
+            told = ([], []) if short else distinguished(label, sequence, need, templates)
+            rows.append((i, label, words, need, span_of(text, threshold), sequence if short else [], *told))
+    return rows
 
 
-def span_of(text: str, threshold: float) -> int:
-    """The length of the runs in which a template is sought."""
-    return math.ceil(len(words_of(text)) / threshold - 1e-9)
+def template_table(spark: SparkSession, templates: list[tuple[str, str]], threshold: float) -> DataFrame:
+    schema = (
+        "template int, label string, words array<string>, need int, span int, exact array<string>, "
+        "own array<array<string>>, wider array<array<string>>"
+    )
+    return spark.createDataFrame(template_rows(templates, threshold), schema)
 
 
-def blocks(docs: DataFrame, vocabulary: list[str], least: int) -> DataFrame:
-    """_key and ``tokens``, the distinct template words of each line with at least ``least`` of them."""
-    lines = docs.select(row_key(docs), F.explode(F.split(F.translate("text", _UPPER, _LOWER), "\n")).alias("line"))
-    tokens = F.array_intersect(split_words(F.col("line")), F.array(*map(F.lit, vocabulary)))
-    return lines.select("_key", tokens.alias("tokens")).where(F.size("tokens") >= least)
+def distinguished(
+    label: str, sequence: list[str], need: int, templates: list[tuple[str, str]]
+) -> tuple[list[list[str]], list[list[str]]]:
+    """Among templates of other labels whose whole text would match: for each word that one of them lacks the pairs of
+    neighbours that it makes in the template, one of which a match must have; and for those that have all words, what they
+    have besides, which no match may have as a whole."""
+    own, wider, words = set(), set(), set(sequence)
+    for other, text in templates:
+        theirs = set(words_of(text))
+        if other != label and len(theirs & words) >= need:
+            own |= words - theirs
+            if theirs > words:
+                wider.add(tuple(sorted(theirs - words)))
+    pairs = list(zip(sequence, sequence[1:]))
+    return [sorted({f"{x} {y}" for x, y in pairs if w in (x, y)}) for w in sorted(own)], sorted(map(list, wider))
 
 
 def runs(docs: DataFrame, vocabulary: list[str], least: int, width: int) -> DataFrame:
-    """_key, ``tokens`` as in ``blocks`` and all words (``run``) of the blocks of 2 ``width`` words."""
+    """_key, ``tokens`` (the distinct template words, at least ``least``) and all words (``run``) of the blocks of 2 ``width`` words."""
     words = docs.select(row_key(docs), split_words(F.translate("text", _UPPER, _LOWER)).alias("words"))
     last = F.greatest(F.size("words") - width, F.lit(0))
     # Outer: else Spark adds a filter that splits the text twice.
@@ -195,8 +210,11 @@ def best_overlap() -> Column:
 
     def overlap(start):
         words = F.slice("run", start, F.col("span"))
-        told = (F.size(F.array_except("own", words)) == 0) & ~F.exists("wider", lambda more: F.size(F.array_except(more, words)) == 0)
-        return F.when(told, F.size(F.array_intersect(words, F.col("words")))).otherwise(0)
+        pairs = F.zip_with(words, F.slice("run", start + 1, F.col("span") - 1), lambda x, y: F.concat(x, F.lit(" "), y))
+        own = F.forall("own", lambda near: F.arrays_overlap(near, F.array_compact(pairs)))
+        told = own & ~F.exists("wider", lambda more: F.size(F.array_except(more, words)) == 0)
+        right = F.when(F.size("exact") > 0, words == F.col("exact")).otherwise(told)
+        return F.when(right, F.size(F.array_intersect(words, F.col("words")))).otherwise(0)
 
     return F.array_max(F.transform(starts, overlap))
 
@@ -207,22 +225,18 @@ def document_tokens(docs: DataFrame, vocabulary: list[str]) -> DataFrame:
 
 
 def similar_blocks(
-    docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD, lines: bool = True
+    docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD
 ) -> DataFrame:
     """_key, label, containment of every (block, template) at or above the threshold."""
     spark = docs.sparkSession
     table = template_table(spark, templates, threshold)
-    token_sets = [set(words_of(t)) for _, t in templates if words_of(t)]
-    vocabulary = sorted(set().union(*token_sets)) or [""]
-    least = min((math.ceil(threshold * len(t) - 1e-9) for t in token_sets), default=1)
-    width = max((span_of(t, threshold) for _, t in templates), default=1) or 1
-
-    # The order decides nothing but the speed: lines count or, in runs, documents.
-    if lines:
-        tokens = blocks(docs, vocabulary, 1).select(F.explode("tokens").alias("token"))
-    else:
-        tokens = document_tokens(docs, vocabulary)
-    counted = tokens.groupBy("token").count()
+    texts = [t for _, t in templates if words_of(t)]
+    vocabulary = sorted(set().union(*(words_of(t) for t in texts))) or [""]
+    least = min((need_of(t, threshold) for t in texts), default=1)
+    width = max((span_of(t, threshold) for t in texts), default=1)
+
+    # The order decides nothing but the speed: documents count.
+    counted = document_tokens(docs, vocabulary).groupBy("token").count()
     known = spark.createDataFrame([(w,) for w in vocabulary], "token string")
     # One row per word of the templates.
     order = (
@@ -238,17 +252,14 @@ def similar_blocks(
     index = index.where(F.col("i") <= F.size("words") - F.col("need"))
     if fits(index, BROADCAST_WORDS):
         index = F.broadcast(index)
-    if lines:
-        found = blocks(docs, vocabulary, least)
-    else:
-        place = {row["token"]: i for i, row in enumerate(order)}
-        rarest = set()
-        for t in token_sets:
-            need = max(1, math.ceil(threshold * len(t) - 1e-9))
-            rarest.update(sorted(t, key=place.get)[: len(t) - need + 1])
-        found = runs(docs, vocabulary, least, width)
-        # Before blocks are exploded with their words: those without a word of any prefix join with nothing.
-        found = found.where(F.arrays_overlap("tokens", F.array(*map(F.lit, sorted(rarest) or [""]))))
+    place = {row["token"]: i for i, row in enumerate(order)}
+    rarest = set()
+    for text in texts:
+        words = set(words_of(text))
+        rarest.update(sorted(words, key=place.get)[: len(words) - need_of(text, threshold) + 1])
+    found = runs(docs, vocabulary, least, width)
+    # Before blocks are exploded with their words: those without a word of any prefix join with nothing.
+    found = found.where(F.arrays_overlap("tokens", F.array(*map(F.lit, sorted(rarest) or [""]))))
     probes = found.withColumn("tokens", in_order(F.col("tokens"))).select("*", F.posexplode("tokens").alias("j", "token"))
     bound = F.least(F.size("words") - F.col("i"), F.size("tokens") - F.col("j"))
     overlap = F.size(F.array_intersect("tokens", "words"))
@@ -257,21 +268,19 @@ def similar_blocks(
         .where((F.size("tokens") >= F.col("need")) & (bound + F.col("i") >= F.col("need")))
         .where(overlap >= F.col("need"))
     )
-    if lines:
-        return similar.select("_key", "label", (overlap / F.size("words")).alias("containment"))
     # A pair meets once for each common word of the prefix.
-    pairs = similar.select("_key", "label", "words", "need", "span", "own", "wider", "run").distinct()
+    pairs = similar.select("_key", "label", "words", "need", "span", "exact", "own", "wider", "run").distinct()
     best = pairs.select("_key", "label", "words", "need", best_overlap().alias("most")).where("most >= need")
     return best.select("_key", "label", (F.col("most") / F.size("words")).alias("containment"))
 
 
 def scan(
-    docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD, lines: bool = True
+    docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD
 ) -> DataFrame:
     """doc_id, n_words, the places of the phrases, base_labels, labels and score: 1 with a phrase,
     else the best containment of a matching block, else 0."""
     plain = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    found = similar_blocks(plain, templates, threshold, lines)
+    found = similar_blocks(plain, templates, threshold)
     by_doc = found.groupBy("_key").agg(
         F.collect_set("label").alias("similar"), F.max("containment").alias("containment")
     )

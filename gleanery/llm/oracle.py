@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from gleanery.llm.licenses import TEMPLATES, THRESHOLD, words_of
+from gleanery.llm.licenses import TEMPLATES, THRESHOLD, template_rows
 
 #: Words of whole texts, as they are, and of texts with A-Z lower-cased.
 _SPACED = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -58,18 +58,27 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)
 """
 
+
+
+def _list(values, kind: str = "VARCHAR") -> str:
+    return f"[{', '.join(repr(v) if isinstance(v, str) else _list(v) for v in values)}]::{kind}[]"
+
+
 _TEMPLATES = ", ".join(
-    f"({i}, '{label}', [{', '.join(repr(w) for w in sorted(set(words_of(text))))}])"
-    for i, (label, text) in enumerate(TEMPLATES)
+    f"({i}, '{label}', {_list(words)}, {need}, {span}, {_list(exact)}, {_list(own, 'VARCHAR[]')}, {_list(wider, 'VARCHAR[]')})"
+    for i, label, words, need, span, exact, own, wider in template_rows(TEMPLATES, THRESHOLD)
 )
 OP10 = f"""
-WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_ALNUM} AS w, {_LOWER} AS low FROM documents),
-t(template, label, words) AS (VALUES {_TEMPLATES}),
-lines AS (SELECT r, unnest(string_split(low, chr(10))) AS line FROM d),
-sets AS (SELECT r, list_distinct(regexp_extract_all(line, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) AS s FROM lines),
-c AS (SELECT r, label, len(list_intersect(s, words)) / len(words) AS containment, ceil({THRESHOLD} * len(words) - 1e-9) AS need,
-             len(list_intersect(s, words)) AS o FROM sets, t),
-m AS (SELECT r, list(DISTINCT label) AS alike, max(containment) AS containment FROM c WHERE o >= need GROUP BY r),
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_ALNUM} AS w FROM documents),
+t(template, label, words, need, span, exact, own, wider) AS (VALUES {_TEMPLATES}),
+near AS (SELECT r, w, t.* FROM d, t WHERE len(list_intersect(w, words)) >= need),
+runs AS (SELECT *, unnest(range(1, greatest(len(w) - span + 1, 1) + 1)) AS i FROM near),
+x AS (SELECT r, label, words, need, exact, own, wider, w[i:i + span - 1] AS run FROM runs),
+y AS (SELECT *, [run[j] || ' ' || run[j + 1] FOR j IN range(1, len(run))] AS pairs, len(list_intersect(run, words)) AS o FROM x),
+c AS (SELECT r, label, o / len(words) AS containment FROM y
+      WHERE o >= need AND CASE WHEN len(exact) > 0 THEN run = exact ELSE
+        len([g FOR g IN own IF NOT list_has_any(g, pairs)]) = 0 AND len([g FOR g IN wider IF list_has_all(run, g)]) = 0 END),
+m AS (SELECT r, list(DISTINCT label) AS alike, max(containment) AS containment FROM c GROUP BY r),
 i AS (SELECT r, w, unnest(range(1, len(w) + 1)) AS i FROM d),
 p AS (SELECT r, i - 1 AS i, CASE WHEN w[i] = 'mit' AND w[i + 1] = 'license' THEN 'mit'
              WHEN w[i] = 'apache' AND w[i + 1] = 'license' THEN 'apache'

@@ -85,14 +85,10 @@ def brute_licenses(text, templates, threshold):
         if words[i : i + len(phrase.split())] == phrase.split()
     )
     base = sorted({label for _, label in places})
-    labels, best = set(base), 0.0
-    for line in (text or "").split("\n"):
-        have = set(words_of(line))
-        for label, body in templates:
-            want = set(words_of(body))
-            if len(have & want) >= threshold * len(want) - 1e-9 and want:
-                labels.add(label)
-                best = max(best, len(have & want) / len(want))
+    from tests.llm.test_licenses import brute_runs
+
+    similar, best = brute_runs(text or "", templates, threshold)
+    labels = {*base, *similar}
     return (
         len(words), len(places), places[0][0] if places else None, places[-1][0] if places else None,
         ",".join(base), ",".join(sorted(labels)), 1.0 if places else best,
