@@ -12,7 +12,7 @@ from gleanery.operators.concepts import concept_names, concept_report
 from gleanery.operators.lsa import LsaModel, fit_lsa, singular_value_report
 from gleanery.operators.search import parse_queries, search
 from gleanery.operators.tokens import tokenize_lemma, tokenize_pattern
-from gleanery.session import staged
+from gleanery.session import job_scope, kept, staged
 from gleanery.sinks.model_store import check_free, load_model, model_path, save_model
 from gleanery.sources.articles import as_documents, file_names, parse_records, read_records
 from gleanery.sources.stopwords import read_stop_words
@@ -63,9 +63,11 @@ def run_corpus(
     check_free(spark, path)
     files = file_names(spark, articles, sample, seed)
     docs = as_documents(parse_records(read_records(spark, articles, sample, seed)))
-    tokens = staged(tokenize(docs, variant, read_stop_words(spark, stop_words), lemmas))
-    save_model(fit_lsa(tokens, num_terms, k), path)
-    model = load_model(spark, path)
+    with job_scope():
+        tokens = staged(tokenize(docs, variant, read_stop_words(spark, stop_words), lemmas))
+        save_model(fit_lsa(tokens, num_terms, k), path)
+        model = load_model(spark, path)
+        counts = kept(corpus_counts(files, tokens, model))
     report = concept_report(model)
     return CorpusReport(
         model,
@@ -73,7 +75,7 @@ def run_corpus(
         singular_value_report(model),
         report,
         concept_names(report),
-        corpus_counts(files, tokens, model),
+        counts,
         docs.limit(SHOWN_ROWS),
         search(model, parse_queries(spark, TRIAL_QUERY)),
     )

@@ -11,7 +11,7 @@ from gleanery.operators.genres import first_genres
 from gleanery.operators.lsa import LsaModel, fit_lsa
 from gleanery.operators.search import parse_queries, search
 from gleanery.plans.corpus import LEMMA, SHOWN_ROWS, corpus_counts, tokenize
-from gleanery.session import staged
+from gleanery.session import job_scope, kept, staged
 from gleanery.sinks.model_store import check_free, load_model, save_model
 from gleanery.sources.movies import read_movies
 from gleanery.sources.stopwords import read_stop_words
@@ -45,15 +45,17 @@ def run_movies(
     queries: str = QUERIES,
 ) -> MovieReport:
     check_free(spark, out)
-    docs = staged(read_movies(spark, movies))
-    tokens = staged(tokenize(docs, LEMMA, read_stop_words(spark, stop_words), lemmas))
-    save_model(fit_lsa(tokens, num_terms, k), out)
-    model = load_model(spark, out)
+    with job_scope():
+        docs = staged(read_movies(spark, movies))
+        tokens = staged(tokenize(docs, LEMMA, read_stop_words(spark, stop_words), lemmas))
+        save_model(fit_lsa(tokens, num_terms, k), out)
+        model = load_model(spark, out)
+        counts, preview = kept(corpus_counts(None, tokens, model)), kept(docs.limit(SHOWN_ROWS))
     return MovieReport(
         model,
         concept_terms(model),
         first_genres(concept_docs(model)),
         search(model, parse_queries(spark, queries)),
-        corpus_counts(None, tokens, model),
-        docs.limit(SHOWN_ROWS),
+        counts,
+        preview,
     )

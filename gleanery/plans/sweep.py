@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from gleanery.operators.lsa import factor_tables, tfidf_rows, total_energy, truncated_svd
 from gleanery.operators.terms import collect_vocabulary, sparse_rows
 from gleanery.plans.corpus import LEMMA, PATTERN, tokenize
-from gleanery.session import staged
+from gleanery.session import job_scope, staged
 from gleanery.sinks.catalogue import add_model
 from gleanery.sinks.model_store import model_path, save_model
 
@@ -39,6 +39,16 @@ def sweep_lsa(
     variant's tokens took is in the rows' ``token_seconds``. ``out`` takes a folder per model, ``catalogue`` is the root of
     tables that hold all models and these rows.
     """
+    with job_scope():
+        results = _swept(docs, stop_words, lemmas, variants, num_terms, concepts, out, catalogue, solver)
+    return docs.sparkSession.createDataFrame(
+        results,
+        "variant string, num_terms int, k int, rank int, energy double, share double, "
+        "seconds double, token_seconds double",
+    )
+
+
+def _swept(docs, stop_words, lemmas, variants, num_terms, concepts, out, catalogue, solver) -> list[tuple]:
     results = []
     for variant in variants:
         started = time.monotonic()
@@ -64,8 +74,4 @@ def sweep_lsa(
                 if catalogue is not None:
                     add_model(model, catalogue, variant, asked, k, run)
                 results.append((variant, asked, k, *run))
-    return docs.sparkSession.createDataFrame(
-        results,
-        "variant string, num_terms int, k int, rank int, energy double, share double, "
-        "seconds double, token_seconds double",
-    )
+    return results

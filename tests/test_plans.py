@@ -1,4 +1,5 @@
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -95,3 +96,39 @@ def test_command_line(spark, articles, tmp_path, capsys):
     cli.main(["search", f"{tmp_path}/pattern/model_terms8_k3", "serious"])
     shown = capsys.readouterr().out
     assert "Doc " in shown and "sigma" in shown
+
+
+def test_jobs_free_what_they_hold(spark, articles, tmp_path):
+    """After a job nothing is cached, no broadcast of it is usable and only its reports are staged."""
+    from gleanery import session
+
+    def stages():
+        folder = Path(session._scratch_root(spark).removeprefix("file:"))
+        return {p.name for p in folder.glob("stage-*")} if folder.exists() else set()
+
+    held = spark.sparkContext._jsc.sc().getPersistentRDDs().size
+    before, cached = stages(), held()
+    run_corpus(spark, articles, str(tmp_path), sample=1.0, num_terms=8, k=3)
+    assert len(stages() - before) == 1 and held() == cached  # its counts
+    (tmp_path / "Run_1.csv").write_text("".join(f"{i % 7},{i % 5},{i % 3}\n" for i in range(60)))
+    before = stages()
+    report = run_sensors(spark, str(tmp_path / "Run_*.csv"), ks=[2, 3])
+    assert len(stages() - before) == 4 and held() == cached  # outliers, elbow, sizes, problems
+    assert report.sizes.count() == 5 and report.problems.count() == 0
+    before = stages()
+    with pytest.raises(RuntimeError):
+        with session.job_scope():
+            session.persisted(spark.range(5)).count()
+            session.staged(spark.range(5))
+            sent = session.shared(spark, [1])
+            raise RuntimeError("lost")
+    assert stages() == before and held() == cached
+    with pytest.raises(Exception):
+        spark.sparkContext.parallelize([1]).map(lambda _: sent.value).collect()
+
+
+def test_sensor_job_without_readings(spark, tmp_path):
+    (tmp_path / "Run_1.csv").write_text("1,x,2\n")
+    report = run_sensors(spark, str(tmp_path / "Run_*.csv"), ks=[2])
+    assert (report.readings, report.dropped) == (0, 1) and report.outliers.count() == report.sizes.count() == 0
+    assert [(r.problem, r.lines) for r in report.problems.collect()] == [("not a number", 1)]
