@@ -8,11 +8,11 @@ models learn from inputs as uncertain as those at prediction time. Folds come fr
 Words (A-Z lower-cased, runs of 0-9, a-z and non-ASCII) are hashed to ``BINS`` columns; a text has a
 column or not, however often. Each model picks the ``KEPT`` columns that separate its training rows
 best (by z-score of the difference in share). It learns from a bounded sample of labelled rows
-(``sample_rows`` expected, all positives and negatives by the same draw), computed in Spark; the driver
-gets the hashed columns of the sample only. Scoring runs over whole texts in Spark tasks.
+(``sample_rows`` expected, all positives and negatives by the same draw), computed in Spark; columns are
+counted and picked there, and the driver gets the picked ones only. Scoring runs over whole texts in Spark tasks.
 
-Defined results: null or empty text has no words and scores the models' base rate; null labels are
-left out; several labels of a document count as 1 if half or more say so; a category without both
+Defined results: null or empty text has no words and scores the models' base rate; a null label leaves
+its row out of that category only; several labels of a document count as 1 if half or more say so; a category without both
 kinds of rows has its share as probability (0 without any rows); repeated documents each give a row.
 """
 
@@ -20,12 +20,14 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gleanery.llm.quality import drawn, held_out
 from gleanery.llm.scan import NOT_ALNUM, Words, pieces, text_column
+from gleanery.llm.stage import written
 
 BINS = 1 << 20
 KEPT = 256
@@ -51,8 +53,10 @@ def hashed_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray, int]:
     return pair // BINS, pair % BINS, w.n_docs
 
 
-def fit_linear(doc: np.ndarray, bin_: np.ndarray, extra: np.ndarray, y: np.ndarray, rows: np.ndarray) -> dict:
-    """Logistic regression on ``rows`` (a mask) over the best hashed columns and ``extra``."""
+def fit_linear(
+    doc: np.ndarray, bin_: np.ndarray, extra: np.ndarray, y: np.ndarray, rows: np.ndarray, chosen: np.ndarray | None = None
+) -> dict:
+    """Logistic regression on ``rows`` (a mask) over the ``chosen`` hashed columns (else the best ones) and ``extra``."""
     n, target = int(rows.sum()), y[rows]
     share = float(target.mean()) if n else 0.0
     if not 0 < share < 1:
@@ -65,10 +69,10 @@ def fit_linear(doc: np.ndarray, bin_: np.ndarray, extra: np.ndarray, y: np.ndarr
     total = np.bincount(code, minlength=len(ids))
     p_all = total / n
     z = (pos / target.sum() - (total - pos) / (n - target.sum())) / np.sqrt(p_all * (1 - p_all) + 1.0 / n)
-    best = np.sort(np.argsort(-np.abs(z), kind="stable")[:KEPT])
+    best = np.sort(np.argsort(-np.abs(z), kind="stable")[:KEPT]) if chosen is None else np.flatnonzero(np.isin(ids, chosen))
     column = np.minimum(np.searchsorted(best, code), len(best) - 1)
-    chosen = best[column] == code
-    d, column = d[chosen], column[chosen]
+    used = best[column] == code if len(best) else np.zeros(len(code), bool)
+    d, column = d[used], column[used]
     dense = np.hstack([extra[rows], np.ones((n, 1))])
     width = len(best)
 
@@ -100,22 +104,27 @@ def apply_linear(model: dict, doc: np.ndarray, bin_: np.ndarray, extra: np.ndarr
     if "ids" not in model:
         return np.full(n, model["share"])
     ids, w = model["ids"], model["weights"]
+    if not len(ids):
+        return 1 / (1 + np.exp(-np.clip(extra @ w[:-1] + w[-1], -30, 30)))
     at = np.minimum(np.searchsorted(ids, bin_), len(ids) - 1)
     hit = ids[at] == bin_
     raw = np.bincount(doc[hit], w[at[hit]], n) + extra @ w[len(ids) : -1] + w[-1]
     return 1 / (1 + np.exp(-np.clip(raw, -30, 30)))
 
 
-def fit_chain(doc: np.ndarray, bin_: np.ndarray, y: np.ndarray, fold: np.ndarray) -> list[dict]:
-    """One model per column of ``y``; later ones are trained on out-of-fold probabilities."""
+def fit_chain(doc: np.ndarray, bin_: np.ndarray, y: np.ndarray, fold: np.ndarray, chosen: dict | None = None) -> list[dict]:
+    """One model per column of ``y`` (NaN: not known, the row is left out there); later ones are trained on
+    out-of-fold probabilities. ``chosen`` has the columns of (category, fold left out or None), see ``choose``."""
     n = len(y)
-    unseen, everyone, models = np.zeros((n, 0)), np.ones(n, bool), []
+    columns = lambda k, f: None if chosen is None else chosen.get((k, f), np.zeros(0, np.int64))
+    unseen, models = np.zeros((n, 0)), []
     for k in range(y.shape[1]):
-        models.append(fit_linear(doc, bin_, unseen, y[:, k], everyone))
+        known = ~np.isnan(y[:, k])
+        models.append(fit_linear(doc, bin_, unseen, y[:, k], known, columns(k, None)))
         if k + 1 < y.shape[1]:
             p = np.zeros(n)
             for f in range(FOLDS):
-                part = fit_linear(doc, bin_, unseen, y[:, k], fold != f)
+                part = fit_linear(doc, bin_, unseen, y[:, k], known & (fold != f), columns(k, f))
                 p[fold == f] = apply_linear(part, doc, bin_, unseen)[fold == f]
             unseen = np.hstack([unseen, p[:, None]])
     return models
@@ -128,32 +137,85 @@ def apply_chain(models: list[dict], doc: np.ndarray, bin_: np.ndarray, n: int) -
     return seen
 
 
-def fit(docs: DataFrame, labels: DataFrame, categories=CATEGORIES, sample_rows: int = SAMPLE_ROWS) -> list[dict]:
-    """The chain, learned from labelled documents that are not held out: doc_id and text of ``docs`` and
-    what the categories name in ``labels``; no other column is read."""
+def hashed_sample(docs: DataFrame, labels: DataFrame, categories=CATEGORIES, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+    """doc_id, fold, y (an entry per category, null where it is not known) and bins (the hashed columns of the
+    text) of the sampled documents, staged."""
     names = [f"_y{k}" for k in range(len(categories))]
     known = labels.select("doc_id", *[F.expr(rule).cast("double").alias(n) for n, (_, rule) in zip(names, categories)])
-    rows = known.dropna().groupBy("doc_id").agg(*[(F.avg(n) >= 0.5).cast("double").alias(n) for n in names])
-    sample = drawn(rows.where(~held_out(F.col("doc_id"))), sample_rows).withColumnRenamed("doc_id", "_id")
+    rows = known.where("doc_id IS NOT NULL").groupBy("doc_id").agg(*[(F.avg(n) >= 0.5).cast("double").alias(n) for n in names])
+    rows = rows.where(F.coalesce(*names).isNotNull() & ~held_out(F.col("doc_id")))
+    sample = drawn(rows, sample_rows).withColumnRenamed("doc_id", "_id")
     # Ids and labels of a bounded number of rows.
     chosen = docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("_id"))
-    fold = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(FOLDS)).cast("double")
-    given = chosen.select("doc_id", F.array(*names, fold).alias("y"), "text")
+    fold = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(FOLDS)).cast("int")
+    given = chosen.select("doc_id", fold.alias("fold"), F.array(*names).alias("y"), "text")
 
     def extract(batches):
         for piece in pieces(batches):
             doc, bins, n = hashed_words(text_column(piece))
             bounds = pa.array(np.searchsorted(doc, np.arange(n + 1)), pa.int32())
             lists = pa.ListArray.from_arrays(bounds, pa.array(bins, pa.int32()))
-            yield pa.RecordBatch.from_arrays([piece.column(0), piece.column(1), lists], ["doc_id", "y", "bins"])
+            yield pa.RecordBatch.from_arrays([*piece.columns[:3], lists], ["doc_id", "fold", "y", "bins"])
 
     bins = T.StructField("bins", T.ArrayType(T.IntegerType()))
-    table = given.mapInArrow(extract, T.StructType([*given.schema.fields[:2], bins])).orderBy("doc_id", "bins").toArrow()
-    y = np.array(table["y"].to_pylist(), np.float64).reshape(-1, len(names) + 1)
+    return written(given.mapInArrow(extract, T.StructType([*given.schema.fields[:3], bins])))
+
+
+def choose(sample: DataFrame, categories: int) -> dict[tuple[int, int | None], np.ndarray]:
+    """The ``KEPT`` columns of each model of the chain, as (category, fold left out or None): those whose shares among its
+    positive and negative rows differ most. Counted in Spark; ``KEPT`` numbers a model come to the driver."""
+    cells = [(k, f) for k in range(categories) for f in range(FOLDS)]
+    at = lambda k: F.get("y", F.lit(k))
+    here = lambda k, f: (F.col("fold") == f) & at(k).isNotNull()
+    sums = [
+        x for k, f in cells for x in (
+            F.sum(F.when(here(k, f), 1.0).otherwise(0.0)).alias(f"n_{k}_{f}"), F.sum(F.when(here(k, f), at(k)).otherwise(0.0)).alias(f"p_{k}_{f}")
+        )
+    ]
+    whole = sample.agg(*sums).first().asDict()
+    counts = sample.select("fold", "y", F.explode("bins").alias("bin")).groupBy("bin").agg(*sums)
+    scores, models = [], []
+    for k in range(categories):
+        for left in (None, *(range(FOLDS) if k + 1 < categories else ())):
+            folds = [f for f in range(FOLDS) if f != left]
+            n, p = (sum(whole[f"{c}_{k}_{f}"] or 0.0 for f in folds) for c in "np")
+            if not 0 < p < n:
+                continue
+            total, pos = (sum((F.col(f"{c}_{k}_{f}") for f in folds), F.lit(0.0)) for c in "np")
+            share = total / n
+            z = (pos / p - (total - pos) / (n - p)) / F.sqrt(share * (1 - share) + 1.0 / n)
+            scores.append(F.struct(F.lit(len(models)).alias("model"), F.abs(z).alias("z"), (total > 0).alias("seen")))
+            models.append((k, left))
+    if not models:
+        return {}
+    ranked = counts.select("bin", F.explode(F.array(*scores)).alias("s")).select("bin", "s.*").where("seen")
+    place = F.row_number().over(Window.partitionBy("model").orderBy(F.desc("z"), "bin"))
+    best = ranked.withColumn("place", place).where(F.col("place") <= KEPT).select("model", "bin").collect()
+    return {name: np.array(sorted(r["bin"] for r in best if r["model"] == i), np.int64) for i, name in enumerate(models)}
+
+
+def fit(docs: DataFrame, labels: DataFrame, categories=CATEGORIES, sample_rows: int = SAMPLE_ROWS) -> list[dict]:
+    """The chain, learned from labelled documents that are not held out: doc_id and text of ``docs`` and
+    what the categories name in ``labels``; no other column is read."""
+    sample = hashed_sample(docs, labels, categories, sample_rows)
+    chosen = choose(sample, len(categories))
+    wanted = pa.array(np.unique(np.concatenate([*chosen.values(), np.zeros(0, np.int64)])).astype(np.int32))
+
+    def keep(batches):
+        for batch in batches:
+            lists = batch.column("bins")
+            inside = pc.is_in(lists.flatten(), value_set=wanted)
+            sums = np.r_[0, np.cumsum(inside.to_numpy(zero_copy_only=False))]
+            ends = sums[np.r_[0, np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))]]
+            few = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), lists.flatten().filter(inside))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], few], batch.schema.names)
+
+    # At most KEPT columns a model and row.
+    table = sample.mapInArrow(keep, sample.schema).orderBy("doc_id", "bins").toArrow()
+    y = np.array(table["y"].to_pylist(), np.float64).reshape(-1, len(categories))
     lists = table["bins"].combine_chunks()
-    lengths = np.diff(lists.offsets.to_numpy())
-    doc = np.repeat(np.arange(len(y)), lengths)
-    return fit_chain(doc, lists.flatten().to_numpy().astype(np.int64), y[:, :-1], y[:, -1].astype(int))
+    doc = np.repeat(np.arange(len(y)), lists.value_lengths().to_numpy(zero_copy_only=False))
+    return fit_chain(doc, lists.flatten().to_numpy().astype(np.int64), y, table["fold"].to_numpy(), chosen)
 
 
 def score(docs: DataFrame, models: list[dict], names: list[str]) -> DataFrame:

@@ -4,6 +4,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -167,9 +168,9 @@ def test_later_models_train_on_out_of_fold_probabilities(monkeypatch):
     seen = []
     real = toxicity.fit_linear
 
-    def spy(doc, bin_, extra, target, rows):
+    def spy(doc, bin_, extra, target, rows, chosen=None):
         seen.append((extra.copy(), rows.copy()))
-        return real(doc, bin_, extra, target, rows)
+        return real(doc, bin_, extra, target, rows, chosen)
 
     monkeypatch.setattr(toxicity, "fit_linear", spy)
     models = toxicity.fit_chain(doc, bins, y, fold)
@@ -179,3 +180,86 @@ def test_later_models_train_on_out_of_fold_probabilities(monkeypatch):
         p = toxicity.apply_linear(part, doc, bins, np.zeros((n, 0)))
         assert extra[fold == f, 0] == pytest.approx(p[fold == f])
     assert len(models) == 2 and toxicity.apply_chain(models, doc, bins, n).shape == (n, 2)
+
+
+def brute_columns(rows, y):
+    """The columns whose shares among positive and negative rows differ most, by plain counting."""
+    n, positive = len(rows), sum(y)
+    score = {}
+    for bin_ in set().union(*rows):
+        total = sum(bin_ in r for r in rows)
+        pos = sum(t for r, t in zip(rows, y) if bin_ in r)
+        share = total / n
+        score[bin_] = abs(pos / positive - (total - pos) / (n - positive)) / np.sqrt(share * (1 - share) + 1 / n)
+    return score
+
+
+def test_chain_equals_brute_force(spark, judged, monkeypatch):
+    """Columns picked in Spark are those of a plain count, and the models are those of all columns of the whole sample
+    on the driver; scores are those of a walk over the words; a null label leaves its row out of one category only."""
+    docs, labels = judged
+    labels = labels.withColumn("quality", F.when(F.col("doc_id") % 7 != 0, F.col("quality")))
+    sample = toxicity.hashed_sample(docs, labels)
+    rows = sample.orderBy("doc_id").collect()
+    assert any(r.y[0] is None and r.y[1] is not None for r in rows)
+    chosen = toxicity.choose(sample, 3)
+    for (k, left), columns in chosen.items():
+        held = [r for r in rows if r.y[k] is not None and r.fold != left]
+        score = brute_columns([set(r.bins) for r in held], [r.y[k] for r in held])
+        assert len(columns) == min(toxicity.KEPT, len(score)) and len(set(columns)) == len(columns)
+        floor = sorted(score.values(), reverse=True)[len(columns) - 1]
+        assert all(score[c] >= floor - 1e-9 for c in columns.tolist())
+    doc = np.repeat(np.arange(len(rows)), [len(r.bins) for r in rows])
+    bins = np.array([b for r in rows for b in r.bins])
+    y = np.array([[np.nan if v is None else v for v in r.y] for r in rows])
+    want = toxicity.fit_chain(doc, bins, y, np.array([r.fold for r in rows]), chosen)
+    got = toxicity.fit(docs, labels)
+    for a, b in zip(got, want):
+        assert a["share"] == b["share"] and np.array_equal(a["ids"], b["ids"]) and a["weights"] == pytest.approx(b["weights"], abs=1e-9)
+    rated = {(r.doc_id, r.text): (r.low_quality, r.toxic, r.toxic_prose) for r in toxicity.score(docs, got, ["low_quality", "toxic", "toxic_prose"]).collect()}
+    for (_, text), found in list(rated.items())[::40]:
+        words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate({c: c + 32 for c in range(65, 91)}))
+        known = set(toxicity.hashed_words(pa.array([" ".join(words)]))[1].tolist())
+        seen = []
+        for model in got:
+            weight = dict(zip(model["ids"].tolist(), model["weights"]))
+            raw = sum(w for b, w in weight.items() if b in known)
+            raw += sum(p * w for p, w in zip(seen, model["weights"][len(model["ids"]) :])) + model["weights"][-1]
+            seen.append(1 / (1 + np.exp(-raw)))
+        assert found == pytest.approx(seen, abs=1e-9)
+
+
+def grown(x, y, p, rows, depth, cuts):
+    """A tree as nested (feature, cut, left, right) or a leaf value, by trying every cut of every feature."""
+    g, h = p - y, p * (1 - p)
+    value = lambda r: g[r].sum() ** 2 / (h[r].sum() + quality.L2)
+    best = (1e-9, None)
+    if depth:
+        for f, cut in ((f, c) for f in range(x.shape[1]) for c in cuts[f]):
+            left = rows & (x[:, f] <= cut)
+            if min(h[left].sum(), h[rows & ~left].sum()) < quality.MIN_WEIGHT:
+                continue
+            gain = value(left) + value(rows & ~left) - value(rows)
+            if gain > best[0] + 1e-9:
+                best = (gain, (f, cut))
+    if best[1] is None:
+        return -quality.RATE * g[rows].sum() / (h[rows].sum() + quality.L2)
+    f, cut = best[1]
+    left = rows & (x[:, f] <= cut)
+    return f, cut, grown(x, y, p, left, depth - 1, cuts), grown(x, y, p, rows & ~left, depth - 1, cuts)
+
+
+def test_first_tree_equals_a_plain_split_search():
+    rng = np.random.default_rng(21)
+    x = np.round(rng.normal(size=(300, 5)), 2)
+    y = ((x[:, 1] + 0.5 * x[:, 3] * (x[:, 0] > 0) + rng.normal(0, 0.4, 300)) > 0).astype(float)
+    model = quality.fit_trees(x, y, trees=1, depth=3)
+    tree = grown(x, y, np.full(300, y.mean()), np.ones(300, bool), 3, quality.bin_edges(x))
+
+    def walk(node, row):
+        while isinstance(node, tuple):
+            node = node[2] if row[node[0]] <= node[1] else node[3]
+        return node
+
+    raw = np.log(y.mean() / (1 - y.mean())) + np.array([walk(tree, row) for row in x])
+    assert quality.score_trees(model, x) == pytest.approx(1 / (1 + np.exp(-raw)), abs=1e-9)
