@@ -2,8 +2,9 @@
 
 The benchmark is cut into blocks of at most ``block_bytes`` text bytes (its size is read first).
 Each block becomes sorted window hashes plus its normalised words and is broadcast; documents flow
-through one ``mapInArrow`` per block within the same stage, so nothing is shuffled and the
-broadcast never exceeds the bound however large the benchmark is.
+through one ``mapInArrow`` per block, ``STAGED_BLOCKS`` of them in a stage; then what was found is staged
+and their broadcasts are released. So nothing is shuffled, and driver and executors hold the tables of
+``STAGED_BLOCKS`` blocks at most, however large the benchmark is.
 
 Words are runs of 0-9, a-z (after lower-casing A-Z) and non-ASCII characters. A window is
 ``width`` consecutive words of an item; an item with fewer words, but not none, is one window.
@@ -26,10 +27,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gleanery.llm.scan import NOT_ALNUM, Words, pieces, text_buffers, text_column
+from gleanery.llm.stage import written
 
 WIDTH = 10
 #: Benchmark text per broadcast; the arrays made of it take about 15 times as much.
 BLOCK_BYTES = 4 << 20
+#: Blocks, each in a Python worker of its own, that one stage scans for.
+STAGED_BLOCKS = 4
 
 FOUND = T.StructType(
     [
@@ -80,17 +84,14 @@ def window_hits(table: dict, words: Words) -> Iterator[tuple[int, int, frozenset
                 yield start, size, known[text]
 
 
-def _blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[pa.Table]:
+def _blocks(benchmark: DataFrame, block_bytes: int) -> tuple[int, Iterator[pa.Table]]:
+    """Number of blocks, and these one at a time."""
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").distinct()
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     # Half-full blocks on average, so that an uneven share still fits.
     count = max(1, math.ceil(2 * total / block_bytes))
-    if count == 1:
-        yield items.toArrow()
-        return
     block = F.pmod(F.xxhash64("item_id", "text"), F.lit(count))
-    for k in range(count):
-        yield items.where(block == k).toArrow()
+    return count, (items.where(block == k).toArrow() for k in range(count))
 
 
 def _cut(column: pa.Array, words: Words, hit: np.ndarray) -> pa.Array:
@@ -124,13 +125,15 @@ def scan(
     plain = docs.drop(*FOUND.fieldNames())
     schema = T.StructType(plain.schema.fields + FOUND.fields)
     context = docs.sparkSession.sparkContext
-    blocks = [
-        context.broadcast(window_table(b["item_id"].to_pylist(), b["text"].combine_chunks(), width))
-        for b in _blocks(benchmark, block_bytes)
-    ]
-    out = plain
+    out, sent = plain, []
+    count, blocks = _blocks(benchmark, block_bytes)
     for k, block in enumerate(blocks):
-        out = out.mapInArrow(_scanner(block, k == 0, cut and k == len(blocks) - 1), schema)
+        if len(sent) == STAGED_BLOCKS:
+            out = written(out, "scanned")
+            while sent:
+                sent.pop().destroy()
+        sent.append(context.broadcast(window_table(block["item_id"].to_pylist(), block["text"].combine_chunks(), width)))
+        out = out.mapInArrow(_scanner(sent[-1], k == 0, cut and k == count - 1), schema)
     return out
 
 
