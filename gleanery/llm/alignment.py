@@ -24,6 +24,7 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import reduce
@@ -48,6 +49,7 @@ BLOCK_PAIRS = 4 << 20
 GATHERED = 4 << 20
 #: Blocks that one stage looks up, each in a Python worker of its own.
 STAGED_BLOCKS = 4
+LONG_BLANK = re.compile(r"\s{2000}")
 TOKENIZERS = "/opt/tokenizers"
 FILE_A, FILE_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
@@ -82,13 +84,22 @@ class ByteLevel:
             pattern = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
             ranks = {self.bytes[i]: i for t, i in vocab.items() if t not in added}
             encoding = tiktoken.Encoding("a", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-            self.encode = lambda texts: [encoding.encode_ordinary(t) for t in texts]
+            # The split takes a step of the stack per blank of a run, so long runs go the other way.
+            self.encode = lambda texts: [
+                self.merged([t])[0] if LONG_BLANK.search(t) else encoding.encode_ordinary(t) for t in texts
+            ]
         else:
+            self.encode = self.merged
+        self.source, self.tokenizer = source, None
+
+    def merged(self, texts: list[str]) -> list[list[int]]:
+        """Ids by the merges of the file itself."""
+        if self.tokenizer is None:
             from tokenizers import Tokenizer
 
-            tokenizer = Tokenizer.from_str(source.decode())
-            tokenizer.encode_special_tokens = True
-            self.encode = lambda texts: [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+            self.tokenizer = Tokenizer.from_str(self.source.decode())
+            self.tokenizer.encode_special_tokens = True
+        return [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
 class Pieces:

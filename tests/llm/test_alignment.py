@@ -133,7 +133,7 @@ def test_both_encoders_of_a_agree(tokenizers):
         ranked = al.ByteLevel(f.read())
     rng = random.Random(9)
     letters = "ab Ü\t\n\r\u000b\u000c\u0085  ᠎    　​﻿'sllRE19٣²½é日本👩‍.,_-|"
-    texts = [t for t in TEXTS if t] + ["".join(rng.choice(letters) for _ in range(60)) for _ in range(400)] + ["ab" * 20_000, " " * 20_000]
+    texts = [t for t in TEXTS if t] + ["".join(rng.choice(letters) for _ in range(60)) for _ in range(400)] + ["ab" * 20_000, " " * 20_000, "x" + " " * 1_000_000 + "\n" * 9_000 + "y"]
     assert ranked.encode([" " + t for t in texts]) == [encode_a(t) for t in texts]
 
 
