@@ -99,7 +99,7 @@ def test_stages_keep_the_columns_and_take_no_documents(spark, tables):
 
 def test_registered_queries_and_twins():
     names = contract.queries()
-    assert [len([n for n in names if n.startswith(f"op{k}_")]) for k in range(1, 11)] == [1] * 10
+    assert [len([n for n in names if n.startswith(f"op{k}_")]) for k in range(1, 14)] == [1] * 13
     assert "pipeline" in names and set(oracle.ORACLE) <= set(queries.QUERIES)
 
 
@@ -107,7 +107,7 @@ def test_registered_queries_and_twins():
 def test_queries_equal_their_twins(spark, name):
     folder = "/root/testdata/sf0.001"
     db = duckdb.connect()
-    for table in ("documents", "benchmark", "pages"):
+    for table in ("documents", "benchmark", "pages", "labels"):
         db.execute(f"CREATE VIEW {table} AS SELECT * FROM '{folder}/{table}.parquet'")
     want = db.execute(oracle.ORACLE[name])
     columns = [c[0] for c in want.description]
