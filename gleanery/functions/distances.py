@@ -2,7 +2,7 @@
 
 A native expression for every k at once outgrows the generated-code limit, and one query
 per k reads the rows once per k. Here a task computes all distances of a batch in numpy
-and keeps sums or a bounded best list.
+and keeps sums or a bounded best list. The passes of the fits read the points packed in blocks.
 """
 
 from __future__ import annotations
@@ -19,6 +19,8 @@ from pyspark.sql import types as T
 from gleanery.functions.blocks import best_rows
 
 CentersByK = dict[int, Sequence[Sequence[float]]]
+#: Points whose distances are held at once; for a dozen centres they stay in a core's cache.
+POINTS_AT_ONCE = 4096
 
 
 def nearest_block(
@@ -38,6 +40,47 @@ def nearest_block(
     return np.sqrt(best), cluster
 
 
+def packed_rows(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """(block): the different points with their counts, an Arrow batch of them packed in one row as doubles:
+    all counts, then all values of each feature."""
+    names = [f"x{i}" for i in range(len(features))]
+    folded = df.select(*[F.col(f).cast("double").alias(n) for f, n in zip(features, names)])
+    folded = folded.groupBy(*names).agg(F.count("*").cast("double").alias("held"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            block = np.array(_columns(batch, ["held", *names]))
+            if np.isnan(block).any():
+                raise ValueError(f"a point lacks one of {', '.join(features)}")
+            yield pa.RecordBatch.from_arrays([pa.array([block.tobytes()], pa.binary())], ["block"])
+
+    return folded.mapInArrow(run, "block binary")
+
+
+def center_sums(block: np.ndarray, centers: Sequence[np.ndarray]) -> np.ndarray:
+    """A row per centre of every fit, one after the other: number and sums of the features of the points nearest
+    to it within its fit; the lower centre wins ties. ``block`` holds the counts, then the features.
+    """
+    sums = [np.zeros((len(c), len(block))) for c in centers]
+    for first in range(0, block.shape[1], POINTS_AT_ONCE):
+        held, *columns = block[:, first : first + POINTS_AT_ONCE]
+        weighted = np.array([held, *[held * column for column in columns]]).T
+        for fit, total in zip(centers, sums):
+            square = np.zeros((len(fit), len(held)))
+            gap = np.empty_like(square)
+            for column, x in zip(columns, fit.T):
+                np.subtract(column, x[:, None], out=gap)
+                np.multiply(gap, gap, out=gap)
+                square += gap
+            near = square == square.min(axis=0)
+            if np.count_nonzero(near) != len(held):
+                near &= np.cumsum(near, axis=0) == 1
+            total += near.astype(float) @ weighted
+    return np.concatenate(sums)
+
+
 def _columns(batch: pa.RecordBatch, names: Sequence[str]) -> list[np.ndarray]:
     return [batch.column(n).to_numpy(zero_copy_only=False) for n in names]
 

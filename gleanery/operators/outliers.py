@@ -2,19 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from functools import reduce
+from operator import add
 
+import numpy as np
 import pyarrow as pa
-from pyspark import SparkContext
-from pyspark.ml.feature import VectorAssembler
+from pyspark import RDD, StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleanery.functions.distances import assigned_rows, farthest_rows, profile_rows
-from gleanery.operators.lsa import decoded_rows
+from gleanery.functions.distances import assigned_rows, center_sums, farthest_rows, packed_rows, profile_rows
 from gleanery.session import local_table
 
 Centers = Sequence[Sequence[float]]
@@ -92,29 +91,26 @@ def hashed_starts(
 
 
 @contextmanager
-def decoded_points(df: DataFrame, features: Sequence[str]):
-    """The feature vectors as MLlib reads them, assembled once and kept on the executors until the block ends."""
-    points = VectorAssembler(inputCols=list(features), outputCol="features").transform(df)
-    with decoded_rows(points) as matrix:
-        yield matrix._java_matrix_wrapper._java_model.rows()
-
-
-def _fit(context: SparkContext, rows, start: Centers, max_iter: int, tol: float) -> list[list[float]]:
-    """MLlib K-means (Euclidean) on decoded points from given centres; a centre without points stays."""
-    jvm, gateway = context._jvm, context._gateway
-    centers = jvm.java.util.ArrayList()
-    for center in start:
-        values = gateway.new_array(jvm.double, len(center))
-        for i, x in enumerate(center):
-            values[i] = float(x)
-        centers.add(jvm.org.apache.spark.mllib.linalg.Vectors.dense(values))
-    mllib = jvm.org.apache.spark.mllib.clustering
-    # Without points MLlib cannot run, and no centre would move.
-    if not len(start):
-        return []
-    kmeans = mllib.KMeans().setK(len(start)).setMaxIterations(max_iter).setEpsilon(tol)
-    model = kmeans.setInitialModel(mllib.KMeansModel(centers)).run(rows)
-    return [[float(x) for x in center.toArray()] for center in model.clusterCenters()]
+def packed_points(df: DataFrame, features: Sequence[str]):
+    """The different points with their counts as numpy blocks (counts, then features), kept on the executors until
+    the block ends."""
+    width = len(features) + 1
+    rows = packed_rows(df, features).rdd.map(lambda row: np.frombuffer(row.block).reshape(width, -1))
+    rows.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield rows
+    finally:
+        rows.unpersist()
+
+
+def _pass_sums(blocks: RDD, centers: Sequence[np.ndarray], width: int) -> np.ndarray:
+    """``center_sums`` of all points; every task sends on one row per centre."""
+    zero = np.zeros((sum(map(len, centers)), width))
+
+    def run(held: Iterator[np.ndarray]) -> Iterator[np.ndarray]:
+        yield sum((center_sums(block, centers) for block in held), zero)
+
+    return blocks.mapPartitions(run).fold(zero, add)
 
 
 def fit_sweep(
@@ -123,17 +119,30 @@ def fit_sweep(
     starts: dict[int, Centers],
     max_iter: int = 100,
     tol: float = 1e-6,
-    parallelism: int = 8,
 ) -> dict[int, list[list[float]]]:
-    """Centres of one MLlib fit for each k from its ``starts``, ``parallelism`` of them at a time.
+    """Centres of one K-means fit (Euclidean, Lloyd's passes) for each k from its ``starts``.
 
-    All fits read one decoded copy of the points. A start decides its fit whatever the partitions,
-    but for the last digits of the sums. Centres keep the order of their starts.
+    Every pass is one job for all fits of which a centre still moves by more than ``tol``, over one packed copy of
+    the different points; a pass of MLlib's is a job and a read of every point for each k. A centre without points
+    stays. A start decides its fit whatever the partitions, but for the last digits of the sums. Centres
+    keep the order of their starts.
     """
-    context = df.sparkSession.sparkContext
-    with decoded_points(df, features) as rows, ThreadPoolExecutor(parallelism) as pool:
-        fits = pool.map(lambda k: _fit(context, rows, starts[k], max_iter, tol), starts)
-        return dict(zip(starts, fits))
+    fits = {k: np.array(c, dtype=float).reshape(-1, len(features)) for k, c in starts.items()}
+    moving = [k for k, c in fits.items() if len(c)]
+    with packed_points(df, features) as blocks:
+        for _ in range(max_iter):
+            if not moving:
+                break
+            sums = _pass_sums(blocks, [fits[k] for k in moving], len(features) + 1)
+            ends = np.cumsum([len(fits[k]) for k in moving])
+            still = []
+            for k, total in zip(moving, np.split(sums, ends[:-1])):
+                old, held = fits[k], total[:, :1]
+                fits[k] = np.where(held > 0, total[:, 1:] / np.maximum(held, 1), old)
+                if np.square(fits[k] - old).sum(axis=1).max() > tol * tol:
+                    still.append(k)
+            moving = still
+    return {k: c.tolist() for k, c in fits.items()}
 
 
 def center_report(df: DataFrame, centers_by_k: dict[int, Centers], names: Sequence[str]) -> DataFrame:

@@ -144,6 +144,38 @@ def test_empty_centres_stay(cloud):
     assert all(np.array(one[k]) == pytest.approx(np.array(many[k]), abs=1e-9) for k in starts)
 
 
+def test_a_pass_is_one_job_for_all_fits(spark, cloud):
+    tracker = spark.sparkContext.statusTracker()
+    starts = outliers.hashed_starts(cloud, COLS, range(2, 8), by_row("id"))
+    before = set(tracker.getJobIdsForGroup(None))
+    outliers.fit_sweep(cloud, COLS, starts, max_iter=5)
+    # The points are folded first.
+    assert len(set(tracker.getJobIdsForGroup(None)) - before) <= 5 + 3
+
+
+def test_equal_points_are_kept_once(spark):
+    rows = spark.range(0, 9000, 1, 6).select("id", *[(F.col("id") % 7 % m).cast("double").alias(c) for m, c in zip((7, 3, 2), COLS)])
+    with outliers.packed_points(rows, COLS) as blocks:
+        held = np.concatenate(blocks.collect(), axis=1)
+    assert held.shape == (4, 7) and sorted(held[0]) == [1285, 1285, 1286, 1286, 1286, 1286, 1286]
+    starts = {2: [(0, 0, 0), (6, 0, 0)], 3: [(0, 0, 0), (3, 0, 1), (9, 9, 9)]}
+    points = np.array([[i % 7 % m for m in (7, 3, 2)] for i in range(9000)], float)
+    for k, centers in outliers.fit_sweep(rows, COLS, starts, max_iter=4).items():
+        assert np.array(centers) == pytest.approx(lloyd(points, starts[k], 4), abs=1e-9)
+
+
+def test_ties_go_to_the_lower_centre(spark):
+    rows = spark.createDataFrame([(0.0, 0.0, 0.0), (-1.0, 0.0, 0.0), (1.0, 0.0, 0.0)], "x double, y double, w double")
+    one = outliers.fit_sweep(rows, COLS, {2: [(-1, 0, 0), (1, 0, 0)], 3: [(5, 0, 0), (1, 0, 0), (-1, 0, 0)]}, max_iter=1)
+    assert one == {2: [[-0.5, 0, 0], [1, 0, 0]], 3: [[5, 0, 0], [0.5, 0, 0], [-1, 0, 0]]}
+
+
+def test_points_without_a_feature_are_refused(spark):
+    rows = spark.createDataFrame([(0.0, 0.0, None), (-1.0, 0.0, 0.0)], "x double, y double, w double")
+    with pytest.raises(Exception, match="a point lacks one of x, y, w"):
+        outliers.fit_sweep(rows, COLS, {2: [(-1, 0, 0), (1, 0, 0)]}, max_iter=1)
+
+
 def test_nothing_stays_cached(spark, cloud):
     before = spark.sparkContext._jsc.sc().getPersistentRDDs().size()
     outliers.fit_sweep(cloud, COLS, {2: [(0, 0, 0), (1, 1, 1)]})
