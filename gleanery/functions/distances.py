@@ -19,8 +19,10 @@ from pyspark.sql import types as T
 from gleanery.functions.blocks import best_rows
 
 CentersByK = dict[int, Sequence[Sequence[float]]]
-#: Points whose distances are held at once; for a dozen centres they stay in a core's cache.
-POINTS_AT_ONCE = 4096
+#: Neighbours packed in one block; their distances to a dozen centres stay in a core's cache.
+BLOCK_POINTS = 4096
+#: Points dealt to blocks at once, which a task holds.
+DEALT_POINTS = 256 * BLOCK_POINTS
 
 
 def nearest_block(
@@ -40,44 +42,87 @@ def nearest_block(
     return np.sqrt(best), cluster
 
 
+def neighbour_runs(points: np.ndarray) -> Iterator[np.ndarray]:
+    """Indices of the points (one row per feature) in runs of at most ``BLOCK_POINTS``, halved along the widest feature."""
+    open_runs = [np.arange(points.shape[1])]
+    while open_runs:
+        run = open_runs.pop()
+        if len(run) <= BLOCK_POINTS:
+            yield run
+            continue
+        values = points[:, run]
+        half = -(-len(run) // (2 * BLOCK_POINTS)) * BLOCK_POINTS
+        cut = np.argpartition(values[np.argmax(np.ptp(values, axis=1))], half)
+        open_runs += [run[cut[half:]], run[cut[:half]]]
+
+
 def packed_rows(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """(block): the different points with their counts, an Arrow batch of them packed in one row as doubles:
-    all counts, then all values of each feature."""
+    """(block): the different points with their counts, neighbours packed in one row as doubles: all counts, then
+    all values of each feature."""
     names = [f"x{i}" for i in range(len(features))]
     folded = df.select(*[F.col(f).cast("double").alias(n) for f, n in zip(features, names)])
     folded = folded.groupBy(*names).agg(F.count("*").cast("double").alias("held"))
 
+    def dealt(held: list[np.ndarray]) -> pa.RecordBatch:
+        points = np.concatenate(held, axis=1)
+        blocks = [points[:, run].tobytes() for run in neighbour_runs(points[1:])]
+        return pa.RecordBatch.from_arrays([pa.array(blocks, pa.binary())], ["block"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            block = np.array(_columns(batch, ["held", *names]))
-            if np.isnan(block).any():
+            held.append(np.array(_columns(batch, ["held", *names])))
+            if np.isnan(held[-1]).any():
                 raise ValueError(f"a point lacks one of {', '.join(features)}")
-            yield pa.RecordBatch.from_arrays([pa.array([block.tobytes()], pa.binary())], ["block"])
+            if sum(h.shape[1] for h in held) >= DEALT_POINTS:
+                yield dealt(held)
+                held = []
+        if held:
+            yield dealt(held)
 
     return folded.mapInArrow(run, "block binary")
 
 
+def possible_centers(low: np.ndarray, high: np.ndarray, centers: Sequence[np.ndarray]) -> list[np.ndarray]:
+    """For every fit the centres to which a point of the box can be nearest.
+
+    Left out are those farther than one given centre from every point of the box, by more than rounding makes up: it
+    is enough to look at the corner that lies most in their direction.
+    """
+    every = np.concatenate(centers)
+    ends = np.cumsum([len(c) for c in centers])
+    middle = np.square(every - (low + high) / 2).sum(axis=1)
+    first = [end - len(c) + middle[end - len(c) : end].argmin() for c, end in zip(centers, ends)]
+    rival = every[np.repeat(first, [len(c) for c in centers])]
+    corner = np.where(every > rival, high, low)
+    own, other = np.square(corner - every).sum(axis=1), np.square(corner - rival).sum(axis=1)
+    slack = 1e-12 * (own + other + np.square(high - low).sum())
+    return [np.flatnonzero(p) for p in np.split(~(own - other > slack), ends[:-1])]
+
+
 def center_sums(block: np.ndarray, centers: Sequence[np.ndarray]) -> np.ndarray:
     """A row per centre of every fit, one after the other: number and sums of the features of the points nearest
     to it within its fit; the lower centre wins ties. ``block`` holds the counts, then the features.
     """
+    held, columns = block[0], block[1:]
+    weighted = np.concatenate([block[:1], held * columns]).T
+    whole = weighted.sum(axis=0)
     sums = [np.zeros((len(c), len(block))) for c in centers]
-    for first in range(0, block.shape[1], POINTS_AT_ONCE):
-        held, *columns = block[:, first : first + POINTS_AT_ONCE]
-        weighted = np.array([held, *[held * column for column in columns]]).T
-        for fit, total in zip(centers, sums):
-            square = np.zeros((len(fit), len(held)))
-            gap = np.empty_like(square)
-            for column, x in zip(columns, fit.T):
-                np.subtract(column, x[:, None], out=gap)
-                np.multiply(gap, gap, out=gap)
-                square += gap
-            near = square == square.min(axis=0)
-            if np.count_nonzero(near) != len(held):
-                near &= np.cumsum(near, axis=0) == 1
-            total += near.astype(float) @ weighted
+    possible = possible_centers(columns.min(axis=1), columns.max(axis=1), centers)
+    for fit, total, able in zip(centers, sums, possible):
+        if len(able) == 1:
+            total[able] = whole
+            continue
+        square = np.zeros((len(able), len(held)))
+        gap = np.empty_like(square)
+        for column, x in zip(columns, fit[able].T):
+            np.subtract(column, x[:, None], out=gap)
+            np.multiply(gap, gap, out=gap)
+            square += gap
+        near = square == square.min(axis=0)
+        if np.count_nonzero(near) != len(held):
+            near &= np.cumsum(near, axis=0) == 1
+        total[able] = near.astype(float) @ weighted
     return np.concatenate(sums)
 
 

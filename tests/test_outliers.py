@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from gleanery.functions.distances import center_sums, neighbour_runs, possible_centers
 from gleanery.functions.sampling import sample_by_key
 from gleanery.operators import outliers
 from gleanery.sinks.exports import cluster_rows, export_samples, sample_means, sample_outliers
@@ -176,6 +177,30 @@ def test_points_without_a_feature_are_refused(spark):
         outliers.fit_sweep(rows, COLS, {2: [(-1, 0, 0), (1, 0, 0)]}, max_iter=1)
 
 
+def test_blocks_hold_neighbours():
+    points = np.random.default_rng(5).normal(size=(3, 30_000))
+    runs = list(neighbour_runs(points))
+    assert sorted(np.concatenate(runs)) == list(range(30_000)) and max(map(len, runs)) <= 4096
+    assert np.mean([np.ptp(points[:, run], axis=1).min() for run in runs]) < 0.6 * np.ptp(points, axis=1).min()
+    assert [len(run) for run in neighbour_runs(np.zeros((3, 5000)))] == [4096, 904]
+
+
+def test_blocks_skip_no_centre():
+    rng = np.random.default_rng(6)
+    skipped = 0
+    for width in (0, 0.01, 0.3, 3):
+        points = rng.normal(size=(3, 1)) + width * rng.integers(-4, 5, size=(3, 500)) / 4
+        block = np.concatenate([rng.integers(1, 9, size=(1, 500)), points])
+        fits = [rng.normal(size=(k, 3)) for k in range(2, 13)] + [np.array([points[:, 0], points[:, 0], points[:, 1]])]
+        skipped += sum(len(able) < len(c) for able, c in zip(possible_centers(points.min(axis=1), points.max(axis=1), fits), fits))
+        want = []
+        for c in fits:
+            near = sum((points[i] - c[:, i : i + 1]) ** 2 for i in range(3)).argmin(axis=0)
+            want += [[block[0][near == i].sum(), *(block[0] * points)[:, near == i].sum(axis=1)] for i in range(len(c))]
+        assert center_sums(block, fits) == pytest.approx(np.array(want), abs=1e-9)
+    assert skipped > 20
+
+
 def test_nothing_stays_cached(spark, cloud):
     before = spark.sparkContext._jsc.sc().getPersistentRDDs().size()
     outliers.fit_sweep(cloud, COLS, {2: [(0, 0, 0), (1, 1, 1)]})
