@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from gleanery.functions.distances import center_sums, neighbour_runs, possible_centers
 from gleanery.functions.sampling import sample_by_key
 from gleanery.operators import outliers
+from gleanery.queries import QUERIES
 from gleanery.sinks.exports import cluster_rows, export_samples, sample_means, sample_outliers
 from gleanery.sources.sensors import read_cluster_samples
 
@@ -201,6 +202,27 @@ def test_blocks_skip_no_centre():
     assert skipped > 20
 
 
+@pytest.fixture(scope="module")
+def copies(spark, tmp_path_factory):
+    """A folder with three copies of a small lineitem, and their number of rows."""
+    folder = str(tmp_path_factory.mktemp("copies"))
+    table = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    shifted = table.crossJoin(spark.range(3).withColumnRenamed("id", "copy"))
+    shifted = shifted.withColumn("l_orderkey", F.col("l_orderkey") + 1_000_000 * F.col("copy")).drop("copy")
+    shifted.write.parquet(f"{folder}/lineitem.parquet")
+    return folder, 3 * table.count()
+
+
+def test_partition_of_copies(spark, copies):
+    folder, rows = copies
+    tracker = spark.sparkContext.statusTracker()
+    before = set(tracker.getJobIdsForGroup(None))
+    found = QUERIES["kmeans_partition"](spark, folder).collect()
+    assert [(r.readings, r.clusters) for r in sorted(found)] == [(rows, k) for k in range(2, 13)]
+    assert max(r.largest_gap for r in found) < 1e-3
+    assert len(set(tracker.getJobIdsForGroup(None)) - before) <= 100 + 12
+
+
 def test_nothing_stays_cached(spark, cloud):
     before = spark.sparkContext._jsc.sc().getPersistentRDDs().size()
     outliers.fit_sweep(cloud, COLS, {2: [(0, 0, 0), (1, 1, 1)]})
