@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from gleanery.functions.distances import center_sums, neighbour_runs, possible_centers
 from gleanery.functions.sampling import sample_by_key
 from gleanery.operators import outliers
-from gleanery.queries import QUERIES
+from gleanery.queries import FEATURES, FIXED, LLOYD_PASSES, QUERIES, SENSOR_COLUMNS
 from gleanery.sinks.exports import cluster_rows, export_samples, sample_means, sample_outliers
 from gleanery.sources.sensors import read_cluster_samples
 
@@ -223,6 +223,19 @@ def test_partition_of_copies(spark, copies):
     assert len(set(tracker.getJobIdsForGroup(None)) - before) <= 100 + 12
 
 
+def test_lloyd_sweep_of_copies(spark, copies):
+    folder, _ = copies
+    tracker = spark.sparkContext.statusTracker()
+    before = set(tracker.getJobIdsForGroup(None))
+    found = QUERIES["lloyd_sweep"](spark, folder).collect()
+    assert len(set(tracker.getJobIdsForGroup(None)) - before) <= LLOYD_PASSES + 8
+    scored = outliers.standardize(spark.read.parquet(f"{folder}/lineitem.parquet"), SENSOR_COLUMNS)
+    points = np.array(scored.select(*FEATURES).collect())
+    for k, centers in FIXED.items():
+        held = [r[2:] for r in sorted(found) if r.k == k]
+        assert np.array(held) == pytest.approx(lloyd(points, centers, LLOYD_PASSES), abs=2e-6)
+
+
 def test_nothing_stays_cached(spark, cloud):
     before = spark.sparkContext._jsc.sc().getPersistentRDDs().size()
     outliers.fit_sweep(cloud, COLS, {2: [(0, 0, 0), (1, 1, 1)]})
