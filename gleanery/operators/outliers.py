@@ -127,24 +127,55 @@ def fit_sweep(
     stays. A start decides its fit whatever the partitions, but for the last digits of the sums. Centres
     keep the order of their starts.
     """
-    fits = {k: np.array(c, dtype=float).reshape(-1, len(features)) for k, c in starts.items()}
-    moving = [k for k, c in fits.items() if len(c)]
     with packed_points(df, features) as blocks:
-        for _ in range(max_iter):
-            if not moving:
-                break
-            sums = _pass_sums(blocks, [fits[k] for k in moving], len(features) + 1)
-            ends = np.cumsum([len(fits[k]) for k in moving])
-            still = []
-            for k, total in zip(moving, np.split(sums, ends[:-1])):
-                old, held = fits[k], total[:, :1]
-                fits[k] = np.where(held > 0, total[:, 1:] / np.maximum(held, 1), old)
-                if np.square(fits[k] - old).sum(axis=1).max() > tol * tol:
-                    still.append(k)
-            moving = still
+        return _fits(blocks, len(features), starts, max_iter, tol)
+
+
+def _fits(
+    blocks: RDD, width: int, starts: dict[int, Centers], max_iter: int, tol: float
+) -> dict[int, list[list[float]]]:
+    fits = {k: np.array(c, dtype=float).reshape(-1, width) for k, c in starts.items()}
+    moving = [k for k, c in fits.items() if len(c)]
+    for _ in range(max_iter):
+        if not moving:
+            break
+        sums = _pass_sums(blocks, [fits[k] for k in moving], width + 1)
+        ends = np.cumsum([len(fits[k]) for k in moving])
+        still = []
+        for k, total in zip(moving, np.split(sums, ends[:-1])):
+            old, held = fits[k], total[:, :1]
+            fits[k] = np.where(held > 0, total[:, 1:] / np.maximum(held, 1), old)
+            if np.square(fits[k] - old).sum(axis=1).max() > tol * tol:
+                still.append(k)
+        moving = still
     return {k: c.tolist() for k, c in fits.items()}
 
 
+def checked_sweep(
+    df: DataFrame,
+    features: Sequence[str],
+    starts: dict[int, Centers],
+    max_iter: int = 100,
+    tol: float = 1e-6,
+) -> tuple[dict[int, list[list[float]]], DataFrame]:
+    """``fit_sweep`` and the ``center_checks`` of its centres, which are one more pass over the packed points instead of a
+    read of all rows."""
+    with packed_points(df, features) as blocks:
+        centers = _fits(blocks, len(features), starts, max_iter, tol)
+        fits = [np.array(c) for c in centers.values() if len(c)]
+        sums = _pass_sums(blocks, fits, len(features) + 1) if fits else np.zeros((0, len(features) + 1))
+    places = [(k, i) for k, c in centers.items() for i in range(len(c))]
+    held = np.flatnonzero(sums[:, 0])
+    profile = local_table(
+        df.sparkSession,
+        k=pa.array([places[i][0] for i in held], pa.int32()),
+        cluster=pa.array([places[i][1] for i in held], pa.int32()),
+        size=pa.array(sums[held, 0].astype(np.int64)),
+        **{f"sum_{f}": pa.array(sums[held, j]) for j, f in enumerate(features, 1)},
+    )
+    return centers, _gaps(profile, center_report(df, centers, [f"c_{f}" for f in features]), features)
+
+
 def center_report(df: DataFrame, centers_by_k: dict[int, Centers], names: Sequence[str]) -> DataFrame:
     """(k, cluster, <names>) of all centres."""
     rows = [(k, i, c) for k, centers in centers_by_k.items() for i, c in enumerate(centers)]
@@ -175,8 +206,11 @@ def center_checks(
 ) -> DataFrame:
     """(k, points, clusters, largest_gap): points covered, centres that have any, and the largest
     distance of a centre from the mean of the points nearest to it, for every k from one read."""
-    profile = profile_rows(df, features, centers_by_k)
     centers = center_report(df, centers_by_k, [f"c_{f}" for f in features])
+    return _gaps(profile_rows(df, features, centers_by_k), centers, features)
+
+
+def _gaps(profile: DataFrame, centers: DataFrame, features: Sequence[str]) -> DataFrame:
     off = [F.pow(F.col(f"sum_{f}") / F.col("size") - F.col(f"c_{f}"), F.lit(2.0)) for f in features]
     gaps = profile.join(centers, ["k", "cluster"]).withColumn("gap", F.sqrt(reduce(lambda a, b: a + b, off)))
     return gaps.groupBy("k").agg(

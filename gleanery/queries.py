@@ -498,9 +498,13 @@ def elbow(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(outliers.elbow(profile), 6, "mean_distance")
 
 
-def _fitted(spark: SparkSession, sf: str) -> tuple[DataFrame, dict]:
+def _started(spark: SparkSession, sf: str) -> tuple[DataFrame, dict]:
     standard = spread(points(spark, sf), "l_orderkey")
-    starts = outliers.hashed_starts(standard, FEATURES, CLUSTER_COUNTS, row_hash(ROW_KEYS))
+    return standard, outliers.hashed_starts(standard, FEATURES, CLUSTER_COUNTS, row_hash(ROW_KEYS))
+
+
+def _fitted(spark: SparkSession, sf: str) -> tuple[DataFrame, dict]:
+    standard, starts = _started(spark, sf)
     return standard, outliers.fit_sweep(standard, FEATURES, starts)
 
 
@@ -519,8 +523,8 @@ def kmeans_outliers(spark: SparkSession, sf: str) -> DataFrame:
 def kmeans_partition(spark: SparkSession, sf: str) -> DataFrame:
     """Per k: readings covered, centres with points, and how far a centre is at most from the mean of
     the points nearest to it (0 for a fit that has converged)."""
-    standard, centers = _fitted(spark, sf)
-    checks = outliers.center_checks(standard, FEATURES, centers)
+    standard, starts = _started(spark, sf)
+    _, checks = outliers.checked_sweep(standard, FEATURES, starts)
     return checks.select("k", F.col("points").alias("readings"), "clusters", F.round("largest_gap", 5).alias("largest_gap"))
 
 

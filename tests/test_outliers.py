@@ -236,6 +236,27 @@ def test_lloyd_sweep_of_copies(spark, copies):
         assert np.array(held) == pytest.approx(lloyd(points, centers, LLOYD_PASSES), abs=2e-6)
 
 
+def test_checks_come_from_the_packed_points(spark, cloud):
+    starts = outliers.hashed_starts(cloud, COLS, [2, 3, 5], by_row("id")) | {4: [(0, 0, 0), (1, 1, 1), (99, 99, 99), (-1, 0, 0)], 6: []}
+    centers, checks = outliers.checked_sweep(cloud, COLS, starts, max_iter=4)
+    again = outliers.fit_sweep(cloud, COLS, starts, max_iter=4)
+    assert all(np.array(centers[k]) == pytest.approx(np.array(again[k]), abs=1e-9) for k in starts)
+    want = {r.k: r for r in outliers.center_checks(cloud, COLS, centers).collect()}
+    found = {r.k: r for r in checks.collect()}
+    assert set(found) == set(want) == {2, 3, 4, 5} and want[4].clusters == 3
+    for k, r in found.items():
+        assert (r.points, r.clusters) == (3000, want[k].clusters)
+        assert r.largest_gap == pytest.approx(want[k].largest_gap, abs=1e-9) and r.largest_gap > 1e-4
+
+
+def test_partition_reads_rows_for_starts_and_packing_only(copies, spark, monkeypatch):
+    def read(*_):
+        raise AssertionError("the rows are read again")
+
+    monkeypatch.setattr(outliers, "profile_rows", read)
+    assert QUERIES["kmeans_partition"](spark, copies[0]).count() == 11
+
+
 def test_nothing_stays_cached(spark, cloud):
     before = spark.sparkContext._jsc.sc().getPersistentRDDs().size()
     outliers.fit_sweep(cloud, COLS, {2: [(0, 0, 0), (1, 1, 1)]})
