@@ -1,7 +1,10 @@
 import hashlib
 import random
 import re
+import time
+from collections import Counter
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from gleanery.llm import bottomk, substrings
@@ -53,6 +56,44 @@ def test_substrings_keep_one_of_repeated_rows(make):
     assert substrings.dedup_substrings(make([(1, text)]).where("false")).collect() == []
 
 
+def test_substring_buckets_cost_the_same_for_many_pieces():
+    """The same hashes of a bucket, sent by 4 or by 400 pieces."""
+    rng = np.random.default_rng(3)
+    hashes = rng.integers(0, 1 << 32, 100_000, dtype=np.uint64)
+    took = {}
+    for n in (4, 400):
+        # Each hash goes to two pieces, and as many more are in one piece only.
+        sent = [np.concatenate([hashes[k % (n // 2) :: n // 2], rng.integers(0, 1 << 32, 200_000 // n)]) for k in range(n)]
+        sent = [np.unique(x.astype(np.uint32)) for x in sent]
+        table = substrings._packed(list(range(n)), [7] * n, [substrings._short(x) for x in sent])
+        began = time.process_time()
+        answers = substrings._answer(table)
+        took[n] = time.process_time() - began
+        counts = Counter(np.concatenate(sent).tolist())
+        got = {p: np.frombuffer(d, "<u4").tolist() for p, d in zip(answers["piece"].to_pylist(), answers["data"].to_pylist())}
+        assert got == {k: [h for h in x.tolist() if counts[h] > 1] for k, x in enumerate(sent)}
+        assert set(answers["bucket"].to_pylist()) == {7}
+    assert took[400] < 5 * took[4] + 0.2
+
+
+def test_substring_windows_equal_in_one_hash_only_differ():
+    a = np.array([5, 1, 5, 2, 1, 9, 2, 1], np.uint64)
+    b = np.array([7, 7, 7, 7, 7, 3, 7, 7], np.uint64)
+    at, starts = substrings._runs(a, b, np.arange(8))
+    assert [sorted(x.tolist()) for x in np.split(at, starts[1:])] == [[5], [1, 4, 7], [3, 6], [0, 2]]
+    at, starts = substrings._runs(a, b, np.zeros(0, np.int64))
+    assert len(at) == len(starts) == 0
+
+
+def test_substring_earliest_of_equal_windows_stays():
+    """Pieces 3 and 8 have equal doc_ids, piece 5 a later one; hash 4 is elsewhere under another second hash."""
+    rows = {8: [(4, 10, 6), (1, 2, 9)], 5: [(4, 10, 7), (4, 11, 1)], 3: [(4, 10, 6), (1, 2, 10)]}
+    data = [b"".join(np.array(c, kind).tobytes() for c, kind in zip(zip(*x), ("<u4", "<u8", "<i8"))) for x in rows.values()]
+    answers = substrings._losers(substrings._packed(list(rows), [2] * 3, data))
+    lost = {p: (np.frombuffer(d, "<u4", len(d) // 12).tolist(), np.frombuffer(d, "<u8", len(d) // 12, len(d) // 3).tolist()) for p, d in zip(answers["piece"].to_pylist(), answers["data"].to_pylist())}
+    assert lost == {8: ([4], [10]), 5: ([4], [10]), 3: ([1], [2])}
+
+
 def shingles(text, size):
     words = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     if not words:
